@@ -1,25 +1,28 @@
 """Scoring of tree ensembles on Spark DataFrames."""
 
-from ensemblescore.errors import InputError, ModelError
-from ensemblescore.operators.transformer import EnsembleModel
-from ensemblescore.sources.build import (
-    Input,
-    Leaf,
-    Split,
-    category,
-    constant,
-    merge_rows,
-    model_rows,
-    scalar,
-    stump,
-    stump_registry,
-    vector,
-    write_models,
-)
-from ensemblescore.sources.tables import ModelTables
+from importlib import import_module
 
-__all__ = [
-    "EnsembleModel", "Input", "InputError", "Leaf", "ModelError", "ModelTables", "Split",
-    "category", "constant", "merge_rows", "model_rows", "scalar", "stump", "stump_registry",
-    "vector", "write_models",
-]
+# Names are looked up on first use: Python workers import only the module they need.
+_HOME = {
+    "EnsembleModel": "operators.transformer",
+    "InputError": "errors",
+    "ModelError": "errors",
+    "ModelTables": "sources.tables",
+    "model_widths": "operators.widths",
+    "parity_report": "operators.parity",
+    "score_registry": "operators.registry",
+    "score_stream": "streaming.score",
+    "ship": "sources.shipping",
+    "violations": "operators.validate",
+    **dict.fromkeys(
+        ("Input", "Leaf", "Split", "category", "constant", "merge_rows", "model_rows", "scalar",
+         "stump", "stump_registry", "vector", "write_models"), "sources.build"),
+}
+
+__all__ = sorted(_HOME)
+
+
+def __getattr__(name):
+    if name not in _HOME:
+        raise AttributeError(f"module {__name__!r} has no attribute {name!r}")
+    return getattr(import_module(f"{__name__}.{_HOME[name]}"), name)

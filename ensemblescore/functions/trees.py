@@ -6,7 +6,7 @@ import math
 
 import numpy as np
 
-from ensemblescore.sources.spec import Forest
+from ensemblescore.functions.forest import Forest
 
 
 def float_literal(value) -> str:

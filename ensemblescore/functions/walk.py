@@ -3,8 +3,41 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-from ensemblescore.sources.spec import Forest
+from ensemblescore.functions.forest import Forest
+
+
+def matrix(columns: tuple[pa.Array, ...], layout: list[tuple]) -> np.ndarray:
+    """Input columns side by side as one ``(rows, width)`` float32 matrix."""
+    n = len(columns[0])
+    if len(layout) == 1 and layout[0][1]:
+        return _vectors(columns[0], *layout[0][:2])
+    out = np.empty((n, sum(width or 1 for _, width, _ in layout)), np.float32)
+    at = 0
+    for values, (name, width, categories) in zip(columns, layout):
+        if width:
+            out[:, at:at + width] = _vectors(values, name, width)
+        elif categories is not None:
+            codes = pc.cast(pc.index_in(values, value_set=categories), pa.float32())
+            out[:, at] = codes.fill_null(float("nan")).to_numpy(zero_copy_only=False)
+        else:
+            out[:, at] = values.to_numpy(zero_copy_only=False)
+        at += width or 1
+    return out
+
+
+def _vectors(values: pa.Array, name: str, width: int) -> np.ndarray:
+    sizes = np.diff(values.offsets.to_numpy())
+    wrong = sizes != width
+    if wrong.any():
+        raise ValueError(f"column {name!r} holds a vector of {sizes[wrong][0]}, "
+                         f"the model declares {width}")
+    flat = values.flatten()
+    if flat.null_count:
+        flat = flat.fill_null(0.0)
+    return flat.to_numpy(zero_copy_only=False).reshape(len(values), width)
 
 
 class Rows:

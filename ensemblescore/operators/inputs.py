@@ -5,7 +5,8 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import Column
-from pyspark.sql.types import StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, StructType
 
 from ensemblescore.errors import InputError
 from ensemblescore.functions import coerce
@@ -14,16 +15,36 @@ from ensemblescore.sources.spec import InputSpec, ModelSpec
 
 @dataclass(frozen=True)
 class BoundInput:
-    """One model input, the column it reads and that column as float32."""
+    """One model input and the column it reads."""
 
     spec: InputSpec
     column: str
-    floats: Column
+    dtype: DataType
 
     @property
     def width(self) -> int:
         return self.spec.width
 
+    @property
+    def floats(self) -> Column:
+        """The input as float32: a scalar, or an array not yet checked for its width."""
+        if self.spec.is_vector:
+            return coerce.vector(self.column, self.dtype)
+        if self.spec.is_string:
+            return coerce.category_code(self.column, self.spec.categories)
+        return coerce.scalar(self.column)
+
+    @property
+    def array(self) -> Column:
+        """The input as an array of its declared width, without nulls, or an error."""
+        if self.spec.is_vector:
+            return coerce.checked_vector(self.column, self.dtype, self.width)
+        return F.array(self.floats)
+
+    @property
+    def has_long_vocabulary(self) -> bool:
+        return self.spec.is_string and len(self.spec.categories) > coerce.MAX_CASE_CATEGORIES
+
 
 def bind(spec: ModelSpec, schema: StructType, features_col: str) -> list[BoundInput]:
     """One bound input per declared input, in declared order. Fails on the driver."""
@@ -35,11 +56,6 @@ def bind(spec: ModelSpec, schema: StructType, features_col: str) -> list[BoundIn
                 f"model input {declared.name!r} needs column {name!r}, "
                 f"which is not among {schema.names}")
         dtype = schema[name].dataType
-        if declared.is_vector:
-            floats = coerce.vector(name, dtype, declared.width)
-        elif declared.is_string:
-            floats = coerce.category_code(name, dtype, declared.categories)
-        else:
-            floats = coerce.scalar(name, dtype)
-        bound.append(BoundInput(declared, name, floats))
+        coerce.require(name, dtype, vector=declared.is_vector, string=declared.is_string)
+        bound.append(BoundInput(declared, name, dtype))
     return bound

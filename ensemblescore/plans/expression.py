@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ensemblescore.functions import coerce
 from ensemblescore.functions.trees import output_sql
 from ensemblescore.operators.inputs import BoundInput
-from ensemblescore.sources.spec import Forest
+from ensemblescore.functions.forest import Forest
 
 
 def add_sums(df: DataFrame, bound: list[BoundInput], forest: Forest, n_outputs: int,
@@ -31,7 +32,5 @@ def _checked(df: DataFrame, bound: list[BoundInput], name: str, sums: list[Colum
         if item.spec.is_vector:
             size = F.size(F.col(f"{name}_in{k}"))
             result = F.when(size == item.width, result).otherwise(
-                F.raise_error(F.format_string(
-                    f"column '%s' holds a vector of %s, the model declares {item.width}",
-                    F.lit(item.column), size)))
+                coerce.wrong_width(item.column, size, item.width))
     return result.alias(name)

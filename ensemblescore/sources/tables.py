@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +13,12 @@ from ensemblescore.errors import ModelError
 from ensemblescore.sources.schema import TABLES
 
 
+ARROW = {
+    "string": pa.string(), "int": pa.int32(), "float": pa.float32(),
+    "array<string>": pa.list_(pa.string()), "array<int>": pa.list_(pa.int32()),
+}
+
+
 @dataclass(frozen=True)
 class ModelTables:
     """``header``, ``inputs``, ``trees`` and ``nodes`` of one model or of a registry."""
@@ -23,22 +30,25 @@ class ModelTables:
 
     @classmethod
     def read(cls, spark: SparkSession, path: str) -> ModelTables:
-        """Open the four Parquet tables under ``path``; nothing but the listing runs here."""
+        """Open the four Parquet tables under ``path``; no data is read yet."""
         frames = {}
         for name, schema in TABLES.items():
             try:
-                found = spark.read.parquet(f"{path}/{name}")
+                frames[name] = spark.read.schema(schema).parquet(f"{path}/{name}")
             except AnalysisException as e:
                 raise ModelError(f"no readable model table '{name}' under {path!r}: {e}") from e
-            missing = [f.name for f in schema if f.name not in found.columns]
-            if missing:
-                raise ModelError(f"model table '{name}' under {path!r} lacks {missing}")
-            frames[name] = found.select(*[F.col(f.name).cast(f.dataType) for f in schema])
         return cls(**frames)
 
     @classmethod
     def from_rows(cls, spark: SparkSession, rows: dict[str, list]) -> ModelTables:
-        return cls(**{n: spark.createDataFrame(rows[n], s) for n, s in TABLES.items()})
+        """Hand-built models; such tables are small, so each is one partition."""
+        frames = {}
+        for name, schema in TABLES.items():
+            columns = list(zip(*rows[name])) or [()] * len(schema)
+            table = pa.table([pa.array(c, ARROW[f.dataType.simpleString()])
+                              for c, f in zip(columns, schema)], names=schema.names)
+            frames[name] = spark.createDataFrame(table, schema).coalesce(1)
+        return cls(**frames)
 
     def write(self, path: str, mode: str = "errorifexists") -> str:
         """Store the tables as Parquet, sorted by model so that reading one model skips row groups."""
