@@ -14,7 +14,7 @@ def float_literal(value) -> str:
     number = np.float32(value)
     if not math.isfinite(number):
         return f"CAST('{float(number)}' AS FLOAT)"
-    return f"{number!s}F"
+    return f"{float(number)!r}F"
 
 
 def double_literal(value) -> str:

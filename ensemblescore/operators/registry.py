@@ -53,7 +53,7 @@ def score_registry(df: DataFrame, tables: ModelTables, model_id_col: str = "mode
     several = (tables.header.agg(F.max("n_outputs")).head()[0] or 1) > 1
     keyed, width, tables = _with_features(df, tables, model_id_col, features_col)
 
-    plan = _choose(tables, strategy) if strategy == AUTO else strategy
+    plan = _choose(tables) if strategy == AUTO else strategy
     if plan == ARROW:
         summed = _by_broadcast(keyed, tables, width)
     else:
@@ -81,7 +81,7 @@ def score_registry(df: DataFrame, tables: ModelTables, model_id_col: str = "mode
     return summed.select(*kept, *appended)
 
 
-def _choose(tables: ModelTables, strategy: str) -> str:
+def _choose(tables: ModelTables) -> str:
     per_model = tables.nodes.groupBy("model_id").count()
     total, largest = per_model.agg(F.sum("count"), F.max("count")).head()
     if (total or 0) <= MAX_BROADCAST_NODES:

@@ -55,7 +55,7 @@ class EnsembleModel(Transformer, DefaultParamsReadable, DefaultParamsWritable):
                   featuresCol: str = "features", predictionCol: str = "prediction",
                   probabilityCol: str = "probability", strategy: str = "auto") -> EnsembleModel:
         """Set the given params; returns ``self``."""
-        return self._set(**self._input_kwargs)
+        return self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
 
     @classmethod
     def loadFile(cls, path: str, modelId: str | None = None) -> EnsembleModel:

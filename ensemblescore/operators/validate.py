@@ -79,7 +79,7 @@ def _node_violations(nodes: DataFrame, limits: DataFrame) -> DataFrame:
         "unknown_kind": F.col("kind").isin(*S.NODE_KINDS),
         "unknown_split_op": F.when(branch, F.col("split_op") == S.LESS_THAN)
         .otherwise(F.col("split_op").isin(*S.SPLIT_OPS)),
-        "leaf_has_children": branch | (n_children == 0),
+        "leaf_has_children": (F.col("kind") != S.LEAF) | (n_children == 0),
         "branch_without_two_children": ~branch | (n_children == 2),
         "bad_split_feature": ~branch | F.col("split_feature").between(0, F.col("width") - 1),
         "nan_threshold": ~branch | ~F.isnan("split_threshold"),

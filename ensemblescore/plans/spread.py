@@ -16,7 +16,7 @@ def spread_small(df: DataFrame, max_bytes: int = MAX_SPREAD_BYTES) -> DataFrame:
     idle. Larger inputs are returned as they are.
     """
     plan = df._jdf.queryExecution().optimizedPlan()
-    size = int(plan.stats().sizeInBytes().toString())
+    size = int(str(plan.stats().sizeInBytes()))
     cores = df.sparkSession.sparkContext.defaultParallelism
     if df.isStreaming or size > max_bytes or cores < 2:
         return df
