@@ -41,37 +41,55 @@ def _vectors(values: pa.Array, name: str, width: int) -> np.ndarray:
 
 
 class Rows:
-    """A feature matrix prepared for lookups by (row, feature)."""
+    """A feature matrix prepared for lookups by (row, feature), with room to work in."""
 
     def __init__(self, features: np.ndarray):
         n, width = features.shape
-        self.n = n
-        self.flat = features.reshape(-1)
-        self.start = np.arange(n, dtype=np.intp) * width
+        self._prepare(features.reshape(-1), np.arange(n, dtype=np.intp) * width)
+        self.columns = np.ascontiguousarray(features.T)
         missing = np.isnan(self.flat)
         self.missing = missing if missing.any() else None
 
+    def _prepare(self, flat: np.ndarray, start: np.ndarray) -> None:
+        self.flat, self.start, self.n = flat, start, len(start)
+        self.at = np.empty(self.n, np.intp)
+        self.x, self.threshold = np.empty((2, self.n), np.float32)
+        self.right = np.empty(self.n, bool)
+
     def subset(self, rows: np.ndarray) -> Rows:
         part = object.__new__(Rows)
-        part.n, part.flat = len(rows), self.flat
-        part.start, part.missing = self.start[rows], self.missing
+        part._prepare(self.flat, self.start[rows])
+        part.missing = self.missing
         return part
 
 
 def descend(forest: Forest, rows: Rows, node: np.ndarray, depth: int) -> np.ndarray:
-    """Leaf values reached from the given start nodes after at most ``depth`` steps."""
+    """Leaf values reached from the start nodes, which are overwritten, in ``depth`` steps."""
+    at, x, threshold, right = rows.at, rows.x, rows.threshold, rows.right
     for _ in range(depth):
-        at = forest.feature.take(node)
+        forest.feature.take(node, out=at, mode="clip")
         at += rows.start
-        right = rows.flat.take(at) >= forest.threshold.take(node)
+        rows.flat.take(at, out=x, mode="clip")
+        forest.threshold.take(node, out=threshold, mode="clip")
+        np.greater_equal(x, threshold, out=right)
         if rows.missing is not None:
             right |= rows.missing.take(at) & forest.missing_right.take(node)
-        node = forest.first_child.take(node)
-        node += right
+        forest.first_child.take(node, out=at, mode="clip")
+        np.add(at, right, out=node)
     return forest.value.take(node)
 
 
 def add_trees(forest: Forest, rows: Rows, sums: np.ndarray) -> None:
-    """Add every tree of one model into ``sums[output]``, in ascending tree order."""
+    """Add every tree of one model into ``sums[output]``, in ascending tree order.
+
+    All rows meet the same root, so the first step compares one column with one number.
+    """
     for root, group, depth in zip(forest.root, forest.group, forest.depth):
-        sums[group] += descend(forest, rows, np.full(rows.n, root, np.intp), int(depth))
+        if depth == 0:
+            sums[group] += forest.value[root]
+            continue
+        column = rows.columns[forest.feature[root]]
+        right = column >= forest.threshold[root]
+        if rows.missing is not None and forest.missing_right[root]:
+            right |= np.isnan(column)
+        sums[group] += descend(forest, rows, forest.first_child[root] + right, int(depth) - 1)

@@ -21,7 +21,7 @@ from ensemblescore.functions.forest import lay_out
 from ensemblescore.functions.walk import Rows, add_trees, descend
 from ensemblescore.plans import relational
 from ensemblescore.sources import schema as S
-from ensemblescore.sources.spec import MAX_BROADCAST_NODES
+from ensemblescore.sources.spec import MAX_BROADCAST_NODES, at_once, node_columns
 from ensemblescore.sources.tables import ModelTables
 
 ARROW, GROUP, JOIN, AUTO = "arrow", "group", "join", "auto"
@@ -29,11 +29,6 @@ ARROW, GROUP, JOIN, AUTO = "arrow", "group", "join", "auto"
 # Distinct rows per group in the group plan: what one task holds at a time.
 ROWS_PER_GROUP = 200_000
 
-NODE_COLUMNS = ("tree_id", "node_id", "branch", "known_kind", "less_than", "split_feature",
-                "split_threshold", "n_children", "below", "otherwise", "default_child",
-                "leaf_value")
-
-
 def score_registry(df: DataFrame, tables: ModelTables, model_id_col: str = "model_id", *,
                    features_col: str = "features", prediction_col: str = "prediction",
                    probability_col: str = "probability", strategy: str = AUTO,
@@ -108,17 +103,18 @@ def _with_features(df: DataFrame, tables: ModelTables, model_id_col: str,
     ).withColumn("offset", F.coalesce(
         F.sum("width").over(each.orderBy("ordinal").rowsBetween(Window.unboundedPreceding, -1)),
         F.lit(0)))
-    unknown = inputs.where(~F.col("source").isin(*df.columns)).select("model_id", "source").head()
-    if unknown:
-        raise InputError(f"model {unknown.model_id!r} needs column {unknown.source!r}, "
-                         f"which is not among {df.columns}")
-
-    # At most one row per column of df.
+    # A sound registry reads no more sources than df has columns, so one more shows a stranger.
     sources = inputs.groupBy("source").agg(
-        F.min("text").alias("text"), F.min("vector").alias("vector"),
-        F.min("width").alias("width"),
+        F.min("model_id").alias("model_id"), F.min("text").alias("text"),
+        F.min("vector").alias("vector"), F.min("width").alias("width"),
         ((F.min("text") != F.max("text")) | (F.min("vector") != F.max("vector"))
-         | (F.min("width") != F.max("width"))).alias("mixed")).orderBy("source").collect()
+         | (F.min("width") != F.max("width"))).alias("mixed")
+    ).limit(len(df.columns) + 1).collect()
+    sources.sort(key=lambda s: s.source)
+    for source in sources:
+        if source.source not in df.columns:
+            raise InputError(f"model {source.model_id!r} needs column {source.source!r}, "
+                             f"which is not among {df.columns}")
     if not sources:
         raise ModelError("the registry declares no inputs")
 
@@ -162,21 +158,13 @@ def _coded(df: DataFrame, inputs: DataFrame, source: str, code: str) -> DataFram
             .withColumn(code, F.coalesce(code, nan)))
 
 
-def _node_columns(nodes: DataFrame) -> DataFrame:
-    return nodes.select(
-        "model_id", "tree_id", "node_id", (F.col("kind") == S.BRANCH).alias("branch"),
-        F.col("kind").isin(*S.NODE_KINDS).alias("known_kind"),
-        (F.col("split_op") == S.LESS_THAN).alias("less_than"), "split_feature",
-        "split_threshold", F.size("children").alias("n_children"),
-        F.get("children", F.lit(0)).alias("below"),
-        F.get("children", F.lit(1)).alias("otherwise"), "default_child", "leaf_value")
-
-
 def _by_broadcast(keyed: DataFrame, tables: ModelTables, width: int) -> DataFrame:
     """All models on every executor; a batch walks the trees of all its models at once."""
     if tables.nodes.count() > MAX_BROADCAST_NODES:
         raise ModelError("the registry is too large to broadcast")
-    header = tables.header.select("model_id", "n_outputs", "post_transform").toArrow()
+    header, trees, nodes = at_once(
+        tables.header.select("model_id", "n_outputs", "post_transform").toArrow,
+        tables.trees.toArrow, node_columns(tables.nodes).toArrow)
     ids = header.column("model_id").combine_chunks()
     if len(ids.unique()) != len(ids):
         raise ModelError("duplicate model_id in the header table")
@@ -194,7 +182,6 @@ def _by_broadcast(keyed: DataFrame, tables: ModelTables, width: int) -> DataFram
         at = table.column_names.index("tree_id")
         return table.set_column(at, "tree_id", pa.array(tree))
 
-    trees, nodes = tables.trees.toArrow(), _node_columns(tables.nodes).toArrow()
     tree_model = model_of(trees)
     span = int(max((pc.max(t.column("tree_id")).as_py() or 0) for t in (trees, nodes))) + 1
     forest = lay_out(renumbered(trees, tree_model, span),
@@ -243,7 +230,7 @@ def _by_group(points: DataFrame, tables: ModelTables, width: int, rows_per_group
         "model_id", "x",
         F.pmod(F.xxhash64("x"), F.coalesce("groups", one)).cast("int").alias("part"))
     models = (
-        _node_columns(tables.nodes)
+        node_columns(tables.nodes)
         .join(tables.trees, ["model_id", "tree_id"]).join(
             tables.header.select("model_id", "n_outputs"), "model_id")
         .join(groups, "model_id", "left")
@@ -258,7 +245,7 @@ def _by_group(points: DataFrame, tables: ModelTables, width: int, rows_per_group
             return result.empty_table()
         n_outputs = model.column("n_outputs")[0].as_py()
         trees = model.group_by(["tree_id", "tree_group"]).aggregate([])
-        forest = lay_out(trees, model.select(list(NODE_COLUMNS)), width=width, n_outputs=n_outputs)
+        forest = lay_out(trees, model, width=width, n_outputs=n_outputs)
         flat = rows.column("x").combine_chunks().flatten().to_numpy(zero_copy_only=False)
         matrix = Rows(flat.reshape(len(rows), width))
         out = np.zeros((n_outputs, matrix.n))

@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql.types import DateType, NumericType, StringType, TimestampType
+
+from ensemblescore.functions.coerce import column
 
 # A file source this small may hold fewer row groups than the cluster has cores.
 MAX_SPREAD_BYTES = 1 << 30
@@ -13,11 +16,13 @@ def spread_small(df: DataFrame, max_bytes: int = MAX_SPREAD_BYTES) -> DataFrame:
 
     Scoring itself never shuffles. One Parquet row group, however, is one task; for
     a table below ``max_bytes`` a shuffle costs less than leaving the other cores
-    idle. Larger inputs are returned as they are.
+    idle. Larger inputs are returned as they are. Rows go by the hash of their
+    content, which needs no sort and sends a retried row to the same place.
     """
-    plan = df._jdf.queryExecution().optimizedPlan()
-    size = int(str(plan.stats().sizeInBytes()))
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     cores = df.sparkSession.sparkContext.defaultParallelism
     if df.isStreaming or size > max_bytes or cores < 2:
         return df
-    return df.repartition(cores)
+    hashed = [column(f.name) for f in df.schema
+              if isinstance(f.dataType, (NumericType, StringType, DateType, TimestampType))]
+    return df.repartition(cores, *hashed)

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ensemblescore.errors import ModelError
@@ -55,23 +57,39 @@ class ModelSpec:
         return len(self.inputs) == 1 and self.inputs[0].is_vector
 
 
-def _only_model(tables: ModelTables, model_id: str | None) -> tuple:
-    header = tables.header if model_id is None else tables.only(model_id).header
-    found = header.limit(2).collect()
-    if not found:
-        raise ModelError("no model in the header table" if model_id is None
-                         else f"no model {model_id!r} in the header table")
-    if len(found) > 1:
-        raise ModelError("several models in this directory; set modelId to choose one"
-                         if model_id is None else f"model {model_id!r} has several header rows")
-    return found[0]
+def node_columns(nodes: DataFrame) -> DataFrame:
+    """The node table as ``lay_out`` reads it: enums as flags, children side by side."""
+    return nodes.select(
+        "model_id", "tree_id", "node_id", (F.col("kind") == S.BRANCH).alias("branch"),
+        F.col("kind").isin(*S.NODE_KINDS).alias("known_kind"),
+        (F.col("split_op") == S.LESS_THAN).alias("less_than"), "split_feature",
+        "split_threshold", F.size("children").alias("n_children"),
+        F.get("children", F.lit(0)).alias("below"),
+        F.get("children", F.lit(1)).alias("otherwise"), "default_child", "leaf_value")
+
+
+def at_once(*jobs) -> list:
+    """Run small jobs side by side: opening a model is all latency."""
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        return [f.result() for f in [pool.submit(job) for job in jobs]]
 
 
 def load_spec(tables: ModelTables, model_id: str | None = None, *,
               max_nodes: int = MAX_BROADCAST_NODES) -> ModelSpec:
     """Read and check one model. Node rows reach the driver only if they are at most ``max_nodes``."""
-    header = _only_model(tables, model_id)
-    one = tables.only(header.model_id)
+    if model_id is None:
+        ids = tables.header.select("model_id").limit(2).collect()
+        if len(ids) != 1:
+            raise ModelError("several models in this directory; set modelId to choose one"
+                             if ids else "no model in the header table")
+        model_id = ids[0].model_id
+    one = tables.only(model_id)
+    headers, input_rows, n_nodes = at_once(
+        one.header.limit(2).collect, one.inputs.collect, one.nodes.count)
+    if len(headers) != 1:
+        raise ModelError(f"model {model_id!r} has several header rows" if headers
+                         else f"no model {model_id!r} in the header table")
+    header = headers[0]
     for value, known, what in ((header.aggregation, S.AGGREGATIONS, "aggregation"),
                                (header.post_transform, S.POST_TRANSFORMS, "post transform")):
         if value not in known:
@@ -81,7 +99,7 @@ def load_spec(tables: ModelTables, model_id: str | None = None, *,
         raise ModelError(f"model {header.model_id!r} declares {header.n_outputs} outputs")
 
     inputs = []
-    for k, row in enumerate(one.inputs.orderBy("ordinal").collect()):
+    for k, row in enumerate(sorted(input_rows, key=lambda r: r.ordinal)):
         if row.ordinal != k:
             raise ModelError(f"input ordinals of {header.model_id!r} are not 0, 1, 2, ...")
         if row.dtype not in S.DTYPES:
@@ -96,19 +114,11 @@ def load_spec(tables: ModelTables, model_id: str | None = None, *,
     if not inputs:
         raise ModelError(f"model {header.model_id!r} declares no inputs")
 
-    n_nodes = one.nodes.count()
     forest = None
     if n_nodes <= max_nodes:
-        forest = lay_out(
-            one.trees.select("tree_id", "tree_group").toArrow(),
-            one.nodes.select(
-                "tree_id", "node_id", (F.col("kind") == S.BRANCH).alias("branch"),
-                F.col("kind").isin(*S.NODE_KINDS).alias("known_kind"),
-                (F.col("split_op") == S.LESS_THAN).alias("less_than"),
-                "split_feature", "split_threshold", F.size("children").alias("n_children"),
-                F.get("children", F.lit(0)).alias("below"),
-                F.get("children", F.lit(1)).alias("otherwise"),
-                "default_child", "leaf_value").toArrow(),
-            width=sum(i.width for i in inputs), n_outputs=header.n_outputs)
+        trees, nodes = at_once(
+            one.trees.select("tree_id", "tree_group").toArrow, node_columns(one.nodes).toArrow)
+        forest = lay_out(trees, nodes, width=sum(i.width for i in inputs),
+                         n_outputs=header.n_outputs)
     return ModelSpec(header.model_id, header.post_transform, header.n_outputs,
                      tuple(header.output_names or ()), tuple(inputs), n_nodes, forest)
