@@ -31,7 +31,7 @@ class BoundInput:
         if self.spec.is_vector:
             return coerce.vector(self.column, self.dtype)
         if self.spec.is_string:
-            return coerce.category_code(self.column, self.spec.categories)
+            return coerce.category_code(self.column, self.spec.categories or ())
         return coerce.scalar(self.column)
 
     @property
@@ -43,7 +43,7 @@ class BoundInput:
 
     @property
     def has_long_vocabulary(self) -> bool:
-        return self.spec.is_string and len(self.spec.categories) > coerce.MAX_CASE_CATEGORIES
+        return self.spec.n_categories > coerce.MAX_CASE_CATEGORIES
 
 
 def bind(spec: ModelSpec, schema: StructType, features_col: str) -> list[BoundInput]:

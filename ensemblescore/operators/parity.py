@@ -12,19 +12,16 @@ from ensemblescore.functions.coerce import column
 from ensemblescore.functions.post import argmax
 
 
-def _outputs(df: DataFrame, name: str) -> Column:
-    """A score or a vector of scores as ``array<double>``."""
-    col = column(name)
-    if isinstance(df.schema[name].dataType, VectorUDT):
-        return vector_to_array(col)
-    return F.array(col.cast("double"))
+def _difference(a: Column, b: Column) -> Column:
+    """Absolute difference; equal infinities and two NaNs differ by 0, one NaN by infinity."""
+    return F.when(a == b, F.lit(0.0)).when(
+        F.isnan(a) | F.isnan(b), F.lit(float("inf"))).otherwise(F.abs(a - b))
 
 
-def _difference(a: Column, b: Column) -> Column:
-    """Largest absolute difference; equal infinities and two NaNs differ by 0, one NaN by infinity."""
-    each = F.zip_with(a, b, lambda x, y: F.when(x == y, F.lit(0.0)).when(
-        F.isnan(x) | F.isnan(y), F.lit(float("inf"))).otherwise(F.abs(x - y)))
-    return F.when(F.size(a) != F.size(b), F.lit(float("inf"))).otherwise(F.array_max(each))
+def _largest_difference(a: Column, b: Column) -> Column:
+    """The same over two arrays; unequal lengths differ by infinity."""
+    return F.when(F.size(a) != F.size(b), F.lit(float("inf"))).otherwise(
+        F.array_max(F.zip_with(a, b, _difference)))
 
 
 def parity_report(left: DataFrame, right: DataFrame, keys: list[str], *,
@@ -40,10 +37,16 @@ def parity_report(left: DataFrame, right: DataFrame, keys: list[str], *,
         if missing:
             raise InputError(f"the {side} side lacks {missing}")
 
+    vectors = [isinstance(df.schema[output].dataType, VectorUDT) for df in (left, right)]
+    if vectors[0] != vectors[1]:
+        raise InputError(f"{output!r} is a vector on one side only")
+    vector = vectors[0]
+    dtype = "array<double>" if vector else "double"
+
     def tagged(df, mine, other):
         key = [column(k).alias(f"k{i}") for i, k in enumerate(keys)]
-        outputs = _outputs(df, output)
-        return df.select(*key, outputs.alias(mine), F.lit(None).cast("array<double>").alias(other))
+        outputs = vector_to_array(column(output)) if vector else column(output).cast("double")
+        return df.select(*key, outputs.alias(mine), F.lit(None).cast(dtype).alias(other))
 
     both = tagged(left, "a", "b").unionByName(tagged(right, "b", "a"))
     per_key = both.groupBy(*[f"k{i}" for i in range(len(keys))]).agg(
@@ -51,10 +54,13 @@ def parity_report(left: DataFrame, right: DataFrame, keys: list[str], *,
         F.min("a").alias("min_a"), F.max("a").alias("max_a"),
         F.min("b").alias("min_b"), F.max("b").alias("max_b"))
     met = (F.col("n_a") > 0) & (F.col("n_b") > 0)
-    diff = F.when(met, F.greatest(_difference(F.col("min_a"), F.col("min_b")),
-                                  _difference(F.col("max_a"), F.col("max_b"))))
-    disagree = met & ((argmax(F.col("min_a")) != argmax(F.col("min_b")))
-                      | (argmax(F.col("max_a")) != argmax(F.col("max_b"))))
+    compare = _largest_difference if vector else _difference
+    diff = F.when(met, F.greatest(compare(F.col("min_a"), F.col("min_b")),
+                                  compare(F.col("max_a"), F.col("max_b"))))
+    disagree = F.lit(False)
+    if vector:
+        disagree = met & ((argmax(F.col("min_a")) != argmax(F.col("min_b")))
+                          | (argmax(F.col("max_a")) != argmax(F.col("max_b"))))
 
     def total(test):
         return F.coalesce(F.sum(F.when(test, 1).otherwise(0)), F.lit(0)).cast("long")

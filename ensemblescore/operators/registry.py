@@ -26,13 +26,13 @@ from ensemblescore.sources.tables import ModelTables
 
 ARROW, GROUP, JOIN, AUTO = "arrow", "group", "join", "auto"
 
-# Distinct rows per group in the group plan: what one task holds at a time.
-ROWS_PER_GROUP = 200_000
+# Floats per group in the group plan: what one Python worker holds at a time.
+VALUES_PER_GROUP = 20_000_000
 
 def score_registry(df: DataFrame, tables: ModelTables, model_id_col: str = "model_id", *,
                    features_col: str = "features", prediction_col: str = "prediction",
                    probability_col: str = "probability", strategy: str = AUTO,
-                   rows_per_group: int = ROWS_PER_GROUP) -> DataFrame:
+                   rows_per_group: int | None = None) -> DataFrame:
     """Append ``prediction`` and, if any model has several outputs, ``probability``.
 
     Every row is kept. ``prediction`` is null where the registry has no such model;
@@ -55,7 +55,8 @@ def score_registry(df: DataFrame, tables: ModelTables, model_id_col: str = "mode
         points = keyed.where("__x IS NOT NULL AND __model IS NOT NULL").select(
             F.col("__model").alias("model_id"), F.col("__x").alias("x")).distinct()
         sums = (relational.sums(points, tables) if plan == JOIN
-                else _by_group(points, tables, width, rows_per_group))
+                else _by_group(points, tables, width,
+                               rows_per_group or max(1, VALUES_PER_GROUP // width)))
         flags = tables.header.select(
             "model_id", (F.col("post_transform") == S.SOFTMAX).alias("softmax"))
         scored = sums.join(flags, "model_id").select(

@@ -46,6 +46,7 @@ class EnsembleModel(Transformer, DefaultParamsReadable, DefaultParamsWritable):
                  probabilityCol: str = "probability", strategy: str = "auto") -> None:
         super().__init__()
         self._loaded: tuple | None = None
+        self._prepared: tuple | None = None
         self._setDefault(featuresCol="features", predictionCol="prediction",
                          probabilityCol="probability", strategy="auto")
         self.setParams(**self._input_kwargs)
@@ -108,13 +109,21 @@ class EnsembleModel(Transformer, DefaultParamsReadable, DefaultParamsWritable):
         if plan == strategy.EXPR:
             summed = expression.add_sums(dataset, bound, spec.forest, spec.n_outputs, sums)
         elif plan == strategy.ARROW:
-            summed = arrow.add_sums(dataset, bound, spec.forest, spec.n_outputs, sums)
+            summed = arrow.add_sums(dataset, bound, self._prepare(dataset, spec), sums)
         else:
             summed = relational.add_sums(
                 dataset, bound, tables.only(spec.model_id), spec.n_outputs, sums)
         return outputs.append(summed, sums, dataset.columns, spec, self.getProbabilityCol(),
                               self.getPredictionCol())
 
+    def _prepare(self, dataset: DataFrame, spec: ModelSpec) -> arrow.Prepared:
+        """Broadcast the model once per application, not once per ``transform``."""
+        context = dataset.sparkSession.sparkContext
+        if self._prepared is None or self._prepared[0] is not spec or (
+                self._prepared[1] != context.applicationId):
+            self._prepared = (spec, context.applicationId, arrow.prepare(context, spec))
+        return self._prepared[2]
+
     def setModelPath(self, value: str) -> EnsembleModel:
         return self._set(modelPath=value)
 

@@ -7,40 +7,62 @@ pruning pass through scoring to the scan.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
+from pyspark import SparkContext
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ensemblescore.functions.coerce import column
-from ensemblescore.functions.forest import Forest
 from ensemblescore.functions.walk import Rows, add_trees, matrix
 from ensemblescore.operators.inputs import BoundInput
+from ensemblescore.sources.spec import ModelSpec
 
 
-def layout_of(bound: list[BoundInput]) -> tuple[list, list[tuple]]:
-    """Columns to send and, for each, ``(name, vector width or 0, categories to look up or None)``."""
-    columns, layout = [], []
-    for item in bound:
-        categories = None
-        if item.has_long_vocabulary:
-            columns.append(column(item.column))
-            categories = pa.array(item.spec.categories, pa.string())
-        else:
-            columns.append(item.floats)
-        layout.append((item.column, item.width if item.spec.is_vector else 0, categories))
-    return columns, layout
+@dataclass(frozen=True)
+class Prepared:
+    """A model ready for batches: the forest on every executor, and which inputs it looks at."""
 
+    forest: Broadcast
+    read: tuple[int, ...]
+    n_outputs: int
 
-def add_sums(df: DataFrame, bound: list[BoundInput], forest: Forest, n_outputs: int,
-             name: str) -> DataFrame:
+
+def prepare(context: SparkContext, spec: ModelSpec) -> Prepared:
+    """Broadcast the forest, renumbered to the inputs some split reads.
+
+    Unread scalars are never sent to Python, nor even scanned. Vectors stay: their
+    width is checked whether they are read or not.
+    """
+    forest = spec.forest
+    looked_at = np.zeros(spec.input_width, bool)
+    looked_at[forest.feature[forest.branches]] = True
+    ends = np.cumsum([i.width for i in spec.inputs])
+    read = [k for k, (i, end) in enumerate(zip(spec.inputs, ends))
+            if i.is_vector or looked_at[end - 1]] or [0]
+    kept = np.zeros(spec.input_width, bool)
+    for k in read:
+        kept[ends[k] - spec.inputs[k].width:ends[k]] = True
+    position = np.maximum(np.cumsum(kept) - 1, 0)
+    return Prepared(context.broadcast(replace(forest, feature=position[forest.feature])),
+                    tuple(read), spec.n_outputs)
+
+
+def add_sums(df: DataFrame, bound: list[BoundInput], prepared: Prepared, name: str) -> DataFrame:
     """Append ``name``: the sums as ``array<double>``, or a plain double for one output."""
-    columns, layout = layout_of(bound)
-    shared = df.sparkSession.sparkContext.broadcast((forest, layout))
+    shared, n_outputs = prepared.forest, prepared.n_outputs
+    columns, layout = [], []  # layout: (name, vector width or 0, categories to look up or None)
+    for item in (bound[k] for k in prepared.read):
+        lookup = item.has_long_vocabulary
+        columns.append(column(item.column).cast("string") if lookup else item.floats)
+        layout.append((item.column, item.width if item.spec.is_vector else 0,
+                       pa.array(item.spec.categories, pa.string()) if lookup else None))
 
     def sums(batches: Iterator) -> Iterator[pa.Array]:
-        forest, layout = shared.value
+        forest = shared.value
         for batch in batches:
             rows = Rows(matrix(batch if isinstance(batch, tuple) else (batch,), layout))
             out = np.zeros((n_outputs, rows.n))

@@ -16,6 +16,9 @@ from ensemblescore.operators.inputs import BoundInput
 from ensemblescore.sources import schema as S
 from ensemblescore.sources.tables import ModelTables
 
+# A list of at most this many trees is sent to every executor.
+MAX_BROADCAST_TREES = 100_000
+
 POINT = ["model_id", "x"]
 NODE = ["model_id", "tree_id", "node_id"]
 
@@ -30,6 +33,8 @@ def walk(points: DataFrame, tables: ModelTables) -> DataFrame:
     forest = roots.groupBy("model_id").agg(F.collect_list(F.struct(
         "tree_id", "tree_group", F.lit(0).alias("node_id"), "split_feature", "split_threshold",
         "children", "default_child")).alias("forest"))
+    if tables.trees.count() <= MAX_BROADCAST_TREES:
+        forest = F.broadcast(forest)
     state = points.join(forest, "model_id").select(*POINT, F.inline("forest"))
     for level in range(depth):
         if level:

@@ -3,18 +3,20 @@
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ensemblescore.errors import ModelError
 from ensemblescore.functions.forest import Forest, lay_out
+from ensemblescore.operators.validate import violations
 from ensemblescore.sources import schema as S
 from ensemblescore.sources.tables import ModelTables
 
-# Above this many nodes the model stays a table and is scored by joins (plans/relational.py).
+# Above either bound the model stays a table and is scored by joins (plans/relational.py).
 MAX_BROADCAST_NODES = 4_000_000
+MAX_BROADCAST_CHARS = 64_000_000  # all category names together
 
 
 @dataclass(frozen=True)
@@ -22,7 +24,8 @@ class InputSpec:
     name: str
     dtype: str
     shape: tuple[int, ...]
-    categories: tuple[str, ...] | None = None
+    n_categories: int = 0
+    categories: tuple[str, ...] | None = None  # None: no string, or too many to collect
 
     @property
     def is_vector(self) -> bool:
@@ -84,8 +87,13 @@ def load_spec(tables: ModelTables, model_id: str | None = None, *,
                              if ids else "no model in the header table")
         model_id = ids[0].model_id
     one = tables.only(model_id)
+    chars = F.aggregate("categories", F.lit(0).cast("long"),
+                        lambda total, c: total + F.length(c) + 1)
     headers, input_rows, n_nodes = at_once(
-        one.header.limit(2).collect, one.inputs.collect, one.nodes.count)
+        one.header.limit(2).collect,
+        one.inputs.select("ordinal", "name", "dtype", "shape", chars.alias("chars"),
+                          F.size("categories").alias("n_categories")).collect,
+        one.nodes.count)
     if len(headers) != 1:
         raise ModelError(f"model {model_id!r} has several header rows" if headers
                          else f"no model {model_id!r} in the header table")
@@ -106,19 +114,29 @@ def load_spec(tables: ModelTables, model_id: str | None = None, *,
             raise ModelError(f"input {row.name!r} has unknown dtype {row.dtype!r}")
         if not row.shape or (len(row.shape) >= 2 and row.shape[1] < 1):
             raise ModelError(f"input {row.name!r} has no usable shape: {row.shape}")
-        spec = InputSpec(row.name, row.dtype, tuple(row.shape),
-                         None if row.categories is None else tuple(row.categories))
-        if spec.is_string and (spec.is_vector or spec.categories is None):
+        n_categories = -1 if row.chars is None else row.n_categories
+        spec = InputSpec(row.name, row.dtype, tuple(row.shape), max(n_categories, 0))
+        if spec.is_string and (spec.is_vector or n_categories < 0):
             raise ModelError(f"string input {row.name!r} must be a scalar with categories")
         inputs.append(spec)
     if not inputs:
         raise ModelError(f"model {header.model_id!r} declares no inputs")
 
-    forest = None
-    if n_nodes <= max_nodes:
-        trees, nodes = at_once(
-            one.trees.select("tree_id", "tree_group").toArrow, node_columns(one.nodes).toArrow)
+    forest, chars = None, sum(r.chars or 0 for r in input_rows)
+    if n_nodes <= max_nodes and chars <= MAX_BROADCAST_CHARS:
+        trees, nodes, names = at_once(
+            one.trees.select("tree_id", "tree_group").toArrow, node_columns(one.nodes).toArrow,
+            one.inputs.select("ordinal", "categories").collect if chars else list)
         forest = lay_out(trees, nodes, width=sum(i.width for i in inputs),
                          n_outputs=header.n_outputs)
+        for row in names:
+            if row.categories is not None:
+                inputs[row.ordinal] = replace(inputs[row.ordinal],
+                                              categories=tuple(row.categories))
+    else:
+        broken = violations(one).head()
+        if broken:
+            raise ModelError(f"model {model_id!r}: {broken.rule} at tree {broken.tree_id}, "
+                             f"node {broken.node_id}")
     return ModelSpec(header.model_id, header.post_transform, header.n_outputs,
                      tuple(header.output_names or ()), tuple(inputs), n_nodes, forest)

@@ -110,7 +110,7 @@ def test_size_decides_the_plan(spark, store, monkeypatch):
 
     small = store([es.scalar("a")], [es.stump(0, 0.5, 1, 2)])
     df = spark.createDataFrame([(0.0,), (1.0,)], "a double")
-    large = store([es.scalar("a")], [es.stump(0, 0.5, 1, 2)] * strategy.MAX_EXPRESSION_NODES)
+    large = store([es.scalar("a")], [es.stump(0, 0.5, 1, 2)] * (strategy.MAX_EXPRESSION_NODES // 2))
 
     def plan(path):
         return EnsembleModel(modelPath=path).transform(df)._jdf.queryExecution().toString()
@@ -127,3 +127,35 @@ def test_size_decides_the_plan(spark, store, monkeypatch):
         m.setStrategy("arrow").transform(df)
     with pytest.raises(es.ModelError, match="unknown strategy"):
         m.setStrategy("magic").transform(df)
+
+
+def test_a_chain_as_one_expression(spark, store):
+    tree = es.Leaf(-1)
+    for k in range(60):
+        tree = es.Split(0, float(k), tree, es.Leaf(k))
+    path = store([es.scalar("a")], [tree])
+    df = spark.createDataFrame([(v,) for v in (-1.0, 0.5, 30.5, 99.0)], "a double")
+    got = [{r.a: r.prediction for r in EnsembleModel(modelPath=path, strategy=s).transform(df)
+            .collect()} for s in ("expr", "arrow")]
+    assert got[0] == got[1] == {-1.0: -1, 0.5: brute(tree, [0.5]),
+                                30.5: brute(tree, [30.5]), 99.0: brute(tree, [99.0])}
+
+
+def test_a_vocabulary_too_long_to_collect(spark, store, monkeypatch):
+    from ensemblescore.sources import spec
+    path = store([es.category("s", [f"v{k}" for k in range(200)]), es.scalar("a")],
+                 [es.stump(0, 100, 1, 2, missing="below"), es.stump(1, 0.5, 10, 20)])
+    monkeypatch.setattr(spec, "MAX_BROADCAST_CHARS", 100)
+    m = EnsembleModel.loadFile(path)
+    assert m.spec().forest is None and m.spec().inputs[0].categories is None
+    df = spark.createDataFrame([("v3", 0.0), ("v150", 0.0), ("other", 1.0), (None, 1.0)],
+                               "s string, a double")
+    assert sorted(r.prediction for r in m.transform(df).collect()) == [11, 12, 21, 21]
+
+
+def test_a_broken_model_too_large_to_collect(spark):
+    from ensemblescore.sources.spec import load_spec
+    rows = es.model_rows("m", [es.scalar("a")], [es.stump(0, 1, 2, 3)])
+    rows["trees"] = [("m", 0, 5)]
+    with pytest.raises(es.ModelError, match="bad_tree_group at tree 0"):
+        load_spec(es.ModelTables.from_rows(spark, rows), max_nodes=1)

@@ -62,3 +62,21 @@ def test_spread_touches_small_inputs_only(spark):
     df = spark.read.parquet(LINEITEM)
     assert "Exchange" in physical(spread_small(df))
     assert "Exchange" not in physical(spread_small(df, max_bytes=1000))
+
+
+def test_unread_scalars_are_not_scanned(spark, store):
+    path = store([es.scalar("l_discount"), es.scalar("l_tax"), es.scalar("l_quantity")],
+                 [es.stump(2, 10, 1, 2)] * 60)
+    m = es.EnsembleModel.loadFile(path).setStrategy("arrow")
+    out = m.transform(spark.read.parquet(LINEITEM)).select("l_orderkey", "prediction")
+    assert "ReadSchema: struct<l_orderkey:bigint,l_quantity:double>" in physical(out)
+    low = spark.read.parquet(LINEITEM).where("l_quantity < 10").count()
+    assert out.where("prediction = 60").count() == low
+
+
+def test_model_is_broadcast_once(spark, model):
+    m, df = model.copy({model.strategy: "arrow"}), spark.read.parquet(LINEITEM)
+    m.transform(df)
+    first = m._prepared[2]
+    m.transform(df)
+    assert m._prepared[2] is first

@@ -37,5 +37,5 @@ def test_a_batch_is_not_a_stream(spark, regression, features):
     with pytest.raises(ValueError, match="streaming"):
         es.score_stream(es.EnsembleModel.loadFile(regression), features([(0.1, 0.0)]), "o", "c")
     stream = spark.readStream.format("rate").load().selectExpr("array(0D, 0D) AS features")
-    with pytest.raises(es.ModelError, match="not on a stream"):
+    with pytest.raises(es.ModelError, match="a stream cannot do"):
         es.EnsembleModel.loadFile(regression).setStrategy("join").transform(stream)
