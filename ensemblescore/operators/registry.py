@@ -11,14 +11,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ensemblescore.errors import InputError, ModelError
 from ensemblescore.functions import coerce, post
-from ensemblescore.functions.forest import lay_out
-from ensemblescore.functions.walk import Rows, add_trees, descend
+from ensemblescore.functions.models import Models
 from ensemblescore.plans import relational
 from ensemblescore.sources import schema as S
 from ensemblescore.sources.spec import MAX_BROADCAST_NODES, at_once, node_columns
@@ -26,8 +24,10 @@ from ensemblescore.sources.tables import ModelTables
 
 ARROW, GROUP, JOIN, AUTO = "arrow", "group", "join", "auto"
 
-# Floats per group in the group plan: what one Python worker holds at a time.
+# What one Python worker of the group plan holds at a time, on average over its groups.
+ROWS_PER_GROUP = 500_000
 VALUES_PER_GROUP = 20_000_000
+NODES_PER_GROUP = 1_000_000
 
 def score_registry(df: DataFrame, tables: ModelTables, model_id_col: str = "model_id", *,
                    features_col: str = "features", prediction_col: str = "prediction",
@@ -55,8 +55,8 @@ def score_registry(df: DataFrame, tables: ModelTables, model_id_col: str = "mode
         points = keyed.where("__x IS NOT NULL AND __model IS NOT NULL").select(
             F.col("__model").alias("model_id"), F.col("__x").alias("x")).distinct()
         sums = (relational.sums(points, tables) if plan == JOIN
-                else _by_group(points, tables, width,
-                               rows_per_group or max(1, VALUES_PER_GROUP // width)))
+                else _by_group(keyed, points, tables, width, rows_per_group or max(
+                    1, min(ROWS_PER_GROUP, VALUES_PER_GROUP // width))))
         flags = tables.header.select(
             "model_id", (F.col("post_transform") == S.SOFTMAX).alias("softmax"))
         scored = sums.join(flags, "model_id").select(
@@ -166,96 +166,67 @@ def _by_broadcast(keyed: DataFrame, tables: ModelTables, width: int) -> DataFram
     header, trees, nodes = at_once(
         tables.header.select("model_id", "n_outputs", "post_transform").toArrow,
         tables.trees.toArrow, node_columns(tables.nodes).toArrow)
-    ids = header.column("model_id").combine_chunks()
-    if len(ids.unique()) != len(ids):
-        raise ModelError("duplicate model_id in the header table")
-    n_outputs = header.column("n_outputs").to_numpy().astype(np.intp)
-    softmax = np.array(header.column("post_transform").to_pylist()) == S.SOFTMAX
-
-    def model_of(table):
-        found = pc.index_in(table.column("model_id"), value_set=ids)
-        if found.null_count:
-            raise ModelError("a tree or node belongs to no model")
-        return found.to_numpy().astype(np.int64)
-
-    def renumbered(table, model, span):
-        tree = model * span + table.column("tree_id").to_numpy()
-        at = table.column_names.index("tree_id")
-        return table.set_column(at, "tree_id", pa.array(tree))
-
-    tree_model = model_of(trees)
-    span = int(max((pc.max(t.column("tree_id")).as_py() or 0) for t in (trees, nodes))) + 1
-    forest = lay_out(renumbered(trees, tree_model, span),
-                     renumbered(nodes, model_of(nodes), span),
-                     width=width, n_outputs=n_outputs[tree_model])
-    n_trees = np.bincount(tree_model, minlength=len(ids))
-    first_tree = np.concatenate([[0], np.cumsum(n_trees)[:-1]])
+    softmax = np.array([p == S.SOFTMAX for p in header.column("post_transform").to_pylist()], bool)
     shared = keyed.sparkSession.sparkContext.broadcast(
-        (ids, n_outputs, softmax, n_trees, first_tree, forest))
+        (Models.build(header, trees, nodes, width), softmax))
 
     @F.arrow_udf("struct<sums: array<double>, softmax: boolean>")
     def sums(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        ids, n_outputs, softmax, n_trees, first_tree, forest = shared.value
+        models, softmax = shared.value
         for model_id, x in batches:
-            found = pc.index_in(model_id, value_set=ids)
-            known = found.is_valid().to_numpy(zero_copy_only=False)
-            model = found.fill_null(0).to_numpy().astype(np.intp)
-            rows = Rows(x.flatten().to_numpy(zero_copy_only=False).reshape(len(x), width))
-            size = np.where(known, n_outputs[model], 0)
-            ends = np.concatenate([[0], np.cumsum(size)])
-            out = np.zeros(ends[-1])
-            for k in range(n_trees[model[known]].max(initial=0)):
-                some = np.flatnonzero(known & (n_trees[model] > k))
-                tree = first_tree[model[some]] + k
-                leaf = descend(forest, rows.subset(some), forest.root[tree],
-                               int(forest.depth[tree].max()))
-                out[ends[some] + forest.group[tree]] += leaf
-            values = pa.ListArray.from_arrays(
-                pa.array(ends.astype(np.int32)), pa.array(out), mask=pa.array(~known))
+            values, model = models.sums(model_id, x)
             yield pa.StructArray.from_arrays(
                 [values, pa.array(softmax[model])], names=["sums", "softmax"])
 
     return keyed.select("*", sums("__model", "__x").alias("__s"))
 
 
-def _by_group(points: DataFrame, tables: ModelTables, width: int, rows_per_group: int) -> DataFrame:
-    """Each model meets its distinct rows in one group, or in several if there are many.
+def _by_group(keyed: DataFrame, points: DataFrame, tables: ModelTables, width: int,
+              rows_per_group: int) -> DataFrame:
+    """Models meet their distinct rows in groups of bounded size.
 
-    The group of a row follows from its content, so a retried task sends it to the
-    same place.
+    Most models share a group with others; one with more than ``rows_per_group``
+    rows gets several groups of its own. The group of a row follows from its
+    content, so a retried task sends it to the same place.
     """
-    groups = points.groupBy("model_id").count().where(F.col("count") > rows_per_group).select(
-        "model_id", F.ceil(F.col("count") / rows_per_group).cast("int").alias("groups"))
-    one = F.lit(1)
-    spread = points.join(groups, "model_id", "left").select(
-        "model_id", "x",
-        F.pmod(F.xxhash64("x"), F.coalesce("groups", one)).cast("int").alias("part"))
-    models = (
+    counts = keyed.where("__model IS NOT NULL").groupBy(F.col("__model").alias("model_id")).count()
+    (total, most), n_nodes = at_once(
+        counts.agg(F.sum("count"), F.max("count")).head, tables.nodes.count)
+    buckets = 1 + max((total or 0) // rows_per_group, n_nodes // NODES_PER_GROUP)
+
+    # bucket: models sharing a group; hot: a model on its own; part: which of its groups.
+    bucket = F.pmod(F.xxhash64("model_id"), F.lit(buckets)).cast("int")
+    spread, models = points.withColumn("bucket", bucket), (
         node_columns(tables.nodes)
-        .join(tables.trees, ["model_id", "tree_id"]).join(
-            tables.header.select("model_id", "n_outputs"), "model_id")
-        .join(groups, "model_id", "left")
-        .withColumn("part", F.explode(F.sequence(F.lit(0), F.coalesce("groups", one) - 1)))
-        .drop("groups"))
+        .join(tables.trees, ["model_id", "tree_id"])
+        .join(tables.header.select("model_id", "n_outputs"), "model_id")
+        .withColumn("bucket", bucket))
+    if (most or 0) > rows_per_group:
+        hot = counts.where(F.col("count") > rows_per_group).select(
+            "model_id", F.ceil(F.col("count") / rows_per_group).cast("int").alias("parts"))
+        own = F.when(F.col("parts").isNotNull(), F.col("model_id"))
+        spread = spread.join(hot, "model_id", "left").select(
+            "model_id", "x", "bucket", own.alias("hot"),
+            F.pmod(F.xxhash64("x"), F.coalesce("parts", F.lit(1))).cast("int").alias("part"))
+        models = models.join(hot, "model_id", "left").withColumn("hot", own).withColumn(
+            "part", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1))
+        ).drop("parts")
+    else:
+        alone = {"hot": F.lit(None).cast("string"), "part": F.lit(0)}
+        spread, models = spread.withColumns(alone), models.withColumns(alone)
 
     result = pa.schema([("model_id", pa.string()), ("x", pa.list_(pa.float32())),
                         ("sums", pa.list_(pa.float64()))])
 
-    def score(rows: pa.Table, model: pa.Table) -> pa.Table:
-        if not len(rows) or not len(model):  # a model without rows, or rows without a model
+    def score(rows: pa.Table, nodes: pa.Table) -> pa.Table:
+        if not len(rows) or not len(nodes):  # models without rows, or rows without a model
             return result.empty_table()
-        n_outputs = model.column("n_outputs")[0].as_py()
-        trees = model.group_by(["tree_id", "tree_group"]).aggregate([])
-        forest = lay_out(trees, model, width=width, n_outputs=n_outputs)
-        flat = rows.column("x").combine_chunks().flatten().to_numpy(zero_copy_only=False)
-        matrix = Rows(flat.reshape(len(rows), width))
-        out = np.zeros((n_outputs, matrix.n))
-        add_trees(forest, matrix, out)
-        ends = np.arange(0, out.size + 1, n_outputs, dtype=np.int32)
-        sums = pa.ListArray.from_arrays(ends, np.ascontiguousarray(out.T).reshape(-1))
-        return pa.table([rows.column("model_id"), rows.column("x").cast(result.field("x").type),
-                         sums], schema=result)
+        header = nodes.group_by(["model_id", "n_outputs"]).aggregate([])
+        trees = nodes.group_by(["model_id", "tree_id", "tree_group"]).aggregate([])
+        model_id, x = rows.column("model_id").combine_chunks(), rows.column("x").combine_chunks()
+        sums, _ = Models.build(header, trees, nodes, width).sums(model_id, x)
+        return pa.table([model_id, x.cast(result.field("x").type), sums], schema=result)
 
-    key = ["model_id", "part"]
+    key = ["bucket", "hot", "part"]
     return spread.groupBy(*key).cogroup(models.groupBy(*key)).applyInArrow(
         score, "model_id string, x array<float>, sums array<double>")
