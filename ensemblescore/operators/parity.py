@@ -18,6 +18,12 @@ def _difference(a: Column, b: Column) -> Column:
         F.isnan(a) | F.isnan(b), F.lit(float("inf"))).otherwise(F.abs(a - b))
 
 
+def _null_safe(a: Column, b: Column, difference) -> Column:
+    """Two missing outputs differ by 0, one missing by infinity."""
+    return F.when(a.isNull() & b.isNull(), F.lit(0.0)).when(
+        a.isNull() | b.isNull(), F.lit(float("inf"))).otherwise(difference(a, b))
+
+
 def _largest_difference(a: Column, b: Column) -> Column:
     """The same over two arrays; unequal lengths differ by infinity."""
     return F.when(F.size(a) != F.size(b), F.lit(float("inf"))).otherwise(
@@ -46,20 +52,25 @@ def parity_report(left: DataFrame, right: DataFrame, keys: list[str], *,
     def tagged(df, mine, other):
         key = [column(k).alias(f"k{i}") for i, k in enumerate(keys)]
         outputs = vector_to_array(column(output)) if vector else column(output).cast("double")
-        return df.select(*key, outputs.alias(mine), F.lit(None).cast(dtype).alias(other))
+        return df.select(
+            *key, outputs.alias(mine), F.lit(None).cast(dtype).alias(other),
+            F.lit(1).alias(f"in_{mine}"), F.lit(0).alias(f"in_{other}"))
 
     both = tagged(left, "a", "b").unionByName(tagged(right, "b", "a"))
     per_key = both.groupBy(*[f"k{i}" for i in range(len(keys))]).agg(
-        F.count("a").alias("n_a"), F.count("b").alias("n_b"),
+        F.sum("in_a").alias("n_a"), F.sum("in_b").alias("n_b"),
+        F.count("a").alias("valued_a"), F.count("b").alias("valued_b"),
         F.min("a").alias("min_a"), F.max("a").alias("max_a"),
         F.min("b").alias("min_b"), F.max("b").alias("max_b"))
     met = (F.col("n_a") > 0) & (F.col("n_b") > 0)
     compare = _largest_difference if vector else _difference
-    diff = F.when(met, F.greatest(compare(F.col("min_a"), F.col("min_b")),
-                                  compare(F.col("max_a"), F.col("max_b"))))
+    uneven_nulls = (F.col("n_a") == F.col("n_b")) & (F.col("valued_a") != F.col("valued_b"))
+    diff = F.when(met, F.when(uneven_nulls, F.lit(float("inf"))).otherwise(F.greatest(
+        _null_safe(F.col("min_a"), F.col("min_b"), compare),
+        _null_safe(F.col("max_a"), F.col("max_b"), compare))))
     disagree = F.lit(False)
     if vector:
-        disagree = met & ((argmax(F.col("min_a")) != argmax(F.col("min_b")))
+        disagree = met & F.col("min_a").isNotNull() & F.col("min_b").isNotNull() & ((argmax(F.col("min_a")) != argmax(F.col("min_b")))
                           | (argmax(F.col("max_a")) != argmax(F.col("max_b"))))
 
     def total(test):

@@ -164,7 +164,7 @@ def _by_broadcast(keyed: DataFrame, tables: ModelTables, width: int) -> DataFram
     if tables.nodes.count() > MAX_BROADCAST_NODES:
         raise ModelError("the registry is too large to broadcast")
     header, trees, nodes = at_once(
-        tables.header.select("model_id", "n_outputs", "post_transform").toArrow,
+        keyed.sparkSession, tables.header.select("model_id", "n_outputs", "post_transform").toArrow,
         tables.trees.toArrow, node_columns(tables.nodes).toArrow)
     softmax = np.array([p == S.SOFTMAX for p in header.column("post_transform").to_pylist()], bool)
     shared = keyed.sparkSession.sparkContext.broadcast(
@@ -191,7 +191,7 @@ def _by_group(keyed: DataFrame, points: DataFrame, tables: ModelTables, width: i
     """
     counts = keyed.where("__model IS NOT NULL").groupBy(F.col("__model").alias("model_id")).count()
     (total, most), n_nodes = at_once(
-        counts.agg(F.sum("count"), F.max("count")).head, tables.nodes.count)
+        keyed.sparkSession, counts.agg(F.sum("count"), F.max("count")).head, tables.nodes.count)
     buckets = 1 + max((total or 0) // rows_per_group, n_nodes // NODES_PER_GROUP)
 
     # bucket: models sharing a group; hot: a model on its own; part: which of its groups.

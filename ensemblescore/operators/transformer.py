@@ -63,8 +63,8 @@ class EnsembleModel(Transformer, DefaultParamsReadable, DefaultParamsWritable):
         """Open and check the model now, so that a bad path fails here and not in ``transform``."""
         if SparkSession.getActiveSession() is None:
             raise RuntimeError(
-                "reading a model needs an active SparkSession; create one first, or use "
-                "EnsembleModel(modelPath=...) to defer loading")
+                "loadFile reads the model with Spark and found no active session; without one, "
+                "EnsembleModel(modelPath=...) works too and opens the model later")
         model = cls(modelPath=path, modelId=modelId)
         model.spec()
         return model

@@ -5,7 +5,8 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame
+from pyspark import inheritable_thread_target
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ensemblescore.errors import ModelError
@@ -71,10 +72,11 @@ def node_columns(nodes: DataFrame) -> DataFrame:
         F.get("children", F.lit(1)).alias("otherwise"), "default_child", "leaf_value")
 
 
-def at_once(*jobs) -> list:
+def at_once(spark: SparkSession, *jobs) -> list:
     """Run small jobs side by side: opening a model is all latency."""
+    inherit = inheritable_thread_target(spark)
     with ThreadPoolExecutor(len(jobs)) as pool:
-        return [f.result() for f in [pool.submit(job) for job in jobs]]
+        return [f.result() for f in [pool.submit(inherit(job)) for job in jobs]]
 
 
 def load_spec(tables: ModelTables, model_id: str | None = None, *,
@@ -89,8 +91,9 @@ def load_spec(tables: ModelTables, model_id: str | None = None, *,
     one = tables.only(model_id)
     chars = F.aggregate("categories", F.lit(0).cast("long"),
                         lambda total, c: total + F.length(c) + 1)
+    spark = one.nodes.sparkSession
     headers, input_rows, n_nodes = at_once(
-        one.header.limit(2).collect,
+        spark, one.header.limit(2).collect,
         one.inputs.select("ordinal", "name", "dtype", "shape", chars.alias("chars"),
                           F.size("categories").alias("n_categories")).collect,
         one.nodes.count)
@@ -125,7 +128,7 @@ def load_spec(tables: ModelTables, model_id: str | None = None, *,
     forest, chars = None, sum(r.chars or 0 for r in input_rows)
     if n_nodes <= max_nodes and chars <= MAX_BROADCAST_CHARS:
         trees, nodes, names = at_once(
-            one.trees.select("tree_id", "tree_group").toArrow, node_columns(one.nodes).toArrow,
+            spark, one.trees.select("tree_id", "tree_group").toArrow, node_columns(one.nodes).toArrow,
             one.inputs.select("ordinal", "categories").collect if chars else list)
         forest = lay_out(trees, nodes, width=sum(i.width for i in inputs),
                          n_outputs=header.n_outputs)

@@ -25,6 +25,13 @@ def test_copies_are_counted_not_paired(spark):
     assert r["max_abs_diff"] == 2.0 and r["over_tolerance"] == 1
 
 
+def test_missing_outputs_are_rows_too(spark):
+    r = report(spark, [(1, None), (2, None), (3, 1.0)], [(1, None), (2, 1.0), (3, 1.0)])
+    assert (r["rows_left"], r["rows_right"], r["keys_met"], r["over_tolerance"]) == (3, 3, 3, 1)
+    r = report(spark, [(1, None), (1, 2.0)], [(1, 2.0), (1, 2.0)])
+    assert r["over_tolerance"] == 1
+
+
 def test_empty_sides(spark):
     r = report(spark, [], [(1, 1.0)])
     assert (r["rows_left"], r["rows_right"], r["only_right"], r["max_abs_diff"]) == (0, 1, 1, None)
