@@ -11,12 +11,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.ml.linalg import VectorUDT
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField
 
 from ensemblescore.errors import InputError, ModelError
 from ensemblescore.functions import coerce, post
 from ensemblescore.functions.models import Models
+from ensemblescore.operators.outputs import extended
+from ensemblescore.operators.validate import refuse_broken
 from ensemblescore.plans import relational
 from ensemblescore.sources import schema as S
 from ensemblescore.sources.spec import MAX_BROADCAST_NODES, at_once, node_columns
@@ -29,6 +33,7 @@ ROWS_PER_GROUP = 500_000
 VALUES_PER_GROUP = 20_000_000
 NODES_PER_GROUP = 1_000_000
 
+
 def score_registry(df: DataFrame, tables: ModelTables, model_id_col: str = "model_id", *,
                    features_col: str = "features", prediction_col: str = "prediction",
                    probability_col: str = "probability", strategy: str = AUTO,
@@ -42,20 +47,32 @@ def score_registry(df: DataFrame, tables: ModelTables, model_id_col: str = "mode
         raise ModelError(f"unknown registry strategy {strategy!r}")
     if model_id_col not in df.columns:
         raise InputError(f"no model id column {model_id_col!r} among {df.columns}")
-    for name in (prediction_col, probability_col):
-        if name.lower() in (c.lower() for c in df.columns):
-            raise InputError(f"the input already has a column {name!r}")
-    several = (tables.header.agg(F.max("n_outputs")).head()[0] or 1) > 1
-    keyed, width, tables = _with_features(df, tables, model_id_col, features_col)
+    inputs = _inputs(tables, features_col)
+    (n_models, n_outputs), sources, (n_nodes, largest) = at_once(
+        df.sparkSession,
+        tables.header.agg(F.count("*"), F.max("n_outputs")).head,
+        _sources(inputs, len(df.columns)).collect,
+        tables.nodes.groupBy("model_id").count().agg(F.sum("count"), F.max("count")).head)
+    several = (n_outputs or 1) > 1
+    appended = [StructField(prediction_col, DoubleType())]
+    if several:
+        appended.insert(0, StructField(probability_col, VectorUDT()))
+    extended(df.schema, appended)
 
-    plan = _choose(tables) if strategy == AUTO else strategy
+    plan = choose(n_nodes or 0, largest or 0) if strategy == AUTO else strategy
+    if plan == ARROW and (n_nodes or 0) > MAX_BROADCAST_NODES:
+        raise ModelError("the registry is too large to broadcast")
+    keyed, slots, width = _with_features(df, inputs, sources, n_models, model_id_col)
+    if plan == JOIN:  # nothing else would look the models over
+        refuse_broken(tables)
+    tables = _with_slots(tables, slots)
     if plan == ARROW:
         summed = _by_broadcast(keyed, tables, width)
     else:
         points = keyed.where("__x IS NOT NULL AND __model IS NOT NULL").select(
             F.col("__model").alias("model_id"), F.col("__x").alias("x")).distinct()
         sums = (relational.sums(points, tables) if plan == JOIN
-                else _by_group(keyed, points, tables, width, rows_per_group or max(
+                else _by_group(keyed, points, tables, width, n_nodes or 0, rows_per_group or max(
                     1, min(ROWS_PER_GROUP, VALUES_PER_GROUP // width))))
         flags = tables.header.select(
             "model_id", (F.col("post_transform") == S.SOFTMAX).alias("softmax"))
@@ -71,31 +88,24 @@ def score_registry(df: DataFrame, tables: ModelTables, model_id_col: str = "mode
     many = F.size("__out") > 1
     prediction = F.when(many, post.argmax(F.col("__out"))).otherwise(
         F.get("__out", F.lit(0)).cast("double"))
-    appended = [prediction.alias(prediction_col)]
+    columns = [prediction.alias(prediction_col)]
     if several:
-        appended.insert(0, F.when(many, post.as_vector(F.col("__out"))).alias(probability_col))
-    return summed.select(*kept, *appended)
+        columns.insert(0, F.when(many, post.as_vector(F.col("__out"))).alias(probability_col))
+    return summed.select(*kept, *columns)
 
 
-def _choose(tables: ModelTables) -> str:
-    per_model = tables.nodes.groupBy("model_id").count()
-    total, largest = per_model.agg(F.sum("count"), F.max("count")).head()
-    if (total or 0) <= MAX_BROADCAST_NODES:
+def choose(n_nodes: int, largest: int) -> str:
+    """The cheapest plan for a registry of so many nodes, so many of them in one model."""
+    if n_nodes <= MAX_BROADCAST_NODES:
         return ARROW
     return GROUP if largest <= MAX_BROADCAST_NODES else JOIN
 
 
-def _with_features(df: DataFrame, tables: ModelTables, model_id_col: str,
-                   features_col: str) -> tuple[DataFrame, int, ModelTables]:
-    """Add ``__model`` and ``__x array<float>``, one slot per feature any model reads.
-
-    The nodes come back with ``split_feature`` naming a slot instead of a position
-    among the inputs of their own model.
-    """
-    spark = df.sparkSession
+def _inputs(tables: ModelTables, features_col: str) -> DataFrame:
+    """Declared inputs with the column each reads and its offset among those of its model."""
     each = Window.partitionBy("model_id")
     vector = F.size("shape") >= 2
-    inputs = tables.inputs.select(
+    return tables.inputs.select(
         "model_id", "ordinal", "categories", (F.col("dtype") == S.STRING).alias("text"),
         vector.alias("vector"),
         F.when(vector, F.get("shape", F.lit(1))).otherwise(1).alias("width"),
@@ -104,32 +114,49 @@ def _with_features(df: DataFrame, tables: ModelTables, model_id_col: str,
     ).withColumn("offset", F.coalesce(
         F.sum("width").over(each.orderBy("ordinal").rowsBetween(Window.unboundedPreceding, -1)),
         F.lit(0)))
-    # A sound registry reads no more sources than df has columns, so one more shows a stranger.
-    sources = inputs.groupBy("source").agg(
+
+
+def _sources(inputs: DataFrame, n_columns: int) -> DataFrame:
+    """The columns the registry reads. A sound one reads no more than there are, so one row
+    more is enough to find a stranger."""
+    return inputs.groupBy("source").agg(
         F.min("model_id").alias("model_id"), F.min("text").alias("text"),
         F.min("vector").alias("vector"), F.min("width").alias("width"),
+        F.count("*").alias("readers"),
         ((F.min("text") != F.max("text")) | (F.min("vector") != F.max("vector"))
-         | (F.min("width") != F.max("width"))).alias("mixed")
-    ).limit(len(df.columns) + 1).collect()
-    sources.sort(key=lambda s: s.source)
+         | (F.min("width") != F.max("width"))).alias("mixed")).limit(n_columns + 1)
+
+
+def _with_features(df: DataFrame, inputs: DataFrame, sources: list, n_models: int,
+                   model_id_col: str) -> tuple[DataFrame, DataFrame, int]:
+    """Add ``__model`` and ``__x array<float>``, one slot per feature any model reads.
+
+    Returned with it: which slot each feature of each model is, and the number of slots.
+    """
     for source in sources:
         if source.source not in df.columns:
             raise InputError(f"model {source.model_id!r} needs column {source.source!r}, "
                              f"which is not among {df.columns}")
+        if source.mixed:
+            raise ModelError(f"models disagree on the type or width of {source.source!r}")
     if not sources:
         raise ModelError("the registry declares no inputs")
 
     keyed = df.select("*", coerce.column(model_id_col).cast("string").alias("__model"))
     parts, bases, width = [], [], 0
-    for k, source in enumerate(sources):
-        if source.mixed:
-            raise ModelError(f"models disagree on the type or width of {source.source!r}")
+    for k, source in enumerate(sorted(sources, key=lambda s: s.source)):
         dtype = df.schema[source.source].dataType
         coerce.require(source.source, dtype, vector=source.vector, string=source.text)
         bases.append((source.source, width))
         width += source.width
         if source.vector:
-            parts.append(coerce.checked_vector(source.source, dtype, source.width))
+            part = coerce.checked_vector(source.source, dtype, source.width)
+            if source.readers < n_models:
+                # A row whose model does not read the vector may lack it.
+                keyed = _marked(keyed, inputs, source.source, f"__read{k}")
+                absent = F.array_repeat(F.lit(float("nan")).cast("float"), source.width)
+                part = F.when(F.col(f"__read{k}"), part).otherwise(absent)
+            parts.append(part)
         elif source.text:
             keyed = _coded(keyed, inputs, source.source, f"__code{k}")
             parts.append(F.array(F.col(f"__code{k}")))
@@ -138,14 +165,27 @@ def _with_features(df: DataFrame, tables: ModelTables, model_id_col: str,
     x = parts[0] if len(parts) == 1 else F.concat(*parts)
     keyed = keyed.select(*[coerce.column(c) for c in df.columns], "__model", x.alias("__x"))
 
-    base = F.broadcast(spark.createDataFrame(bases, "source string, base int"))
+    base = F.broadcast(df.sparkSession.createDataFrame(bases, "source string, base int"))
     slots = inputs.join(base, "source").select(
         "model_id", "offset", "base", F.explode(F.sequence(F.lit(0), F.col("width") - 1)).alias("i")
     ).select("model_id", (F.col("offset") + F.col("i")).cast("int").alias("split_feature"),
              (F.col("base") + F.col("i")).alias("slot"))
+    return keyed, slots, width
+
+
+def _with_slots(tables: ModelTables, slots: DataFrame) -> ModelTables:
+    """The tables with ``split_feature`` naming a slot; a feature outside the inputs becomes -1."""
     nodes = tables.nodes.join(slots, ["model_id", "split_feature"], "left").withColumn(
         "split_feature", F.coalesce("slot", F.lit(-1))).select(*tables.nodes.columns)
-    return keyed, width, ModelTables(tables.header, tables.inputs, tables.trees, nodes)
+    return ModelTables(tables.header, tables.inputs, tables.trees, nodes)
+
+
+def _marked(df: DataFrame, inputs: DataFrame, source: str, mark: str) -> DataFrame:
+    """Does the row's model read this source?"""
+    readers = inputs.where(F.col("source") == source).select(
+        F.col("model_id").alias("__model"), F.lit(True).alias(mark)).distinct()
+    return df.join(readers, "__model", "left").withColumn(
+        mark, F.coalesce(mark, F.lit(False)))
 
 
 def _coded(df: DataFrame, inputs: DataFrame, source: str, code: str) -> DataFrame:
@@ -161,8 +201,6 @@ def _coded(df: DataFrame, inputs: DataFrame, source: str, code: str) -> DataFram
 
 def _by_broadcast(keyed: DataFrame, tables: ModelTables, width: int) -> DataFrame:
     """All models on every executor; a batch walks the trees of all its models at once."""
-    if tables.nodes.count() > MAX_BROADCAST_NODES:
-        raise ModelError("the registry is too large to broadcast")
     header, trees, nodes = at_once(
         keyed.sparkSession, tables.header.select("model_id", "n_outputs", "post_transform").toArrow,
         tables.trees.toArrow, node_columns(tables.nodes).toArrow)
@@ -181,7 +219,7 @@ def _by_broadcast(keyed: DataFrame, tables: ModelTables, width: int) -> DataFram
     return keyed.select("*", sums("__model", "__x").alias("__s"))
 
 
-def _by_group(keyed: DataFrame, points: DataFrame, tables: ModelTables, width: int,
+def _by_group(keyed: DataFrame, points: DataFrame, tables: ModelTables, width: int, n_nodes: int,
               rows_per_group: int) -> DataFrame:
     """Models meet their distinct rows in groups of bounded size.
 
@@ -190,8 +228,7 @@ def _by_group(keyed: DataFrame, points: DataFrame, tables: ModelTables, width: i
     content, so a retried task sends it to the same place.
     """
     counts = keyed.where("__model IS NOT NULL").groupBy(F.col("__model").alias("model_id")).count()
-    (total, most), n_nodes = at_once(
-        keyed.sparkSession, counts.agg(F.sum("count"), F.max("count")).head, tables.nodes.count)
+    total, most = counts.agg(F.sum("count"), F.max("count")).head()
     buckets = 1 + max((total or 0) // rows_per_group, n_nodes // NODES_PER_GROUP)
 
     # bucket: models sharing a group; hot: a model on its own; part: which of its groups.

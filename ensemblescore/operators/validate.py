@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ensemblescore.errors import ModelError
 from ensemblescore.operators.depths import NODE, edges, node_depths
 from ensemblescore.sources import schema as S
 from ensemblescore.sources.tables import ModelTables
@@ -73,6 +74,14 @@ def violations(tables: ModelTables) -> DataFrame:
     return found
 
 
+def refuse_broken(tables: ModelTables) -> None:
+    """Raise for the first violation found, for models no executor could hold and check."""
+    broken = violations(tables).head()
+    if broken:
+        raise ModelError(f"model {broken.model_id!r}: {broken.rule} at tree {broken.tree_id}, "
+                         f"node {broken.node_id}")
+
+
 def _node_violations(nodes: DataFrame, limits: DataFrame) -> DataFrame:
     branch, n_children = F.col("kind") == S.BRANCH, F.size("children")
     return _broken(nodes.join(limits.select("model_id", "width"), "model_id", "left"), {

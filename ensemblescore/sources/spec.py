@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ensemblescore.errors import ModelError
 from ensemblescore.functions.forest import Forest, lay_out
-from ensemblescore.operators.validate import violations
+from ensemblescore.operators.validate import refuse_broken
 from ensemblescore.sources import schema as S
 from ensemblescore.sources.tables import ModelTables
 
@@ -137,9 +137,6 @@ def load_spec(tables: ModelTables, model_id: str | None = None, *,
                 inputs[row.ordinal] = replace(inputs[row.ordinal],
                                               categories=tuple(row.categories))
     else:
-        broken = violations(one).head()
-        if broken:
-            raise ModelError(f"model {model_id!r}: {broken.rule} at tree {broken.tree_id}, "
-                             f"node {broken.node_id}")
+        refuse_broken(one)
     return ModelSpec(header.model_id, header.post_transform, header.n_outputs,
                      tuple(header.output_names or ()), tuple(inputs), n_nodes, forest)

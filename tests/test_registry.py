@@ -71,19 +71,45 @@ def test_models_of_different_kinds(spark, plan):
     assert np.allclose(got[1].probability.toArray(), left[::-1], atol=1e-6)
 
 
+@pytest.mark.parametrize("plan", PLANS)
+def test_only_readers_need_the_vector(spark, plan):
+    tables = ModelTables.from_rows(spark, es.merge_rows(
+        es.model_rows("v", [es.vector("X", 2)], [es.stump(1, 0.5, 1, 2)]),
+        es.model_rows("a", [es.scalar("a")], [es.stump(0, 0.5, 10, 20)])))
+    df = spark.createDataFrame(
+        [(0, "v", 0.0, [0.0, 1.0]), (1, "a", 0.0, None), (2, "a", 1.0, [1.0])],
+        "k int, m string, a double, features array<double>")
+    got = {r.k: r.prediction for r in score_registry(df, tables, "m", strategy=plan).collect()}
+    assert got == {0: 2.0, 1: 10.0, 2: 20.0}
+    bad = spark.createDataFrame([(0, "v", 0.0, [1.0])], df.schema)
+    with pytest.raises(Exception, match="holds a vector of 1, the model declares 2"):
+        score_registry(bad, tables, "m", strategy=plan).collect()
+
+
+@pytest.mark.parametrize("plan", PLANS)
+def test_broken_models_are_refused(spark, plan):
+    rows = es.model_rows("m", [es.scalar("a")], [es.stump(0, 1, 2, 3)])
+    rows["nodes"][0] = (*rows["nodes"][0][:4], 3, *rows["nodes"][0][5:])
+    df = spark.createDataFrame([("m", 1.0)], "m string, a double")
+    with pytest.raises(Exception, match="split_feature"):
+        score_registry(df, ModelTables.from_rows(spark, rows), "m", strategy=plan).collect()
+
+
 def test_size_decides_the_plan(spark, monkeypatch):
     from ensemblescore.operators import registry
+    bound = registry.MAX_BROADCAST_NODES
+    assert registry.choose(bound, bound) == "arrow"
+    assert registry.choose(bound + 1, bound) == "group"
+    assert registry.choose(bound + 1, bound + 1) == "join"
     params = spark.range(20).selectExpr("id AS model_id", "0.5 AS threshold", "1.0 AS below",
                                         "2.0 AS otherwise")
     tables = es.stump_registry(params, "a")
-    assert registry._choose(tables) == "arrow"
+    df = spark.createDataFrame([("1", 1.0), ("2", 0.0)], "m string, a double")
     monkeypatch.setattr(registry, "MAX_BROADCAST_NODES", 10)
-    assert registry._choose(tables) == "group"
+    monkeypatch.setattr(registry, "NODES_PER_GROUP", 5)
+    assert sorted(r.prediction for r in score_registry(df, tables, "m").collect()) == [1.0, 2.0]
     with pytest.raises(ModelError, match="too large"):
-        score_registry(spark.createDataFrame([("1", 1.0)], "m string, a double"), tables, "m",
-                       strategy="arrow")
-    monkeypatch.setattr(registry, "MAX_BROADCAST_NODES", 2)
-    assert registry._choose(tables) == "join"
+        score_registry(df, tables, "m", strategy="arrow")
 
 
 def test_refusals(spark):
