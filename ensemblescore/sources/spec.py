@@ -19,6 +19,9 @@ from ensemblescore.sources.tables import ModelTables
 MAX_BROADCAST_NODES = 4_000_000
 MAX_BROADCAST_CHARS = 64_000_000  # all category names together
 
+# A model below this size is read in one round of jobs, without counting it first.
+GLANCE = 100_000
+
 
 @dataclass(frozen=True)
 class InputSpec:
@@ -92,11 +95,14 @@ def load_spec(tables: ModelTables, model_id: str | None = None, *,
     chars = F.aggregate("categories", F.lit(0).cast("long"),
                         lambda total, c: total + F.length(c) + 1)
     spark = one.nodes.sparkSession
-    headers, input_rows, n_nodes = at_once(
+    tree_rows, node_rows = one.trees.select("tree_id", "tree_group"), node_columns(one.nodes)
+    headers, input_rows, trees, nodes = at_once(
         spark, one.header.limit(2).collect,
         one.inputs.select("ordinal", "name", "dtype", "shape", chars.alias("chars"),
                           F.size("categories").alias("n_categories")).collect,
-        one.nodes.count)
+        tree_rows.limit(GLANCE).toArrow, node_rows.limit(GLANCE).toArrow)
+    whole = len(trees) < GLANCE and len(nodes) < GLANCE
+    n_nodes = len(nodes) if whole else one.nodes.count()
     if len(headers) != 1:
         raise ModelError(f"model {model_id!r} has several header rows" if headers
                          else f"no model {model_id!r} in the header table")
@@ -127,9 +133,9 @@ def load_spec(tables: ModelTables, model_id: str | None = None, *,
 
     forest, chars = None, sum(r.chars or 0 for r in input_rows)
     if n_nodes <= max_nodes and chars <= MAX_BROADCAST_CHARS:
-        trees, nodes, names = at_once(
-            spark, one.trees.select("tree_id", "tree_group").toArrow, node_columns(one.nodes).toArrow,
-            one.inputs.select("ordinal", "categories").collect if chars else list)
+        if not whole:
+            trees, nodes = at_once(spark, tree_rows.toArrow, node_rows.toArrow)
+        names = one.inputs.select("ordinal", "categories").collect() if chars else []
         forest = lay_out(trees, nodes, width=sum(i.width for i in inputs),
                          n_outputs=header.n_outputs)
         for row in names:

@@ -125,3 +125,13 @@ def test_single_scalar_reads_its_own_name_not_features_col(spark, store):
     path = store([es.scalar("a.b c")], [es.stump(0, 0.5, 1, 2)])
     df = spark.createDataFrame([(0.0, 9.0)], ["a.b c", "features"])
     assert EnsembleModel(modelPath=path).transform(df).head().prediction == 1
+
+
+@pytest.mark.parametrize("strategy", ["expr", "arrow"])
+def test_three_hundred_named_inputs(spark, store, strategy):
+    path = store([es.scalar(f"c{k}") for k in range(300)],
+                 [es.stump(k, 0.5, 0, 1) for k in range(0, 300, 3)])
+    df = spark.range(4).selectExpr("id", *[f"cast((id * {k}) % 2 AS double) AS c{k}"
+                                           for k in range(300)])
+    got = {r.id: r.prediction for r in run(path, df, strategy)}
+    assert got == {0: 0.0, 1: 50.0, 2: 0.0, 3: 50.0}

@@ -110,3 +110,13 @@ def test_scratch_lies_in_the_shared_folder(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     assert scratch_path(spark, "x").startswith(shared)
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
+
+
+def test_a_model_longer_than_a_glance(spark, store, monkeypatch):
+    from ensemblescore.sources import spec
+    path = store([es.scalar("a")], [es.stump(0, k, 1, 2) for k in range(10)])
+    df = spark.createDataFrame([(4.5,)], "a double")
+    for glance in (5, 15, 30, 31):
+        monkeypatch.setattr(spec, "GLANCE", glance)
+        m = EnsembleModel.loadFile(path)
+        assert m.spec().n_nodes == 30 and m.transform(df).head().prediction == 15.0
