@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ensemblescore.llm import chat, quality
+import public_tokenizers
+from ensemblescore.llm import chat, mixing, quality, simhash, token_counts
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -30,6 +31,11 @@ def op1_chat_format(spark, sf_dir):
         F.length("formatted").cast("bigint").alias("formatted_chars"))
 
 
+def op2_simhash(spark, sf_dir):
+    rows = simhash.near_duplicates(read(spark, sf_dir, "documents"))
+    return rows.withColumn("fingerprint", F.lpad(F.lower(F.hex("fingerprint")), 16, "0"))
+
+
 def op5_quality(spark, sf_dir):
     rows = quality.ledger(read(spark, sf_dir, "documents"))
     return rows.select(
@@ -38,7 +44,21 @@ def op5_quality(spark, sf_dir):
         quality.passes(F.col("failures"), "v1").alias("kept"))
 
 
+def op6_mixing(spark, sf_dir):
+    return mixing.mix(read(spark, sf_dir, "documents")).taken.select(
+        "doc_id", "size", "source_size", "target", "taken")
+
+
+def op7_token_counts(spark, sf_dir):
+    rows = token_counts.count_tokens(
+        read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return rows.select("*", (F.col("n_tokens") > 1024).alias("over_limit"))
+
+
 QUERIES = {
     "op1_chat_format": op1_chat_format,
+    "op2_simhash": op2_simhash,
     "op5_quality": op5_quality,
+    "op6_mixing": op6_mixing,
+    "op7_token_counts": op7_token_counts,
 }
