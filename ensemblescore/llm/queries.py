@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from ensemblescore.llm import chat, mixing, quality, simhash, token_counts
+from ensemblescore.llm import chat, mixing, pieces, quality, simhash, token_counts
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -36,6 +36,15 @@ def op2_simhash(spark, sf_dir):
     return rows.withColumn("fingerprint", F.lpad(F.lower(F.hex("fingerprint")), 16, "0"))
 
 
+def op3_sentencepiece(spark, sf_dir):
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    rows = pieces.encode(read(spark, sf_dir, "documents"), model)
+    return rows.withColumn("decoded", pieces.decode(rows, "ids", model)).select(
+        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op5_quality(spark, sf_dir):
     rows = quality.ledger(read(spark, sf_dir, "documents"))
     return rows.select(
@@ -58,6 +67,7 @@ def op7_token_counts(spark, sf_dir):
 QUERIES = {
     "op1_chat_format": op1_chat_format,
     "op2_simhash": op2_simhash,
+    "op3_sentencepiece": op3_sentencepiece,
     "op5_quality": op5_quality,
     "op6_mixing": op6_mixing,
     "op7_token_counts": op7_token_counts,
