@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from ensemblescore.llm import chat, mixing, pieces, quality, simhash, token_counts
+from ensemblescore.llm import chat, language_model, mixing, pieces, quality, simhash, token_counts
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -45,6 +45,11 @@ def op3_sentencepiece(spark, sf_dir):
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op4_lm_scores(spark, sf_dir):
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 7 == 2
+    return language_model.score(read(spark, sf_dir, "documents"), held_out)
+
+
 def op5_quality(spark, sf_dir):
     rows = quality.ledger(read(spark, sf_dir, "documents"))
     return rows.select(
@@ -68,6 +73,7 @@ QUERIES = {
     "op1_chat_format": op1_chat_format,
     "op2_simhash": op2_simhash,
     "op3_sentencepiece": op3_sentencepiece,
+    "op4_lm_scores": op4_lm_scores,
     "op5_quality": op5_quality,
     "op6_mixing": op6_mixing,
     "op7_token_counts": op7_token_counts,
