@@ -92,8 +92,46 @@ SELECT doc_id, size, source_size, target,
 FROM placed
 """
 
+OP9 = r"""
+WITH d AS (
+    SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+phrases AS (SELECT string_split(p, ' ') AS pw, label FROM (VALUES
+    ('under the mit license', 'mit'), ('apache license version 2', 'apache-2'),
+    ('cc by nc', 'cc-by-nc')) AS v(p, label)),
+starts AS (
+    SELECT r, label, i FROM (SELECT r, ws, unnest(range(1, len(ws) + 1)) AS i FROM d), phrases
+    WHERE ws[i] = pw[1] AND ws[i:i + len(pw) - 1] = pw),
+base AS (
+    SELECT r, count(*) AS n_base, min(i) - 1 AS first_word, max(i) - 1 AS last_word,
+        list(DISTINCT label) AS labels FROM starts GROUP BY r),
+templates AS (SELECT label, list_distinct(string_split(t, ' ')) AS tw FROM (VALUES
+    ('mit', 'released under the mit license'),
+    ('mit', 'permission is hereby granted free of charge to any person obtaining a copy of this software'),
+    ('apache-2', 'licensed under the apache license version 2 0'),
+    ('gpl-3', 'licensed under the gnu general public license version 3'),
+    ('gpl', 'under the terms of the gnu general public license as published by the free software foundation'),
+    ('cc-by-nc', 'licensed under cc by nc 4 0'),
+    ('bsd', 'redistribution and use in source and binary forms with or without modification are permitted')
+    ) AS v(label, t)),
+blocks AS (SELECT r, ws[b + 1:b + 40] AS bw FROM (
+    SELECT r, ws, unnest(range(0, len(ws), 20)) AS b FROM d)),
+held AS (
+    SELECT r, label, len(list_filter(tw, lambda w: list_contains(bw, w))) / len(tw)::DOUBLE AS share
+    FROM blocks, templates),
+method AS (SELECT r, list(DISTINCT label) AS labels, max(share) AS best FROM held WHERE share >= 0.8 - 1e-9 GROUP BY r)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word, last_word,
+    coalesce(array_to_string(list_sort(base.labels), ','), '') AS base_labels,
+    array_to_string(list_sort(list_distinct(list_concat(coalesce(base.labels, []), coalesce(method.labels, [])))), ',')
+        AS labels,
+    CASE WHEN n_base > 0 THEN 1 ELSE coalesce(best, 0) END::DOUBLE AS score
+FROM d LEFT JOIN base USING (r) LEFT JOIN method USING (r)
+"""
+
 SQL = {
     "op1_chat_format": OP1,
     "op5_quality": OP5,
     "op6_mixing": OP6,
+    "op9_licenses": OP9,
 }
