@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from ensemblescore.llm import chat, language_model, licenses, mixing, pieces, quality, simhash, substrings, token_counts
+from ensemblescore.llm import chat, embeddings, language_model, licenses, mixing, pieces, quality, simhash, substrings, token_counts
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -69,6 +69,10 @@ def op7_token_counts(spark, sf_dir):
     return rows.select("*", (F.col("n_tokens") > 1024).alias("over_limit"))
 
 
+def op8_embedding_dedup(spark, sf_dir):
+    return embeddings.near_vectors(read(spark, sf_dir, "embeddings"))
+
+
 def op9_licenses(spark, sf_dir):
     return licenses.scan(read(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "n_base", "first_word", "last_word",
@@ -88,6 +92,7 @@ QUERIES = {
     "op5_quality": op5_quality,
     "op6_mixing": op6_mixing,
     "op7_token_counts": op7_token_counts,
+    "op8_embedding_dedup": op8_embedding_dedup,
     "op9_licenses": op9_licenses,
     "op10_substring_dedup": op10_substring_dedup,
 }
