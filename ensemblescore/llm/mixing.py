@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ensemblescore.llm.text import content_digest, unused
 from ensemblescore.sources.scratch import ensure_checkpoint_dir
 
 #: Weights of the sources in their order, repeated as often as needed.
@@ -24,12 +25,6 @@ DOCS_PER_BUCKET, SLOTS_PER_CHUNK, CELL_BITS = 4096, 1 << 16, 10
 MOST_BROADCAST = 100_000
 
 
-def digest(key: Column, text: Column) -> Column:
-    """What orders a source's documents: a hash of content, so that reruns agree."""
-    return F.md5(F.concat(F.coalesce(key.cast("string"), F.lit("")), F.lit("\n"),
-                          F.coalesce(text.cast("string"), F.lit(""))))
-
-
 def source_targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE,
                    epochs: int = EPOCHS) -> DataFrame:
     """Rank, size and target of every source, from ``source`` and ``size`` rows.
@@ -123,7 +118,7 @@ def mix(df: DataFrame, key: str = "doc_id", text: str = "text", source: str = "s
     ensure_checkpoint_dir(spark)
     n_words = F.coalesce(F.regexp_count(df[text].cast("string"), F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0))
     sized = df.select(df[key].alias("doc_id"), df[source].alias("source"), n_words.cast("bigint").alias("size"),
-                      digest(df[key], df[text]).alias("digest")).checkpoint()
+                      content_digest(df[key], df[text]).alias("digest")).checkpoint()
     sources = source_targets(sized, weights, share, epochs).checkpoint()
     n_rows = sized.count()
     total, n_sources = sources.agg(F.coalesce(F.sum("target"), F.lit(0.0)), F.count("*")).first()
@@ -167,10 +162,11 @@ def mixed_documents(df: DataFrame, key: str = "doc_id", text: str = "text", sour
     """
     if df.isEmpty():
         return df
+    own, of, name, copies, copy = (unused(df, c) for c in ("own_digest", "digest", "of_source", "copies", "copy"))
     taken = mix(df, key, text, source, **options).taken.groupBy("digest", "source").agg(
-        F.round(F.sum("taken") / F.greatest(F.sum("size"), F.lit(1))).cast("int").alias("copies"))
-    taken = taken.where("copies > 0").select(
-        F.col("digest").alias("__digest"), F.col("source").alias("__source"), F.col("copies").alias("__copies"))
-    rows = df.withColumn("__own", digest(df[key], df[text]))
-    rows = rows.join(taken, (F.col("__own") == F.col("__digest")) & df[source].eqNullSafe(F.col("__source")))
-    return rows.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*[df[c] for c in df.columns])
+        F.round(F.sum("taken") / F.greatest(F.sum("size"), F.lit(1))).cast("int").alias("times"))
+    taken = taken.where("times > 0").select(
+        F.col("digest").alias(of), F.col("source").alias(name), F.col("times").alias(copies))
+    rows = df.withColumn(own, content_digest(df[key], df[text]))
+    rows = rows.join(taken, (F.col(own) == F.col(of)) & rows[source].eqNullSafe(F.col(name)))
+    return rows.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copies)))).select(*df.columns)

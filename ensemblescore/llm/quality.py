@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -9,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ensemblescore.llm.text import codes, slices, sums, text_bytes, words
+from ensemblescore.llm.text import codes, slices, sums, text_bytes, unused, words
 
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words",
             "n_echo_words", "n_capitals")
@@ -114,6 +116,14 @@ def measures(text: Column) -> Column:
     return F.arrow_udf(_measure, kind)(text.cast("string"))
 
 
+def failures(measured: str) -> Column:
+    """The bits of the rules that a struct of measurements fails."""
+    def fails(condition: str) -> Column:
+        return F.expr(re.sub(r"\b(" + "|".join(MEASURES) + r")\b", rf"{measured}.\1", condition))
+    return sum((F.when(fails(condition), F.lit(bit(rule)).cast("bigint")).otherwise(F.lit(0))
+                for rule, condition in RULES.items()), F.lit(0).cast("bigint"))
+
+
 def ledger(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: ``doc_id``, the measurements, and ``failures``, a bit per failed rule.
 
@@ -121,15 +131,19 @@ def ledger(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     no words and fails ``too_few_words``; null keys and repeated rows are kept as they are.
     Narrow: no shuffle, and memory is a few slices of one Arrow batch.
     """
-    rows = df.select(df[key].alias("doc_id"), measures(df[text]).alias("m")).select("doc_id", "m.*")
-    failures = sum((F.when(F.expr(condition), F.lit(bit(rule)).cast("bigint")).otherwise(F.lit(0))
-                    for rule, condition in RULES.items()), F.lit(0).cast("bigint"))
-    return rows.withColumn("failures", failures)
+    rows = df.select(df[key].alias("doc_id"), measures(df[text]).alias("m"))
+    return rows.withColumn("failures", failures("m")).select("doc_id", "m.*", "failures")
 
 
-def passes(failures: Column, policy: str = "v1") -> Column:
+def passes(bits: Column, policy: str = "v1") -> Column:
     """Whether no rule of the policy has failed."""
-    return failures.bitwiseAND(F.lit(mask(POLICIES[policy])).cast("bigint")) == 0
+    return bits.bitwiseAND(F.lit(mask(POLICIES[policy])).cast("bigint")) == 0
+
+
+def passing(df: DataFrame, policy: str = "v1", text: str = "text") -> DataFrame:
+    """The rows of ``df`` that no rule of the policy rejects, in the same columns."""
+    name = unused(df, "measured")
+    return df.withColumn(name, measures(df[text])).where(passes(failures(name), policy)).select(*df.columns)
 
 
 def ablations(rows: DataFrame, policy: str = "v1") -> DataFrame:

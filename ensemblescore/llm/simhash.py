@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ensemblescore.llm.components import connected_components
-from ensemblescore.llm.text import slices
+from ensemblescore.llm.text import content_digest, slices, unused
 from ensemblescore.sources.scratch import ensure_checkpoint_dir
 
 SHINGLE, SEED, MAX_BITS, SEGMENTS = 3, 42, 3, 2
@@ -92,6 +92,17 @@ def links(prints: DataFrame, max_bits: int = MAX_BITS, segments: int = SEGMENTS)
     return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
+def _labelled(rows: DataFrame, max_bits: int, segments: int) -> DataFrame:
+    """Checkpointed rows that have ``doc_id`` and ``fingerprint``, with their ``component_id``."""
+    classes = rows.groupBy("fingerprint").agg(F.min("doc_id").alias("first"))
+    grouped = connected_components(links(classes, max_bits, segments)).withColumnRenamed("node", "fingerprint")
+    labelled = classes.join(grouped, "fingerprint", "left").withColumn(
+        "component", F.coalesce("component", "fingerprint"))
+    smallest = labelled.groupBy("component").agg(F.min("first").alias("component_id"))
+    named = labelled.join(smallest, "component").select("fingerprint", "component", "component_id")
+    return rows.join(named, "fingerprint")
+
+
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
                     max_bits: int = MAX_BITS, segments: int = SEGMENTS) -> DataFrame:
     """One row per document: ``doc_id``, ``fingerprint`` (bigint) and ``component_id``.
@@ -104,10 +115,23 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", shin
     """
     ensure_checkpoint_dir(df.sparkSession)
     rows = df.select(df[key].alias("doc_id"), fingerprints(df[text], shingle).alias("fingerprint")).checkpoint()
-    classes = rows.groupBy("fingerprint").agg(F.min("doc_id").alias("first"))
-    grouped = connected_components(links(classes, max_bits, segments)).withColumnRenamed("node", "fingerprint")
-    labelled = classes.join(grouped, "fingerprint", "left").withColumn(
-        "component", F.coalesce("component", "fingerprint"))
-    smallest = labelled.groupBy("component").agg(F.min("first").alias("component_id"))
-    named = labelled.join(smallest, "component").select("fingerprint", "component_id")
-    return rows.join(named, "fingerprint").select("doc_id", "fingerprint", "component_id")
+    return _labelled(rows, max_bits, segments).select("doc_id", "fingerprint", "component_id")
+
+
+def representatives(df: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
+                    max_bits: int = MAX_BITS, segments: int = SEGMENTS) -> DataFrame:
+    """One row of each component, with all its columns: that of the smallest key, null last.
+
+    Of rows that share it, the one whose text has the smallest digest stays, and of rows
+    equal in key and text, one.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    own = content_digest(df[key], df[text])
+    rows = df.select(df[key].alias("doc_id"), fingerprints(df[text], shingle).alias("fingerprint"),
+                     own.alias("digest")).checkpoint()
+    chosen = _labelled(rows, max_bits, segments).groupBy("component").agg(F.min(F.struct(
+        F.col("doc_id").isNull().alias("last"), "doc_id", "digest"))["digest"].alias(unused(df, "chosen")))
+    name, chosen_name = unused(df, "digest"), chosen.columns[-1]
+    kept = df.withColumn(name, own).join(
+        chosen.select(chosen_name), F.col(name) == F.col(chosen_name), "left_semi")
+    return kept.dropDuplicates([name]).select(*df.columns)

@@ -250,9 +250,21 @@ def _remove(n_buckets: int, least: int):
     return finishes
 
 
+def _judged(df: DataFrame, key: str, text: str, least: int, row: list[str], block_bytes: int, crowd: int) -> DataFrame:
+    """``row``, a struct of the columns asked for, with ``n_words``, ``n_removed`` and ``kept``."""
+    rows = df.select(F.struct(*[df[c] for c in row]).alias("row"), df[key].cast("bigint").alias("order"),
+                     df[text].cast("string").alias("text"))
+    n = blocks.count_blocks(rows, F.col("text"), block_bytes)
+    dealt = blocks.deal(rows, n)
+    first = blocks.answer(blocks.ask(dealt, _ask_anchors(n, least)), n, _answer_anchors(crowd))
+    second = blocks.answer(blocks.ask_again(dealt, first, _ask_passages(n, least)), n, _answer_passages(least))
+    kind = rows.schema["row"].dataType.simpleString()
+    return blocks.finish(dealt, first.unionByName(second), f"row {kind}, {RESULT}", _remove(n, least))
+
+
 def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", least: int = LEAST,
-                   keep: tuple[str, ...] = (), block_bytes: int = blocks.BLOCK_BYTES, crowd: int = CROWD) -> DataFrame:
-    """One row per document: ``doc_id``, ``n_words``, ``n_removed``, ``kept`` and the ``keep`` columns.
+                   block_bytes: int = blocks.BLOCK_BYTES, crowd: int = CROWD) -> DataFrame:
+    """One row per document: ``doc_id``, ``n_words``, ``n_removed`` and ``kept``.
 
     A word goes if it lies in a window of ``least`` consecutive words that also starts
     earlier: in a document of smaller key, or before in the same one. Windows are judged on
@@ -263,13 +275,16 @@ def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", least
 
     Equal words are decided on the words themselves; hashes only choose where they meet.
     """
-    kept_columns = [df[c] for c in keep]
-    rows = df.select(F.struct(df[key].alias("doc_id"), *kept_columns).alias("row"),
-                     df[key].cast("bigint").alias("order"), df[text].cast("string").alias("text"))
-    n = blocks.count_blocks(rows, F.col("text"), block_bytes)
-    dealt = blocks.deal(rows, n)
-    first = blocks.answer(blocks.ask(dealt, _ask_anchors(n, least)), n, _answer_anchors(crowd))
-    second = blocks.answer(blocks.ask_again(dealt, first, _ask_passages(n, least)), n, _answer_passages(least))
-    kind = rows.schema["row"].dataType.simpleString()
-    out = blocks.finish(dealt, first.unionByName(second), f"row {kind}, {RESULT}", _remove(n, least))
-    return out.select("row.*", "n_words", "n_removed", "kept")
+    return _judged(df, key, text, least, [key], block_bytes, crowd).select(
+        F.col("row")[key].alias("doc_id"), "n_words", "n_removed", "kept")
+
+
+def without_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", least: int = LEAST,
+                    block_bytes: int = blocks.BLOCK_BYTES, crowd: int = CROWD) -> DataFrame:
+    """The rows of ``df`` with the words that ``remove_repeats`` leaves, in the same columns.
+
+    A text that loses nothing stays as it is, white space included; one that loses all is empty.
+    """
+    out = _judged(df, key, text, least, df.columns, block_bytes, crowd)
+    left = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("row")[text])
+    return out.select(*[left.alias(c) if c == text else F.col("row")[c].alias(c) for c in df.columns])

@@ -7,6 +7,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 #: ASCII white space, the only kind that parts words.
 SPACES = b" \t\n\x0b\x0c\r"
@@ -52,3 +54,17 @@ def sums(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
     total = np.concatenate([[0], np.cumsum(values)])
     ends = np.cumsum(counts)
     return total[ends] - total[ends - counts]
+
+
+def content_digest(key: Column, text: Column) -> Column:
+    """A hash of a row's key and text, the same in every run; null counts as empty."""
+    return F.md5(F.concat(F.coalesce(key.cast("string"), F.lit("")), F.lit("\n"),
+                          F.coalesce(text.cast("string"), F.lit(""))))
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that the table does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
