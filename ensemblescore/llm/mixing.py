@@ -19,7 +19,7 @@ BLOCK = 64
 
 #: Sizes of the pieces that running sums are cut into: documents per bucket, slots per chunk,
 #: and cells that the cumulative weights are looked up by. They change no result.
-DOCS_PER_BUCKET, SLOTS_PER_CHUNK, CELL_BITS = 4096, 1 << 16, 10
+DOCS_PER_BUCKET, SLOTS_PER_CHUNK, CELL_BITS = 512, 1 << 16, 10
 
 #: The table of sources is broadcast up to so many rows, and joined by a shuffle beyond.
 MOST_BROADCAST = 100_000
