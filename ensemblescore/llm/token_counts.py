@@ -27,7 +27,7 @@ _JOINED_SPACES = f"[{_SPACE}] | [{_SPACE}]"
 
 #: Counts of words met by this Python worker, forgotten when there are too many.
 _known: dict[str, dict[str, int]] = {}
-_MOST_KNOWN = 400_000
+_MOST_KNOWN = 200_000
 
 
 class Tokenizer:
