@@ -111,6 +111,13 @@ def ranges(buckets: np.ndarray) -> Iterator[tuple[int, slice]]:
         yield b, slice(int(lo), int(hi))
 
 
+def _nullable(column: pa.Array) -> pa.Array:
+    """A struct's fields as a result schema names them: all nullable."""
+    if not pa.types.is_struct(column.type):
+        return column
+    return column.cast(pa.struct([f.with_nullable(True) for f in column.type]))
+
+
 def ask(blocks: DataFrame, asks: Callable[[pa.Table], Iterator[tuple[int, bytes]]]) -> DataFrame:
     """What each block asks: ``asks`` turns a block's documents into (bucket, payload) pairs."""
     def run(key, table):
@@ -150,5 +157,6 @@ def finish(blocks: DataFrame, replies: DataFrame, schema: str,
            finishes: Callable[[pa.Table, list[bytes]], pa.Table]) -> DataFrame:
     """Each block's documents with its replies, in the order of buckets, turned into result rows."""
     def run(left, right):
-        return finishes(documents(left), _in_order(right))
+        rows = finishes(documents(left), _in_order(right))
+        return pa.table([_nullable(c.combine_chunks()) for c in rows.columns], names=rows.column_names)
     return blocks.groupBy("block").cogroup(replies.where("block >= 0").groupBy("block")).applyInArrow(run, schema)

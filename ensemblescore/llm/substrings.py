@@ -30,13 +30,10 @@ from ensemblescore.llm.text import slices, sums, words
 LEAST = 20
 GRAM = 8
 
-#: An anchor met in more passages than this has its windows sent one by one under their own
+#: An anchor met at more places than this has its windows sent one by one under their own
 #: hashes, so that no shard gathers them all. It decides where windows meet, not what is found.
 CROWD = 4096
 
-#: Windows in one passage.
-STRETCH = 32
-
 RESULT = "n_words bigint, n_removed bigint, kept string"
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -52,12 +49,15 @@ def _rolled(values: np.ndarray, n: int) -> np.ndarray:
 
 
 def _lowest(values: np.ndarray, n: int) -> np.ndarray:
-    """The smallest of every ``n`` neighbouring values."""
-    reach, out = 1, values
+    """The place of the first smallest of every ``n`` neighbouring values."""
+    def lower(left, right):
+        return np.where(values[left] <= values[right], left, right)
+
+    reach, out = 1, np.arange(len(values))
     while 2 * reach <= n:
-        out = np.minimum(out[:-reach], out[reach:])
+        out = lower(out[:-reach], out[reach:])
         reach *= 2
-    return np.minimum(out[:len(values) - n + 1], out[n - reach:]) if reach < n else out
+    return lower(out[:len(values) - n + 1], out[n - reach:]) if reach < n else out
 
 
 class _Block:
@@ -78,15 +78,22 @@ class _Block:
         gram = min(GRAM, least)
         if n < least:
             self.windows, self.anchors = np.zeros(0, np.int64), np.zeros(0, np.uint64)
+            self.new = np.zeros(0, bool)
             return
-        anchors = _lowest(_rolled(self.hashes, gram), least - gram + 1)
-        inside = self.row[:n - least + 1] == self.row[least - 1:]
-        self.windows = np.flatnonzero(inside)
-        self.anchors = anchors[self.windows]
+        grams = _rolled(self.hashes, gram)
+        place = _lowest(grams, least - gram + 1)
+        self.windows = np.flatnonzero(self.row[:n - least + 1] == self.row[least - 1:])
+        place = place[self.windows]
+        self.anchors = grams[place]
+        # A stretch of windows around one place of an anchor. No two windows of one are equal,
+        # since equal windows have their anchor at the same distance from their start.
+        self.new = np.ones(len(place), bool)
+        self.new[1:] = (place[1:] != place[:-1]) | (self.windows[1:] != self.windows[:-1] + 1)
 
     def asked(self, n_buckets: int):
-        """Distinct anchors by bucket, and of each window its place among them."""
-        distinct, found, counts = np.unique(self.anchors, return_inverse=True, return_counts=True)
+        """Distinct anchors in order, of each window its place among them, their stretches, and buckets."""
+        distinct, found = np.unique(self.anchors, return_inverse=True)
+        counts = np.bincount(found[self.new], minlength=len(distinct))
         return distinct, found, counts, blocks.by_hash(distinct, n_buckets)
 
     def passages(self, replies: list[bytes], n_buckets: int) -> dict:
@@ -96,12 +103,7 @@ class _Block:
         kind = kinds[found]
         keep = kind > 0
         window, anchor, crowded = self.windows[keep], self.anchors[keep], kind[keep] == 2
-        # A new stretch where the anchor or the document changes, windows skip, or it is long enough.
-        new = np.ones(len(window), bool)
-        new[1:] = (anchor[1:] != anchor[:-1]) | (window[1:] != window[:-1] + 1) | crowded[1:]
-        start = np.flatnonzero(new)
-        place = np.arange(len(window)) - np.repeat(start, np.diff(np.append(start, len(window))))
-        start = np.flatnonzero(place % STRETCH == 0)
+        start = np.flatnonzero(self.new[keep] | crowded)
         n_windows = np.diff(np.append(start, len(window)))
         first = window[start]
         owner = anchor[start]
@@ -140,13 +142,12 @@ def _ask_anchors(n_buckets: int, least: int):
 
 def _answer_anchors(crowd: int):
     def answers(bucket, payloads):
-        """0 for the anchor of a single window, 2 for a crowd, else 1."""
+        """0 for the anchor of a single stretch, 2 for a crowd, else 1."""
         asked = [blocks.unpack_arrays(p) for p in payloads]
         distinct, found = np.unique(np.concatenate([np.cumsum(a["step"], dtype=np.uint64) for a in asked]),
                                     return_inverse=True)
         totals = np.bincount(found, weights=np.concatenate([a["count"] for a in asked]))
-        sites = np.bincount(found)
-        kind = (totals > 1).astype(np.int8) + (np.maximum(sites, totals / LEAST) > crowd)
+        kind = (totals > 1).astype(np.int8) + (totals > crowd)
         out, at = [], 0
         for a in asked:
             out.append(blocks.pack_arrays(kind=kind[found[at:at + len(a["step"])]]))
