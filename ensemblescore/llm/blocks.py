@@ -33,6 +33,12 @@ def pack(table: pa.Table) -> bytes:
     return sink.getvalue().to_pybytes()
 
 
+def _let_go(rows: pa.Table) -> pa.Table:
+    """Give back what Arrow holds beyond ``rows``: workers live on from group to group."""
+    pa.default_memory_pool().release_unused()
+    return rows
+
+
 def unpack(payload: bytes) -> pa.Table:
     return pa.ipc.open_stream(payload).read_all()
 
@@ -122,7 +128,7 @@ def ask(blocks: DataFrame, asks: Callable[[pa.Table], Iterator[tuple[int, bytes]
     """What each block asks: ``asks`` turns a block's documents into (bucket, payload) pairs."""
     def run(key, table):
         block = key[0].as_py()
-        return _rows(_ASK, [(bucket, block, payload) for bucket, payload in asks(documents(table))])
+        return _let_go(_rows(_ASK, [(bucket, block, payload) for bucket, payload in asks(documents(table))]))
     return blocks.groupBy("block").applyInArrow(run, ASK)
 
 
@@ -133,7 +139,8 @@ def ask_again(blocks: DataFrame, replies: DataFrame,
         if not left.num_rows:
             return _rows(_ASK, [])
         block = key[0].as_py()
-        return _rows(_ASK, [(bucket, block, payload) for bucket, payload in asks(documents(left), _in_order(right))])
+        return _let_go(_rows(_ASK, [(bucket, block, payload)
+                                    for bucket, payload in asks(documents(left), _in_order(right))]))
     return blocks.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(run, ASK)
 
 
@@ -149,7 +156,7 @@ def answer(asks: DataFrame, n_buckets: int, answers: Callable[[int, list[bytes]]
         table = table.sort_by("block")
         bucket, to = key[0].as_py(), table["block"].to_pylist()
         payloads = answers(bucket, table["payload"].to_pylist())
-        return _rows(_REPLY, [(b, bucket, p) for b, p in zip(to + [-1], payloads)])
+        return _let_go(_rows(_REPLY, [(b, bucket, p) for b, p in zip(to + [-1], payloads)]))
     return asks.repartition(n_buckets, "bucket").groupBy("bucket").applyInArrow(run, REPLY)
 
 

@@ -20,6 +20,9 @@ from ensemblescore.llm.text import slices, sums
 MARK = "▁"
 _RUNS = re.compile(" +[^ ]*")
 
+#: Words whose ids are joined at a time.
+_AT_ONCE = 200_000
+
 
 @cache
 def _opened(content: bytes) -> sentencepiece.SentencePieceProcessor:
@@ -67,6 +70,26 @@ def _of_block(table: pa.Table) -> tuple[pa.DictionaryArray, np.ndarray]:
     return words.dictionary_encode(), np.concatenate([n for _, n in parts] or [np.zeros(0, np.int64)])
 
 
+def _joined(offsets: np.ndarray, values: np.ndarray, row: np.ndarray, counts: np.ndarray, end: int) -> pa.ChunkedArray:
+    """The ids of each document's words, by position, each followed by an end id; some documents at a time."""
+    first_word = np.concatenate([[0], np.cumsum(counts)])
+    chunks, start = [], 0
+    while start < len(counts):
+        stop = max(start + 1, int(np.searchsorted(first_word, first_word[start] + _AT_ONCE, side="right")) - 1)
+        own = row[first_word[start]:first_word[stop]]
+        lengths = offsets[own + 1] - offsets[own]
+        n_ids = sums(lengths, counts[start:stop])
+        out = np.full(int(n_ids.sum()) + stop - start, end, np.int32)
+        before = np.cumsum(lengths) - lengths
+        at = np.repeat(offsets[own] - before, lengths) + np.arange(int(lengths.sum()))
+        shift = np.repeat(np.arange(stop - start), n_ids)
+        out[np.arange(len(at)) + shift] = values[at]
+        ends = np.concatenate([[0], np.cumsum(n_ids + 1)])
+        chunks.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(out)))
+        start = stop
+    return pa.chunked_array(chunks, pa.list_(pa.int32()))
+
+
 def encode(df: DataFrame, model_path: str, key: str = "doc_id", text: str = "text",
            block_bytes: int = blocks.BLOCK_BYTES) -> DataFrame:
     """One row per document: ``doc_id`` and ``ids``, as the library encodes the whole text, and an end id.
@@ -109,19 +132,9 @@ def encode(df: DataFrame, model_path: str, key: str = "doc_id", text: str = "tex
         place = np.empty(len(order), np.int64)
         place[order] = np.arange(len(order))
         row = place[words.indices.to_numpy(zero_copy_only=False)]
-        offsets = ids.offsets.to_numpy().astype(np.int64)
-        values = ids.values.to_numpy()
-        lengths = offsets[row + 1] - offsets[row] if len(row) else np.zeros(0, np.int64)
-        n_ids = sums(lengths, counts)
         end = _opened(shared.value).eos_id()
-        before = np.cumsum(lengths) - lengths
-        # Every document's ids are followed by its end id.
-        shift = np.repeat(np.arange(len(counts)), counts)
-        out = np.full(int(n_ids.sum()) + len(counts), end, np.int32)
-        spread = np.repeat(offsets[row] - before, lengths) + np.arange(int(lengths.sum()))
-        out[np.arange(len(spread)) + np.repeat(shift, lengths)] = values[spread]
-        ends = np.concatenate([[0], np.cumsum(n_ids + 1)])
-        return pa.table({"doc_id": table["doc_id"], "ids": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(out))})
+        out = _joined(ids.offsets.to_numpy().astype(np.int64), ids.values.to_numpy(), row, counts, end)
+        return pa.table({"doc_id": table["doc_id"], "ids": out})
 
     replies = blocks.answer(blocks.ask(dealt, asks), n, lambda b, p: list(answers(b, p)))
     kind = df.select(df[key]).schema[0].dataType.simpleString()
@@ -131,7 +144,10 @@ def encode(df: DataFrame, model_path: str, key: str = "doc_id", text: str = "tex
 def _decoder(shared: Broadcast):
     def run(ids: pa.Array) -> pa.Array:
         model = _opened(shared.value)
-        return pa.array([None if row is None else model.decode(row) for row in ids.to_pylist()], pa.string())
+        offsets, values, null = ids.offsets.to_numpy(), ids.values.to_numpy(), ids.is_null().to_numpy(zero_copy_only=False)
+        # One document's ids are Python numbers at a time.
+        return pa.array((None if none else model.decode(values[lo:hi].tolist())
+                         for none, lo, hi in zip(null, offsets, offsets[1:])), pa.string())
     return run
 
 
