@@ -6,6 +6,7 @@ Imported by Python workers, so it needs NumPy and Arrow only.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -47,17 +48,30 @@ class Models:
         n_outputs = header.column("n_outputs").to_numpy().astype(np.intp)
         (trees, model), (nodes, _) = numbered(trees), numbered(nodes)
         n_trees = np.bincount(model, minlength=len(ids))
+        if (n_trees == 0).any():
+            raise ModelError(f"model {ids[int(np.argmin(n_trees))].as_py()!r} has no trees")
         return cls(ids, n_outputs, n_trees, np.cumsum(n_trees) - n_trees,
                    lay_out(trees, nodes, width=width, n_outputs=n_outputs[model]), width)
 
+    @cached_property
+    def _position(self) -> dict[str, int]:
+        """Built once per worker, whatever the number of models and batches."""
+        return {name: k for k, name in enumerate(self.ids.to_pylist())}
+
+    def _positions(self, model_id: pa.Array) -> np.ndarray:
+        """The position of each row's model, or -1."""
+        coded = model_id.dictionary_encode()
+        own = np.array([self._position.get(m, -1) for m in coded.dictionary.to_pylist()] + [-1], np.intp)
+        return own[coded.indices.fill_null(len(own) - 1).to_numpy(zero_copy_only=False)]
+
     def sums(self, model_id: pa.Array, x: pa.Array) -> tuple[pa.Array, np.ndarray]:
         """Summed trees per row, null for an unknown model, and the position of each row's model.
 
         Every row steps down the k-th tree of its own model at the same time.
         """
-        found = pc.index_in(model_id, value_set=self.ids)
-        known = found.is_valid().to_numpy(zero_copy_only=False)
-        model = found.fill_null(0).to_numpy(zero_copy_only=False).astype(np.intp)
+        model = self._positions(model_id)
+        known = model >= 0
+        model = np.maximum(model, 0)
         rows = Rows(x.flatten().to_numpy(zero_copy_only=False).reshape(len(x), self.width))
         ends = np.concatenate([[0], np.cumsum(np.where(known, self.n_outputs[model], 0))])
         n_trees = np.where(known, self.n_trees[model], 0)

@@ -4,24 +4,44 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 
 from ensemblescore.functions.forest import Forest
 
 
-def matrix(columns: tuple[pa.Array, ...], layout: list[tuple]) -> np.ndarray:
+class Lookups:
+    """Category lists by input, each indexed once per Python worker and not once per batch."""
+
+    def __init__(self, categories: dict[int, tuple[str, ...]]):
+        self.categories, self._codes = categories, {}
+
+    def __getstate__(self):
+        return self.categories
+
+    def __setstate__(self, categories):
+        self.__init__(categories)
+
+    def codes(self, k: int, values: pa.Array) -> np.ndarray:
+        """Position of each value among the categories of input ``k``; NaN if it is null or unknown."""
+        if k not in self._codes:
+            self._codes[k] = {c: float(i) for i, c in reversed(list(enumerate(self.categories[k])))}
+        known, nan = self._codes[k], float("nan")
+        coded = values.dictionary_encode()
+        own = np.array([known.get(v, nan) for v in coded.dictionary.to_pylist()] + [nan], np.float32)
+        return own[coded.indices.fill_null(len(own) - 1).to_numpy(zero_copy_only=False)]
+
+
+def matrix(columns: tuple[pa.Array, ...], layout: list[tuple], lookups: Lookups) -> np.ndarray:
     """Input columns side by side as one ``(rows, width)`` float32 matrix."""
     n = len(columns[0])
     if len(layout) == 1 and layout[0][1]:
         return _vectors(columns[0], *layout[0][:2])
     out = np.empty((n, sum(width or 1 for _, width, _ in layout)), np.float32)
     at = 0
-    for values, (name, width, categories) in zip(columns, layout):
+    for values, (name, width, looked_up) in zip(columns, layout):
         if width:
             out[:, at:at + width] = _vectors(values, name, width)
-        elif categories is not None:
-            codes = pc.cast(pc.index_in(values, value_set=categories), pa.float32())
-            out[:, at] = codes.fill_null(float("nan")).to_numpy(zero_copy_only=False)
+        elif looked_up is not None:
+            out[:, at] = lookups.codes(looked_up, values)
         else:
             out[:, at] = values.to_numpy(zero_copy_only=False)
         at += width or 1

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, StructType
+from pyspark.sql.types import DataType, FloatType, StructType
 
-from ensemblescore.errors import InputError
+from ensemblescore.errors import InputError, ModelError
 from ensemblescore.functions import coerce
+from ensemblescore.sources.schema import FLOAT32
 from ensemblescore.sources.spec import InputSpec, ModelSpec
+from ensemblescore.sources.tables import ModelTables
 
 
 @dataclass(frozen=True)
@@ -31,7 +33,9 @@ class BoundInput:
         if self.spec.is_vector:
             return coerce.vector(self.column, self.dtype)
         if self.spec.is_string:
-            return coerce.category_code(self.column, self.spec.categories or ())
+            if self.spec.categories is None:
+                raise ModelError(f"the categories of {self.spec.name!r} are not at hand")
+            return coerce.category_code(self.column, self.spec.categories)
         return coerce.scalar(self.column)
 
     @property
@@ -46,6 +50,34 @@ class BoundInput:
         return self.spec.n_categories > coerce.MAX_CASE_CATEGORIES
 
 
+def coded_by_join(df: DataFrame, item: BoundInput, tables: ModelTables, code: str) -> DataFrame:
+    """Add the category code of a string input from the model's table; NaN if null or unknown.
+
+    A null has no code, so it is not sent to meet one: each null row goes its own way."""
+    value, rest = f"{code}_value", f"{code}_rest"
+    known = tables.inputs.where(F.col("name") == item.spec.name).select(
+        F.posexplode("categories").alias("pos", value)
+    ).groupBy(value).agg(F.min("pos").cast("float").alias(code)).withColumn(rest, F.lit(0))
+    nan = F.lit(float("nan")).cast("float")
+    spread = F.when(coerce.column(item.column).isNull(), F.lit(1) + F.spark_partition_id()).otherwise(0)
+    coded = df.select("*", F.coalesce(coerce.column(item.column).cast("string"), F.lit("")).alias(value),
+                      spread.alias(rest)).join(known, [value, rest], "left")
+    return coded.drop(value, rest).withColumn(code, F.coalesce(code, nan))
+
+
+def with_codes(df: DataFrame, bound: list[BoundInput], tables: ModelTables,
+               name: str) -> tuple[DataFrame, list[BoundInput]]:
+    """Replace string inputs whose categories are too many to collect by their codes."""
+    out = []
+    for k, item in enumerate(bound):
+        if item.spec.is_string and item.spec.categories is None:
+            code = f"{name}_category{k}"
+            df = coded_by_join(df, item, tables, code)
+            item = BoundInput(replace(item.spec, dtype=FLOAT32, n_categories=0), code, FloatType())
+        out.append(item)
+    return df, out
+
+
 def bind(spec: ModelSpec, schema: StructType, features_col: str) -> list[BoundInput]:
     """One bound input per declared input, in declared order. Fails on the driver."""
     bound = []

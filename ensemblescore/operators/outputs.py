@@ -9,7 +9,6 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 
 from ensemblescore.errors import InputError
 from ensemblescore.functions import post
-from ensemblescore.functions.coerce import column
 from ensemblescore.sources.spec import ModelSpec
 
 
@@ -37,17 +36,18 @@ def extended(schema: StructType, fields: list[StructField]) -> StructType:
 def append(df: DataFrame, sums: str, kept: list[str], spec: ModelSpec, probability: str,
            prediction: str) -> DataFrame:
     """Turn the summed trees in column ``sums`` into the output columns behind ``kept``."""
-    before = [column(c) for c in kept]
+    # By position: the input may have several columns of one name. Helpers have names of their own.
+    helpers = [c for c in df.columns if c not in kept]
     nan = F.lit(float("nan"))
     if spec.n_outputs == 1:
         only = F.col(sums)
         if spec.post_transform != "IDENTITY":
             only = F.get(post.softmax(F.array(only), 1), F.lit(0))
-        return df.select(
-            *before, F.coalesce(only.cast("float").cast("double"), nan).alias(prediction))
+        return df.select("*", F.coalesce(only.cast("float").cast("double"), nan)
+                         .alias(prediction)).drop(*helpers)
     outputs = f"{sums}_out"
-    df = df.select(*before, post.narrowed(F.col(sums), spec.post_transform, spec.n_outputs)
+    df = df.select("*", post.narrowed(F.col(sums), spec.post_transform, spec.n_outputs)
                    .alias(outputs))
     return df.select(
-        *before, post.as_vector(F.col(outputs)).alias(probability),
-        F.coalesce(post.argmax(F.col(outputs)), nan).alias(prediction))
+        "*", post.as_vector(F.col(outputs)).alias(probability),
+        F.coalesce(post.argmax(F.col(outputs)), nan).alias(prediction)).drop(*helpers, outputs)

@@ -31,12 +31,15 @@ def _largest_difference(a: Column, b: Column) -> Column:
 
 
 def parity_report(left: DataFrame, right: DataFrame, keys: list[str], *,
-                  output: str = "prediction", tolerance: float = 1e-5) -> DataFrame:
+                  output: str = "prediction", tolerance: float = 1e-5,
+                  count_outputs: bool = False) -> DataFrame:
     """One row: how many keys met, how far their outputs differ, how many argmaxes disagree.
 
-    Both sides are reduced per key before they meet, so a key held by many rows is
-    counted in ``repeated_keys`` instead of being paired with itself; its rows are
-    compared as the range of their outputs.
+    Both sides are reduced per key and output before they meet, so a key held by many rows
+    is counted in ``repeated_keys`` instead of being paired with itself. Outputs that a key
+    has equally often on both sides are settled; what is left is compared as a range, so
+    any difference between its rows shows. With ``count_outputs`` there is one more column,
+    ``differing_outputs``: the pairs of key and output that one side has more often, exactly.
     """
     for df, side in ((left, "left"), (right, "right")):
         missing = [c for c in [*keys, output] if c not in df.columns]
@@ -57,11 +60,28 @@ def parity_report(left: DataFrame, right: DataFrame, keys: list[str], *,
             F.lit(1).alias(f"in_{mine}"), F.lit(0).alias(f"in_{other}"))
 
     both = tagged(left, "a", "b").unionByName(tagged(right, "b", "a"))
-    per_key = both.groupBy(*[f"k{i}" for i in range(len(keys))]).agg(
+    names = [f"k{i}" for i in range(len(keys))]
+    per_output = both.groupBy(*names, F.coalesce("a", "b").alias("value")).agg(
+        F.sum("in_a").alias("in_a"), F.sum("in_b").alias("in_b"))
+    value = F.col("value")
+
+    def left_over(mine, other):
+        return F.when(F.col(mine) > F.col(other), value)
+
+    per_key = per_output.groupBy(*names).agg(
         F.sum("in_a").alias("n_a"), F.sum("in_b").alias("n_b"),
-        F.count("a").alias("valued_a"), F.count("b").alias("valued_b"),
-        F.min("a").alias("min_a"), F.max("a").alias("max_a"),
-        F.min("b").alias("min_b"), F.max("b").alias("max_b"))
+        F.sum(F.when(value.isNotNull(), F.col("in_a")).otherwise(0)).alias("valued_a"),
+        F.sum(F.when(value.isNotNull(), F.col("in_b")).otherwise(0)).alias("valued_b"),
+        F.count_if(F.col("in_a") != F.col("in_b")).alias("differing"),
+        *[f(F.when(F.col(f"in_{s}") > 0, value)).alias(f"all_{n}_{s}")
+          for s in "ab" for n, f in (("min", F.min), ("max", F.max))],
+        *[f(left_over(f"in_{s}", f"in_{o}")).alias(f"left_{n}_{s}")
+          for s, o in ("ab", "ba") for n, f in (("min", F.min), ("max", F.max))])
+    even = F.col("n_a") == F.col("n_b")
+    per_key = per_key.select(
+        "n_a", "n_b", "valued_a", "valued_b", "differing",
+        *[F.when(even, F.col(f"left_{n}_{s}")).otherwise(F.col(f"all_{n}_{s}")).alias(f"{n}_{s}")
+          for s in "ab" for n in ("min", "max")])
     met = (F.col("n_a") > 0) & (F.col("n_b") > 0)
     compare = _largest_difference if vector else _difference
     uneven_nulls = (F.col("n_a") == F.col("n_b")) & (F.col("valued_a") != F.col("valued_b"))
@@ -76,7 +96,7 @@ def parity_report(left: DataFrame, right: DataFrame, keys: list[str], *,
     def total(test):
         return F.coalesce(F.sum(F.when(test, 1).otherwise(0)), F.lit(0)).cast("long")
 
-    return per_key.select("n_a", "n_b", met.alias("met"), diff.alias("diff"),
+    return per_key.select("n_a", "n_b", "differing", met.alias("met"), diff.alias("diff"),
                           F.coalesce(disagree, F.lit(False)).alias("disagree")).agg(
         F.coalesce(F.sum("n_a"), F.lit(0)).cast("long").alias("rows_left"),
         F.coalesce(F.sum("n_b"), F.lit(0)).cast("long").alias("rows_right"),
@@ -85,6 +105,8 @@ def parity_report(left: DataFrame, right: DataFrame, keys: list[str], *,
         total(F.col("n_a") == 0).alias("only_right"),
         total((F.col("n_a") > 1) | (F.col("n_b") > 1)).alias("repeated_keys"),
         total(F.col("met") & (F.col("n_a") != F.col("n_b"))).alias("uneven_keys"),
+        *([F.coalesce(F.sum("differing"), F.lit(0)).cast("long").alias("differing_outputs")]
+          if count_outputs else []),
         F.max("diff").alias("max_abs_diff"),
         total(F.col("diff") > tolerance).alias("over_tolerance"),
         total(F.col("disagree")).alias("argmax_disagreements"))

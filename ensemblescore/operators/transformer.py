@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark import keyword_only
+from pyspark import SparkContext, keyword_only
 from pyspark.ml import Transformer
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from ensemblescore.operators import inputs, outputs
-from ensemblescore.plans import arrow, expression, relational, strategy
-from ensemblescore.sources.spec import ModelSpec, load_spec
+from ensemblescore.plans import arrow, chunked, expression, relational, strategy
+from ensemblescore.sources.spec import MAX_BROADCAST_NODES, ModelSpec, load_spec
 from ensemblescore.sources.tables import ModelTables
 
 
@@ -38,33 +38,39 @@ class EnsembleModel(Transformer, DefaultParamsReadable, DefaultParamsWritable):
         "predictionCol", "output column: the score, or the index of the largest output")
     probabilityCol = _string_param(
         "probabilityCol", "output column: all outputs as a vector, if there are several")
-    strategy = _string_param("strategy", "auto, expr, arrow or join")
+    strategy = _string_param("strategy", "auto, expr, arrow, chunked or join")
+    maxBroadcastNodes = Param(
+        Params._dummy(), "maxBroadcastNodes", "nodes of a model, or of a chunk of it, that are "
+        "broadcast at once; it decides the plan and no result", typeConverter=TypeConverters.toInt)
 
     @keyword_only
     def __init__(self, *, modelPath: str | None = None, modelId: str | None = None,
                  featuresCol: str = "features", predictionCol: str = "prediction",
-                 probabilityCol: str = "probability", strategy: str = "auto") -> None:
+                 probabilityCol: str = "probability", strategy: str = "auto",
+                 maxBroadcastNodes: int = MAX_BROADCAST_NODES) -> None:
         super().__init__()
         self._loaded: tuple | None = None
         self._prepared: tuple | None = None
         self._setDefault(featuresCol="features", predictionCol="prediction",
-                         probabilityCol="probability", strategy="auto")
+                         probabilityCol="probability", strategy="auto",
+                         maxBroadcastNodes=MAX_BROADCAST_NODES)
         self.setParams(**self._input_kwargs)
 
     @keyword_only
     def setParams(self, *, modelPath: str | None = None, modelId: str | None = None,
                   featuresCol: str = "features", predictionCol: str = "prediction",
-                  probabilityCol: str = "probability", strategy: str = "auto") -> EnsembleModel:
-        """Set the given params; returns ``self``."""
+                  probabilityCol: str = "probability", strategy: str = "auto",
+                  maxBroadcastNodes: int = MAX_BROADCAST_NODES) -> EnsembleModel:
+        """Change the params named by keyword and give back this stage, so calls can be chained."""
         return self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
 
     @classmethod
     def loadFile(cls, path: str, modelId: str | None = None) -> EnsembleModel:
         """Open and check the model now, so that a bad path fails here and not in ``transform``."""
-        if SparkSession.getActiveSession() is None:
+        if SparkContext._active_spark_context is None:
             raise RuntimeError(
-                "loadFile reads the model with Spark and found no active session; without one, "
-                "EnsembleModel(modelPath=...) works too and opens the model later")
+                "no Spark application is running to read the model with: start an active session "
+                "first, or use EnsembleModel(modelPath=...), which reads it when it scores")
         model = cls(modelPath=path, modelId=modelId)
         model.spec()
         return model
@@ -76,11 +82,11 @@ class EnsembleModel(Transformer, DefaultParamsReadable, DefaultParamsWritable):
     def _load(self) -> tuple[ModelTables, ModelSpec]:
         if not self.isDefined(self.modelPath):
             raise ValueError("modelPath is not set")
-        key = (self.getModelPath(), self.getModelId())
+        key = (self.getModelPath(), self.getModelId(), self.getMaxBroadcastNodes())
         if self._loaded is None or self._loaded[0] != key:
             spark = SparkSession.getActiveSession() or SparkSession.builder.getOrCreate()
             tables = ModelTables.read(spark, key[0])
-            self._loaded = (key, tables, load_spec(tables, key[1]))
+            self._loaded = (key, tables, load_spec(tables, key[1], max_nodes=key[2]))
         return self._loaded[1:]
 
     @property
@@ -106,24 +112,46 @@ class EnsembleModel(Transformer, DefaultParamsReadable, DefaultParamsWritable):
         bound = inputs.bind(spec, dataset.schema, self.getFeaturesCol())
         plan = strategy.choose(spec, self.getStrategy(), dataset.isStreaming)
         sums = f"__sums_{self.uid}"
+        one = tables.only(spec.model_id)
+        coded, bound = inputs.with_codes(dataset, bound, one, sums)
         if plan == strategy.EXPR:
-            summed = expression.add_sums(dataset, bound, spec.forest, spec.n_outputs, sums)
+            summed = expression.add_sums(coded, bound, spec.forest, spec.n_outputs, sums)
         elif plan == strategy.ARROW:
-            summed = arrow.add_sums(dataset, bound, self._prepare(dataset, spec), sums)
+            summed = arrow.add_sums(coded, bound, self._prepare(dataset, spec), sums)
+        elif plan == strategy.CHUNKED:
+            summed = chunked.add_sums(coded, bound, *self._prepare_chunks(dataset, one, spec),
+                                      spec.n_outputs, sums)
         else:
-            summed = relational.add_sums(
-                dataset, bound, tables.only(spec.model_id), spec.n_outputs, sums)
+            summed = relational.add_sums(coded, bound, one, spec.n_outputs, sums)
         return outputs.append(summed, sums, dataset.columns, spec, self.getProbabilityCol(),
                               self.getPredictionCol())
 
-    def _prepare(self, dataset: DataFrame, spec: ModelSpec) -> arrow.Prepared:
+    def _once(self, dataset: DataFrame, spec: ModelSpec, what: str, prepare):
         """Broadcast the model once per application, not once per ``transform``."""
-        context = dataset.sparkSession.sparkContext
-        if self._prepared is None or self._prepared[0] is not spec or (
-                self._prepared[1] != context.applicationId):
-            self._prepared = (spec, context.applicationId, arrow.prepare(context, spec))
+        key = (what, dataset.sparkSession.sparkContext.applicationId)
+        if self._prepared is None or self._prepared[0] is not spec or self._prepared[1] != key:
+            if self._prepared is not None and self._prepared[1][1] == key[1]:
+                self._prepared[3]()
+            self._prepared = (spec, key, *prepare())
         return self._prepared[2]
 
+    def _prepare(self, dataset: DataFrame, spec: ModelSpec) -> arrow.Prepared:
+        def prepare():
+            prepared = arrow.prepare(dataset.sparkSession.sparkContext, spec)
+            return prepared, prepared.release
+        return self._once(dataset, spec, strategy.ARROW, prepare)
+
+    def _prepare_chunks(self, dataset: DataFrame, one: ModelTables, spec: ModelSpec) -> tuple:
+        def prepare():
+            chunks = chunked.prepare(one, spec, self.getMaxBroadcastNodes())
+            lookups = dataset.sparkSession.sparkContext.broadcast(arrow.lookups(spec))
+
+            def release():
+                for shared in (*chunks, lookups):
+                    shared.unpersist()
+            return (chunks, lookups), release
+        return self._once(dataset, spec, strategy.CHUNKED, prepare)
+
     def setModelPath(self, value: str) -> EnsembleModel:
         return self._set(modelPath=value)
 
@@ -142,6 +170,12 @@ class EnsembleModel(Transformer, DefaultParamsReadable, DefaultParamsWritable):
     def setStrategy(self, value: str) -> EnsembleModel:
         return self._set(strategy=value)
 
+    def setMaxBroadcastNodes(self, value: int) -> EnsembleModel:
+        return self._set(maxBroadcastNodes=value)
+
+    def getMaxBroadcastNodes(self) -> int:
+        return self.getOrDefault(self.maxBroadcastNodes)
+
     def getModelPath(self) -> str:
         return self.getOrDefault(self.modelPath)
 

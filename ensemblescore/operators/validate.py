@@ -43,11 +43,16 @@ def violations(tables: ModelTables) -> DataFrame:
             "no_header": F.col("headers").isNotNull(),
             "no_inputs": F.col("width").isNotNull(),
         }),
+        _broken(header.select("model_id").distinct().join(
+            trees.select("model_id", F.lit(True).alias("has")).distinct(), "model_id", "left"),
+            {"no_trees": F.col("has")}),
         _broken(inputs, {
             "unknown_dtype": F.col("dtype").isin(*S.DTYPES),
             "bad_shape": (size == 1) | (F.get(shape, F.lit(1)) >= 1),
             "no_categories": (F.col("dtype") != S.STRING)
             | (F.col("categories").isNotNull() & (size == 1)),
+            "null_category": F.col("categories").isNull()
+            | ~F.exists("categories", lambda c: c.isNull()),
         }),
         _broken(inputs.groupBy("model_id", "ordinal").count(),
                 {"duplicate_input": F.col("count") == 1}),
@@ -92,6 +97,9 @@ def _node_violations(nodes: DataFrame, limits: DataFrame) -> DataFrame:
         "branch_without_two_children": ~branch | (n_children == 2),
         "bad_split_feature": ~branch | F.col("split_feature").between(0, F.col("width") - 1),
         "nan_threshold": ~branch | ~F.isnan("split_threshold"),
+        "null_threshold": ~branch | F.col("split_threshold").isNotNull(),
+        "null_leaf": branch | F.col("leaf_value").isNotNull(),
+        "negative_node": F.col("node_id") >= 0,
         "bad_default_child": ~branch | F.array_contains("children", F.col("default_child")),
     }, "tree_id", "node_id")
 

@@ -16,8 +16,8 @@ from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ensemblescore.functions.coerce import column
-from ensemblescore.functions.walk import Rows, add_trees, matrix
+from ensemblescore.functions.coerce import MAX_CASE_CATEGORIES, column
+from ensemblescore.functions.walk import Lookups, Rows, add_trees, matrix
 from ensemblescore.operators.inputs import BoundInput
 from ensemblescore.sources.spec import ModelSpec
 
@@ -27,9 +27,15 @@ class Prepared:
     """A model ready for batches: the forest on every executor, and which inputs it looks at."""
 
     forest: Broadcast
+    lookups: Broadcast
     read: tuple[int, ...]
     n_outputs: int
 
+    def release(self) -> None:
+        """Let executors forget a model that is no longer set."""
+        self.forest.unpersist()
+        self.lookups.unpersist()
+
 
 def prepare(context: SparkContext, spec: ModelSpec) -> Prepared:
     """Broadcast the forest, renumbered to the inputs some split reads.
@@ -48,23 +54,35 @@ def prepare(context: SparkContext, spec: ModelSpec) -> Prepared:
         kept[ends[k] - spec.inputs[k].width:ends[k]] = True
     position = np.maximum(np.cumsum(kept) - 1, 0)
     return Prepared(context.broadcast(replace(forest, feature=position[forest.feature])),
-                    tuple(read), spec.n_outputs)
+                    context.broadcast(lookups(spec)), tuple(read), spec.n_outputs)
+
+
+def lookups(spec: ModelSpec) -> Lookups:
+    """The category lists that Python looks values up in."""
+    return Lookups({k: i.categories for k, i in enumerate(spec.inputs)
+                    if i.n_categories > MAX_CASE_CATEGORIES and i.categories is not None})
+
+
+def arguments(bound: list[BoundInput], read: tuple[int, ...] | None = None) -> tuple[list, list]:
+    """The UDF's columns, and of each (name, vector width or 0, input to look up or None)."""
+    columns, layout = [], []
+    for k in range(len(bound)) if read is None else read:
+        item = bound[k]
+        columns.append(column(item.column).cast("string") if item.has_long_vocabulary else item.floats)
+        layout.append((item.column, item.width if item.spec.is_vector else 0,
+                       k if item.has_long_vocabulary else None))
+    return columns, layout
 
 
 def add_sums(df: DataFrame, bound: list[BoundInput], prepared: Prepared, name: str) -> DataFrame:
     """Append ``name``: the sums as ``array<double>``, or a plain double for one output."""
-    shared, n_outputs = prepared.forest, prepared.n_outputs
-    columns, layout = [], []  # layout: (name, vector width or 0, categories to look up or None)
-    for item in (bound[k] for k in prepared.read):
-        lookup = item.has_long_vocabulary
-        columns.append(column(item.column).cast("string") if lookup else item.floats)
-        layout.append((item.column, item.width if item.spec.is_vector else 0,
-                       pa.array(item.spec.categories, pa.string()) if lookup else None))
+    shared, known, n_outputs = prepared.forest, prepared.lookups, prepared.n_outputs
+    columns, layout = arguments(bound, prepared.read)
 
     def sums(batches: Iterator) -> Iterator[pa.Array]:
         forest = shared.value
         for batch in batches:
-            rows = Rows(matrix(batch if isinstance(batch, tuple) else (batch,), layout))
+            rows = Rows(matrix(batch if isinstance(batch, tuple) else (batch,), layout, known.value))
             out = np.zeros((n_outputs, rows.n))
             add_trees(forest, rows, out)
             if n_outputs == 1:

@@ -10,9 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ensemblescore.functions.coerce import column
 from ensemblescore.operators.depths import node_depths
-from ensemblescore.operators.inputs import BoundInput
+from ensemblescore.operators.inputs import BoundInput, coded_by_join
 from ensemblescore.sources import schema as S
 from ensemblescore.sources.tables import ModelTables
 
@@ -65,30 +64,20 @@ def sums(points: DataFrame, tables: ModelTables) -> DataFrame:
         *POINT, outputs.alias("sums"))
 
 
-def _code_by_join(df: DataFrame, item: BoundInput, tables: ModelTables, code: str) -> DataFrame:
-    """Add the category code of a string input with a long vocabulary."""
-    value = f"{code}_value"
-    known = tables.inputs.where(F.col("name") == item.spec.name).select(
-        F.posexplode("categories").alias("pos", value)
-    ).groupBy(value).agg(F.min("pos").cast("float").alias(code))
-    nan = F.lit(float("nan")).cast("float")
-    return (df.withColumn(value, column(item.column)).join(known, value, "left").drop(value)
-            .withColumn(code, F.coalesce(code, nan)))
-
-
 def add_sums(df: DataFrame, bound: list[BoundInput], tables: ModelTables, n_outputs: int,
              name: str) -> DataFrame:
     """Append ``name``: the sums as ``array<double>``, or a plain double for one output."""
     key, keyed, parts = f"{name}_x", df, []
     for k, item in enumerate(bound):
         if item.has_long_vocabulary:
-            keyed = _code_by_join(keyed, item, tables, f"{name}_code{k}")
+            keyed = coded_by_join(keyed, item, tables, f"{name}_code{k}")
             parts.append(F.array(F.col(f"{name}_code{k}")))
         else:
             parts.append(item.array)
     features = parts[0] if len(parts) == 1 else F.concat(*parts)
-    keyed = keyed.select(*[column(c) for c in df.columns], features.alias(key))
-    model = F.lit(tables.header.head().model_id)
+    keyed = keyed.select("*", features.alias(key)).drop(*[c for c in keyed.columns if c not in df.columns])
+    # Not a literal, which Catalyst would take out of the join and leave a product of all rows.
+    model = F.when(F.size(F.col(key)) >= 0, F.lit(tables.header.head().model_id))
     points = keyed.select(model.alias("model_id"), F.col(key).alias("x")).distinct()
     scored = sums(points, tables).select(F.col("x").alias(key), F.col("sums").alias(name))
     joined = keyed.join(scored, key, "left")

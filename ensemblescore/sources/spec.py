@@ -15,9 +15,10 @@ from ensemblescore.operators.validate import refuse_broken
 from ensemblescore.sources import schema as S
 from ensemblescore.sources.tables import ModelTables
 
-# Above either bound the model stays a table and is scored by joins (plans/relational.py).
+# Above this a forest is broadcast in chunks of trees (plans/chunked.py).
 MAX_BROADCAST_NODES = 4_000_000
-MAX_BROADCAST_CHARS = 64_000_000  # all category names together
+# Above this, all category names together, strings are coded by a join with the model's table.
+MAX_BROADCAST_CHARS = 64_000_000
 
 # A model below this size is read in one round of jobs, without counting it first.
 GLANCE = 100_000
@@ -52,7 +53,7 @@ class ModelSpec:
     output_names: tuple[str, ...]
     inputs: tuple[InputSpec, ...]
     n_nodes: int
-    forest: Forest | None  # None: too large to broadcast
+    forest: Forest | None  # None: too large to broadcast whole
 
     @property
     def input_width(self) -> int:
@@ -93,13 +94,14 @@ def load_spec(tables: ModelTables, model_id: str | None = None, *,
         model_id = ids[0].model_id
     one = tables.only(model_id)
     chars = F.aggregate("categories", F.lit(0).cast("long"),
-                        lambda total, c: total + F.length(c) + 1)
+                        lambda total, c: total + F.coalesce(F.length(c), F.lit(0)) + 1)
     spark = one.nodes.sparkSession
     tree_rows, node_rows = one.trees.select("tree_id", "tree_group"), node_columns(one.nodes)
     headers, input_rows, trees, nodes = at_once(
         spark, one.header.limit(2).collect,
         one.inputs.select("ordinal", "name", "dtype", "shape", chars.alias("chars"),
-                          F.size("categories").alias("n_categories")).collect,
+                          F.size("categories").alias("n_categories"),
+                          F.exists("categories", lambda c: c.isNull()).alias("null_category")).collect,
         tree_rows.limit(GLANCE).toArrow, node_rows.limit(GLANCE).toArrow)
     whole = len(trees) < GLANCE and len(nodes) < GLANCE
     n_nodes = len(nodes) if whole else one.nodes.count()
@@ -131,17 +133,20 @@ def load_spec(tables: ModelTables, model_id: str | None = None, *,
     if not inputs:
         raise ModelError(f"model {header.model_id!r} declares no inputs")
 
-    forest, chars = None, sum(r.chars or 0 for r in input_rows)
-    if n_nodes <= max_nodes and chars <= MAX_BROADCAST_CHARS:
+    if any(row.null_category for row in input_rows):
+        raise ModelError(f"a category of {header.model_id!r} is null")
+    if sum(r.chars or 0 for r in input_rows) <= MAX_BROADCAST_CHARS:
+        strings = any(i.is_string for i in inputs)
+        for row in one.inputs.select("ordinal", "categories").collect() if strings else []:
+            if row.categories is not None:
+                inputs[row.ordinal] = replace(inputs[row.ordinal],
+                                              categories=tuple(row.categories))
+    forest = None
+    if n_nodes <= max_nodes:
         if not whole:
             trees, nodes = at_once(spark, tree_rows.toArrow, node_rows.toArrow)
-        names = one.inputs.select("ordinal", "categories").collect() if chars else []
         forest = lay_out(trees, nodes, width=sum(i.width for i in inputs),
                          n_outputs=header.n_outputs)
-        for row in names:
-            if row.categories is not None:
-                inputs[row.ordinal] = replace(inputs[row.ordinal],
-                                              categories=tuple(row.categories))
     else:
         refuse_broken(one)
     return ModelSpec(header.model_id, header.post_transform, header.n_outputs,

@@ -103,10 +103,8 @@ def test_float_literals_in_spark(spark):
         assert np.float32(row[f"c{k}"]) == v and row[f"d{k}"] == float(v)
 
 
-def test_size_decides_the_plan(spark, store, monkeypatch):
-    from ensemblescore.operators import transformer
+def test_size_decides_the_plan(spark, store):
     from ensemblescore.plans import strategy
-    from ensemblescore.sources import spec
 
     small = store([es.scalar("a")], [es.stump(0, 0.5, 1, 2)])
     df = spark.createDataFrame([(0.0,), (1.0,)], "a double")
@@ -116,12 +114,10 @@ def test_size_decides_the_plan(spark, store, monkeypatch):
         return EnsembleModel(modelPath=path).transform(df)._jdf.queryExecution().toString()
 
     assert "ArrowEvalPython" not in plan(small) and "ArrowEvalPython" in plan(large)
-    monkeypatch.setattr(transformer, "load_spec",
-                        lambda tables, model_id: spec.load_spec(tables, model_id, max_nodes=100))
-    m = EnsembleModel(modelPath=large)
+    m = EnsembleModel(modelPath=large, maxBroadcastNodes=100)
     out = m.transform(df)
     text = out._jdf.queryExecution().toString()
-    assert "ArrowEvalPython" not in text and "Join" in text
+    assert "ArrowEvalPython" in text and "Join" not in text and "Exchange" not in text
     assert sorted(r.prediction for r in out.collect()) == [64.0, 128.0]
     with pytest.raises(es.ModelError, match="too large"):
         m.setStrategy("arrow").transform(df)
@@ -147,7 +143,7 @@ def test_a_vocabulary_too_long_to_collect(spark, store, monkeypatch):
                  [es.stump(0, 100, 1, 2, missing="below"), es.stump(1, 0.5, 10, 20)])
     monkeypatch.setattr(spec, "MAX_BROADCAST_CHARS", 100)
     m = EnsembleModel.loadFile(path)
-    assert m.spec().forest is None and m.spec().inputs[0].categories is None
+    assert m.spec().inputs[0].categories is None
     df = spark.createDataFrame([("v3", 0.0), ("v150", 0.0), ("other", 1.0), (None, 1.0)],
                                "s string, a double")
     assert sorted(r.prediction for r in m.transform(df).collect()) == [11, 12, 21, 21]

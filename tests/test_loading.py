@@ -1,9 +1,11 @@
 """Eager and deferred opening, registries on disk, saving a stage."""
 
+from concurrent.futures import ThreadPoolExecutor
+
 import pytest
+from pyspark import SparkContext
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import Binarizer, VectorAssembler
-from pyspark.sql import SparkSession
 
 import ensemblescore as es
 from ensemblescore import EnsembleModel, ModelError
@@ -33,12 +35,18 @@ def test_unreadable_model_fails_at_once(spark, tmp_path):
 
 
 def test_load_file_needs_a_session(monkeypatch, regression):
-    monkeypatch.setattr(SparkSession, "getActiveSession", classmethod(lambda cls: None))
+    monkeypatch.setattr(SparkContext, "_active_spark_context", None)
     with pytest.raises(RuntimeError, match="modelPath="):
         EnsembleModel.loadFile(regression)
     assert EnsembleModel(modelPath=regression).getModelPath() == regression
 
 
+def test_load_file_in_worker_threads(spark, regression):
+    with ThreadPoolExecutor(2) as pool:
+        loaded = list(pool.map(EnsembleModel.loadFile, [regression, regression]))
+    assert [m.outputColsPerRow for m in loaded] == [1, 1]
+
+
 def test_no_path_at_all(features):
     with pytest.raises(ValueError, match="modelPath"):
         EnsembleModel().transform(features([(0.1, 0.0)]))

@@ -121,6 +121,19 @@ SQL = {
                CAST(CASE WHEN c_custkey < 250 THEN 11 WHEN c_custkey < 500 THEN 21
                          WHEN c_custkey < 1000 THEN 22 ELSE 21 END AS DOUBLE) AS prediction
         FROM customer""",
+    "forest_sum_chunked": f"SELECT {KEYS}, {total(FOREST)} AS prediction FROM lineitem",
+    "duplicate_names": f"""
+        SELECT o_orderkey, o_custkey, c_custkey, c_name, {ORDER_PRICE} AS prediction
+        FROM orders JOIN customer ON o_custkey = c_custkey""",
+    "parity_repeated_keys": """
+        WITH a AS (SELECT l_orderkey AS k, l_quantity::DOUBLE AS v, count(*) AS n FROM lineitem GROUP BY 1, 2),
+        b AS (SELECT l_orderkey AS k, (l_quantity + CASE WHEN l_linenumber = 2 THEN 0.25 ELSE 0 END)::DOUBLE AS v,
+                     count(*) AS n FROM lineitem GROUP BY 1, 2),
+        d AS (SELECT coalesce(a.k, b.k) AS k FROM a FULL JOIN b ON a.k = b.k AND a.v = b.v
+              WHERE a.n IS DISTINCT FROM b.n)
+        SELECT (SELECT count(*) FROM lineitem) AS rows_left, (SELECT count(*) FROM lineitem) AS rows_right,
+               (SELECT count(DISTINCT l_orderkey) FROM lineitem) AS keys_met,
+               count(*) AS differing_outputs, count(DISTINCT k) AS over_tolerance FROM d""",
     "const_tree": "SELECT o_orderkey, CAST(0.375 AS DOUBLE) AS prediction FROM orders",
     "forest_sum": f"SELECT {KEYS}, {total(FOREST)} AS prediction FROM lineitem",
     "forest_expr": f"SELECT {KEYS}, {total(FOREST_SMALL)} AS prediction FROM lineitem",
@@ -206,3 +219,5 @@ SQL = {
     "leaf_table_score": f"SELECT {KEYS}, {total(FOREST_SMALL)} AS prediction FROM lineitem",
     "stream_score": f"SELECT event_id, event_type, {EVENT_KIND} AS prediction FROM events",
 }
+SQL["string_input_joined"] = SQL["string_input"]
+SQL["string_and_vector_joined"] = SQL["string_and_vector"]

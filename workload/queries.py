@@ -131,6 +131,33 @@ def string_large_vocabulary(spark, sf):
         "c_custkey", "prediction")
 
 
+def string_input_joined(spark, sf):
+    """Scored by joins, as a model too large for any executor could be."""
+    return model(spark, "event_kind").setStrategy("join").transform(read(spark, sf, "events")).select(
+        "event_id", "event_type", "prediction")
+
+
+def string_and_vector_joined(spark, sf):
+    df = read(spark, sf, "customer").withColumn("v", vector_of("c_acctbal", "c_nationkey"))
+    stage = model(spark, "segment").setMaxBroadcastNodes(1).setStrategy("join")
+    return stage.transform(df).select("c_custkey", "prediction")
+
+
+def forest_sum_chunked(spark, sf):
+    """The forest in chunks of a few trees each."""
+    return model(spark, "forest").setMaxBroadcastNodes(1000).transform(
+        read(spark, sf, "lineitem")).select(*LINE, "prediction")
+
+
+def duplicate_names(spark, sf):
+    """Two columns of one name pass through scoring by position."""
+    orders = read(spark, sf, "orders").select(
+        "o_orderkey", F.col("o_custkey").alias("id"), vector_of("o_totalprice").alias("features"))
+    customers = read(spark, sf, "customer").select(F.col("c_custkey").alias("id"), "c_name")
+    scored = model(spark, "order_price").transform(orders.join(customers, orders["id"] == customers["id"]))
+    return scored.toDF("o_orderkey", "o_custkey", "features", "c_custkey", "c_name", "prediction").drop("features")
+
+
 def const_tree(spark, sf):
     return model(spark, "constant").transform(read(spark, sf, "orders")).select(
         "o_orderkey", "prediction")
@@ -272,6 +299,16 @@ def parity_report_differs(spark, sf):
     return es.parity_report(left, right, ["event_id"], tolerance=50.0)
 
 
+def parity_repeated_keys(spark, sf):
+    """An order holds many lines; one value in the middle of each order differs."""
+    df = read(spark, sf, "lineitem")
+    left = df.select("l_orderkey", F.col("l_quantity").cast("double").alias("prediction"))
+    right = df.select("l_orderkey", (F.col("l_quantity") + F.when(
+        F.col("l_linenumber") == 2, 0.25).otherwise(0.0)).cast("double").alias("prediction"))
+    return es.parity_report(left, right, ["l_orderkey"], tolerance=0.0, count_outputs=True).select(
+        "rows_left", "rows_right", "keys_met", "differing_outputs", "over_tolerance")
+
+
 def registry_score(spark, sf):
     tables = es.ModelTables.read(spark, models_path(spark)).map(
         lambda df: df.where(F.col("model_id").isin("click", "error", "purchase", "signup")))
@@ -294,9 +331,14 @@ def leaf_table_score(spark, sf):
 
 
 def stream_score(spark, sf):
-    schema = read(spark, sf, "events").schema
-    stream = (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
-              .parquet(sf))
+    table = read(spark, sf, "events")
+    # A table may be one file or a folder of part files; a stream reads folders.
+    files = table.inputFiles()
+    if len(files) == 1 and files[0].endswith("/events.parquet"):
+        stream = spark.readStream.schema(table.schema).option(
+            "pathGlobFilter", "events.parquet").parquet(sf)
+    else:
+        stream = spark.readStream.schema(table.schema).parquet(f"{sf}/events.parquet")
     out = scratch_path(spark, "stream")
     es.score_stream(model(spark, "event_kind"), stream, out, scratch_path(spark, "stream-log"),
                     columns=["event_id", "event_type", "prediction"],
@@ -309,7 +351,8 @@ QUERIES = {
         score_vector_stump, score_scalar_inputs, float_boundary, feature_ignored,
         numeric_coercion, null_as_zero, nan_default_child, nan_default_child_arrow,
         sparse_equals_dense, array_features, multi_vector_inputs, mixed_inputs, string_input,
-        string_and_vector, string_large_vocabulary, const_tree, forest_sum, forest_expr,
+        string_and_vector, string_large_vocabulary, string_input_joined, string_and_vector_joined,
+        forest_sum_chunked, duplicate_names, parity_repeated_keys, const_tree, forest_sum, forest_expr,
         softmax_proba, softmax_forest, argmax_class, argmax_tie, output_width, rename_outputs,
         rename_probability, filter_after_score, aggregate_scores, pipeline_stage,
         saved_pipeline, empty_input, partition_invariance, copy_params, deferred_load,
