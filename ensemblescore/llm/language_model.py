@@ -27,6 +27,9 @@ from ensemblescore.sources.scratch import ensure_checkpoint_dir
 #: Pseudo-count of the root's distribution in every state.
 PRIOR = 100.0
 
+#: Text in a block. Pairs of words are several arrays of a block's length at once.
+BLOCK_BYTES = 8 << 20
+
 #: Numbers of the start and the end of a text; words follow.
 START, END, FIRST = 0, 1, 2
 
@@ -196,7 +199,7 @@ def _score(n_buckets: int, totals: Totals):
 
 
 def score(df: DataFrame, held_out, key: str = "doc_id", text: str = "text",
-          block_bytes: int = blocks.BLOCK_BYTES) -> DataFrame:
+          block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Learn from the documents that are not ``held_out`` (a boolean column) and score all.
 
     One row per document: ``doc_id``, ``held_out``, ``n_tokens``, ``n_known`` (seen in
