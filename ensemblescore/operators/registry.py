@@ -1,8 +1,9 @@
 """Score rows that each name their model, against a registry of any size.
 
-Three plans give the same result. ``arrow`` broadcasts the registry and shuffles
-nothing. ``group`` brings each model to its rows by a shuffle, hot models spread
-over many groups. ``join`` walks node tables by joins and holds no model whole.
+Three plans give the same result. ``arrow`` broadcasts the registry and moves no rows,
+save for a lookup of strings or of which models read a vector. ``group`` brings each model
+to its rows by a shuffle, hot models spread over many groups. ``join`` walks node tables by
+joins and holds no model whole. A broken model fails all three before any row is scored.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from ensemblescore.operators.outputs import extended
 from ensemblescore.operators.validate import refuse_broken
 from ensemblescore.plans import relational
 from ensemblescore.sources import schema as S
+from ensemblescore.sources.scratch import ensure_checkpoint_dir
 from ensemblescore.sources.spec import MAX_BROADCAST_NODES, at_once, node_columns
 from ensemblescore.sources.tables import ModelTables
 
@@ -48,11 +50,14 @@ def score_registry(df: DataFrame, tables: ModelTables, model_id_col: str = "mode
     if model_id_col not in df.columns:
         raise InputError(f"no model id column {model_id_col!r} among {df.columns}")
     inputs = _inputs(tables, features_col)
-    (n_models, n_outputs), sources, (n_nodes, largest) = at_once(
+    (n_models, n_outputs), sources, (n_nodes, largest), bare = at_once(
         df.sparkSession,
         tables.header.agg(F.count("*"), F.max("n_outputs")).head,
         _sources(inputs, len(df.columns)).collect,
-        tables.nodes.groupBy("model_id").count().agg(F.sum("count"), F.max("count")).head)
+        tables.nodes.groupBy("model_id").count().agg(F.sum("count"), F.max("count")).head,
+        tables.header.join(tables.trees, "model_id", "left_anti").head)
+    if bare is not None:
+        raise ModelError(f"model {bare.model_id!r} has no trees")
     several = (n_outputs or 1) > 1
     appended = [StructField(prediction_col, DoubleType())]
     if several:
@@ -63,20 +68,25 @@ def score_registry(df: DataFrame, tables: ModelTables, model_id_col: str = "mode
     if plan == ARROW and (n_nodes or 0) > MAX_BROADCAST_NODES:
         raise ModelError("the registry is too large to broadcast")
     keyed, slots, width = _with_features(df, inputs, sources, n_models, model_id_col)
-    if plan == JOIN:  # nothing else would look the models over
+    if plan != ARROW:  # which looks all models over while it lays them out
         refuse_broken(tables)
     tables = _with_slots(tables, slots)
     if plan == ARROW:
         summed = _by_broadcast(keyed, tables, width)
+    elif plan == GROUP:
+        # Read once: rows get numbers that a retried task finds again, and are joined back by them.
+        ensure_checkpoint_dir(df.sparkSession)
+        keyed = keyed.withColumn("__row", F.monotonically_increasing_id()).checkpoint()
+        values = width + (n_outputs or 1)
+        summed = keyed.join(
+            _by_group(keyed, tables, width, n_nodes or 0, rows_per_group or max(
+                1, min(ROWS_PER_GROUP, VALUES_PER_GROUP // values))), "__row", "left")
     else:
         points = keyed.where("__x IS NOT NULL AND __model IS NOT NULL").select(
             F.col("__model").alias("model_id"), F.col("__x").alias("x")).distinct()
-        sums = (relational.sums(points, tables) if plan == JOIN
-                else _by_group(keyed, points, tables, width, n_nodes or 0, rows_per_group or max(
-                    1, min(ROWS_PER_GROUP, VALUES_PER_GROUP // width))))
         flags = tables.header.select(
             "model_id", (F.col("post_transform") == S.SOFTMAX).alias("softmax"))
-        scored = sums.join(flags, "model_id").select(
+        scored = relational.sums(points, tables).join(flags, "model_id").select(
             F.col("model_id").alias("__model"), F.col("x").alias("__x"),
             F.struct("sums", "softmax").alias("__s"))
         summed = keyed.join(scored, ["__model", "__x"], "left")
@@ -122,9 +132,9 @@ def _sources(inputs: DataFrame, n_columns: int) -> DataFrame:
     return inputs.groupBy("source").agg(
         F.min("model_id").alias("model_id"), F.min("text").alias("text"),
         F.min("vector").alias("vector"), F.min("width").alias("width"),
-        F.count("*").alias("readers"),
-        ((F.min("text") != F.max("text")) | (F.min("vector") != F.max("vector"))
-         | (F.min("width") != F.max("width"))).alias("mixed")).limit(n_columns + 1)
+        F.count("*").alias("readers"), F.max("width").alias("widest"),
+        ((F.min("text") != F.max("text")) | (F.min("vector") != F.max("vector"))).alias("mixed")
+    ).limit(n_columns + 1)
 
 
 def _with_features(df: DataFrame, inputs: DataFrame, sources: list, n_models: int,
@@ -138,7 +148,7 @@ def _with_features(df: DataFrame, inputs: DataFrame, sources: list, n_models: in
             raise InputError(f"model {source.model_id!r} needs column {source.source!r}, "
                              f"which is not among {df.columns}")
         if source.mixed:
-            raise ModelError(f"models disagree on the type or width of {source.source!r}")
+            raise ModelError(f"models disagree on the type of {source.source!r}")
     if not sources:
         raise ModelError("the registry declares no inputs")
 
@@ -148,15 +158,20 @@ def _with_features(df: DataFrame, inputs: DataFrame, sources: list, n_models: in
         dtype = df.schema[source.source].dataType
         coerce.require(source.source, dtype, vector=source.vector, string=source.text)
         bases.append((source.source, width))
-        width += source.width
-        if source.vector:
-            part = coerce.checked_vector(source.source, dtype, source.width)
-            if source.readers < n_models:
-                # A row whose model does not read the vector may lack it.
-                keyed = _marked(keyed, inputs, source.source, f"__read{k}")
-                absent = F.array_repeat(F.lit(float("nan")).cast("float"), source.width)
-                part = F.when(F.col(f"__read{k}"), part).otherwise(absent)
-            parts.append(part)
+        width += source.widest
+        if source.vector and source.readers == n_models and source.width == source.widest:
+            parts.append(coerce.checked_vector(source.source, dtype, source.width))
+        elif source.vector:
+            # Each model declares its own width, and a row whose model does not read the vector
+            # may lack it. The slots beyond a narrower vector are read by no split of its model.
+            keyed = _declared(keyed, inputs, source.source, f"__width{k}")
+            floats, own = coerce.vector(source.source, dtype), F.col(f"__width{k}")
+            nan, zero = F.lit(float("nan")).cast("float"), F.lit(0.0).cast("float")
+            checked = F.when(F.size(floats) == own, F.transform(floats, lambda v: F.coalesce(v, zero))).otherwise(
+                F.raise_error(F.format_string("column '%s' holds a vector of %s, the model declares %s",
+                                              F.lit(source.source), F.size(floats), own)))
+            parts.append(F.when(own.isNull(), F.array_repeat(nan, source.widest)).otherwise(
+                F.concat(checked, F.array_repeat(nan, source.widest - own))))
         elif source.text:
             keyed = _coded(keyed, inputs, source.source, f"__code{k}")
             parts.append(F.array(F.col(f"__code{k}")))
@@ -180,12 +195,11 @@ def _with_slots(tables: ModelTables, slots: DataFrame) -> ModelTables:
     return ModelTables(tables.header, tables.inputs, tables.trees, nodes)
 
 
-def _marked(df: DataFrame, inputs: DataFrame, source: str, mark: str) -> DataFrame:
-    """Does the row's model read this source?"""
-    readers = inputs.where(F.col("source") == source).select(
-        F.col("model_id").alias("__model"), F.lit(True).alias(mark)).distinct()
-    return df.join(readers, "__model", "left").withColumn(
-        mark, F.coalesce(mark, F.lit(False)))
+def _declared(df: DataFrame, inputs: DataFrame, source: str, name: str) -> DataFrame:
+    """The width that the row's model declares for this source; null if it does not read it."""
+    readers = inputs.where(F.col("source") == source).groupBy(
+        F.col("model_id").alias("__model")).agg(F.max("width").cast("int").alias(name))
+    return df.join(readers, "__model", "left")
 
 
 def _coded(df: DataFrame, inputs: DataFrame, source: str, code: str) -> DataFrame:
@@ -219,15 +233,17 @@ def _by_broadcast(keyed: DataFrame, tables: ModelTables, width: int) -> DataFram
     return keyed.select("*", sums("__model", "__x").alias("__s"))
 
 
-def _by_group(keyed: DataFrame, points: DataFrame, tables: ModelTables, width: int, n_nodes: int,
+def _by_group(keyed: DataFrame, tables: ModelTables, width: int, n_nodes: int,
               rows_per_group: int) -> DataFrame:
-    """Models meet their distinct rows in groups of bounded size.
+    """``__row`` and ``__s``: models meet the numbered rows in groups of bounded size.
 
     Most models share a group with others; one with more than ``rows_per_group``
-    rows gets several groups of its own. The group of a row follows from its
-    content, so a retried task sends it to the same place.
+    rows gets several groups of its own, and its nodes are sent to each. The group of a row
+    follows from its number, so copies of a row spread and a retried task sends it to the same place.
     """
-    counts = keyed.where("__model IS NOT NULL").groupBy(F.col("__model").alias("model_id")).count()
+    points = keyed.where("__x IS NOT NULL AND __model IS NOT NULL").select(
+        "__row", F.col("__model").alias("model_id"), F.col("__x").alias("x"))
+    counts = points.groupBy("model_id").count()
     total, most = counts.agg(F.sum("count"), F.max("count")).head()
     buckets = 1 + max((total or 0) // rows_per_group, n_nodes // NODES_PER_GROUP)
 
@@ -236,15 +252,16 @@ def _by_group(keyed: DataFrame, points: DataFrame, tables: ModelTables, width: i
     spread, models = points.withColumn("bucket", bucket), (
         node_columns(tables.nodes)
         .join(tables.trees, ["model_id", "tree_id"])
-        .join(tables.header.select("model_id", "n_outputs"), "model_id")
+        .join(tables.header.select("model_id", "n_outputs", (F.col("post_transform") == S.SOFTMAX)
+                                   .alias("softmax")), "model_id")
         .withColumn("bucket", bucket))
     if (most or 0) > rows_per_group:
         hot = counts.where(F.col("count") > rows_per_group).select(
             "model_id", F.ceil(F.col("count") / rows_per_group).cast("int").alias("parts"))
         own = F.when(F.col("parts").isNotNull(), F.col("model_id"))
         spread = spread.join(hot, "model_id", "left").select(
-            "model_id", "x", "bucket", own.alias("hot"),
-            F.pmod(F.xxhash64("x"), F.coalesce("parts", F.lit(1))).cast("int").alias("part"))
+            "__row", "model_id", "x", "bucket", own.alias("hot"),
+            F.pmod(F.xxhash64("__row"), F.coalesce("parts", F.lit(1))).cast("int").alias("part"))
         models = models.join(hot, "model_id", "left").withColumn("hot", own).withColumn(
             "part", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1))
         ).drop("parts")
@@ -252,18 +269,20 @@ def _by_group(keyed: DataFrame, points: DataFrame, tables: ModelTables, width: i
         alone = {"hot": F.lit(None).cast("string"), "part": F.lit(0)}
         spread, models = spread.withColumns(alone), models.withColumns(alone)
 
-    result = pa.schema([("model_id", pa.string()), ("x", pa.list_(pa.float32())),
-                        ("sums", pa.list_(pa.float64()))])
+    kind = pa.struct([("sums", pa.list_(pa.float64())), ("softmax", pa.bool_())])
+    result = pa.schema([("__row", pa.int64()), ("__s", kind)])
 
     def score(rows: pa.Table, nodes: pa.Table) -> pa.Table:
         if not len(rows) or not len(nodes):  # models without rows, or rows without a model
             return result.empty_table()
-        header = nodes.group_by(["model_id", "n_outputs"]).aggregate([])
+        header = nodes.group_by(["model_id", "n_outputs", "softmax"]).aggregate([])
         trees = nodes.group_by(["model_id", "tree_id", "tree_group"]).aggregate([])
         model_id, x = rows.column("model_id").combine_chunks(), rows.column("x").combine_chunks()
-        sums, _ = Models.build(header, trees, nodes, width).sums(model_id, x)
-        return pa.table([model_id, x.cast(result.field("x").type), sums], schema=result)
+        sums, model = Models.build(header, trees, nodes, width).sums(model_id, x)
+        softmax = header.column("softmax").to_numpy()[model]
+        scored = pa.StructArray.from_arrays([sums, pa.array(softmax)], fields=list(kind))
+        return pa.table([rows.column("__row"), scored], schema=result)
 
     key = ["bucket", "hot", "part"]
     return spread.groupBy(*key).cogroup(models.groupBy(*key)).applyInArrow(
-        score, "model_id string, x array<float>, sums array<double>")
+        score, "__row bigint, __s struct<sums: array<double>, softmax: boolean>")

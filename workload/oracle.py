@@ -221,3 +221,13 @@ SQL = {
 }
 SQL["string_input_joined"] = SQL["string_input"]
 SQL["string_and_vector_joined"] = SQL["string_and_vector"]
+for _plan in ("arrow", "group", "join"):
+    SQL[f"registry_mixed_widths_{_plan}"] = """
+        SELECT CAST(p_partkey AS VARCHAR) AS part, CASE WHEN p_size >= 10 THEN 0 ELSE 1 END::DOUBLE AS prediction,
+               CASE WHEN p_size >= 10 THEN p_size // 10 + 1 ELSE -1 END::INTEGER AS n_classes FROM part"""
+    SQL[f"registry_hot_model_{_plan}"] = f"""
+        WITH e AS (SELECT event_id, CASE event_type WHEN 'signup' THEN 'signup' ELSE 'click' END AS kind,
+                          floor(value / 10) * 10.0::DOUBLE AS value FROM events)
+        SELECT event_id, kind, value,
+               CASE kind WHEN 'click' THEN {case('value', 5, 1, -1)} ELSE {case('value', 20, 4, -4)} END AS prediction
+        FROM e"""

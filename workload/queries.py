@@ -316,6 +316,31 @@ def registry_score(spark, sf):
         "event_id", "event_type", "prediction")
 
 
+def _mixed_widths(strategy):
+    def query(spark, sf):
+        """Every part has a model of its own, with a vector as wide as the part is large."""
+        tables = registries.stored(spark, registries.shaped_by_part(spark, sf), "shaped")
+        df = read(spark, sf, "part").select(
+            F.col("p_partkey").cast("string").alias("part"), F.col("p_retailprice").alias("price"),
+            F.array_repeat(F.col("p_retailprice") / 1000, F.col("p_size")).alias("v"))
+        scored = es.score_registry(df, tables, "part", features_col="v", strategy=strategy)
+        return scored.select("part", "prediction", F.when(F.col("probability").isNull(), -1).otherwise(
+            F.size(vector_to_array(F.coalesce("probability", vector_of())))).alias("n_classes"))
+    return query
+
+
+def _hot_model(strategy):
+    def query(spark, sf):
+        """Most rows name one model, and many rows are equal."""
+        tables = es.ModelTables.read(spark, models_path(spark)).map(
+            lambda df: df.where(F.col("model_id").isin("click", "error", "purchase", "signup")))
+        df = read(spark, sf, "events").select(
+            "event_id", F.when(F.col("event_type") == "signup", "signup").otherwise("click").alias("kind"),
+            (F.floor(F.col("value") / 10) * 10.0).alias("value"))
+        return es.score_registry(df, tables, "kind", strategy=strategy, rows_per_group=1000)
+    return query
+
+
 def _per_user(strategy):
     def query(spark, sf):
         scored = es.score_registry(
@@ -362,4 +387,6 @@ QUERIES = {
     "registry_per_user": _per_user("auto"),
     "registry_per_user_grouped": _per_user("group"),
     "registry_per_user_joined": _per_user("join"),
+    **{f"registry_mixed_widths_{s}": _mixed_widths(s) for s in ("arrow", "group", "join")},
+    **{f"registry_hot_model_{s}": _hot_model(s) for s in ("arrow", "group", "join")},
 }
