@@ -196,11 +196,12 @@ def _answer_passages(least: int):
             shards[int(owner[i])].append(i)
         removed: dict[int, list[int]] = {}
         for members in shards.values():
+            # No two windows of one passage are equal, so one passage alone repeats nothing.
+            if len(members) == 1:
+                continue
             numbers: dict[bytes, int] = {}
             passages = [([numbers.setdefault(w, len(numbers)) for w in texts[int(code[i])].as_py().split(b" ")],
                          int(doc[i]), int(where[i])) for i in members]
-            if len(members) == 1 and len(passages[0][0]) == least:
-                continue
             for i, some in zip(members, _earlier(passages, least)):
                 if some:
                     removed[int(code[i])] = some
