@@ -30,6 +30,9 @@ from ensemblescore.llm.text import slices, sums, words
 LEAST = 20
 GRAM = 8
 
+#: Text in a block. Windows are several arrays of a block's length at once.
+BLOCK_BYTES = 8 << 20
+
 #: An anchor met at more places than this has its windows sent one by one under their own
 #: hashes, so that no shard gathers them all. It decides where windows meet, not what is found.
 CROWD = 4096
@@ -265,7 +268,7 @@ def _judged(df: DataFrame, key: str, text: str, least: int, row: list[str], bloc
 
 
 def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", least: int = LEAST,
-                   block_bytes: int = blocks.BLOCK_BYTES, crowd: int = CROWD) -> DataFrame:
+                   block_bytes: int = BLOCK_BYTES, crowd: int = CROWD) -> DataFrame:
     """One row per document: ``doc_id``, ``n_words``, ``n_removed`` and ``kept``.
 
     A word goes if it lies in a window of ``least`` consecutive words that also starts
@@ -282,7 +285,7 @@ def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", least
 
 
 def without_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", least: int = LEAST,
-                    block_bytes: int = blocks.BLOCK_BYTES, crowd: int = CROWD) -> DataFrame:
+                    block_bytes: int = BLOCK_BYTES, crowd: int = CROWD) -> DataFrame:
     """The rows of ``df`` with the words that ``remove_repeats`` leaves, in the same columns.
 
     A text that loses nothing stays as it is, white space included; one that loses all is empty.
