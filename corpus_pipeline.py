@@ -47,8 +47,8 @@ def sentencepiece_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """The ids of every document with an end id, and a digest of what they decode to."""
     ship(spark)
     model = public_tokenizers.path("piece_bpe_32k.model")
-    rows = pieces.encode(docs, model)
-    return rows.withColumn("decoded", pieces.decode(rows, "ids", model)).select(
+    rows = pieces.encode(docs, model, decoded=True)
+    return rows.select(
         "doc_id", "ids", F.size("ids").cast("bigint").alias("n_tokens"),
         F.sha2("decoded", 256).alias("decoded_sha256"))
 

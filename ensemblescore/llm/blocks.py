@@ -16,6 +16,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,7 +29,8 @@ REPLY = "block int, bucket int, payload binary"
 
 def pack(table: pa.Table) -> bytes:
     sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(
+            compression=pa.Codec("zstd", compression_level=3))) as out:
         out.write_table(table)
     return sink.getvalue().to_pybytes()
 
@@ -110,6 +112,14 @@ def in_hash_order(values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return order, hashes
 
 
+def in_bucket_order(values: pa.Array, n_buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """The order of distinct strings by bucket and then by the strings, and their buckets in that order."""
+    bucket = by_hash(string_hashes(values), n_buckets) if len(values) else np.zeros(0, np.int64)
+    order = pc.sort_indices(values).to_numpy().astype(np.int64)
+    order = order[np.argsort(bucket[order], kind="stable")]
+    return order, bucket[order]
+
+
 def ranges(buckets: np.ndarray) -> Iterator[tuple[int, slice]]:
     """(bucket, its rows) of an array of buckets in order."""
     found, starts = np.unique(buckets, return_index=True)

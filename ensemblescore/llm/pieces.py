@@ -20,6 +20,9 @@ from ensemblescore.llm.text import slices, sums
 MARK = "▁"
 _RUNS = re.compile(" +[^ ]*")
 
+#: Text in a block. Ids are several times as long as their words.
+BLOCK_BYTES = 8 << 20
+
 #: Words whose ids are joined at a time.
 _AT_ONCE = 200_000
 
@@ -70,6 +73,24 @@ def _of_block(table: pa.Table) -> tuple[pa.DictionaryArray, np.ndarray]:
     return words.dictionary_encode(), np.concatenate([n for _, n in parts] or [np.zeros(0, np.int64)])
 
 
+def _packed_ids(ids: pa.ListArray) -> bytes:
+    """Lists of ids as their lengths and their values, in the narrowest types that hold them."""
+    def whole(values):
+        values = values.to_numpy(zero_copy_only=False)
+        values = values.astype(np.min_scalar_type(int(values.max(initial=0))))
+        return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), pa.array(values))
+    return blocks.pack(pa.table({"lengths": whole(ids.value_lengths()), "ids": whole(ids.flatten())}))
+
+
+def _read_ids(replies: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Offsets and values of all lists of some replies, in their order."""
+    tables = [blocks.unpack(r) for r in replies]
+    lengths = [t["lengths"].combine_chunks().flatten().to_numpy() for t in tables]
+    values = [t["ids"].combine_chunks().flatten().to_numpy() for t in tables]
+    offsets = np.concatenate([[0], np.cumsum(np.concatenate(lengths or [[]]), dtype=np.int64)])
+    return offsets, np.concatenate([v.astype(np.int32) for v in values] or [np.zeros(0, np.int32)])
+
+
 def _joined(offsets: np.ndarray, values: np.ndarray, row: np.ndarray, counts: np.ndarray, end: int) -> pa.ChunkedArray:
     """The ids of each document's words, by position, each followed by an end id; some documents at a time."""
     first_word = np.concatenate([[0], np.cumsum(counts)])
@@ -91,8 +112,9 @@ def _joined(offsets: np.ndarray, values: np.ndarray, row: np.ndarray, counts: np
 
 
 def encode(df: DataFrame, model_path: str, key: str = "doc_id", text: str = "text",
-           block_bytes: int = blocks.BLOCK_BYTES) -> DataFrame:
+           decoded: bool = False, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """One row per document: ``doc_id`` and ``ids``, as the library encodes the whole text, and an end id.
+    With ``decoded`` also ``decoded``, the text that the library decodes the ids to.
 
     No piece crosses a white space mark (checked), so merges in one marked word never depend
     on another. Every distinct marked word of the table is segmented once; blocks of documents
@@ -107,9 +129,9 @@ def encode(df: DataFrame, model_path: str, key: str = "doc_id", text: str = "tex
 
     def asks(table):
         words = _of_block(table)[0].dictionary
-        order, hashes = blocks.in_hash_order(words)
+        order, buckets = blocks.in_bucket_order(words, n)
         words = words.take(pa.array(order))
-        for bucket, rows in blocks.ranges(blocks.by_hash(hashes, n)):
+        for bucket, rows in blocks.ranges(buckets):
             yield bucket, blocks.pack(pa.table({"word": words[rows]}))
 
     def answers(bucket, payloads):
@@ -121,33 +143,40 @@ def encode(df: DataFrame, model_path: str, key: str = "doc_id", text: str = "tex
             (w, model.encode(w)) for w in words.dictionary.to_pylist())], pa.list_(pa.int32()))
         at = 0
         for a in asked:
-            yield blocks.pack(pa.table({"ids": ids.take(words.indices[at:at + len(a)])}))
+            yield _packed_ids(ids.take(words.indices[at:at + len(a)]))
             at += len(a)
 
     def finishes(table, replies):
         words, counts = _of_block(table)
-        order, _ = blocks.in_hash_order(words.dictionary)
-        ids = pa.chunked_array([c for r in replies for c in blocks.unpack(r)["ids"].chunks],
-                               pa.list_(pa.int32())).combine_chunks()
+        order, _ = blocks.in_bucket_order(words.dictionary, n)
+        offsets, values = _read_ids(replies)
         place = np.empty(len(order), np.int64)
         place[order] = np.arange(len(order))
         row = place[words.indices.to_numpy(zero_copy_only=False)]
-        end = _opened(shared.value).eos_id()
-        out = _joined(ids.offsets.to_numpy().astype(np.int64), ids.values.to_numpy(), row, counts, end)
-        return pa.table({"doc_id": table["doc_id"], "ids": out})
+        model = _opened(shared.value)
+        del words
+        ids = _joined(offsets, values, row, counts, model.eos_id())
+        out = {"doc_id": table["doc_id"], "ids": ids}
+        if decoded:
+            out["decoded"] = pa.chunked_array([_decoded(model, c) for c in ids.chunks], pa.string())
+        return pa.table(out)
 
     replies = blocks.answer(blocks.ask(dealt, asks), n, lambda b, p: list(answers(b, p)))
     kind = df.select(df[key]).schema[0].dataType.simpleString()
-    return blocks.finish(dealt, replies, f"doc_id {kind}, ids array<int>", finishes)
+    text_too = ", decoded string" if decoded else ""
+    return blocks.finish(dealt, replies, f"doc_id {kind}, ids array<int>{text_too}", finishes)
+
+
+def _decoded(model: sentencepiece.SentencePieceProcessor, ids: pa.ListArray) -> pa.Array:
+    """Texts of lists of ids; one list at a time becomes Python numbers."""
+    offsets, values, null = ids.offsets.to_numpy(), ids.values.to_numpy(), ids.is_null().to_numpy(zero_copy_only=False)
+    return pa.array([None if none else model.decode(values[lo:hi].tolist())
+                     for none, lo, hi in zip(null, offsets, offsets[1:])], pa.string())
 
 
 def _decoder(shared: Broadcast):
     def run(ids: pa.Array) -> pa.Array:
-        model = _opened(shared.value)
-        offsets, values, null = ids.offsets.to_numpy(), ids.values.to_numpy(), ids.is_null().to_numpy(zero_copy_only=False)
-        # One document's ids are Python numbers at a time.
-        return pa.array((None if none else model.decode(values[lo:hi].tolist())
-                         for none, lo, hi in zip(null, offsets, offsets[1:])), pa.string())
+        return _decoded(_opened(shared.value), ids)
     return run
 
 

@@ -38,8 +38,8 @@ def op2_simhash(spark, sf_dir):
 
 def op3_sentencepiece(spark, sf_dir):
     model = public_tokenizers.path("piece_bpe_32k.model")
-    rows = pieces.encode(read(spark, sf_dir, "documents"), model)
-    return rows.withColumn("decoded", pieces.decode(rows, "ids", model)).select(
+    rows = pieces.encode(read(spark, sf_dir, "documents"), model, decoded=True)
+    return rows.select(
         "doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))
