@@ -43,7 +43,8 @@ def test_params_are_documented():
     m = EnsembleModel()
     assert isinstance(m, Params)
     assert {p.name for p in m.params} == {
-        "modelPath", "modelId", "featuresCol", "predictionCol", "probabilityCol", "strategy"}
+        "modelPath", "modelId", "featuresCol", "predictionCol", "probabilityCol", "strategy",
+        "maxBroadcastNodes"}
     assert all(p.doc for p in m.params)
     with pytest.raises(TypeError):
         m.setFeaturesCol(3)
