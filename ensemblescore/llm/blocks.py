@@ -11,6 +11,7 @@ to the same rows.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -36,8 +37,11 @@ def pack(table: pa.Table) -> bytes:
 
 
 def _let_go(rows: pa.Table) -> pa.Table:
-    """Give back what Arrow holds beyond ``rows``: workers live on from group to group."""
+    """Give back what Arrow and the C library hold beyond ``rows``: workers live on from group to group."""
     pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim is not None:
+        trim(0)
     return rows
 
 
@@ -175,5 +179,5 @@ def finish(blocks: DataFrame, replies: DataFrame, schema: str,
     """Each block's documents with its replies, in the order of buckets, turned into result rows."""
     def run(left, right):
         rows = finishes(documents(left), _in_order(right))
-        return pa.table([_nullable(c.combine_chunks()) for c in rows.columns], names=rows.column_names)
+        return _let_go(pa.table([_nullable(c.combine_chunks()) for c in rows.columns], names=rows.column_names))
     return blocks.groupBy("block").cogroup(replies.where("block >= 0").groupBy("block")).applyInArrow(run, schema)
