@@ -1,12 +1,14 @@
-"""Embedding near-duplicates by sorted projection passes.
-
-Each pass orders the vectors by the signs of random projections, concatenated to one number,
-and compares every vector with a bounded number of neighbours in that order; verified pairs of
-all passes are joined to components. Windows alone would lose links inside dense groups
-larger than a window, so the links inside each component are then counted in full: by the
-triangle inequality two vectors whose angles to the component's centre add up to less
-than the threshold angle are linked, and only bins of angles that this leaves open are
-compared vector by vector, in bounded blocks.
+"""Embedding near-duplicates by projection passes, exact wherever signatures crowd.
+
+Each pass deals the vectors to buckets by the signs of random projections and compares all
+vectors of a bucket with each other. The number of signs follows the number of vectors, the
+number of passes the chance that a linked pair shares no bucket, which depends on its angle
+only, not on what else is near. Vectors of buckets too large for one block are instead
+compared with all others of that kind, in blocks around pivots; blocks further apart than a
+link can reach, by the triangle inequality, are left out. Verified pairs are joined to
+components, and the links inside each component are counted in full: two vectors whose angles
+to the component's centre add up to less than the threshold angle are linked, and only bins
+of angles that this leaves open are compared vector by vector, in bounded blocks.
 """
 
 from __future__ import annotations
@@ -25,14 +27,21 @@ from ensemblescore.sources.scratch import ensure_checkpoint_dir
 
 THRESHOLD = 0.95
 
-#: Passes, sign bits of one pass, and neighbours compared on either side. Among n vectors of random
-#: directions a pair at angle a is missed by all passes with a chance of about
-#: (1 - (1 - a / pi) ** log2(n / WINDOW)) ** PASSES: for a cosine of 0.95 that is 0.003 for a million
-#: and 0.15 for a billion, for 0.98 in a billion 0.005. More passes lower it at the same memory.
+#: Least passes, most sign bits of one pass, and vectors in a bucket if signatures are even.
 PASSES, BITS, WINDOW = 24, 48, 48
+
+#: The chance that all passes miss a pair just at the threshold. Of n vectors a pair at angle a shares
+#: a bucket of one pass with a chance of (1 - a / pi) ** log2(n / WINDOW), however others lie.
+MISS = 0.001
+
+#: Vectors of a bucket compared in one task; those of larger ones are compared by pivots.
+CROWD = 4096
+
+#: Pivots at most, numbers in all of them at most, vectors in a block of one pivot.
+PIVOTS, PIVOT_NUMBERS, PART = 1024, 1 << 22, 4096
 SEED = 17
 
-#: Vectors in a block of neighbours, and in a block of one angle's bin; the width of a bin.
+#: Vectors of buckets that share a task, and in a block of one angle's bin; the width of a bin.
 BLOCK, BIN_BLOCK, BIN = 2048, 1024, 0.001
 _SLACK = 1e-7
 
@@ -65,54 +74,124 @@ def _signatures(passes: int, bits: int) -> Column:
     return F.arrow_udf(run, "array<bigint>")("v")
 
 
-def _neighbour_links(threshold: float, window: int):
-    """Links of one block of neighbours, reduced to one from each vector to its group's first."""
+def _joined(unit: np.ndarray, widths: np.ndarray, threshold: float, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """For every vector the first of its group, by all links between two sets of them."""
+    labels = np.arange(len(unit))
+    for lo in range(0, len(left), 512):
+        some = left[lo:lo + 512]
+        near = (unit[some] @ unit[right].T >= threshold) & (widths[some][:, None] == widths[right])
+        for k in np.flatnonzero(near.any(axis=1)).tolist():
+            met = np.append(labels[right[near[k]]], labels[some[k]])
+            if (met != met[0]).any():
+                to = np.arange(len(unit))
+                to[met] = met.min()
+                labels = to[labels]
+    return labels
+
+
+def _stars(node: np.ndarray, labels: np.ndarray) -> pa.Table:
+    linked = labels != np.arange(len(labels))
+    return pa.table({"a": node[linked], "b": node[labels[linked]]})
+
+
+def _bucket_links(threshold: float):
+    """Links of some buckets, reduced to one from each vector to its group's first."""
     def run(table):
-        table = table.sort_by("rank")
+        table = table.sort_by([(c, "ascending") for c in ("pass", "signs", "node")])
         unit, widths = _matrix(table["v"])
-        parent = list(range(len(unit)))
-
-        def root(i):
-            while parent[i] != i:
-                parent[i] = parent[parent[i]]
-                i = parent[i]
-            return i
-
-        for d in range(1, min(window, len(unit) - 1) + 1):
-            near = (np.einsum("ij,ij->i", unit[:-d], unit[d:]) >= threshold) & (widths[:-d] == widths[d:])
-            for i in np.flatnonzero(near).tolist():
-                a, b = root(i), root(i + d)
-                if a != b:
-                    parent[max(a, b)] = min(a, b)
-        node = table["node"].to_numpy()
-        roots = np.array([root(i) for i in range(len(unit))], np.int64)
-        linked = roots != np.arange(len(unit))
-        return pa.table({"a": node[linked], "b": node[roots[linked]]})
+        which, signs = table["pass"].to_numpy(), table["signs"].to_numpy()
+        starts = np.flatnonzero((np.diff(which, prepend=-1) != 0) | (np.diff(signs, prepend=-1) != 0))
+        labels = np.arange(len(unit))
+        for lo, hi in zip(starts.tolist(), [*starts[1:].tolist(), len(unit)]):
+            if hi - lo > 1:
+                own = np.arange(hi - lo)
+                labels[lo:hi] = lo + _joined(unit[lo:hi], widths[lo:hi], threshold, own, own)
+        return _stars(table["node"].to_numpy(), labels)
     return run
 
 
+def _pair_links(threshold: float):
+    """The same between two blocks, or within one."""
+    def run(table):
+        table = table.sort_by([("side", "ascending"), ("node", "ascending")])
+        unit, widths = _matrix(table["v"])
+        left, right = (np.flatnonzero(table["side"].to_numpy() == s) for s in (0, 1))
+        return _stars(table["node"].to_numpy(), _joined(unit, widths, threshold, left, right if len(right) else left))
+    return run
+
+
+def _widened(rows: np.ndarray, width: int) -> np.ndarray:
+    return np.pad(rows, ((0, 0), (0, width - rows.shape[1])))
+
+
+def _nearest(pivots: np.ndarray) -> Column:
+    """The nearest pivot and the angle to it; shorter vectors count as padded with zeros."""
+    def run(vectors: pa.Array) -> pa.Array:
+        unit, _ = _matrix(vectors)
+        width = max(unit.shape[1], pivots.shape[1])
+        cosine = _widened(unit, width) @ _widened(pivots, width).T
+        cell = cosine.argmax(axis=1) if len(unit) else np.zeros(0, np.int64)
+        angle = np.arccos(np.clip(cosine[np.arange(len(unit)), cell], -1, 1))
+        return pa.StructArray.from_arrays([pa.array(cell, pa.int64()), pa.array(angle)], ["cell", "angle"])
+    return F.arrow_udf(run, "struct<cell:bigint,angle:double>")("v")
+
+
+def _crowded_links(rows: DataFrame, threshold: float) -> DataFrame:
+    """Links that join every group among all (node, h1, v), by comparing every two blocks in reach."""
+    spark = rows.sparkSession
+    rows = rows.checkpoint()
+    n, width = rows.agg(F.count("*"), F.max(F.size("v"))).first()
+    if not n:
+        return spark.createDataFrame([], "a bigint, b bigint")
+    wanted = max(1, min(PIVOTS, PIVOT_NUMBERS // width, n // PART))
+    found = [r["v"] for r in rows.orderBy("h1", "node").limit(wanted).select("v").collect()]
+    pivots, _ = _matrix(pa.array(found, pa.list_(pa.float64())))
+    placed = rows.select("node", "v", _nearest(pivots).alias("at")).select("node", "v", "at.*").checkpoint()
+    cells = placed.groupBy("cell").agg(F.count("*").alias("n"), F.max("angle").alias("radius")).collect()
+    cell, size, radius = (np.array([r[c] for r in cells]) for c in ("cell", "n", "radius"))
+    parts = -(-size // PART)
+    apart = np.arccos(np.clip(pivots[cell] @ pivots[cell].T, -1, 1))
+    # Arc cosines are good to about 1e-8 near 0.
+    reach = apart <= radius[:, None] + radius + math.acos(threshold) + 1e-6
+    i, j = np.nonzero(reach & (cell[:, None] <= cell))
+    pairs = spark.createDataFrame(pa.table({"i": cell[i], "j": cell[j], "ni": parts[i], "nj": parts[j]}))
+    for side in "ij":
+        pairs = pairs.withColumn(f"s{side}", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(f"n{side}") - 1)))
+    pairs = pairs.where("i < j or si <= sj")
+    dealt = placed.join(spark.createDataFrame(pa.table({"cell": cell, "parts": parts})), "cell").withColumn(
+        "part", F.pmod(F.xxhash64("node"), F.col("parts")))
+
+    def side(pairs, which, number):
+        return pairs.join(dealt.select(F.col("cell").alias(which), F.col("part").alias(f"s{which}"), "node", "v"),
+                          [which, f"s{which}"]).select("i", "si", "j", "sj", F.lit(number).alias("side"), "node", "v")
+
+    both = side(pairs, "i", 0).unionByName(side(pairs.where("i < j or si < sj"), "j", 1))
+    return both.groupBy("i", "si", "j", "sj").applyInArrow(_pair_links(threshold), "a bigint, b bigint")
+
+
+def _plan(n: int, threshold: float, passes: int, bits: int, window: int) -> tuple[int, int]:
+    """Passes and sign bits for so many vectors; up to CROWD of them make one bucket, compared whole."""
+    if n <= CROWD:
+        return 1, 0
+    bits = min(bits, max(0, math.ceil(math.log2(n / window))))
+    missed = 1 - (1 - math.acos(threshold) / math.pi) ** bits
+    return (max(passes, math.ceil(math.log(MISS) / math.log(missed))) if 0 < missed < 1 else passes), bits
+
+
 def _links(classes: DataFrame, threshold: float, passes: int, bits: int, window: int) -> DataFrame:
     """Links that join every group found by any pass."""
-    signs = classes.select("node", F.posexplode(_signatures(passes, bits)).alias("pass", "signs"))
-    n = max(1, min(2000, classes.rdd.getNumPartitions() * 2))
-    order = ["pass", "signs", "node"]
-    placed = signs.repartitionByRange(n, *order).sortWithinPartitions(*order).select(
-        "node", F.monotonically_increasing_id().alias("at")).checkpoint()
-    # An id counts within its partition; the partitions' sizes, one row each, make it a rank.
-    part = F.shiftright("at", 33).cast("int")
-    sizes = {r["part"]: r["n"] for r in placed.groupBy(part.alias("part")).agg(F.count("*").alias("n")).collect()}
-    before, total = [], 0
-    for p in range(max(sizes, default=0) + 1):
-        before.append(F.lit(total).cast("bigint"))
-        total += sizes.get(p, 0)
-    rank = F.element_at(F.array(*before), part + 1) + F.col("at").bitwiseAND(F.lit((1 << 33) - 1))
-    ranked = placed.select("node", rank.alias("rank"))
-    block = F.floor(F.col("rank") / BLOCK)
-    halo = (F.col("rank") % BLOCK < window) & (F.col("rank") >= BLOCK)
-    dealt = ranked.select("node", "rank", F.explode(F.when(halo, F.array(block, block - 1)).otherwise(
-        F.array(block))).alias("block"))
-    return dealt.join(classes.select("node", "v"), "node").groupBy("block").applyInArrow(
-        _neighbour_links(threshold, window), "a bigint, b bigint")
+    n = classes.count()
+    passes, bits = _plan(n, threshold, passes, bits, window)
+    signs = classes.select("node", F.posexplode(_signatures(passes, bits)).alias("pass", "signs")).checkpoint()
+    large = signs.groupBy("pass", "signs").agg(F.count("*").alias("n")).where(F.col("n") > CROWD).select(
+        "pass", "signs").checkpoint()
+    groups = max(1, math.ceil(n * passes / BLOCK))
+    dealt = signs.join(large, ["pass", "signs"], "left_anti").withColumn(
+        "deal", F.pmod(F.xxhash64("pass", "signs"), F.lit(groups)))
+    links = dealt.join(classes.select("node", "v"), "node").groupBy("deal").applyInArrow(
+        _bucket_links(threshold), "a bigint, b bigint")
+    crowded = signs.join(large, ["pass", "signs"], "left_semi").select("node").distinct()
+    return links.unionByName(_crowded_links(classes.join(crowded, "node").select("node", "h1", "v"), threshold))
 
 
 def _angle() -> Column:
@@ -206,7 +285,8 @@ def near_vectors(df: DataFrame, key: str = "vec_id", vector: str = "embedding",
     ``component_id`` is the smallest key reachable by links; ``kept`` says that it is the row's
     own. Vectors that are null, empty, zero or hold a null or non-finite component link with
     nothing, nor do rows with a null key, nor vectors of different widths. Copies meet in
-    one class first. Repeated rows are kept, and an empty table gives no rows.
+    one class first. Repeated rows are kept, and an empty table gives no rows. At least ``passes``
+    passes of at most ``bits`` signs run, with buckets of about ``window`` vectors.
     """
     ensure_checkpoint_dir(df.sparkSession)
     v = F.col("v")

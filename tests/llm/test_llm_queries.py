@@ -1,5 +1,6 @@
 """Every query against its SQL, or against brute force where SQL cannot say it, on whole tables."""
 
+import math
 import os
 from collections import Counter
 
@@ -7,6 +8,7 @@ import brute
 import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 import tokenizers
@@ -129,6 +131,31 @@ def test_embeddings_find_dense_groups_whole(spark):
     assert sum(g[1] for g in got) >= 0.99 * sum(w[1] for w in want)
 
 
+def test_embeddings_find_pairs_in_a_hot_topic(spark):
+    """100,000 vectors at mutual cosine 0.85; only the planted pairs, at 0.955, are linked."""
+    rng = np.random.default_rng(11)
+    n, pairs, width = 100_000, 300, 64
+    topic = np.eye(1, width)[0]
+
+    def across(v, *others):
+        for o in others:
+            v = v - (v * o).sum(axis=-1, keepdims=True) * o
+        return v / np.linalg.norm(v, axis=-1, keepdims=True)
+
+    own = across(rng.standard_normal((n, width)), topic)
+    first = own[:pairs]
+    inner = (0.955 - 0.85) / 0.15
+    own[pairs:2 * pairs] = inner * first + math.sqrt(1 - inner ** 2) * across(
+        rng.standard_normal((pairs, width)), topic, first)
+    vectors = math.sqrt(0.85) * topic + math.sqrt(0.15) * own
+    values = pa.FixedSizeListArray.from_arrays(pa.array(vectors.ravel()), width).cast(pa.list_(pa.float64()))
+    df = spark.createDataFrame(pa.table({"vec_id": np.arange(n), "embedding": values}))
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embeddings.near_vectors(df).where(f"vec_id < {2 * pairs}").collect()}
+    want = vectors[:2 * pairs] @ vectors.T >= embeddings.THRESHOLD
+    assert {k: v[0] for k, v in got.items()} == {k: int(want[k].sum()) - 1 for k in range(2 * pairs)}
+    assert all(got[k][1] == got[k + pairs][1] for k in range(pairs))
+
+
 @pytest.mark.parametrize("crowd", [substrings.CROWD, 2])
 def test_substrings(spark, documents, crowd):
     df = spark.read.parquet(f"{SF}/documents.parquet")
