@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import VectorUDT
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ensemblescore.errors import InputError
 from ensemblescore.functions.coerce import column
 from ensemblescore.functions.post import argmax
+from ensemblescore.sources.scratch import ensure_checkpoint_dir
+
+#: Ranks of one value made at once.
+RANKS = 1 << 16
 
 
 def _difference(a: Column, b: Column) -> Column:
@@ -30,6 +34,48 @@ def _largest_difference(a: Column, b: Column) -> Column:
         F.array_max(F.zip_with(a, b, _difference)))
 
 
+def _ranks(runs: DataFrame, before: Column, count: str, until: Column, *keep: Column) -> DataFrame:
+    """One row for each of the ``count`` places of a value among its side's sorted outputs."""
+    end = before + until
+    start = end - F.col(count)
+    steps = F.explode(F.sequence(F.floor(start / RANKS), F.floor((end - 1) / RANKS)))
+    return runs.where(F.col(count) > 0).select(*keep, start.alias("start"), end.alias("end"), steps.alias("step")).select(
+        "*", F.explode(F.sequence(F.greatest("start", F.col("step") * RANKS),
+                                  F.least("end", (F.col("step") + 1) * RANKS) - 1)).alias("rank")).drop("start", "end", "step")
+
+
+def _matched(runs: DataFrame, names: list[str], compare) -> DataFrame:
+    """``diff`` of every key of (names, value, more_a, more_b), its outputs paired in sorted order.
+
+    Every key has as many outputs on one side as on the other, so places counted over all
+    keys pair the same keys, and ranges of keys and values are counted apart."""
+    order = [*names, "value"]
+    placed = runs.repartitionByRange(*order).withColumn("chunk", F.spark_partition_id()).checkpoint()
+    sizes = {r["chunk"]: r for r in placed.groupBy("chunk").agg(
+        F.sum("more_a").alias("a"), F.sum("more_b").alias("b")).collect()}
+    window = Window.partitionBy("chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    placed = placed.withColumn("until_a", F.sum("more_a").over(window)).withColumn(
+        "until_b", F.sum("more_b").over(window))
+
+    def before(side):
+        sums, total = [], 0
+        for chunk in range(max(sizes, default=0) + 1):
+            sums.append(F.lit(total).cast("bigint"))
+            total += sizes[chunk][side] if chunk in sizes else 0
+        return F.element_at(F.array(*sums), F.col("chunk") + 1)
+
+    a = _ranks(placed, before("a"), "more_a", F.col("until_a"), *map(F.col, names), F.col("value").alias("a"))
+    b = _ranks(placed, before("b"), "more_b", F.col("until_b"), F.col("value").alias("b"))
+    return a.join(b, "rank").groupBy(*names).agg(F.max(compare(F.col("a"), F.col("b"))).alias("diff"))
+
+
+def _classes(runs: DataFrame, names: list[str]) -> DataFrame:
+    """``disagree`` of every key: whether one side has some argmax more often."""
+    per_class = runs.groupBy(*names, argmax(F.col("value")).alias("top")).agg(
+        F.sum(F.col("more_a") - F.col("more_b")).alias("more"))
+    return per_class.groupBy(*names).agg(F.max(F.col("more") != 0).alias("disagree"))
+
+
 def parity_report(left: DataFrame, right: DataFrame, keys: list[str], *,
                   output: str = "prediction", tolerance: float = 1e-5,
                   count_outputs: bool = False) -> DataFrame:
@@ -37,10 +83,13 @@ def parity_report(left: DataFrame, right: DataFrame, keys: list[str], *,
 
     Both sides are reduced per key and output before they meet, so a key held by many rows
     is counted in ``repeated_keys`` instead of being paired with itself. Outputs that a key
-    has equally often on both sides are settled; what is left is compared as a range, so
-    any difference between its rows shows. With ``count_outputs`` there is one more column,
-    ``differing_outputs``: the pairs of key and output that one side has more often, exactly.
+    has equally often on both sides are settled; what is left is paired in sorted order, vectors
+    by their first unequal component, and argmaxes disagree if one is more frequent. A key with more rows on one side is
+    in ``uneven_keys``; its smallest and largest outputs are compared. With ``count_outputs``
+    there is one more column, ``differing_outputs``: the pairs of key and output that one
+    side has more often, exactly. Outputs are reduced, once, when this is called.
     """
+    ensure_checkpoint_dir(left.sparkSession)
     for df, side in ((left, "left"), (right, "right")):
         missing = [c for c in [*keys, output] if c not in df.columns]
         if missing:
@@ -62,7 +111,7 @@ def parity_report(left: DataFrame, right: DataFrame, keys: list[str], *,
     both = tagged(left, "a", "b").unionByName(tagged(right, "b", "a"))
     names = [f"k{i}" for i in range(len(keys))]
     per_output = both.groupBy(*names, F.coalesce("a", "b").alias("value")).agg(
-        F.sum("in_a").alias("in_a"), F.sum("in_b").alias("in_b"))
+        F.sum("in_a").alias("in_a"), F.sum("in_b").alias("in_b")).checkpoint()
     value = F.col("value")
 
     def left_over(mine, other):
@@ -73,13 +122,17 @@ def parity_report(left: DataFrame, right: DataFrame, keys: list[str], *,
         F.sum(F.when(value.isNotNull(), F.col("in_a")).otherwise(0)).alias("valued_a"),
         F.sum(F.when(value.isNotNull(), F.col("in_b")).otherwise(0)).alias("valued_b"),
         F.count_if(F.col("in_a") != F.col("in_b")).alias("differing"),
+        *[F.count(left_over(f"in_{s}", f"in_{o}")).alias(f"runs_{s}") for s, o in ("ab", "ba")],
         *[f(F.when(F.col(f"in_{s}") > 0, value)).alias(f"all_{n}_{s}")
           for s in "ab" for n, f in (("min", F.min), ("max", F.max))],
         *[f(left_over(f"in_{s}", f"in_{o}")).alias(f"left_{n}_{s}")
           for s, o in ("ab", "ba") for n, f in (("min", F.min), ("max", F.max))])
     even = F.col("n_a") == F.col("n_b")
+    # One value against several numbers differs most at their ends; one against one, anyhow.
+    several = (F.greatest if vector else F.least)("runs_a", "runs_b") > 1
+    paired = even & (F.col("valued_a") == F.col("valued_b")) & several
     per_key = per_key.select(
-        "n_a", "n_b", "valued_a", "valued_b", "differing",
+        *names, "n_a", "n_b", "valued_a", "valued_b", "differing", paired.alias("paired"),
         *[F.when(even, F.col(f"left_{n}_{s}")).otherwise(F.col(f"all_{n}_{s}")).alias(f"{n}_{s}")
           for s in "ab" for n in ("min", "max")])
     met = (F.col("n_a") > 0) & (F.col("n_b") > 0)
@@ -96,8 +149,20 @@ def parity_report(left: DataFrame, right: DataFrame, keys: list[str], *,
     def total(test):
         return F.coalesce(F.sum(F.when(test, 1).otherwise(0)), F.lit(0)).cast("long")
 
-    return per_key.select("n_a", "n_b", "differing", met.alias("met"), diff.alias("diff"),
-                          F.coalesce(disagree, F.lit(False)).alias("disagree")).agg(
+    found = per_key.select("n_a", "n_b", "differing", met.alias("met"),
+                           F.when(~F.col("paired"), diff).alias("diff"),
+                           (~F.col("paired") & F.coalesce(disagree, F.lit(False))).alias("disagree"))
+    keyed = per_key.where("paired").select(*[F.col(k).alias(f"p{k}") for k in names])
+    same = F.lit(True)
+    for k in names:
+        same = same & F.col(k).eqNullSafe(F.col(f"p{k}"))
+    runs = per_output.where(value.isNotNull() & (F.col("in_a") != F.col("in_b"))).join(keyed, same, "left_semi").select(
+        *names, "value", *[F.greatest(F.col(f"in_{s}") - F.col(f"in_{o}"), F.lit(0)).cast("bigint").alias(f"more_{s}")
+                           for s, o in ("ab", "ba")])
+    found = found.unionByName(_matched(runs, names, compare).select("diff"), allowMissingColumns=True)
+    if vector:
+        found = found.unionByName(_classes(runs, names).select("disagree"), allowMissingColumns=True)
+    return found.agg(
         F.coalesce(F.sum("n_a"), F.lit(0)).cast("long").alias("rows_left"),
         F.coalesce(F.sum("n_b"), F.lit(0)).cast("long").alias("rows_right"),
         total(F.col("met")).alias("keys_met"),

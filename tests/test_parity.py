@@ -1,6 +1,8 @@
 """The parity report counts what it should and never pairs copies."""
 
 import pytest
+from pyspark.ml.linalg import Vectors, VectorUDT
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 import ensemblescore as es
 
@@ -32,6 +34,26 @@ def test_missing_outputs_are_rows_too(spark):
     assert r["over_tolerance"] == 1
 
 
+def test_noise_does_not_hide_a_changed_value(spark):
+    noisy = [(k, v + 1e-6) for k in (None, 1, 2) for v in (1.0, 2.9 if k == 1 else 2.0, 3.0)]
+    r = report(spark, [(k, v) for k in (None, 1, 2) for v in (1.0, 2.0, 3.0)], noisy)
+    assert r["max_abs_diff"] == pytest.approx(0.900001) and r["over_tolerance"] == 1
+    # Values held by many rows, in unlike numbers on the two sides.
+    r = report(spark, [(1, 1.0)] * 300 + [(1, 5.0)] * 100, [(1, 1.5)] * 100 + [(1, 4.0)] * 300)
+    assert (r["max_abs_diff"], r["over_tolerance"]) == (3.0, 1)
+
+
+def test_noise_does_not_hide_a_changed_vector(spark):
+    def scored(rows):
+        return spark.createDataFrame([(1, Vectors.dense(v)) for v in rows], StructType([
+            StructField("k", IntegerType()), StructField("prediction", VectorUDT())]))
+
+    a = scored([(0.1, 0.9), (0.6, 0.4), (0.8, 0.2)])
+    b = scored([(0.1 + 1e-7, 0.9), (0.3, 0.7), (0.8 + 1e-7, 0.2)])
+    r = es.parity_report(a, b, ["k"]).head()
+    assert (r.max_abs_diff, r.over_tolerance, r.argmax_disagreements) == (pytest.approx(0.3), 1, 1)
+
+
 def test_empty_sides(spark):
     r = report(spark, [], [(1, 1.0)])
     assert (r["rows_left"], r["rows_right"], r["only_right"], r["max_abs_diff"]) == (0, 1, 1, None)
