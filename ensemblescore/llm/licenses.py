@@ -1,7 +1,7 @@
 """License scans: phrases at their places, and templates found by an exact set-similarity join.
 
 A block of words holds a template if at least ``THRESHOLD`` of the template's distinct words
-are in it. Words are ordered by how many documents hold them, rarest first, counted over the
+are in it, and all words that tell it from its neighbours. Words are ordered by how many documents hold them, rarest first, counted over the
 whole table. A block that meets the threshold must hold one of the first words of the
 template's order (its prefix), so blocks without one are never looked at; the number of a
 block's template words (length) and what can still follow in order (position) bound the
@@ -29,21 +29,22 @@ PHRASES = {
     "cc by nc": "cc-by-nc",
 }
 
-#: Fixed template texts and their labels.
+#: Labels, fixed template texts and the words of each that no block may lack.
 TEMPLATES = (
-    ("mit", "released under the mit license"),
-    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software"),
-    ("apache-2", "licensed under the apache license version 2 0"),
-    ("gpl-3", "licensed under the gnu general public license version 3"),
-    ("gpl", "under the terms of the gnu general public license as published by the free software foundation"),
-    ("cc-by-nc", "licensed under cc by nc 4 0"),
-    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted"),
+    ("mit", "released under the mit license", "mit"),
+    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software", "obtaining"),
+    ("apache-2", "licensed under the apache license version 2 0", "apache 2"),
+    ("gpl-3", "licensed under the gnu general public license version 3", "gnu 3"),
+    ("gpl", "under the terms of the gnu general public license as published by the free software foundation", "gnu"),
+    ("cc-by-nc", "licensed under cc by nc 4 0", "cc by nc"),
+    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted",
+     "redistribution"),
 )
 
 THRESHOLD = 0.8
 
-#: Words in a block, and from one block to the next; any text as long as a template lies in one.
-BLOCK, STRIDE = 40, 20
+#: Words from one block to the next, at least; a block is two of them.
+STRIDE = 20
 
 _LOWER_OR_SPACE = bytes(c if chr(c).isdigit() and c < 0x80 or 0x61 <= c <= 0x7A or c >= 0x80 else
                         c + 32 if 0x41 <= c <= 0x5A else 0x20 for c in range(256))
@@ -68,17 +69,22 @@ class Template:
     label: str
     words: tuple[int, ...]
     need: int
+    required: tuple[int, ...]
 
 
 class Templates:
     """Templates over numbered words, the rarest word first."""
 
     def __init__(self, texts, threshold: float, frequency: dict[str, int]):
-        sets = [(label, sorted(set(text.split()))) for label, text in texts]
-        vocabulary = sorted({w for _, s in sets for w in s}, key=lambda w: (frequency.get(w, 0), w))
+        sets = [(label, sorted(set(text.split())), sorted({w for r in required for w in r.split()}))
+                for label, text, *required in texts]
+        vocabulary = sorted({w for _, s, r in sets for w in [*s, *r]}, key=lambda w: (frequency.get(w, 0), w))
         self.numbers = {w: i for i, w in enumerate(vocabulary)}
         self.templates = [Template(label, tuple(sorted(self.numbers[w] for w in s)),
-                                   math.ceil(threshold * len(s) - 1e-9)) for label, s in sets if s]
+                                   math.ceil(threshold * len(s) - 1e-9), tuple(self.numbers[w] for w in r))
+                          for label, s, r in sets if s]
+        # Any text as long as a template lies in one block.
+        self.stride = max([STRIDE, *(len(text.split()) - 1 for _, text, *_ in texts)])
         self.prefix = sorted({w for t in self.templates for w in t.words[:len(t.words) - t.need + 1]})
         self.least = min((t.need for t in self.templates), default=1)
 
@@ -136,11 +142,11 @@ def _scan(phrases: dict[str, str], templates: Templates):
         number = pc.fill_null(pc.index_in(flat, value_set=values), len(values)).to_numpy(zero_copy_only=False)
         row = np.repeat(np.arange(len(rows)), n_words)
         hits = np.flatnonzero(in_prefix[number])
-        block = (hits - first[row[hits]]) // STRIDE
+        block = (hits - first[row[hits]]) // templates.stride
         near = np.stack([np.tile(row[hits], 2), np.concatenate([block, block - 1])], 1)
         for i, b in np.unique(near[near[:, 1] >= 0], axis=0).tolist() if len(near) else []:
-            lo = first[i] + b * STRIDE
-            held = np.unique(number[lo:min(lo + BLOCK, first[i] + n_words[i])])
+            lo = first[i] + b * templates.stride
+            held = np.unique(number[lo:min(lo + 2 * templates.stride, first[i] + n_words[i])])
             held = held[held < len(values)].tolist()
             if len(held) >= templates.least:
                 out[i]["blocks"].append({"block": b, "words": held})
@@ -168,7 +174,11 @@ def _matches(blocks: Column, templates: Templates) -> Column:
             lead = F.element_at(shared, 1)
             left = F.least(F.size(block["words"]) - F.array_position(block["words"], lead),
                            F.size(own) - F.array_position(own, lead)) + 1
-            return F.when((F.size(block["words"]) >= t.need) & (F.size(shared) > 0) & (left >= t.need),
+            whole = F.lit(True)
+            if t.required:
+                wanted = F.array(*[F.lit(w) for w in t.required])
+                whole = F.size(F.array_intersect(block["words"], wanted)) == len(t.required)
+            return F.when(whole & (F.size(block["words"]) >= t.need) & (F.size(shared) > 0) & (left >= t.need),
                           F.size(shared) >= t.need).otherwise(False)
 
         return F.transform(F.filter(blocks, enough), lambda b: F.struct(
@@ -186,13 +196,12 @@ def scan(df: DataFrame, key: str = "doc_id", text: str = "text", phrases: dict[s
     ``n_base`` counts the places where a phrase's words stand consecutively, from word
     ``first_word`` to ``last_word`` (starts, null without a place). ``matches`` are all blocks
     that hold a template. ``labels`` joins both kinds. ``score`` is 1 with a phrase, else the
-    largest share of a template held, else 0. Null and empty texts have no words; null keys
+    largest share of a template held, else 0. ``templates`` are labels and texts of any length,
+    each with or without its required words; blocks follow the longest. Null and empty texts have no words; null keys
     and repeated rows are kept; an empty table gives no rows. Two scans, no shuffle of texts;
     what reaches the driver is one count per word of the templates.
     """
-    if any(len(t.split()) > BLOCK - STRIDE + 1 for _, t in templates):
-        raise ValueError(f"templates may have at most {BLOCK - STRIDE + 1} words")
-    vocabulary = sorted({w for _, t in templates for w in t.split()})
+    vocabulary = sorted({w for _, *parts in templates for t in parts for w in t.split()})
     ordered = Templates(templates, threshold, document_frequency(df, df[text], vocabulary))
     found = F.arrow_udf(_scan(phrases, ordered), KIND)(df[text].cast("string"))
     rows = df.select(df[key].alias("doc_id"), found.alias("f")).select("doc_id", "f.*")

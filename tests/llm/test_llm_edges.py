@@ -258,6 +258,23 @@ def test_licenses(odd, none, spark):
     assert found[3].base_labels == ["apache-2", "cc-by-nc"] and found[3].score == 1.0
 
 
+def test_licenses_told_from_their_neighbours(spark):
+    rows = ["released under the apache license version 2 0", "licensed under cc by 4 0",
+            "licensed under the gnu general public license version 2", "released the license under " + "x " * 30,
+            "licensed under cc by nc 4 0", "licensed under the gnu general public license version 3", "released under the mit"]
+    got = licenses.scan(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")).collect()
+    labels = {r.doc_id: [m["label"] for m in r.matches] for r in got}
+    assert labels == {0: ["apache-2"], 1: [], 2: [], 3: [], 4: ["cc-by-nc"], 5: ["gpl-3"], 6: ["mit"]}
+
+
+def test_licenses_search_whole_texts(spark):
+    whole = " ".join(f"word{i}" for i in range(300))
+    told = [(k, f"{'x ' * k}{whole} y") for k in (0, 1, 150, 299, 431)] + [(1000, whole[:len(whole) // 2])]
+    got = licenses.scan(spark.createDataFrame(told, "doc_id long, text string"), templates=(("own", whole),)).collect()
+    assert {r.doc_id: (r.labels, r.score) for r in got} == {
+        k: (["own"], 1.0) if k < 1000 else ([], 0.0) for k, _ in told}
+
+
 def test_chats(spark):
     texts = ["</s>[INST] ok [/INST]", "<\\/s>", "[\\\\TURN][TURN]", "", None, "<s", "/s>", "[ROLE]x[/ROLE]", "a\n", "<<s>s>", "\\"]
     rng = random.Random(6)
