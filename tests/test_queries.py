@@ -1,4 +1,4 @@
-"""Every registered query against its SQL, over whole tables."""
+"""Every query of the library itself against its SQL, over whole tables."""
 
 import math
 import sys
@@ -10,6 +10,8 @@ import pytest
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 import __spark_entry__ as entry  # noqa: E402
+from workload.oracle import SQL  # noqa: E402
+from workload.queries import QUERIES  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events embeddings".split()
@@ -33,13 +35,14 @@ def canonical(rows, columns):
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, name):
     df = entry.queries()[name](spark, SF)
-    cursor = duck.execute(entry.oracle_sql()[name])
+    cursor = duck.execute(SQL[name])
     columns = [d[0] for d in cursor.description]
     assert sorted(columns) == sorted(df.columns)
     got = canonical([tuple(r) for r in df.collect()], df.columns)
