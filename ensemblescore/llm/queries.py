@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from ensemblescore.llm import chat, embeddings, language_model, licenses, mixing, pieces, quality, simhash, substrings, token_counts
+from ensemblescore.llm import (chat, embeddings, language_model, licenses, mixing, packing, pieces, quality, simhash, substrings,
+                               token_counts)
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -84,6 +85,12 @@ def op10_substring_dedup(spark, sf_dir):
         "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op13_packing(spark, sf_dir):
+    rows = packing.token_pieces(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return packing.place(rows.select(
+        "doc_id", "piece", "start", "length", packing.ids_crc32(F.col("ids")).alias("ids_crc32"), "part", "nth"))
+
+
 QUERIES = {
     "op1_chat_format": op1_chat_format,
     "op2_simhash": op2_simhash,
@@ -95,4 +102,5 @@ QUERIES = {
     "op8_embedding_dedup": op8_embedding_dedup,
     "op9_licenses": op9_licenses,
     "op10_substring_dedup": op10_substring_dedup,
+    "op13_packing": op13_packing,
 }
