@@ -129,9 +129,75 @@ SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base
 FROM d LEFT JOIN base USING (r) LEFT JOIN method USING (r)
 """
 
+def _op11(rounds: int = 3) -> str:
+    """Assign and replace, round by round; component by component, so that all sums are whole numbers."""
+    steps = []
+    for i in range(rounds + 1):
+        steps.append(f"""
+a{i} AS MATERIALIZED (
+    SELECT r, min(d) AS distance, min_by(c, (d, c)) AS cluster FROM (
+        SELECT k.r, m.c, list_sum(list_transform(range(1, 65), lambda i: (k.v[i] - m.v[i]) * (k.v[i] - m.v[i])))::BIGINT AS d
+        FROM k, c{i} m) GROUP BY r)""")
+        if i < rounds:
+            steps.append(f"""
+s{i} AS (
+    SELECT cluster, i, sum(x) AS s, count(*) AS n FROM (
+        SELECT cluster, unnest(v) AS x, unnest(range(1, 65)) AS i FROM a{i} JOIN k USING (r)) GROUP BY cluster, i),
+c{i + 1} AS MATERIALIZED (
+    SELECT c, coalesce(w, v) AS v FROM c{i} LEFT JOIN (
+        SELECT cluster, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY i) AS w FROM s{i} GROUP BY cluster) ON c = cluster)""")
+    return f"""
+WITH k AS MATERIALIZED (
+    SELECT vec_id, row_number() OVER () AS r, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v
+    FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: isfinite(x))) = 64),
+c0 AS MATERIALIZED (
+    SELECT row_number() OVER (ORDER BY sha256('1:' || coalesce(vec_id::VARCHAR, '')), v) - 1 AS c, v FROM k
+    QUALIFY c < 16),{','.join(steps)}
+SELECT vec_id, cluster::INTEGER AS cluster, distance, (sum(distance) OVER (PARTITION BY cluster))::BIGINT AS cluster_inertia,
+    (sum(distance) OVER ())::BIGINT AS inertia, sha256(array_to_string(m.v, ',')) AS centroid_sha256
+FROM a{rounds} JOIN k USING (r) JOIN c{rounds} m ON m.c = cluster
+"""
+
+
+OP12 = r"""
+WITH d AS (
+    SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS ws FROM documents),
+t AS MATERIALIZED (SELECT r, lang, source, unnest(ws) AS term FROM d),
+k AS MATERIALIZED (SELECT lang, term FROM t GROUP BY lang, term HAVING count(DISTINCT r) >= 10),
+v AS (SELECT lang, count(*) AS v FROM k GROUP BY lang),
+c AS MATERIALIZED (SELECT lang, source, term, count(*) AS n FROM t SEMI JOIN k USING (lang, term) GROUP BY ALL),
+g AS MATERIALIZED (
+    SELECT lang, source, coalesce(sum(n), 0) + 2 * coalesce(any_value(v), 0) AS total
+    FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN v USING (lang) LEFT JOIN c USING (lang, source) GROUP BY lang, source),
+p AS MATERIALIZED (
+    SELECT lang, source, term, coalesce(n, 0) AS n,
+        1 + (1000000000::HUGEINT * (coalesce(n, 0) + 2)) // total AS p
+    FROM g JOIN k USING (lang) LEFT JOIN c USING (lang, source, term)),
+l AS (
+    SELECT lang, term, 1 + (1000000000::HUGEINT * (sum(n) + 2)) // (sum(sum(n)) OVER (PARTITION BY lang) + 2 * count(*) OVER (PARTITION BY lang)) AS q
+    FROM c GROUP BY lang, term),
+f AS (
+    SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+    FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+x AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+    FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+    UNION ALL
+    SELECT lang, source, 'term', term, (p - q) * (p - q) // (p + q) FROM p JOIN l USING (lang, term) WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, value::BIGINT AS value,
+    (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)))::INTEGER AS rank
+FROM x QUALIFY part = 'pair' OR rank <= 10
+"""
+
+
 SQL = {
     "op1_chat_format": OP1,
     "op5_quality": OP5,
     "op6_mixing": OP6,
     "op9_licenses": OP9,
+    "op11_clustering": _op11(),
+    "op12_divergence": OP12,
 }

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from ensemblescore.llm import (chat, embeddings, language_model, licenses, mixing, packing, pieces, quality, simhash, substrings,
-                               token_counts)
+from ensemblescore.llm import (chat, clustering, divergence, embeddings, language_model, licenses, mixing, packing, pieces, quality,
+                               simhash, substrings, token_counts)
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -85,6 +85,16 @@ def op10_substring_dedup(spark, sf_dir):
         "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_clustering(spark, sf_dir):
+    rows = clustering.cluster(read(spark, sf_dir, "embeddings"))
+    numbers = F.array_join(F.col("centroid").cast("array<string>"), ",")
+    return rows.withColumn("centroid_sha256", F.sha2(numbers, 256)).drop("centroid")
+
+
+def op12_divergence(spark, sf_dir):
+    return divergence.audit(read(spark, sf_dir, "documents"))
+
+
 def op13_packing(spark, sf_dir):
     rows = packing.token_pieces(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
     return packing.place(rows.select(
@@ -102,5 +112,7 @@ QUERIES = {
     "op8_embedding_dedup": op8_embedding_dedup,
     "op9_licenses": op9_licenses,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_clustering": op11_clustering,
+    "op12_divergence": op12_divergence,
     "op13_packing": op13_packing,
 }
