@@ -11,12 +11,16 @@ _HOME = {
     "model_widths": "operators.widths",
     "parity_report": "operators.parity",
     "score_registry": "operators.registry",
+    "publish_models": "sources.publish",
+    "published_models": "sources.publish",
+    "published_versions": "sources.publish",
+    "score_registry_stream": "streaming.score",
     "score_stream": "streaming.score",
     "ship": "sources.shipping",
     "violations": "operators.validate",
     **dict.fromkeys(
-        ("Input", "Leaf", "Split", "category", "constant", "merge_rows", "model_rows", "scalar",
-         "stump", "stump_registry", "vector", "write_models"), "sources.build"),
+        ("Input", "Leaf", "Split", "category", "constant", "forest_registry", "merge_rows", "model_rows",
+         "preorder", "scalar", "stump", "stump_registry", "vector", "write_models"), "sources.build"),
 }
 
 __all__ = sorted(_HOME)

@@ -21,6 +21,14 @@ def column(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def unused(columns: list[str], name: str) -> str:
+    """A name that no column has, in any case."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def require(name: str, dtype: DataType, *, vector: bool = False, string: bool = False) -> None:
     """Refuse a column whose type the model cannot read, before any job starts."""
     if vector:

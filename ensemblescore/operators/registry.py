@@ -1,9 +1,11 @@
 """Score rows that each name their model, against a registry of any size.
 
 Three plans give the same result. ``arrow`` broadcasts the registry and moves no rows,
-save for a lookup of strings or of which models read a vector. ``group`` brings each model
-to its rows by a shuffle, hot models spread over many groups. ``join`` walks node tables by
-joins and holds no model whole. A broken model fails all three before any row is scored.
+save for a lookup of strings or of which models read a vector. ``group`` brings models and
+rows together by one shuffle, hot models spread over many groups and models of any size taken
+in chunks. ``join`` walks node tables by joins and is a check. A broken model fails all three
+before any row is scored. Columns of the input are kept by position and may share names, save
+those that a model reads.
 """
 
 from __future__ import annotations
@@ -22,33 +24,34 @@ from ensemblescore.functions import coerce, post
 from ensemblescore.functions.models import Models
 from ensemblescore.operators.outputs import extended
 from ensemblescore.operators.validate import refuse_broken
-from ensemblescore.plans import relational
+from ensemblescore.plans import grouped, relational
 from ensemblescore.sources import schema as S
-from ensemblescore.sources.scratch import ensure_checkpoint_dir
 from ensemblescore.sources.spec import MAX_BROADCAST_NODES, at_once, node_columns
 from ensemblescore.sources.tables import ModelTables
 
 ARROW, GROUP, JOIN, AUTO = "arrow", "group", "join", "auto"
 
-# What one Python worker of the group plan holds at a time, on average over its groups.
+# Rows of one model that make a group of their own, and the features and outputs that such rows may have.
 ROWS_PER_GROUP = 500_000
 VALUES_PER_GROUP = 20_000_000
-NODES_PER_GROUP = 1_000_000
 
 
 def score_registry(df: DataFrame, tables: ModelTables, model_id_col: str = "model_id", *,
                    features_col: str = "features", prediction_col: str = "prediction",
                    probability_col: str = "probability", strategy: str = AUTO,
-                   rows_per_group: int | None = None) -> DataFrame:
+                   rows_per_group: int | None = None, max_nodes: int | None = None) -> DataFrame:
     """Append ``prediction`` and, if any model has several outputs, ``probability``.
 
     Every row is kept. ``prediction`` is null where the registry has no such model;
-    ``probability`` is null for a model with one output.
+    ``probability`` is null for a model with one output. A task holds at most ``max_nodes``
+    nodes of a model at a time, or one tree.
     """
+    max_nodes = MAX_BROADCAST_NODES if max_nodes is None else max_nodes
     if strategy not in (AUTO, ARROW, GROUP, JOIN):
         raise ModelError(f"unknown registry strategy {strategy!r}")
-    if model_id_col not in df.columns:
-        raise InputError(f"no model id column {model_id_col!r} among {df.columns}")
+    if df.columns.count(model_id_col) != 1:
+        raise InputError(f"no model id column {model_id_col!r} among {df.columns}" if model_id_col not in df.columns
+                         else f"several columns are named {model_id_col!r}")
     inputs = _inputs(tables, features_col)
     (n_models, n_outputs), sources, (n_nodes, largest), bare = at_once(
         df.sparkSession,
@@ -64,51 +67,45 @@ def score_registry(df: DataFrame, tables: ModelTables, model_id_col: str = "mode
         appended.insert(0, StructField(probability_col, VectorUDT()))
     extended(df.schema, appended)
 
-    plan = choose(n_nodes or 0, largest or 0) if strategy == AUTO else strategy
+    plan = choose(n_nodes or 0) if strategy == AUTO else strategy
     if plan == ARROW and (n_nodes or 0) > MAX_BROADCAST_NODES:
         raise ModelError("the registry is too large to broadcast")
-    keyed, slots, width = _with_features(df, inputs, sources, n_models, model_id_col)
+    model, x, score = (coerce.unused(df.columns, n) for n in ("__model", "__x", "__s"))
+    keyed, slots, width = _with_features(df, inputs, sources, n_models, model_id_col, model, x)
     if plan != ARROW:  # which looks all models over while it lays them out
         refuse_broken(tables)
     tables = _with_slots(tables, slots)
     if plan == ARROW:
-        summed = _by_broadcast(keyed, tables, width)
+        summed = _by_broadcast(keyed, tables, width, model, x, score).drop(model, x)
     elif plan == GROUP:
-        # Read once: rows get numbers that a retried task finds again, and are joined back by them.
-        ensure_checkpoint_dir(df.sparkSession)
-        keyed = keyed.withColumn("__row", F.monotonically_increasing_id()).checkpoint()
-        values = width + (n_outputs or 1)
-        summed = keyed.join(
-            _by_group(keyed, tables, width, n_nodes or 0, rows_per_group or max(
-                1, min(ROWS_PER_GROUP, VALUES_PER_GROUP // values))), "__row", "left")
+        values = 2 * width + (n_outputs or 1)
+        summed = grouped.add_sums(
+            keyed, model, x, score, df.select(coerce.column(model_id_col).cast("string")), tables, width,
+            n_nodes or 0, largest or 0, max_nodes,
+            rows_per_group or max(1, min(ROWS_PER_GROUP, VALUES_PER_GROUP // values)))
     else:
-        points = keyed.where("__x IS NOT NULL AND __model IS NOT NULL").select(
-            F.col("__model").alias("model_id"), F.col("__x").alias("x")).distinct()
+        points = keyed.where(F.col(x).isNotNull() & F.col(model).isNotNull()).select(
+            F.col(model).alias("model_id"), F.col(x).alias("x")).distinct()
         flags = tables.header.select(
             "model_id", (F.col("post_transform") == S.SOFTMAX).alias("softmax"))
         scored = relational.sums(points, tables).join(flags, "model_id").select(
-            F.col("model_id").alias("__model"), F.col("x").alias("__x"),
-            F.struct("sums", "softmax").alias("__s"))
-        summed = keyed.join(scored, ["__model", "__x"], "left")
-
-    kept = [coerce.column(c) for c in df.columns]
-    sums = F.col("__s.sums")
-    outputs = F.when(F.col("__s.softmax"), post.softmax(sums)).otherwise(sums)
-    summed = summed.select(*kept, outputs.cast("array<float>").alias("__out"))
-    many = F.size("__out") > 1
-    prediction = F.when(many, post.argmax(F.col("__out"))).otherwise(
-        F.get("__out", F.lit(0)).cast("double"))
+            F.col("model_id").alias(model), F.col("x").alias(x), F.struct("sums", "softmax").alias(score))
+        summed = keyed.join(scored, [model, x], "left").drop(model, x)
+
+    sums, out = F.col(score)["sums"], coerce.unused(summed.columns, "__out")
+    outputs = F.when(F.col(score)["softmax"], post.softmax(sums)).otherwise(sums)
+    summed = summed.select("*", outputs.cast("array<float>").alias(out))
+    many = F.size(out) > 1
+    prediction = F.when(many, post.argmax(F.col(out))).otherwise(F.get(out, F.lit(0)).cast("double"))
     columns = [prediction.alias(prediction_col)]
     if several:
-        columns.insert(0, F.when(many, post.as_vector(F.col("__out"))).alias(probability_col))
-    return summed.select(*kept, *columns)
+        columns.insert(0, F.when(many, post.as_vector(F.col(out))).alias(probability_col))
+    return summed.select("*", *columns).drop(score, out)
 
 
-def choose(n_nodes: int, largest: int) -> str:
-    """The cheapest plan for a registry of so many nodes, so many of them in one model."""
-    if n_nodes <= MAX_BROADCAST_NODES:
-        return ARROW
-    return GROUP if largest <= MAX_BROADCAST_NODES else JOIN
+def choose(n_nodes: int) -> str:
+    """The cheapest plan for a registry of so many nodes."""
+    return ARROW if n_nodes <= MAX_BROADCAST_NODES else GROUP
 
 
 def _inputs(tables: ModelTables, features_col: str) -> DataFrame:
@@ -138,8 +135,8 @@ def _sources(inputs: DataFrame, n_columns: int) -> DataFrame:
 
 
 def _with_features(df: DataFrame, inputs: DataFrame, sources: list, n_models: int,
-                   model_id_col: str) -> tuple[DataFrame, DataFrame, int]:
-    """Add ``__model`` and ``__x array<float>``, one slot per feature any model reads.
+                   model_id_col: str, model: str, x: str) -> tuple[DataFrame, DataFrame, int]:
+    """Add columns ``model`` and ``x array<float>``, one slot per feature any model reads.
 
     Returned with it: which slot each feature of each model is, and the number of slots.
     """
@@ -147,13 +144,15 @@ def _with_features(df: DataFrame, inputs: DataFrame, sources: list, n_models: in
         if source.source not in df.columns:
             raise InputError(f"model {source.model_id!r} needs column {source.source!r}, "
                              f"which is not among {df.columns}")
+        if df.columns.count(source.source) > 1:
+            raise InputError(f"several columns are named {source.source!r}")
         if source.mixed:
             raise ModelError(f"models disagree on the type of {source.source!r}")
     if not sources:
         raise ModelError("the registry declares no inputs")
 
-    keyed = df.select("*", coerce.column(model_id_col).cast("string").alias("__model"))
-    parts, bases, width = [], [], 0
+    keyed = df.select("*", coerce.column(model_id_col).cast("string").alias(model))
+    parts, bases, width, helpers = [], [], 0, []
     for k, source in enumerate(sorted(sources, key=lambda s: s.source)):
         dtype = df.schema[source.source].dataType
         coerce.require(source.source, dtype, vector=source.vector, string=source.text)
@@ -164,8 +163,9 @@ def _with_features(df: DataFrame, inputs: DataFrame, sources: list, n_models: in
         elif source.vector:
             # Each model declares its own width, and a row whose model does not read the vector
             # may lack it. The slots beyond a narrower vector are read by no split of its model.
-            keyed = _declared(keyed, inputs, source.source, f"__width{k}")
-            floats, own = coerce.vector(source.source, dtype), F.col(f"__width{k}")
+            helpers.append(coerce.unused(keyed.columns, f"__width{k}"))
+            keyed = _declared(keyed, inputs, source.source, model, helpers[-1])
+            floats, own = coerce.vector(source.source, dtype), F.col(helpers[-1])
             nan, zero = F.lit(float("nan")).cast("float"), F.lit(0.0).cast("float")
             checked = F.when(F.size(floats) == own, F.transform(floats, lambda v: F.coalesce(v, zero))).otherwise(
                 F.raise_error(F.format_string("column '%s' holds a vector of %s, the model declares %s",
@@ -173,12 +173,13 @@ def _with_features(df: DataFrame, inputs: DataFrame, sources: list, n_models: in
             parts.append(F.when(own.isNull(), F.array_repeat(nan, source.widest)).otherwise(
                 F.concat(checked, F.array_repeat(nan, source.widest - own))))
         elif source.text:
-            keyed = _coded(keyed, inputs, source.source, f"__code{k}")
-            parts.append(F.array(F.col(f"__code{k}")))
+            helpers.append(coerce.unused(keyed.columns, f"__code{k}"))
+            keyed = _coded(keyed, inputs, source.source, model, helpers[-1])
+            parts.append(F.array(F.col(helpers[-1])))
         else:
             parts.append(F.array(coerce.scalar(source.source)))
-    x = parts[0] if len(parts) == 1 else F.concat(*parts)
-    keyed = keyed.select(*[coerce.column(c) for c in df.columns], "__model", x.alias("__x"))
+    features = parts[0] if len(parts) == 1 else F.concat(*parts)
+    keyed = keyed.select("*", features.alias(x)).drop(*helpers)
 
     base = F.broadcast(df.sparkSession.createDataFrame(bases, "source string, base int"))
     slots = inputs.join(base, "source").select(
@@ -195,25 +196,26 @@ def _with_slots(tables: ModelTables, slots: DataFrame) -> ModelTables:
     return ModelTables(tables.header, tables.inputs, tables.trees, nodes)
 
 
-def _declared(df: DataFrame, inputs: DataFrame, source: str, name: str) -> DataFrame:
+def _declared(df: DataFrame, inputs: DataFrame, source: str, model: str, name: str) -> DataFrame:
     """The width that the row's model declares for this source; null if it does not read it."""
     readers = inputs.where(F.col("source") == source).groupBy(
-        F.col("model_id").alias("__model")).agg(F.max("width").cast("int").alias(name))
-    return df.join(readers, "__model", "left")
+        F.col("model_id").alias(model)).agg(F.max("width").cast("int").alias(name))
+    return df.join(readers, model, "left")
 
 
-def _coded(df: DataFrame, inputs: DataFrame, source: str, code: str) -> DataFrame:
+def _coded(df: DataFrame, inputs: DataFrame, source: str, model: str, code: str) -> DataFrame:
     """Look a string up among the categories of the row's own model; NaN if it is not there."""
+    value = coerce.unused(df.columns, f"{code}_value")
     table = inputs.where(F.col("source") == source).select(
-        F.col("model_id").alias("__model"), F.posexplode("categories").alias("pos", "__value")
-    ).groupBy("__model", "__value").agg(F.min("pos").cast("float").alias(code))
+        F.col("model_id").alias(model), F.posexplode("categories").alias("pos", value)
+    ).groupBy(model, value).agg(F.min("pos").cast("float").alias(code))
     nan = F.lit(float("nan")).cast("float")
-    return (df.withColumn("__value", coerce.column(source))
-            .join(table, ["__model", "__value"], "left").drop("__value")
+    return (df.withColumn(value, coerce.column(source))
+            .join(table, [model, value], "left").drop(value)
             .withColumn(code, F.coalesce(code, nan)))
 
 
-def _by_broadcast(keyed: DataFrame, tables: ModelTables, width: int) -> DataFrame:
+def _by_broadcast(keyed: DataFrame, tables: ModelTables, width: int, model: str, x: str, score: str) -> DataFrame:
     """All models on every executor; a batch walks the trees of all its models at once."""
     header, trees, nodes = at_once(
         keyed.sparkSession, tables.header.select("model_id", "n_outputs", "post_transform").toArrow,
@@ -225,64 +227,9 @@ def _by_broadcast(keyed: DataFrame, tables: ModelTables, width: int) -> DataFram
     @F.arrow_udf("struct<sums: array<double>, softmax: boolean>")
     def sums(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         models, softmax = shared.value
-        for model_id, x in batches:
-            values, model = models.sums(model_id, x)
+        for model_id, features in batches:
+            values, own = models.sums(model_id, features)
             yield pa.StructArray.from_arrays(
-                [values, pa.array(softmax[model])], names=["sums", "softmax"])
+                [values, pa.array(softmax[own])], names=["sums", "softmax"])
 
-    return keyed.select("*", sums("__model", "__x").alias("__s"))
-
-
-def _by_group(keyed: DataFrame, tables: ModelTables, width: int, n_nodes: int,
-              rows_per_group: int) -> DataFrame:
-    """``__row`` and ``__s``: models meet the numbered rows in groups of bounded size.
-
-    Most models share a group with others; one with more than ``rows_per_group``
-    rows gets several groups of its own, and its nodes are sent to each. The group of a row
-    follows from its number, so copies of a row spread and a retried task sends it to the same place.
-    """
-    points = keyed.where("__x IS NOT NULL AND __model IS NOT NULL").select(
-        "__row", F.col("__model").alias("model_id"), F.col("__x").alias("x"))
-    counts = points.groupBy("model_id").count()
-    total, most = counts.agg(F.sum("count"), F.max("count")).head()
-    buckets = 1 + max((total or 0) // rows_per_group, n_nodes // NODES_PER_GROUP)
-
-    # bucket: models sharing a group; hot: a model on its own; part: which of its groups.
-    bucket = F.pmod(F.xxhash64("model_id"), F.lit(buckets)).cast("int")
-    spread, models = points.withColumn("bucket", bucket), (
-        node_columns(tables.nodes)
-        .join(tables.trees, ["model_id", "tree_id"])
-        .join(tables.header.select("model_id", "n_outputs", (F.col("post_transform") == S.SOFTMAX)
-                                   .alias("softmax")), "model_id")
-        .withColumn("bucket", bucket))
-    if (most or 0) > rows_per_group:
-        hot = counts.where(F.col("count") > rows_per_group).select(
-            "model_id", F.ceil(F.col("count") / rows_per_group).cast("int").alias("parts"))
-        own = F.when(F.col("parts").isNotNull(), F.col("model_id"))
-        spread = spread.join(hot, "model_id", "left").select(
-            "__row", "model_id", "x", "bucket", own.alias("hot"),
-            F.pmod(F.xxhash64("__row"), F.coalesce("parts", F.lit(1))).cast("int").alias("part"))
-        models = models.join(hot, "model_id", "left").withColumn("hot", own).withColumn(
-            "part", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1))
-        ).drop("parts")
-    else:
-        alone = {"hot": F.lit(None).cast("string"), "part": F.lit(0)}
-        spread, models = spread.withColumns(alone), models.withColumns(alone)
-
-    kind = pa.struct([("sums", pa.list_(pa.float64())), ("softmax", pa.bool_())])
-    result = pa.schema([("__row", pa.int64()), ("__s", kind)])
-
-    def score(rows: pa.Table, nodes: pa.Table) -> pa.Table:
-        if not len(rows) or not len(nodes):  # models without rows, or rows without a model
-            return result.empty_table()
-        header = nodes.group_by(["model_id", "n_outputs", "softmax"]).aggregate([])
-        trees = nodes.group_by(["model_id", "tree_id", "tree_group"]).aggregate([])
-        model_id, x = rows.column("model_id").combine_chunks(), rows.column("x").combine_chunks()
-        sums, model = Models.build(header, trees, nodes, width).sums(model_id, x)
-        softmax = header.column("softmax").to_numpy()[model]
-        scored = pa.StructArray.from_arrays([sums, pa.array(softmax)], fields=list(kind))
-        return pa.table([rows.column("__row"), scored], schema=result)
-
-    key = ["bucket", "hot", "part"]
-    return spread.groupBy(*key).cogroup(models.groupBy(*key)).applyInArrow(
-        score, "__row bigint, __s struct<sums: array<double>, softmax: boolean>")
+    return keyed.select("*", sums(model, x).alias(score))

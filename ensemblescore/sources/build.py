@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ensemblescore.errors import ModelError
+from ensemblescore.functions.preorder import number
 from ensemblescore.sources import schema as S
 from ensemblescore.sources.tables import ModelTables
 
@@ -111,6 +115,19 @@ def write_models(spark: SparkSession, path: str, *models: dict, mode: str = "err
     return ModelTables.from_rows(spark, merge_rows(*models)).write(path, mode)
 
 
+def preorder(root: Leaf | Split) -> list[tuple]:
+    """A nested tree as entries of ``PREORDER``."""
+    entries, stack = [], [root]
+    while stack:
+        node = stack.pop()
+        if isinstance(node, Leaf):
+            entries.append((None, None, None, float(node.value)))
+        else:
+            entries.append((node.feature, float(node.threshold), node.missing, None))
+            stack += [node.otherwise, node.below]
+    return entries
+
+
 def stump_registry(params: DataFrame, input_name: str) -> ModelTables:
     """One stump per row of ``params(model_id, threshold, below, otherwise)``, as a Spark job.
 
@@ -150,3 +167,76 @@ def stump_registry(params: DataFrame, input_name: str) -> ModelTables:
         node(2, S.LEAF, S.SPLIT_OP_UNSPECIFIED, zero, none, 0, F.col("otherwise")))
     nodes = base.select("model_id", F.lit(0).alias("tree_id"), F.inline(three))
     return ModelTables(header, inputs, trees, nodes)
+
+
+#: An entry of a tree in preorder. A leaf has no feature; ``missing`` is 'below' or 'otherwise'.
+PREORDER = "array<struct<feature: int, threshold: float, missing: string, value: float>>"
+
+
+def forest_registry(trees: DataFrame, inputs: list[Input], *, post_transform: str = S.IDENTITY) -> ModelTables:
+    """Any number of forests over the same inputs, from one row per tree, as a Spark job.
+
+    ``trees`` has ``model_id``, ``tree_id``, ``nodes`` and, for models with several outputs,
+    ``tree_group``. ``nodes`` is a tree in preorder, an array of structs as in ``PREORDER``: a branch, the
+    tree taken where the feature is below the threshold, the other tree; a leaf is an entry without a
+    feature. Trees are numbered level by level where they are, by an Arrow UDF, so nodes are
+    neither shuffled nor seen by the driver; only model ids are, to count outputs. A tree whose
+    entries do not add up, or a null threshold, side or value, fails the task that reads it.
+    """
+    rows = trees.select(
+        F.col("model_id").cast("string").alias("model_id"), F.col("tree_id").cast("int").alias("tree_id"),
+        (F.col("tree_group").cast("int") if "tree_group" in trees.columns else F.lit(0)).alias("tree_group"),
+        F.col("nodes").cast(PREORDER).alias("nodes"))
+    models = rows.groupBy("model_id").agg((F.max("tree_group") + 1).alias("n_outputs"))
+    names = F.when(F.col("n_outputs") == 1, F.array(F.lit("score"))).otherwise(
+        F.transform(F.sequence(F.lit(0), F.col("n_outputs") - 1), lambda k: F.concat(F.lit("p"), k.cast("string"))))
+    header = models.select(
+        "model_id", F.lit(S.SUM).alias("aggregation"), F.lit(post_transform).alias("post_transform"),
+        "n_outputs", names.alias("output_names"))
+    declared = [F.struct(
+        F.lit(k).alias("ordinal"), F.lit(i.name).alias("name"), F.lit(i.dtype).alias("dtype"),
+        F.array(*[F.lit(n) for n in i.shape]).alias("shape"),
+        (F.lit(None) if i.categories is None else F.array(*[F.lit(c) for c in i.categories]))
+        .cast("array<string>").alias("categories")) for k, i in enumerate(inputs)]
+    numbered = F.arrow_udf(_number_batch, NUMBERED)
+    nodes = rows.select("model_id", "tree_id", F.inline(numbered("nodes")))
+    return ModelTables(header, models.select("model_id", F.inline(F.array(*declared))),
+                       rows.select("model_id", "tree_id", "tree_group"), nodes)
+
+
+NUMBERED = ("array<struct<node_id: int, kind: string, split_feature: int, split_op: string, split_threshold: float, "
+            "children: array<int>, default_child: int, leaf_value: float>>")
+
+
+def _number_batch(trees: pa.Array) -> pa.Array:
+    """Node rows of each tree, as ``model_rows`` numbers them."""
+    if trees.null_count:
+        raise ModelError("a tree has no nodes")
+    entries, sizes = trees.flatten(), pc.list_value_length(trees).to_numpy()
+    feature, threshold, missing, value = (entries.field(k) for k in range(4))
+    leaf = feature.is_null().to_numpy(zero_copy_only=False)
+    numbered = number(leaf, sizes)
+    below = pc.equal(missing, "below")
+    known = pc.fill_null(pc.or_(below, pc.equal(missing, "otherwise")), False).to_numpy(zero_copy_only=False)
+    empty = np.where(leaf, value.is_null().to_numpy(zero_copy_only=False),
+                     threshold.is_null().to_numpy(zero_copy_only=False))
+    if empty.any():
+        raise ModelError("a branch has no threshold or a leaf no value")
+    if (~known & ~leaf).any():
+        raise ModelError("missing must be 'below' or 'otherwise'")
+    side = pc.fill_null(below, False).to_numpy(zero_copy_only=False)
+    default = np.where(leaf, 0, np.where(side, numbered.below, numbered.otherwise))
+    n_children = np.where(leaf, 0, 2)
+    children = np.stack([numbered.below, numbered.otherwise], axis=1)[~leaf].reshape(-1)
+    which = pa.array(leaf)
+    rows = pa.StructArray.from_arrays([
+        pa.array(numbered.node, pa.int32()),
+        pc.if_else(which, S.LEAF, S.BRANCH), pc.fill_null(feature, 0),
+        pc.if_else(which, S.SPLIT_OP_UNSPECIFIED, S.LESS_THAN),
+        pc.if_else(which, pa.scalar(0, pa.float32()), threshold),
+        pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n_children)]), pa.int32()),
+                                 pa.array(children, pa.int32())),
+        pa.array(default, pa.int32()), pc.if_else(which, value, pa.scalar(0, pa.float32()))],
+        names=["node_id", "kind", "split_feature", "split_op", "split_threshold", "children",
+               "default_child", "leaf_value"])
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), rows)

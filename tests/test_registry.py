@@ -5,6 +5,7 @@ import random
 import numpy as np
 import pytest
 from conftest import brute
+from pyspark.sql import functions as F
 
 import ensemblescore as es
 from ensemblescore import InputError, ModelError, ModelTables, score_registry
@@ -98,15 +99,13 @@ def test_broken_models_are_refused(spark, plan):
 def test_size_decides_the_plan(spark, monkeypatch):
     from ensemblescore.operators import registry
     bound = registry.MAX_BROADCAST_NODES
-    assert registry.choose(bound, bound) == "arrow"
-    assert registry.choose(bound + 1, bound) == "group"
-    assert registry.choose(bound + 1, bound + 1) == "join"
+    assert registry.choose(bound) == "arrow" and registry.choose(bound + 1) == "group"
     params = spark.range(20).selectExpr("id AS model_id", "0.5 AS threshold", "1.0 AS below",
                                         "2.0 AS otherwise")
     tables = es.stump_registry(params, "a")
     df = spark.createDataFrame([("1", 1.0), ("2", 0.0)], "m string, a double")
     monkeypatch.setattr(registry, "MAX_BROADCAST_NODES", 10)
-    monkeypatch.setattr(registry, "NODES_PER_GROUP", 5)
+    monkeypatch.setattr(registry.grouped, "NODES_PER_GROUP", 5)
     assert sorted(r.prediction for r in score_registry(df, tables, "m").collect()) == [1.0, 2.0]
     with pytest.raises(ModelError, match="too large"):
         score_registry(df, tables, "m", strategy="arrow")
@@ -130,3 +129,46 @@ def test_refusals(spark):
         es.model_rows("q", [es.category("s", ["x"])], [es.constant(1)])))
     with pytest.raises(ModelError, match="disagree"):
         score_registry(df, mixed, "m")
+
+
+@pytest.mark.parametrize("plan", PLANS)
+def test_columns_keep_their_places_and_names(spark, plan):
+    tables = ModelTables.from_rows(spark, es.model_rows("m", [es.scalar("a")], [es.stump(0, 0.5, 1, 2)]))
+    df = spark.createDataFrame([(1, "m", 0.0, -7, "p", "q"), (2, "m", 1.0, -8, "r", None)],
+                               "k int, m string, a double, __row int, x string, y string").toDF(
+        "k", "m", "a", "__row", "dup.name", "dup.name").select("*", F.lit(3).alias("__x"), F.lit(4).alias("__s_"))
+    out = score_registry(df, tables, "m", strategy=plan)
+    assert out.columns == [*df.columns, "prediction"]
+    assert sorted(map(tuple, out.collect()), key=repr) == [
+        (1, "m", 0.0, -7, "p", "q", 3, 4, 1.0), (2, "m", 1.0, -8, "r", None, 3, 4, 2.0)]
+    read_twice = df.select("*", F.lit(0.0).alias("a"))
+    with pytest.raises(InputError, match="several columns are named 'a'"):
+        score_registry(read_twice, tables, "m", strategy=plan)
+
+
+@pytest.mark.parametrize("n_classes", [1, 3])
+def test_a_model_larger_than_a_task_may_hold(spark, n_classes):
+    """Blocks of its rows meet its trees in chunks, and give what the whole model gives, bit for bit."""
+    rng = random.Random(5)
+    trees = [es.Split(rng.randrange(2), rng.gauss(0, 1), es.stump(rng.randrange(2), rng.gauss(0, 1), rng.gauss(0, 1), rng.gauss(0, 1)),
+                      es.Leaf(rng.gauss(0, 1)), rng.choice(["below", "otherwise"])) for _ in range(60)]
+    inputs = [es.scalar("a"), es.scalar("b")]
+    tables = ModelTables.from_rows(spark, es.merge_rows(
+        es.model_rows("large", inputs, trees, groups=[k % n_classes for k in range(60)],
+                      post_transform="SOFTMAX" if n_classes > 1 else "IDENTITY"),
+        es.model_rows("unused", inputs, trees), es.model_rows("small", inputs, trees[:2])))
+    rows = [(k, ["large", "large", "small", "nobody", None][k % 5], 0.1 if k % 3 else rng.gauss(0, 1),
+             rng.choice([None, float("nan"), rng.gauss(0, 1)]), "x") for k in range(500)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    want = score_registry(df, tables, "m", strategy="arrow")
+    for max_nodes in (1, 7, 50, 300):
+        got = score_registry(df, tables, "m", strategy="group", max_nodes=max_nodes, rows_per_group=40)
+        assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+
+
+def test_the_grouped_plan_shuffles_rows_once_and_joins_nothing_back(spark):
+    tables = ModelTables.from_rows(spark, es.model_rows("m", [es.scalar("a")], [es.stump(0, 0.5, 1, 2)]))
+    df = spark.createDataFrame([("m", 0.0)], "m string, a double")
+    plan = score_registry(df, tables, "m", strategy="group")._jdf.queryExecution().optimizedPlan().toString()
+    rows = plan[:plan.index("Union")]
+    assert "Join" not in rows and rows.count("Repartition") == 1

@@ -51,6 +51,15 @@ PER_USER = f"""
            CAST(CASE WHEN {f32('value')} < t THEN below ELSE otherwise END AS DOUBLE) AS prediction
     FROM events e JOIN m USING (user_id)"""
 
+FOREST_PER_USER = f"""
+    WITH m AS (SELECT user_id, {f32('max(value) / 4')} AS a, {f32('max(value) / 2')} AS b, {f32('min(value)')} AS c,
+                      {f32('CAST(count(*) AS DOUBLE) / 64')} AS n
+               FROM events GROUP BY user_id)
+    SELECT event_id, e.user_id,
+           CAST(CASE WHEN {f32('value')} < a THEN n WHEN {f32('value')} < b THEN 0.5 ELSE -n END AS DOUBLE)
+         + CASE WHEN {f32('value')} < c THEN CAST(8 AS DOUBLE) ELSE CAST(0.25 AS DOUBLE) END AS prediction
+    FROM events e JOIN m USING (user_id)"""
+
 _EXP = "exp(CAST({} AS DOUBLE))"
 _LOW = f"{_EXP.format(2)} + {_EXP.format(0)} + {_EXP.format(-1)}"
 
@@ -216,6 +225,20 @@ SQL = {
     "registry_per_user": PER_USER,
     "registry_per_user_grouped": PER_USER,
     "registry_per_user_joined": PER_USER,
+    "registry_duplicate_names": f"""
+        SELECT event_id, e.user_id, value, -7 AS row, 'a' AS x1, event_type AS x2, 1 AS model, 2 AS s, prediction
+        FROM ({PER_USER}) JOIN events e USING (event_id)""",
+    "registry_large_model": f"""
+        SELECT {KEYS}, CASE l_returnflag WHEN 'R' THEN 'forest_small' WHEN 'N' THEN 'forest' ELSE 'none' END AS m,
+               CASE l_returnflag WHEN 'R' THEN {total(FOREST_SMALL)} WHEN 'N' THEN {total(FOREST)} END AS prediction
+        FROM lineitem""",
+    "forest_registry_built": FOREST_PER_USER,
+    "registry_two_versions": f"""
+        SELECT event_id, a.user_id, a.prediction AS before, b.prediction AS after, true AS same
+        FROM ({PER_USER}) a JOIN ({FOREST_PER_USER}) b USING (event_id)""",
+    "stream_registry_score": f"""
+        SELECT * FROM ({PER_USER}) WHERE event_id % 2 = 0
+        UNION ALL SELECT * FROM ({FOREST_PER_USER}) WHERE event_id % 2 = 1""",
     "leaf_table_score": f"SELECT {KEYS}, {total(FOREST_SMALL)} AS prediction FROM lineitem",
     "stream_score": f"SELECT event_id, event_type, {EVENT_KIND} AS prediction FROM events",
 }

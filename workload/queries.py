@@ -350,6 +350,58 @@ def _per_user(strategy):
     return query
 
 
+def registry_duplicate_names(spark, sf):
+    """Columns that no model reads share names, one of them with a helper of an earlier plan."""
+    df = read(spark, sf, "events").select(
+        "event_id", "user_id", "value", F.lit(-7).alias("__row"), F.lit("a").alias("x"),
+        F.col("event_type").alias("x"), F.lit(1).alias("__model"), F.lit(2).alias("__s"))
+    scored = es.score_registry(df, registries.per_user(spark, sf), "user_id", strategy="group", rows_per_group=500)
+    return scored.toDF("event_id", "user_id", "value", "row", "x1", "x2", "model", "s", "prediction")
+
+
+def registry_large_model(spark, sf):
+    """A model that no task may hold whole, beside a small one and names that have none."""
+    tables = es.ModelTables.read(spark, models_path(spark)).map(
+        lambda df: df.where(F.col("model_id").isin("forest", "forest_small")))
+    df = read(spark, sf, "lineitem").withColumn("m", F.when(F.col("l_returnflag") == "R", "forest_small").when(
+        F.col("l_returnflag") == "N", "forest").otherwise("none"))
+    return es.score_registry(df, tables, "m", strategy="group", max_nodes=1000, rows_per_group=20_000).select(
+        *LINE, "m", "prediction")
+
+
+def forest_registry_built(spark, sf):
+    """Two trees per user, in preorder arrays that Spark derives from the user's events."""
+    events = read(spark, sf, "events")
+    scored = es.score_registry(events, registries.forest_per_user(spark, sf), "user_id")
+    return scored.select("event_id", "user_id", "prediction")
+
+
+def registry_two_versions(spark, sf):
+    """The registry is published, and published anew while the first version is open."""
+    root = scratch_path(spark, "published")
+    es.publish_models(registries.per_user(spark, sf), root)
+    first = es.published_models(spark, root)
+    es.publish_models(registries.forest_per_user(spark, sf), root)
+    events = read(spark, sf, "events").select("event_id", "user_id", "value")
+    scored = es.score_registry(events, first, "user_id", prediction_col="before")
+    scored = es.score_registry(scored, es.published_models(spark, root), "user_id", prediction_col="after")
+    again = es.score_registry(scored, es.published_models(spark, root, 1), "user_id", prediction_col="again")
+    return again.select("event_id", "user_id", "before", "after", (F.col("again") == F.col("before")).alias("same"))
+
+
+def stream_registry_score(spark, sf):
+    """Half of the events arrive before a second version is published, and half after."""
+    root, arrived, out, log = (scratch_path(spark, n) for n in ("published", "arrived", "scored", "log"))
+    events = read(spark, sf, "events").select("event_id", "user_id", "value")
+    for tables, part in ((registries.per_user(spark, sf), 0), (registries.forest_per_user(spark, sf), 1)):
+        events.where(F.col("event_id") % 2 == part).write.mode("append").parquet(arrived)
+        es.publish_models(tables, root)
+        stream = spark.readStream.schema(events.schema).parquet(arrived)
+        es.score_registry_stream(stream, root, out, log, model_id_col="user_id", available_now=True,
+                                 columns=["event_id", "user_id", "prediction"]).awaitTermination()
+    return spark.read.parquet(out).select("event_id", "user_id", "prediction")
+
+
 def leaf_table_score(spark, sf):
     return model(spark, "forest_small").setStrategy("join").transform(
         read(spark, sf, "lineitem")).select(*LINE, "prediction")
@@ -382,7 +434,8 @@ QUERIES = {
         rename_probability, filter_after_score, aggregate_scores, pipeline_stage,
         saved_pipeline, empty_input, partition_invariance, copy_params, deferred_load,
         model_violations, parity_report, parity_report_differs, registry_score,
-        leaf_table_score, stream_score)
+        leaf_table_score, stream_score, registry_duplicate_names, registry_large_model,
+        forest_registry_built, registry_two_versions, stream_registry_score)
 } | {
     "registry_per_user": _per_user("auto"),
     "registry_per_user_grouped": _per_user("group"),

@@ -25,6 +25,24 @@ def per_user(spark, sf_dir) -> es.ModelTables:
     return stored(spark, es.stump_registry(params, "value"), "per-user")
 
 
+def forest_per_user(spark, sf_dir) -> es.ModelTables:
+    """Two trees per user: splits at a quarter and a half of the largest value, and at the smallest."""
+    def entry(value=None, threshold=None, missing=None):
+        feature = None if threshold is None else 0
+        return F.struct(F.lit(feature).cast("int").alias("feature"),
+                        F.lit(threshold).cast("float").alias("threshold"), F.lit(missing).alias("missing"),
+                        F.lit(value).cast("float").alias("value"))
+
+    n, top = F.col("n").cast("double"), F.col("top")
+    first = F.array(entry(threshold=top / 4, missing="below"), entry(n / 64), entry(threshold=top / 2, missing="below"),
+                    entry(0.5), entry(-n / 64))
+    second = F.array(entry(threshold=F.col("low"), missing="otherwise"), entry(8.0), entry(0.25))
+    trees = read(spark, sf_dir, "events").groupBy(F.col("user_id").alias("model_id")).agg(
+        F.max("value").alias("top"), F.min("value").alias("low"), F.count("*").alias("n")).select(
+        "model_id", F.posexplode(F.array(first, second)).alias("tree_id", "nodes"))
+    return stored(spark, es.forest_registry(trees, [es.scalar("value")]), "forest-per-user")
+
+
 def per_part(spark, sf_dir) -> es.ModelTables:
     """One stump per part on its retail price."""
     params = read(spark, sf_dir, "part").select(
