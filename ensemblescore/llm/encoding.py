@@ -10,11 +10,14 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 
-from ensemblescore.llm.text import words
+from ensemblescore.llm.text import text_bytes, words
 
-#: Words that a worker remembers the ids of; it starts anew when there are more.
+#: Words in a generation of a worker's memory. It holds two; words met again move to the younger.
 MOST_KNOWN = 300_000
 
+#: Words sent to the library in one text, parted by an added token.
+AT_ONCE = 512
+
 #: Pre-tokenizer pattern whose pieces never hold white space, nor look beyond it.
 _LETTERS_DIGIT_OTHER = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 
@@ -41,6 +44,37 @@ def parts_at_spaces(model: dict) -> bool:
     return folds and cuts and plain
 
 
+def _cuts(added: list[str]) -> np.ndarray:
+    """By two ASCII bytes that follow each other: whether the pattern always cuts between them.
+
+    It does between letters, digits and others, and between digits. Not so at apostrophes, which
+    begin endings, and at what added tokens have besides letters and digits."""
+    kind = np.array([0 if chr(c).isspace() or c >= 0x80 else 1 if chr(c).isalpha() else 2 if chr(c).isdigit() else 3
+                     for c in range(256)])
+    whole = np.isin(np.arange(256), [ord(c) for c in "'" + "".join(added) if not c.isalnum() and ord(c) < 0x80])
+    cut = (kind[:, None] != kind[None, :]) | (kind[:, None] == 2)
+    free = (kind > 0) & ~whole
+    return cut & free[:, None] & free[None, :]
+
+
+def _spaced(text: pa.Array, cuts: np.ndarray) -> pa.Array:
+    """The texts with a space more wherever the pattern cuts, so that fewer words are distinct."""
+    data, offsets = text_bytes(text)
+    if not len(data):
+        return text
+    moved = np.concatenate([[0], np.cumsum(cuts[data[:-1], data[1:]])]) + np.arange(len(data))
+    out = np.full(moved[-1] + 1, 0x20, np.uint8)
+    out[moved] = data
+    ends = np.append(moved, len(out))[offsets]
+    return pa.LargeStringArray.from_buffers(len(text), pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(out))
+
+
+def _gather(begin: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """All places of ranges, one range after another; they are fewer than the bytes of a slice of text."""
+    after = np.cumsum(sizes, dtype=np.int32)
+    return np.repeat(begin - after + sizes, sizes) + np.arange(after[-1] if len(after) else 0, dtype=np.int32)
+
+
 class TextEncoder:
     """A tokenizer file of the ``tokenizers`` library, opened where it is used."""
 
@@ -57,27 +91,53 @@ class TextEncoder:
         self.model = tokenizers.Tokenizer.from_str(self.content)
         self.model.no_truncation()
         self.model.no_padding()
-        self.by_words = parts_at_spaces(json.loads(self.content))
-        self._forget()
-
-    def _forget(self):
+        rules = json.loads(self.content)
+        added = [t["content"] for t in rules["added_tokens"]]
+        self.by_words = parts_at_spaces(rules) and bool(added)
+        if self.by_words:
+            self.cuts = _cuts(added)
+            self.parting, self.parting_id = rules["added_tokens"][0]["content"], rules["added_tokens"][0]["id"]
+        self.older = None
+        self._young()
+
+    def _young(self):
         self.known: dict[str, int] = {}
-        self.pool, self.ends = array("I"), array("q", [0])
+        self.pool, self.ends = array("I"), array("i", [0])
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.model.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _slots(self, names: list[str]) -> np.ndarray:
         """Where the words stand in the pool, which learns those it does not hold."""
+        if len(self.known) > MOST_KNOWN:
+            self.older = (self.known, np.array(self.pool, np.uint32), np.array(self.ends, np.int32))
+            self._young()
         missing = [w for w in names if w not in self.known]
-        if len(self.known) + len(missing) > MOST_KNOWN:
-            self._forget()
-            missing = names
-        for w, ids in zip(missing, self._ids(missing)):
-            self.known[w] = len(self.ends) - 1
-            self.pool.extend(ids)
-            self.ends.append(len(self.pool))
-        return np.fromiter((self.known[w] for w in names), np.int64, len(names))
+        if self.older and missing:
+            known, pool, ends = self.older
+            again = [w for w in missing if w in known]
+            slots = np.fromiter((known[w] for w in again), np.int32, len(again))
+            sizes = ends[slots + 1] - ends[slots]
+            self._learn(again, pool[_gather(ends[slots], sizes)], sizes)
+            missing = [w for w in missing if w not in known]
+        if missing:
+            # Many words in a text; one that holds the token between them would part anew and goes alone.
+            apart = [w for w in missing if self.parting not in w]
+            texts = [self.parting.join([*apart[i:i + AT_ONCE], ""]) for i in range(0, len(apart), AT_ONCE)]
+            flat = np.concatenate([np.zeros(0, np.uint32), *[np.array(ids, np.uint32) for ids in self._ids(texts)]])
+            ends = np.flatnonzero(flat == self.parting_id)
+            self._learn(apart, np.delete(flat, ends), np.diff(ends, prepend=-1) - 1)
+            for w in missing:
+                if self.parting in w:
+                    ids = self._ids([w])[0]
+                    self._learn([w], np.array(ids, np.uint32), np.array([len(ids)]))
+        return np.fromiter((self.known[w] for w in names), np.int32, len(names))
+
+    def _learn(self, names: list[str], ids: np.ndarray, sizes: np.ndarray):
+        first = len(self.ends) - 1
+        self.known.update(zip(names, range(first, first + len(names))))
+        self.ends.frombytes((len(self.pool) + np.cumsum(sizes)).astype(np.int32).tobytes())
+        self.pool.frombytes(ids.astype(np.uint32).tobytes())
 
     def encode(self, text: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in order, each followed by ``end_id``, and the n + 1 offsets of the texts.
@@ -91,19 +151,19 @@ class TextEncoder:
             n = np.array([len(x) for x in lists], np.int64)
             flat = np.concatenate([np.zeros(0, np.uint32), *[np.array(x, np.uint32) for x in lists]])
         else:
-            flat_words, n_words = words(text)
+            flat_words, n_words = words(_spaced(text, self.cuts))
             coded = flat_words.dictionary_encode()
             slots = self._slots(coded.dictionary.to_pylist())
-            ends = np.array(self.ends, np.int64)
+            ends = np.array(self.ends, np.int32)
             begin, size = ends[slots], ends[slots + 1] - ends[slots]
             which = coded.indices.to_numpy(zero_copy_only=False)
             sizes = size[which]
+            flat = np.array(self.pool, np.uint32)[_gather(begin[which], sizes)]
             after = np.cumsum(sizes)
-            take = np.repeat(begin[which] - after + sizes, sizes) + np.arange(after[-1] if len(after) else 0)
-            flat = np.array(self.pool, np.uint32)[take] if len(take) else np.zeros(0, np.uint32)
             upto = np.concatenate([[0], after])[np.concatenate([[0], np.cumsum(n_words)])]
             n = np.diff(upto)
         offsets = np.concatenate([[0], np.cumsum(n + 1)])
-        out = np.full(offsets[-1], end_id, np.uint32)
-        out[np.arange(len(flat)) + np.repeat(np.arange(len(n)), n)] = flat
+        out, own = np.full(offsets[-1], end_id, np.uint32), np.ones(offsets[-1], bool)
+        own[offsets[1:] - 1] = False
+        out[own] = flat
         return out, offsets

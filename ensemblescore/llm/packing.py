@@ -26,8 +26,8 @@ from ensemblescore.sources.scratch import scratch_path
 #: Tokens in a sequence, and the id behind every document.
 CAPACITY, END_ID = 4096, 1
 
-#: Tokens that a task puts into one batch of pieces.
-TOKENS_PER_BATCH = 1 << 20
+#: Text encoded at a time, and tokens that a task puts into one batch of pieces.
+SLICE_BYTES, TOKENS_PER_BATCH = 4 << 20, 1 << 20
 
 
 def token_pieces(df: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = END_ID,
@@ -48,7 +48,7 @@ def token_pieces(df: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, e
         encoder, part = shared.value, TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, np.int64)
         for batch in batches:
-            for first, rows in slices(batch.column(1)):
+            for first, rows in slices(batch.column(1), SLICE_BYTES):
                 ids, offsets = encoder.encode(rows, end_id)
                 n = np.diff(offsets)
                 pieces = -(-n // capacity)
