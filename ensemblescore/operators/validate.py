@@ -6,15 +6,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ensemblescore.errors import ModelError
-from ensemblescore.operators.depths import NODE, edges, node_depths
+from ensemblescore.operators.trees import tree_violations
 from ensemblescore.sources import schema as S
 from ensemblescore.sources.tables import ModelTables
 
 
-def _broken(df: DataFrame, rules: dict[str, Column], tree_id=None, node_id=None) -> DataFrame:
-    """Test all rules in one pass; a null test counts as broken."""
-    found = F.array_compact(F.array(*[
+def _faults(rules: dict[str, Column]) -> Column:
+    """The rules broken, tested in one pass; a null test counts as broken."""
+    return F.array_compact(F.array(*[
         F.when(~F.coalesce(ok, F.lit(False)), F.lit(rule)) for rule, ok in rules.items()]))
+
+
+def _broken(df: DataFrame, rules: dict[str, Column], tree_id=None, node_id=None) -> DataFrame:
+    found = _faults(rules)
     return df.select(
         "model_id",
         (F.lit(None) if tree_id is None else F.col(tree_id)).cast("int").alias("tree_id"),
@@ -61,17 +65,7 @@ def violations(tables: ModelTables) -> DataFrame:
         _broken(trees.join(limits, "model_id", "left"), {
             "bad_tree_group": F.col("tree_group").between(0, F.col("n_outputs") - 1),
         }, "tree_id"),
-        _broken(
-            nodes.groupBy("model_id", "tree_id").agg(F.min("node_id").alias("first"))
-            .join(trees.select("model_id", "tree_id", F.lit(True).alias("listed")).distinct(),
-                  ["model_id", "tree_id"], "full"),
-            {"no_root": F.col("first") == 0, "unlisted_tree": F.col("listed")}, "tree_id"),
-        _node_violations(nodes, limits),
-        _broken(nodes.groupBy(*NODE).count(), {"duplicate_node": F.col("count") == 1},
-                "tree_id", "node_id"),
-        _edge_violations(nodes),
-        _broken(node_depths(tables), {"unreachable": F.col("depth").isNotNull()},
-                "tree_id", "node_id"),
+        tree_violations(nodes, trees, limits, _node_faults()),
     ]
     found = parts[0]
     for part in parts[1:]:
@@ -87,29 +81,18 @@ def refuse_broken(tables: ModelTables) -> None:
                          f"node {broken.node_id}")
 
 
-def _node_violations(nodes: DataFrame, limits: DataFrame) -> DataFrame:
+def _node_faults() -> Column:
+    """The rules that a node breaks by itself; what needs its model or its tree is found there."""
     branch, n_children = F.col("kind") == S.BRANCH, F.size("children")
-    return _broken(nodes.join(limits.select("model_id", "width"), "model_id", "left"), {
+    return _faults({
         "unknown_kind": F.col("kind").isin(*S.NODE_KINDS),
         "unknown_split_op": F.when(branch, F.col("split_op") == S.LESS_THAN)
         .otherwise(F.col("split_op").isin(*S.SPLIT_OPS)),
         "leaf_has_children": (F.col("kind") != S.LEAF) | (n_children == 0),
         "branch_without_two_children": ~branch | (n_children == 2),
-        "bad_split_feature": ~branch | F.col("split_feature").between(0, F.col("width") - 1),
         "nan_threshold": ~branch | ~F.isnan("split_threshold"),
         "null_threshold": ~branch | F.col("split_threshold").isNotNull(),
         "null_leaf": branch | F.col("leaf_value").isNotNull(),
         "negative_node": F.col("node_id") >= 0,
         "bad_default_child": ~branch | F.array_contains("children", F.col("default_child")),
-    }, "tree_id", "node_id")
-
-
-def _edge_violations(nodes: DataFrame) -> DataFrame:
-    """Per child id: is it there, and is it the child of one branch only?"""
-    children = edges(nodes).groupBy(*NODE).agg(F.count("*").alias("parents"))
-    present = nodes.select(*NODE, F.lit(True).alias("present")).distinct()
-    return _broken(children.join(present, NODE, "left"), {
-        "missing_child": F.col("present"),
-        "two_parents": F.col("parents") == 1,
-        "root_has_parent": F.col("node_id") != 0,
-    }, "tree_id", "node_id")
+    })
