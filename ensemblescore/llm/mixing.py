@@ -7,20 +7,23 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ensemblescore.llm.text import content_digest, unused
+from ensemblescore.llm.text import content_digest, named, unused
 from ensemblescore.sources.scratch import ensure_checkpoint_dir
 
 #: Weights of the sources in their order, repeated as often as needed.
 WEIGHTS = (5, 2, 1)
 #: The mix takes this share of all words, and at most so many epochs of one source.
 SHARE, EPOCHS = 1.5, 2
-#: Words in a block. A source's words differ from its target by a few blocks.
+#: Words in a block.
 BLOCK = 64
 
 #: Sizes of the pieces that running sums are cut into: documents per bucket, slots per chunk,
 #: and cells that the cumulative weights are looked up by. They change no result.
 DOCS_PER_BUCKET, SLOTS_PER_CHUNK, CELL_BITS = 512, 1 << 16, 10
 
+#: Numbers of the mix between one slot and the next.
+GAP = 1 << 20
+
 #: The table of sources is broadcast up to so many rows, and joined by a shuffle beyond.
 MOST_BROADCAST = 100_000
 
@@ -67,8 +70,12 @@ def _small(rows: DataFrame, n_sources: int) -> DataFrame:
     return F.broadcast(rows) if n_sources <= MOST_BROADCAST else rows
 
 
-def _schedule(spark, sources: DataFrame, n_sources: int, n_slots: int, total: float) -> DataFrame:
-    """(rank, block, slot): which block of which source each slot of the mix holds."""
+def _schedule(spark, sources: DataFrame, n_sources: int, n_slots: int, total: float, block: int) -> DataFrame:
+    """(rank, block, slot): the place in the mix of every block that a source's words need, and of no other.
+
+    The k-th slot of a source holds its k-th block. The points give a source a few slots more or
+    less than it needs, and a source smaller than a slot often none: slots beyond its words stay out, and
+    blocks without a slot stand between slots, at places drawn by a hash. ``slot`` orders the mix."""
     bits = max(CELL_BITS, (n_slots - 1).bit_length())
     cell = 1 << (bits - CELL_BITS)
     upto = F.sum("target").over(Window.orderBy("rank"))
@@ -85,8 +92,16 @@ def _schedule(spark, sources: DataFrame, n_sources: int, n_slots: int, total: fl
         "rank", "chunk", F.coalesce(F.sum("n").over(Window.partitionBy("rank").orderBy("chunk").rowsBetween(
             Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
     own = F.row_number().over(Window.partitionBy("rank", "chunk").orderBy("slot")) - 1
-    return slots.withColumn("own", own).join(before, ["rank", "chunk"]).select(
-        "rank", (F.col("before") + F.col("own")).alias("block"), "slot")
+    needs = sources.select("rank", F.ceil(F.col("words") / block).alias("needed"))
+    scheduled = slots.withColumn("own", own).join(before, ["rank", "chunk"]).join(_small(needs, n_sources), "rank").select(
+        "rank", (F.col("before") + F.col("own")).alias("block"), (F.col("slot") * GAP).alias("slot"), "needed").where(
+        "block < needed").drop("needed")
+    had = slots.groupBy("rank").agg(F.count("*").alias("n"))
+    missing = needs.join(had, "rank", "left").withColumn("n", F.coalesce("n", F.lit(0))).where("n < needed").select(
+        "rank", F.explode(F.sequence(F.col("n"), F.col("needed") - 1)).alias("block"))
+    missing = missing.withColumn("after", F.pmod(F.xxhash64("rank", "block"), F.lit(n_slots)))
+    between = F.row_number().over(Window.partitionBy("after").orderBy("rank", "block"))
+    return scheduled.unionByName(missing.select("rank", "block", (F.col("after") * GAP + between).alias("slot")))
 
 
 @dataclass(frozen=True)
@@ -107,8 +122,8 @@ def mix(df: DataFrame, key: str = "doc_id", text: str = "text", source: str = "s
     Each source's documents, shuffled by a hash of their content, form one stream of words
     that runs for ``epochs`` rounds and is cut into blocks of ``block`` words. Slot ``t``
     of the mix takes the van der Corput point of ``t`` through the cumulative targets to a
-    source, and the k-th slot of a source holds its k-th block. A document at a cut is
-    taken in part. Null or empty texts have no words, take part with size 0, and are never
+    source, and the k-th slot of a source holds its k-th block, until the words of the source
+    are its target, rounded; the last block is shorter. A document at a cut is taken in part. Null or empty texts have no words, take part with size 0, and are never
     taken; a null source is a source of its own; rows that repeat are mixed as rows; an
     empty table gives an empty mix.
 
@@ -116,10 +131,11 @@ def mix(df: DataFrame, key: str = "doc_id", text: str = "text", source: str = "s
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    n_words = F.coalesce(F.regexp_count(df[text].cast("string"), F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0))
-    sized = df.select(df[key].alias("doc_id"), df[source].alias("source"), n_words.cast("bigint").alias("size"),
-                      content_digest(df[key], df[text]).alias("digest")).checkpoint()
-    sources = source_targets(sized, weights, share, epochs).checkpoint()
+    n_words = F.coalesce(F.regexp_count(named(text).cast("string"), F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0))
+    sized = df.select(named(key).alias("doc_id"), named(source).alias("source"), n_words.cast("bigint").alias("size"),
+                      content_digest(named(key), named(text)).alias("digest")).checkpoint()
+    sources = source_targets(sized, weights, share, epochs).withColumn(
+        "words", F.floor(F.col("target") + 0.5)).checkpoint()
     n_rows = sized.count()
     total, n_sources = sources.agg(F.coalesce(F.sum("target"), F.lit(0.0)), F.count("*")).first()
     n_buckets = max(1, n_rows // DOCS_PER_BUCKET)
@@ -135,14 +151,15 @@ def mix(df: DataFrame, key: str = "doc_id", text: str = "text", source: str = "s
     documents = ranked.withColumn("within", within).join(before, ["rank", "bucket"]).withColumn(
         "start", F.col("before") + F.col("within")).drop("bucket", "before", "within").checkpoint()
 
-    slots = _schedule(spark, sources, n_sources, max(1, round(total / block)), max(total, 1.0))
+    slots = _schedule(spark, sources, n_sources, max(1, round(total / block)), max(total, 1.0), block)
     rounds = documents.where("size > 0").select(
-        "rank", "start", "size", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))).alias("epoch"), "source_size")
-    rounds = rounds.withColumn("at", F.col("epoch") * F.col("source_size") + F.col("start"))
+        "rank", "start", "size", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))).alias("epoch"), "source_size", "words")
+    rounds = rounds.withColumn("at", F.col("epoch") * F.col("source_size") + F.col("start")).withColumn(
+        "upto", F.least(F.col("at") + F.col("size"), "words")).where("at < upto")
     cuts = rounds.withColumn("block", F.explode(F.sequence(
-        F.floor(F.col("at") / block), F.floor((F.col("at") + F.col("size") - 1) / block))))
+        F.floor(F.col("at") / block), F.floor((F.col("upto") - 1) / block))))
     cuts = cuts.withColumn("begin", F.greatest(F.col("block") * block, F.col("at"))).withColumn(
-        "length", F.least((F.col("block") + 1) * block, F.col("at") + F.col("size")) - F.col("begin"))
+        "length", F.least((F.col("block") + 1) * block, "upto") - F.col("begin"))
     pieces = cuts.join(slots, ["rank", "block"]).select(
         "slot", "rank", "block", "start", (F.col("begin") - F.col("at")).alias("begin"), "length")
 
@@ -167,6 +184,7 @@ def mixed_documents(df: DataFrame, key: str = "doc_id", text: str = "text", sour
         F.round(F.sum("taken") / F.greatest(F.sum("size"), F.lit(1))).cast("int").alias("times"))
     taken = taken.where("times > 0").select(
         F.col("digest").alias(of), F.col("source").alias(name), F.col("times").alias(copies))
-    rows = df.withColumn(own, content_digest(df[key], df[text]))
-    rows = rows.join(taken, (F.col(own) == F.col(of)) & rows[source].eqNullSafe(F.col(name)))
-    return rows.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copies)))).select(*df.columns)
+    # By position: the table may have several columns of one name.
+    rows = df.select("*", content_digest(named(key), named(text)).alias(own))
+    rows = rows.join(taken, (F.col(own) == F.col(of)) & named(source).eqNullSafe(F.col(name)))
+    return rows.select("*", F.explode(F.sequence(F.lit(1), F.col(copies))).alias(copy)).drop(own, of, name, copies, copy)

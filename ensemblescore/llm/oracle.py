@@ -71,21 +71,10 @@ common AS (SELECT arg_min(level, (ratio, rank)) AS common FROM levelled WHERE ra
 sources AS (
     SELECT rank, source, source_size, least(top::DOUBLE, weight * coalesce(common, 'inf'::DOUBLE)) AS target
     FROM levelled, common),
-total AS (
-    SELECT sum(target) AS total, greatest(1, round(sum(target) / 64))::BIGINT AS n,
-        greatest(10, length(bin(greatest(1, round(sum(target) / 64))::BIGINT - 1))) AS bits FROM sources),
-shares AS (
-    SELECT rank, floor((upto - target) / total * (1 << bits)) AS low,
-        CASE WHEN rank = max(rank) OVER () THEN 1 << bits ELSE floor(upto / total * (1 << bits)) END AS high
-    FROM (SELECT *, sum(target) OVER (ORDER BY rank) AS upto FROM sources), total),
-points AS (
-    SELECT list_sum(list_transform(range(0, bits), lambda b: ((t >> b) & 1) << (bits - 1 - b))) AS u
-    FROM (SELECT bits, unnest(range(0, n)) AS t FROM total)),
-slots AS (SELECT rank, 64 * count(*) AS words FROM points JOIN shares ON u >= low AND u < high GROUP BY rank),
 placed AS (
-    SELECT d.*, s.rank, source_size, target, coalesce(words, 0) AS words, sum(size) OVER (
+    SELECT d.*, s.rank, source_size, target, floor(target + 0.5)::BIGINT AS words, sum(size) OVER (
         PARTITION BY s.rank ORDER BY digest, size ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - size AS start
-    FROM d JOIN sources s ON d.source IS NOT DISTINCT FROM s.source LEFT JOIN slots ON slots.rank = s.rank)
+    FROM d JOIN sources s ON d.source IS NOT DISTINCT FROM s.source)
 SELECT doc_id, size, source_size, target,
     (least(greatest(words - start, 0), size) + least(greatest(words - source_size - start, 0), size))::BIGINT
         AS taken

@@ -169,6 +169,27 @@ def test_mixing(odd, none):
     assert mixing.mixed_documents(df).columns == df.columns
 
 
+def test_mixing_gives_every_source_its_target(spark):
+    """Sources far below a block beside large ones, and one of a single word."""
+    rng = random.Random(9)
+    rows = [(i, "w " * rng.randint(1, 400), f"big{i % 3}") for i in range(300)]
+    rows += [(1000 + 10 * s + d, "x " * 5, f"small{s:03d}") for s in range(300) for d in range(3)] + [(9999, "one", "tiny")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    mix = mixing.mix(df)
+    taken, target = Counter(), {}
+    for r in mix.taken.collect():
+        taken[r.source] += r.taken
+        target[r.source] = r.target
+        assert 0 <= r.taken <= 2 * r["size"]
+    assert len(target) == 304 and all(abs(taken[s] - t) <= 0.5 for s, t in target.items())
+    pieces_ = mix.pieces.collect()
+    assert sum(p.length for p in pieces_) == sum(taken.values())
+    # Blocks without a slot of their own stand among the slots, not behind them.
+    places = sorted({(p.slot, p["rank"]) for p in pieces_})
+    small = [i for i, (_, rank) in enumerate(places) if rank >= 3]
+    assert len({s for s, _ in places}) == len(places) and min(small) < 0.1 * len(places) and max(small) > 0.9 * len(places)
+
+
 def test_mixing_pieces_cover_what_is_taken(odd):
     mix = mixing.mix(odd[0], block=100)
     pieces_, taken = mix.pieces.collect(), mix.taken.collect()
@@ -176,7 +197,9 @@ def test_mixing_pieces_cover_what_is_taken(odd):
     filled = Counter()
     for p in pieces_:
         filled[p.slot] += p.length
-    assert max(filled.values()) <= 100 and len({(p["rank"], p.block, p.start, p.begin) for p in pieces_}) == len(pieces_)
+    assert max(filled.values()) <= 100
+    # A source of few words has a document in one block once per round.
+    assert max(Counter((p["rank"], p.block, p.start, p.begin) for p in pieces_).values()) <= mixing.EPOCHS
 
 
 def test_mixing_targets_reshare_what_is_above(spark):
