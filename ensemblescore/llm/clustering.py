@@ -201,7 +201,7 @@ def cluster(df: DataFrame, key: str = "vec_id", vector: str = "embedding", centr
         for r in sums.collect():
             middle[r.cluster][r.component] = int(r.total) // r.n
 
-    to = np.array(middle, np.int64).reshape(len(middle), -1)
+    to = np.array(middle, np.int64).reshape(len(middle), dimensions)
 
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, _, clusters, distances in assigned(batches, to):

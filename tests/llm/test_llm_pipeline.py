@@ -62,3 +62,16 @@ def test_stages_on_nothing_and_on_odd_rows(spark):
     for docs in (odd, odd.where("false")):
         for _, stage in corpus_pipeline.STAGES:
             assert stage(spark, docs, "").count() <= 2 * len(rows)
+
+
+def test_stages_keep_columns_of_any_name(spark):
+    """Extra columns with a dot, of one name, and of a type that has no order."""
+    rows = [(k, " ".join(f"w{k % 7}x{i}" for i in range(60)), "en", "ab"[k % 2], 0) for k in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").selectExpr(
+        "*", "doc_id AS a", "source AS b", "map('k', doc_id) AS m", "doc_id AS d").toDF(
+        "doc_id", "text", "lang", "source", "n_chars", "same", "same", "m", "dot.ted")
+    for i, (_, stage) in enumerate(corpus_pipeline.STAGES[:4]):
+        out = stage(spark, docs, "")
+        assert out.columns == docs.columns and out.dtypes == docs.dtypes
+        found = out.collect()
+        assert found and all(r[5] == r[0] == r[8] == r[7]["k"] and r[6] == r[3] for r in found)
