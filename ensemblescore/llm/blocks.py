@@ -73,8 +73,8 @@ def count_blocks(df: DataFrame, text: Column, block_bytes: int = BLOCK_BYTES) ->
     return max(1, -(-size // block_bytes))
 
 
-def deal(df: DataFrame, n_blocks: int) -> DataFrame:
-    """(block, payload): the rows of ``df``, dealt by a hash of all their columns and packed."""
+def deal(df: DataFrame, n_blocks: int, by: list[str] | None = None) -> DataFrame:
+    """(block, payload): the rows of ``df``, dealt by a hash of all their columns, or of ``by``, and packed."""
     names = df.columns
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -86,7 +86,7 @@ def deal(df: DataFrame, n_blocks: int) -> DataFrame:
                 yield pa.record_batch([pa.array([b], pa.int32()), pa.array([pack(table.take(rows))], pa.binary())],
                                       names=["block", "payload"])
 
-    block = F.pmod(F.xxhash64(*names), F.lit(n_blocks)).cast("int")
+    block = F.pmod(F.xxhash64(*(by or names)), F.lit(n_blocks)).cast("int")
     return df.withColumn("__block", block).mapInArrow(packed, "block int, payload binary").repartition(
         n_blocks, "block")
 

@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ensemblescore.llm.text import codes, slices, sums, text_bytes, unused, words
+from ensemblescore.llm.text import codes, named, slices, sums, text_bytes, unused, words
 
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words",
             "n_echo_words", "n_capitals")
@@ -143,7 +143,8 @@ def passes(bits: Column, policy: str = "v1") -> Column:
 def passing(df: DataFrame, policy: str = "v1", text: str = "text") -> DataFrame:
     """The rows of ``df`` that no rule of the policy rejects, in the same columns."""
     name = unused(df, "measured")
-    return df.withColumn(name, measures(df[text])).where(passes(failures(name), policy)).select(*df.columns)
+    # By position: the table may have several columns of one name.
+    return df.select("*", measures(named(text)).alias(name)).where(passes(failures(name), policy)).drop(name)
 
 
 def ablations(rows: DataFrame, policy: str = "v1") -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ensemblescore.llm.components import connected_components
-from ensemblescore.llm.text import content_digest, slices, unused
+from ensemblescore.llm.text import content_digest, named, slices, unused
 from ensemblescore.sources.scratch import ensure_checkpoint_dir
 
 SHINGLE, SEED, MAX_BITS, SEGMENTS = 3, 42, 3, 2
@@ -99,8 +99,8 @@ def _labelled(rows: DataFrame, max_bits: int, segments: int) -> DataFrame:
     labelled = classes.join(grouped, "fingerprint", "left").withColumn(
         "component", F.coalesce("component", "fingerprint"))
     smallest = labelled.groupBy("component").agg(F.min("first").alias("component_id"))
-    named = labelled.join(smallest, "component").select("fingerprint", "component", "component_id")
-    return rows.join(named, "fingerprint")
+    names = labelled.join(smallest, "component").select("fingerprint", "component", "component_id")
+    return rows.join(names, "fingerprint")
 
 
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
@@ -126,12 +126,13 @@ def representatives(df: DataFrame, key: str = "doc_id", text: str = "text", shin
     equal in key and text, one.
     """
     ensure_checkpoint_dir(df.sparkSession)
-    own = content_digest(df[key], df[text])
-    rows = df.select(df[key].alias("doc_id"), fingerprints(df[text], shingle).alias("fingerprint"),
+    own = content_digest(named(key), named(text))
+    rows = df.select(named(key).alias("doc_id"), fingerprints(named(text), shingle).alias("fingerprint"),
                      own.alias("digest")).checkpoint()
     chosen = _labelled(rows, max_bits, segments).groupBy("component").agg(F.min(F.struct(
         F.col("doc_id").isNull().alias("last"), "doc_id", "digest"))["digest"].alias(unused(df, "chosen")))
     name, chosen_name = unused(df, "digest"), chosen.columns[-1]
-    kept = df.withColumn(name, own).join(
+    # By position: the table may have several columns of one name.
+    kept = df.select("*", own.alias(name)).join(
         chosen.select(chosen_name), F.col(name) == F.col(chosen_name), "left_semi")
-    return kept.dropDuplicates([name]).select(*df.columns)
+    return kept.dropDuplicates([name]).drop(name)

@@ -255,12 +255,16 @@ def _remove(n_buckets: int, least: int):
     return finishes
 
 
-def _judged(df: DataFrame, key: str, text: str, least: int, row: list[str], block_bytes: int, crowd: int) -> DataFrame:
-    """``row``, a struct of the columns asked for, with ``n_words``, ``n_removed`` and ``kept``."""
-    rows = df.select(F.struct(*[df[c] for c in row]).alias("row"), df[key].cast("bigint").alias("order"),
-                     df[text].cast("string").alias("text"))
+def _judged(df: DataFrame, key: str, text: str, least: int, row: list[int], block_bytes: int, crowd: int) -> DataFrame:
+    """``row``, a struct of the columns asked for, with ``n_words``, ``n_removed`` and ``kept``.
+
+    Columns are asked for by their places, which name the struct's fields: they may share names and hold maps."""
+    placed = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+    order, words = (F.col(f"c{df.columns.index(c)}") for c in (key, text))
+    rows = placed.select(F.struct(*[f"c{i}" for i in row]).alias("row"), order.cast("bigint").alias("order"),
+                         words.cast("string").alias("text"))
     n = blocks.count_blocks(rows, F.col("text"), block_bytes)
-    dealt = blocks.deal(rows, n)
+    dealt = blocks.deal(rows, n, ["order", "text"])
     first = blocks.answer(blocks.ask(dealt, _ask_anchors(n, least)), n, _answer_anchors(crowd))
     second = blocks.answer(blocks.ask_again(dealt, first, _ask_passages(n, least)), n, _answer_passages(least))
     kind = rows.schema["row"].dataType.simpleString()
@@ -280,8 +284,9 @@ def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", least
 
     Equal words are decided on the words themselves; hashes only choose where they meet.
     """
-    return _judged(df, key, text, least, [key], block_bytes, crowd).select(
-        F.col("row")[key].alias("doc_id"), "n_words", "n_removed", "kept")
+    own = df.columns.index(key)
+    return _judged(df, key, text, least, [own], block_bytes, crowd).select(
+        F.col("row")[f"c{own}"].alias("doc_id"), "n_words", "n_removed", "kept")
 
 
 def without_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", least: int = LEAST,
@@ -290,6 +295,7 @@ def without_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", leas
 
     A text that loses nothing stays as it is, white space included; one that loses all is empty.
     """
-    out = _judged(df, key, text, least, df.columns, block_bytes, crowd)
-    left = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("row")[text])
-    return out.select(*[left.alias(c) if c == text else F.col("row")[c].alias(c) for c in df.columns])
+    out = _judged(df, key, text, least, list(range(len(df.columns))), block_bytes, crowd)
+    at = df.columns.index(text)
+    left = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("row")[f"c{at}"])
+    return out.select(*[(left if i == at else F.col("row")[f"c{i}"]).alias(c) for i, c in enumerate(df.columns)])
