@@ -10,6 +10,7 @@ from pyspark.sql.types import DataType, FloatType, StructType
 
 from ensemblescore.errors import InputError, ModelError
 from ensemblescore.functions import coerce
+from ensemblescore.operators.lookup import coded
 from ensemblescore.sources.schema import FLOAT32
 from ensemblescore.sources.spec import InputSpec, ModelSpec
 from ensemblescore.sources.tables import ModelTables
@@ -51,18 +52,11 @@ class BoundInput:
 
 
 def coded_by_join(df: DataFrame, item: BoundInput, tables: ModelTables, code: str) -> DataFrame:
-    """Add the category code of a string input from the model's table; NaN if null or unknown.
-
-    A null has no code, so it is not sent to meet one: each null row goes its own way."""
-    value, rest = f"{code}_value", f"{code}_rest"
+    """Add the category code of a string input from the model's table; NaN if null or unknown."""
     known = tables.inputs.where(F.col("name") == item.spec.name).select(
-        F.posexplode("categories").alias("pos", value)
-    ).groupBy(value).agg(F.min("pos").cast("float").alias(code)).withColumn(rest, F.lit(0))
-    nan = F.lit(float("nan")).cast("float")
-    spread = F.when(coerce.column(item.column).isNull(), F.lit(1) + F.spark_partition_id()).otherwise(0)
-    coded = df.select("*", F.coalesce(coerce.column(item.column).cast("string"), F.lit("")).alias(value),
-                      spread.alias(rest)).join(known, [value, rest], "left")
-    return coded.drop(value, rest).withColumn(code, F.coalesce(code, nan))
+        F.posexplode("categories").alias("pos", "value")
+    ).groupBy("value").agg(F.min("pos").cast("float").alias("code"))
+    return coded(df, coerce.column(item.column), known, code)
 
 
 def with_codes(df: DataFrame, bound: list[BoundInput], tables: ModelTables,

@@ -22,6 +22,7 @@ from pyspark.sql.types import DoubleType, StructField
 from ensemblescore.errors import InputError, ModelError
 from ensemblescore.functions import coerce, post
 from ensemblescore.functions.models import Models
+from ensemblescore.operators import lookup
 from ensemblescore.operators.outputs import extended
 from ensemblescore.operators.validate import refuse_broken
 from ensemblescore.plans import grouped, relational
@@ -205,14 +206,14 @@ def _declared(df: DataFrame, inputs: DataFrame, source: str, model: str, name: s
 
 def _coded(df: DataFrame, inputs: DataFrame, source: str, model: str, code: str) -> DataFrame:
     """Look a string up among the categories of the row's own model; NaN if it is not there."""
-    value = coerce.unused(df.columns, f"{code}_value")
-    table = inputs.where(F.col("source") == source).select(
-        F.col("model_id").alias(model), F.posexplode("categories").alias("pos", value)
-    ).groupBy(model, value).agg(F.min("pos").cast("float").alias(code))
-    nan = F.lit(float("nan")).cast("float")
-    return (df.withColumn(value, coerce.column(source))
-            .join(table, [model, value], "left").drop(value)
-            .withColumn(code, F.coalesce(code, nan)))
+    def pair(name, value):
+        """One string for both, which no other two strings give; null if either is."""
+        return F.concat(F.length(name).cast("string"), F.lit(":"), name, value)
+
+    known = inputs.where(F.col("source") == source).select(
+        F.col("model_id"), F.posexplode("categories").alias("pos", "category")
+    ).groupBy(pair(F.col("model_id"), F.col("category")).alias("value")).agg(F.min("pos").cast("float").alias("code"))
+    return lookup.coded(df, pair(F.col(model), coerce.column(source)), known, code)
 
 
 def _by_broadcast(keyed: DataFrame, tables: ModelTables, width: int, model: str, x: str, score: str) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from ensemblescore.operators import inputs, outputs
-from ensemblescore.plans import arrow, chunked, expression, relational, strategy
+from ensemblescore.plans import arrow, boxes, chunked, expression, relational, strategy, trees
 from ensemblescore.sources.spec import MAX_BROADCAST_NODES, ModelSpec, load_spec
 from ensemblescore.sources.tables import ModelTables
 
@@ -38,10 +38,13 @@ class EnsembleModel(Transformer, DefaultParamsReadable, DefaultParamsWritable):
         "predictionCol", "output column: the score, or the index of the largest output")
     probabilityCol = _string_param(
         "probabilityCol", "output column: all outputs as a vector, if there are several")
-    strategy = _string_param("strategy", "auto, expr, arrow, chunked or join")
+    strategy = _string_param("strategy", "auto, expr, arrow, chunked, trees, join or boxes")
     maxBroadcastNodes = Param(
         Params._dummy(), "maxBroadcastNodes", "nodes of a model, or of a chunk of it, that are "
         "broadcast at once; it decides the plan and no result", typeConverter=TypeConverters.toInt)
+    maxBroadcastChars = Param(
+        Params._dummy(), "maxBroadcastChars", "characters of category names beyond which strings are coded "
+        "by a join; it decides the plan and no result", typeConverter=TypeConverters.toInt)
 
     @keyword_only
     def __init__(self, *, modelPath: str | None = None, modelId: str | None = None,
@@ -82,11 +85,12 @@ class EnsembleModel(Transformer, DefaultParamsReadable, DefaultParamsWritable):
     def _load(self) -> tuple[ModelTables, ModelSpec]:
         if not self.isDefined(self.modelPath):
             raise ValueError("modelPath is not set")
-        key = (self.getModelPath(), self.getModelId(), self.getMaxBroadcastNodes())
+        key = (self.getModelPath(), self.getModelId(), self.getMaxBroadcastNodes(), self.getMaxBroadcastChars())
         if self._loaded is None or self._loaded[0] != key:
             spark = SparkSession.getActiveSession() or SparkSession.builder.getOrCreate()
             tables = ModelTables.read(spark, key[0])
-            self._loaded = (key, tables, load_spec(tables, key[1], max_nodes=key[2]))
+            self._loaded = (key, tables, load_spec(
+                tables, key[1], max_nodes=key[2], max_chars=key[3]))
         return self._loaded[1:]
 
     @property
@@ -121,8 +125,11 @@ class EnsembleModel(Transformer, DefaultParamsReadable, DefaultParamsWritable):
         elif plan == strategy.CHUNKED:
             summed = chunked.add_sums(coded, bound, *self._prepare_chunks(dataset, one, spec),
                                       spec.n_outputs, sums)
+        elif plan == strategy.TREES:
+            summed = trees.add_sums(coded, bound, one, spec, sums)
         else:
-            summed = relational.add_sums(coded, bound, one, spec.n_outputs, sums)
+            by = relational if plan == strategy.JOIN else boxes
+            summed = by.add_sums(coded, bound, one, spec.n_outputs, sums)
         return outputs.append(summed, sums, dataset.columns, spec, self.getProbabilityCol(),
                               self.getPredictionCol())
 
@@ -173,6 +180,12 @@ class EnsembleModel(Transformer, DefaultParamsReadable, DefaultParamsWritable):
     def setMaxBroadcastNodes(self, value: int) -> EnsembleModel:
         return self._set(maxBroadcastNodes=value)
 
+    def setMaxBroadcastChars(self, value: int) -> EnsembleModel:
+        return self._set(maxBroadcastChars=value)
+
+    def getMaxBroadcastChars(self) -> int | None:
+        return self.getOrDefault(self.maxBroadcastChars) if self.isDefined(self.maxBroadcastChars) else None
+
     def getMaxBroadcastNodes(self) -> int:
         return self.getOrDefault(self.maxBroadcastNodes)
 

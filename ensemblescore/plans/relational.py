@@ -50,9 +50,9 @@ def walk(points: DataFrame, tables: ModelTables) -> DataFrame:
         *POINT, "tree_id", "tree_group", F.col("leaf_value").cast("double").alias("value"))
 
 
-def sums(points: DataFrame, tables: ModelTables) -> DataFrame:
+def sums(points: DataFrame, tables: ModelTables, walked_by=walk) -> DataFrame:
     """``model_id, x, sums array<double>``: trees added in ascending order, as the other plans do."""
-    walked = walk(points, tables).groupBy(*POINT).agg(
+    walked = walked_by(points, tables).groupBy(*POINT).agg(
         F.array_sort(F.collect_list(F.struct("tree_id", "tree_group", "value"))).alias("trees"))
 
     def output(k):
@@ -64,22 +64,28 @@ def sums(points: DataFrame, tables: ModelTables) -> DataFrame:
         *POINT, outputs.alias("sums"))
 
 
-def add_sums(df: DataFrame, bound: list[BoundInput], tables: ModelTables, n_outputs: int,
-             name: str) -> DataFrame:
-    """Append ``name``: the sums as ``array<double>``, or a plain double for one output."""
-    key, keyed, parts = f"{name}_x", df, []
+def features_of(df: DataFrame, bound: list[BoundInput], tables: ModelTables, name: str) -> tuple[str, DataFrame]:
+    """The name of a column with all features as ``array<float>``, and ``df`` with it."""
+    key, keyed, parts, codes = f"{name}_x", df, [], []
     for k, item in enumerate(bound):
         if item.has_long_vocabulary:
-            keyed = coded_by_join(keyed, item, tables, f"{name}_code{k}")
-            parts.append(F.array(F.col(f"{name}_code{k}")))
+            codes.append(f"{name}_code{k}")
+            keyed = coded_by_join(keyed, item, tables, codes[-1])
+            parts.append(F.array(F.col(codes[-1])))
         else:
             parts.append(item.array)
     features = parts[0] if len(parts) == 1 else F.concat(*parts)
-    keyed = keyed.select("*", features.alias(key)).drop(*[c for c in keyed.columns if c not in df.columns])
+    return key, keyed.select("*", features.alias(key)).drop(*codes)
+
+
+def add_sums(df: DataFrame, bound: list[BoundInput], tables: ModelTables, n_outputs: int,
+             name: str, walked_by=walk) -> DataFrame:
+    """Append ``name``: the sums as ``array<double>``, or a plain double for one output."""
+    key, keyed = features_of(df, bound, tables, name)
     # Not a literal, which Catalyst would take out of the join and leave a product of all rows.
     model = F.when(F.size(F.col(key)) >= 0, F.lit(tables.header.head().model_id))
     points = keyed.select(model.alias("model_id"), F.col(key).alias("x")).distinct()
-    scored = sums(points, tables).select(F.col("x").alias(key), F.col("sums").alias(name))
+    scored = sums(points, tables, walked_by).select(F.col("x").alias(key), F.col("sums").alias(name))
     joined = keyed.join(scored, key, "left")
     result = F.get(name, F.lit(0)) if n_outputs == 1 else F.col(name)
     return joined.withColumn(name, result)

@@ -84,7 +84,7 @@ def at_once(spark: SparkSession, *jobs) -> list:
 
 
 def load_spec(tables: ModelTables, model_id: str | None = None, *,
-              max_nodes: int = MAX_BROADCAST_NODES) -> ModelSpec:
+              max_nodes: int = MAX_BROADCAST_NODES, max_chars: int | None = None) -> ModelSpec:
     """Read and check one model. Node rows reach the driver only if they are at most ``max_nodes``."""
     if model_id is None:
         ids = tables.header.select("model_id").limit(2).collect()
@@ -135,7 +135,7 @@ def load_spec(tables: ModelTables, model_id: str | None = None, *,
 
     if any(row.null_category for row in input_rows):
         raise ModelError(f"a category of {header.model_id!r} is null")
-    if sum(r.chars or 0 for r in input_rows) <= MAX_BROADCAST_CHARS:
+    if sum(r.chars or 0 for r in input_rows) <= (MAX_BROADCAST_CHARS if max_chars is None else max_chars):
         strings = any(i.is_string for i in inputs)
         for row in one.inputs.select("ordinal", "categories").collect() if strings else []:
             if row.categories is not None:

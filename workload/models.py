@@ -10,7 +10,6 @@ from ensemblescore.sources.scratch import scratch_path
 
 EVENT_TYPES = ["click", "purchase", "signup", "view"]  # 'error' is left out on purpose
 SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
-CUSTOMER_NAMES = [f"Customer#{k:09d}" for k in range(1000)]
 
 # Value ranges of the four lineitem features the forests split on.
 RANGES = {"l_quantity": (1, 50), "l_extendedprice": (900, 105_000),
@@ -76,9 +75,6 @@ def all_models() -> list[dict]:
                        split(0, 0.5, stump(1, 15, 10, 20), es.Leaf(30))]),
         es.model_rows("segment", [es.category("c_mktsegment", SEGMENTS), es.vector("v", 2)],
                       [split(0, 2.5, stump(1, 1000, 1, 2), stump(2, 12, 3, 4))]),
-        es.model_rows("customer_name", [es.category("c_name", CUSTOMER_NAMES)],
-                      [split(0, 500, es.Leaf(1), es.Leaf(2), missing="below"),
-                       stump(0, 250, 10, 20)]),
         es.model_rows("constant", [es.scalar("o_totalprice")], [es.constant(0.375)]),
         es.model_rows("forest_small", LINEITEM_INPUTS, FOREST_SMALL),
         es.model_rows("forest", LINEITEM_INPUTS, FOREST),

@@ -27,8 +27,17 @@ def tree(node) -> str:
             f"ELSE {tree(node.otherwise)} END")
 
 
-def total(trees) -> str:
-    return " + ".join(f"({tree(t)})" for t in trees)
+def total(trees, render=tree) -> str:
+    return " + ".join(f"({render(t)})" for t in trees)
+
+
+def tree_with_missing(node) -> str:
+    if isinstance(node, Leaf):
+        return f"CAST({node.value} AS DOUBLE)"
+    x = list(RANGES)[node.feature]
+    below, otherwise = tree_with_missing(node.below), tree_with_missing(node.otherwise)
+    return (f"CASE WHEN isnan({x}) THEN {below if node.missing == 'below' else otherwise} "
+            f"WHEN {f32(x)} < {f32(node.threshold)} THEN {below} ELSE {otherwise} END")
 
 
 KEYS = "l_orderkey, l_linenumber"
@@ -60,6 +69,13 @@ FOREST_PER_USER = f"""
          + CASE WHEN {f32('value')} < c THEN CAST(8 AS DOUBLE) ELSE CAST(0.25 AS DOUBLE) END AS prediction
     FROM events e JOIN m USING (user_id)"""
 
+# The vocabulary of registries.customer_names: codes by order, unknown and null names missing.
+NAMES = """v AS (SELECT c_name, row_number() OVER (ORDER BY c_name) - 1 AS code
+                 FROM (SELECT DISTINCT c_name FROM customer WHERE c_custkey % 7 <> 0)),
+            n AS (SELECT count(*) AS n FROM v)"""
+NAME_SCORE = ("CAST(CASE WHEN code IS NULL OR code < n // 2 THEN 1 ELSE 2 END AS DOUBLE)"
+              " + CASE WHEN code < n // 4 THEN 10 ELSE 20 END")
+
 _EXP = "exp(CAST({} AS DOUBLE))"
 _LOW = f"{_EXP.format(2)} + {_EXP.format(0)} + {_EXP.format(-1)}"
 
@@ -125,11 +141,17 @@ SQL = {
                CASE WHEN c_mktsegment IN ('AUTOMOBILE', 'BUILDING', 'FURNITURE')
                     THEN {case('c_acctbal', 1000, 1, 2)}
                     ELSE {case('c_nationkey', 12, 3, 4)} END AS prediction FROM customer""",
-    "string_large_vocabulary": """
-        SELECT c_custkey,
-               CAST(CASE WHEN c_custkey < 250 THEN 11 WHEN c_custkey < 500 THEN 21
-                         WHEN c_custkey < 1000 THEN 22 ELSE 21 END AS DOUBLE) AS prediction
-        FROM customer""",
+    "string_large_vocabulary": f"""
+        WITH {NAMES} SELECT c_custkey, {NAME_SCORE} AS prediction FROM customer LEFT JOIN v USING (c_name), n""",
+    "string_skewed_vocabulary": f"""
+        WITH {NAMES}, o AS (
+            SELECT o_orderkey, CASE o_orderkey % 3 WHEN 0 THEN 'Customer#000000001' WHEN 1 THEN c_name END AS c_name
+            FROM orders JOIN customer ON o_custkey = c_custkey)
+        SELECT o_orderkey, c_name, {NAME_SCORE} AS prediction FROM o LEFT JOIN v USING (c_name), n""",
+    "forest_sum_tree_parallel": f"""
+        SELECT {KEYS}, {total(FOREST)} AS prediction FROM (
+            SELECT l_orderkey, l_linenumber, l_quantity, floor(l_extendedprice / 1000) * 1000.0::DOUBLE AS l_extendedprice,
+                   l_discount, 0.04::DOUBLE AS l_tax FROM lineitem)""",
     "forest_sum_chunked": f"SELECT {KEYS}, {total(FOREST)} AS prediction FROM lineitem",
     "duplicate_names": f"""
         SELECT o_orderkey, o_custkey, c_custkey, c_name, {ORDER_PRICE} AS prediction
@@ -240,6 +262,10 @@ SQL = {
         SELECT * FROM ({PER_USER}) WHERE event_id % 2 = 0
         UNION ALL SELECT * FROM ({FOREST_PER_USER}) WHERE event_id % 2 = 1""",
     "leaf_table_score": f"SELECT {KEYS}, {total(FOREST_SMALL)} AS prediction FROM lineitem",
+    "leaf_box_score": f"""
+        SELECT {KEYS}, {total(FOREST_SMALL, tree_with_missing)} AS prediction FROM (
+            SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice, l_tax,
+                   CASE l_linenumber WHEN 3 THEN 'nan'::DOUBLE ELSE l_discount END AS l_discount FROM lineitem)""",
     "stream_score": f"SELECT event_id, event_type, {EVENT_KIND} AS prediction FROM events",
 }
 SQL["string_input_joined"] = SQL["string_input"]

@@ -127,8 +127,17 @@ def string_and_vector(spark, sf):
 
 
 def string_large_vocabulary(spark, sf):
-    return model(spark, "customer_name").transform(read(spark, sf, "customer")).select(
-        "c_custkey", "prediction")
+    stage = es.EnsembleModel.loadFile(registries.customer_names(spark, sf))
+    return stage.transform(read(spark, sf, "customer")).select("c_custkey", "prediction")
+
+
+def string_skewed_vocabulary(spark, sf):
+    """Names looked up by a join, where one name is a third of all rows and null is another."""
+    stage = es.EnsembleModel(modelPath=registries.customer_names(spark, sf)).setMaxBroadcastChars(0)
+    df = read(spark, sf, "orders").join(read(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    df = df.withColumn("c_name", F.when(F.col("o_orderkey") % 3 == 0, "Customer#000000001").when(
+        F.col("o_orderkey") % 3 == 1, F.col("c_name")))
+    return stage.transform(df).select("o_orderkey", "c_name", "prediction")
 
 
 def string_input_joined(spark, sf):
@@ -149,6 +158,13 @@ def forest_sum_chunked(spark, sf):
         read(spark, sf, "lineitem")).select(*LINE, "prediction")
 
 
+def forest_sum_tree_parallel(spark, sf):
+    """Distinct rows go to the trees, and partial sums of trees are added exactly."""
+    df = read(spark, sf, "lineitem").withColumns({
+        "l_extendedprice": F.floor(F.col("l_extendedprice") / 1000) * 1000.0, "l_tax": F.lit(0.04)})
+    return model(spark, "forest").setStrategy("trees").transform(df).select(*LINE, "prediction")
+
+
 def duplicate_names(spark, sf):
     """Two columns of one name pass through scoring by position."""
     orders = read(spark, sf, "orders").select(
@@ -407,6 +423,13 @@ def leaf_table_score(spark, sf):
         read(spark, sf, "lineitem")).select(*LINE, "prediction")
 
 
+def leaf_box_score(spark, sf):
+    """Leaf boxes met on grid cells, with missing values on one line in seven."""
+    df = read(spark, sf, "lineitem").withColumn(
+        "l_discount", F.when(F.col("l_linenumber") == 3, F.lit(float("nan"))).otherwise(F.col("l_discount")))
+    return model(spark, "forest_small").setStrategy("boxes").transform(df).select(*LINE, "prediction")
+
+
 def stream_score(spark, sf):
     table = read(spark, sf, "events")
     # A table may be one file or a folder of part files; a stream reads folders.
@@ -428,13 +451,13 @@ QUERIES = {
         score_vector_stump, score_scalar_inputs, float_boundary, feature_ignored,
         numeric_coercion, null_as_zero, nan_default_child, nan_default_child_arrow,
         sparse_equals_dense, array_features, multi_vector_inputs, mixed_inputs, string_input,
-        string_and_vector, string_large_vocabulary, string_input_joined, string_and_vector_joined,
-        forest_sum_chunked, duplicate_names, parity_repeated_keys, const_tree, forest_sum, forest_expr,
+        string_and_vector, string_large_vocabulary, string_skewed_vocabulary, string_input_joined, string_and_vector_joined,
+        forest_sum_chunked, forest_sum_tree_parallel, duplicate_names, parity_repeated_keys, const_tree, forest_sum, forest_expr,
         softmax_proba, softmax_forest, argmax_class, argmax_tie, output_width, rename_outputs,
         rename_probability, filter_after_score, aggregate_scores, pipeline_stage,
         saved_pipeline, empty_input, partition_invariance, copy_params, deferred_load,
         model_violations, parity_report, parity_report_differs, registry_score,
-        leaf_table_score, stream_score, registry_duplicate_names, registry_large_model,
+        leaf_table_score, leaf_box_score, stream_score, registry_duplicate_names, registry_large_model,
         forest_registry_built, registry_two_versions, stream_registry_score)
 } | {
     "registry_per_user": _per_user("auto"),

@@ -12,8 +12,12 @@ def read(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def stored_path(spark, tables: es.ModelTables, label: str) -> str:
+    return tables.write(scratch_path(spark, label))
+
+
 def stored(spark, tables: es.ModelTables, label: str) -> es.ModelTables:
-    return es.ModelTables.read(spark, tables.write(scratch_path(spark, label)))
+    return es.ModelTables.read(spark, stored_path(spark, tables, label))
 
 
 def per_user(spark, sf_dir) -> es.ModelTables:
@@ -43,6 +47,18 @@ def forest_per_user(spark, sf_dir) -> es.ModelTables:
     return stored(spark, es.forest_registry(trees, [es.scalar("value")]), "forest-per-user")
 
 
+def customer_names(spark, sf_dir) -> str:
+    """A vocabulary that grows with ``customer``: the names of all keys that seven does not divide, in order."""
+    names = read(spark, sf_dir, "customer").where("c_custkey % 7 != 0").agg(
+        F.array_sort(F.collect_set("c_name")).alias("categories"), F.lit("names").alias("model_id"))
+    n = names.select(F.size("categories")).head()[0]
+    rows = es.model_rows("names", [es.category("c_name", [])], [
+        es.Split(0, n // 2, es.Leaf(1), es.Leaf(2), missing="below"), es.stump(0, n // 4, 10, 20)])
+    tables = es.ModelTables.from_rows(spark, rows)
+    inputs = tables.inputs.drop("categories").join(names, "model_id").select(*tables.inputs.columns)
+    return stored_path(spark, es.ModelTables(tables.header, inputs, tables.trees, tables.nodes), "names")
+
+
 def per_part(spark, sf_dir) -> es.ModelTables:
     """One stump per part on its retail price."""
     params = read(spark, sf_dir, "part").select(
