@@ -1,10 +1,10 @@
-"""License scans: phrases at their places, and templates found by an exact set-similarity join.
+"""License scans: phrases at their places, and whole notices found by an exact set-similarity join.
 
-A block of words holds a template if at least ``THRESHOLD`` of the template's distinct words
-are in it, and all words that tell it from its neighbours. Words are ordered by how many documents hold them, rarest first, counted over the
-whole table. A block that meets the threshold must hold one of the first words of the
-template's order (its prefix), so blocks without one are never looked at; the number of a
-block's template words (length) and what can still follow in order (position) bound the
+A block of words holds a template if at least ``THRESHOLD`` of the template's distinct words are in
+it. Words are ordered by how many documents hold them, rarest first, counted over the whole table. A
+block that meets the threshold holds one of the first words of the template's order, its prefix: blocks
+and templates are joined on those words. Of a pair met, the number of the block's template words
+(length) and what can still follow on either side of the first shared word (position) bound the
 overlap before it is counted.
 """
 
@@ -20,7 +20,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ensemblescore.llm.text import slices, sums, words
+from ensemblescore.llm.text import named, slices, words
+from ensemblescore.sources.scratch import ensure_checkpoint_dir
 
 #: Fixed phrases and the labels they stand for.
 PHRASES = {
@@ -29,16 +30,33 @@ PHRASES = {
     "cc by nc": "cc-by-nc",
 }
 
-#: Labels, fixed template texts and the words of each that no block may lack.
+#: Labels and fixed template texts: the notices that licences ask for, whole.
 TEMPLATES = (
-    ("mit", "released under the mit license", "mit"),
-    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software", "obtaining"),
-    ("apache-2", "licensed under the apache license version 2 0", "apache 2"),
-    ("gpl-3", "licensed under the gnu general public license version 3", "gnu 3"),
-    ("gpl", "under the terms of the gnu general public license as published by the free software foundation", "gnu"),
-    ("cc-by-nc", "licensed under cc by nc 4 0", "cc by nc"),
-    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted",
-     "redistribution"),
+    ("mit", """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and
+    associated documentation files (the "Software"), to deal in the Software without restriction, including without
+    limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software,
+    and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above
+    copyright notice and this permission notice shall be included in all copies or substantial portions of the Software."""),
+    ("isc", """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is
+    hereby granted, provided that the above copyright notice and this permission notice appear in all copies."""),
+    ("bsd", """Redistribution and use in source and binary forms, with or without modification, are permitted provided that
+    the following conditions are met: Redistributions of source code must retain the above copyright notice, this list of
+    conditions and the following disclaimer. Redistributions in binary form must reproduce the above copyright notice, this
+    list of conditions and the following disclaimer in the documentation and/or other materials provided with the
+    distribution."""),
+    ("apache-2", """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in
+    compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0. Unless
+    required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS"
+    BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied."""),
+    ("gpl", """This program is free software: you can redistribute it and/or modify it under the terms of the GNU General
+    Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any
+    later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even
+    the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE."""),
+    ("cc-by-nc", """This work is licensed under the Creative Commons Attribution-NonCommercial 4.0 International License. To
+    view a copy of this license, visit http://creativecommons.org/licenses/by-nc/4.0/."""),
+    ("zlib", """This software is provided 'as-is', without any express or implied warranty. In no event will the authors be
+    held liable for any damages arising from the use of this software. Permission is granted to anyone to use this software
+    for any purpose, including commercial applications, and to alter it and redistribute it freely."""),
 )
 
 THRESHOLD = 0.8
@@ -46,6 +64,9 @@ THRESHOLD = 0.8
 #: Words from one block to the next, at least; a block is two of them.
 STRIDE = 20
 
+#: Prefix words and templates are sent to every executor up to so many rows, and joined by a shuffle beyond.
+MOST_BROADCAST = 200_000
+
 _LOWER_OR_SPACE = bytes(c if chr(c).isdigit() and c < 0x80 or 0x61 <= c <= 0x7A or c >= 0x80 else
                         c + 32 if 0x41 <= c <= 0x5A else 0x20 for c in range(256))
 
@@ -64,28 +85,38 @@ def plain_words(text: pa.Array) -> tuple[pa.Array, np.ndarray]:
     return words(spaced)
 
 
+def template_words(text: str) -> list[str]:
+    """The words of a template, as those of a document are taken."""
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text))
+
+
+def stride(templates) -> int:
+    """Words from block to block, so that any text as long as a template lies in one block."""
+    return max([STRIDE, *(len(template_words(text)) - 1 for _, text in templates)])
+
+
 @dataclass(frozen=True)
 class Template:
     label: str
     words: tuple[int, ...]
     need: int
-    required: tuple[int, ...]
 
 
 class Templates:
     """Templates over numbered words, the rarest word first."""
 
     def __init__(self, texts, threshold: float, frequency: dict[str, int]):
-        sets = [(label, sorted(set(text.split())), sorted({w for r in required for w in r.split()}))
-                for label, text, *required in texts]
-        vocabulary = sorted({w for _, s, r in sets for w in [*s, *r]}, key=lambda w: (frequency.get(w, 0), w))
+        sets = [(label, set(template_words(text))) for label, text in texts]
+        vocabulary = sorted(set().union(*(s for _, s in sets)), key=lambda w: (frequency.get(w, 0), w))
         self.numbers = {w: i for i, w in enumerate(vocabulary)}
         self.templates = [Template(label, tuple(sorted(self.numbers[w] for w in s)),
-                                   math.ceil(threshold * len(s) - 1e-9), tuple(self.numbers[w] for w in r))
-                          for label, s, r in sets if s]
-        # Any text as long as a template lies in one block.
-        self.stride = max([STRIDE, *(len(text.split()) - 1 for _, text, *_ in texts)])
-        self.prefix = sorted({w for t in self.templates for w in t.words[:len(t.words) - t.need + 1]})
+                                   max(1, math.ceil(threshold * len(s) - 1e-9)))
+                          for label, s in sets if s]
+        self.stride = stride(texts)
+        #: (word, template, place in its order): a block without any of a template's has too few of its words.
+        self.prefixes = [(w, k, at) for k, t in enumerate(self.templates)
+                         for at, w in enumerate(t.words[:len(t.words) - t.need + 1])]
+        self.prefix = sorted({w for w, _, _ in self.prefixes})
         self.least = min((t.need for t in self.templates), default=1)
 
 
@@ -161,31 +192,27 @@ def _scan(phrases: dict[str, str], templates: Templates):
     return run
 
 
-def _matches(blocks: Column, templates: Templates) -> Column:
-    """(label, block, score) of every block and template that meet the threshold.
-
-    Block and template words are both in order of rarity, so at the first shared word what
-    can still be shared is bounded by what follows it on either side."""
-    def held(t: Template) -> Column:
-        own = F.array(*[F.lit(w) for w in t.words])
-
-        def enough(block):
-            shared = F.array_intersect(block["words"], own)
-            lead = F.element_at(shared, 1)
-            left = F.least(F.size(block["words"]) - F.array_position(block["words"], lead),
-                           F.size(own) - F.array_position(own, lead)) + 1
-            whole = F.lit(True)
-            if t.required:
-                wanted = F.array(*[F.lit(w) for w in t.required])
-                whole = F.size(F.array_intersect(block["words"], wanted)) == len(t.required)
-            return F.when(whole & (F.size(block["words"]) >= t.need) & (F.size(shared) > 0) & (left >= t.need),
-                          F.size(shared) >= t.need).otherwise(False)
-
-        return F.transform(F.filter(blocks, enough), lambda b: F.struct(
-            F.lit(t.label).alias("label"), b["block"].alias("block"),
-            (F.size(F.array_intersect(b["words"], own)) / len(t.words)).alias("score")))
-    none = F.array().cast("array<struct<label:string,block:int,score:double>>")
-    return F.concat(none, *[held(t) for t in templates.templates])
+def _matches(rows: DataFrame, templates: Templates) -> DataFrame:
+    """``id`` and ``matches``, (label, block, score) of every block and template that meet the threshold.
+
+    Block and template words are both in order of rarity, so the first prefix word of a pair is the first
+    word it shares, and what can still be shared is bounded by what follows it on either side."""
+    spark = rows.sparkSession
+    table = spark.createDataFrame([(k, t.label, list(t.words), t.need) for k, t in enumerate(templates.templates)],
+                                  "template int, label string, own array<int>, need int")
+    prefixes = spark.createDataFrame(templates.prefixes, "word int, template int, place int").join(
+        table.select("template", "need", F.size("own").alias("n_own")), "template")
+    few = len(templates.prefixes) + len(templates.templates) <= MOST_BROADCAST
+    hint = F.broadcast if few else lambda df: df
+    blocks = rows.where(F.size("blocks") > 0).select("id", F.explode("blocks").alias("b")).select("id", "b.block", "b.words")
+    met = blocks.select("id", "block", F.size("words").alias("n"), F.posexplode("words").alias("at", "word")).join(
+        hint(prefixes), "word").where("n >= need")
+    first = met.groupBy("id", "block", "template").agg(F.min(F.struct("at", "place", "n", "need", "n_own")).alias("m"))
+    open_ = first.where("least(m.n - m.at, m.n_own - m.place) >= m.need").select("id", "block", "template")
+    shared = open_.join(blocks, ["id", "block"]).join(hint(table), "template").select(
+        "id", "block", "label", "need", F.size("own").alias("n_own"), F.size(F.array_intersect("words", "own")).alias("n"))
+    return shared.where("n >= need").groupBy("id").agg(F.array_sort(F.collect_list(F.struct(
+        "label", "block", (F.col("n") / F.col("n_own")).alias("score")))).alias("matches"))
 
 
 def scan(df: DataFrame, key: str = "doc_id", text: str = "text", phrases: dict[str, str] = PHRASES,
@@ -196,16 +223,22 @@ def scan(df: DataFrame, key: str = "doc_id", text: str = "text", phrases: dict[s
     ``n_base`` counts the places where a phrase's words stand consecutively, from word
     ``first_word`` to ``last_word`` (starts, null without a place). ``matches`` are all blocks
     that hold a template. ``labels`` joins both kinds. ``score`` is 1 with a phrase, else the
-    largest share of a template held, else 0. ``templates`` are labels and texts of any length,
-    each with or without its required words; blocks follow the longest. Null and empty texts have no words; null keys
-    and repeated rows are kept; an empty table gives no rows. Two scans, no shuffle of texts;
-    what reaches the driver is one count per word of the templates.
+    largest share of a template held, else 0. ``templates`` are labels and texts of any number and
+    length; blocks follow the longest. Null and empty texts have no words; null keys
+    and repeated rows are kept; an empty table gives no rows; other columns are not read. Two scans and no
+    shuffle of texts: only words of templates in blocks that hold a rare one are joined. What reaches the driver is
+    one count per word of the templates.
     """
-    vocabulary = sorted({w for _, *parts in templates for t in parts for w in t.split()})
-    ordered = Templates(templates, threshold, document_frequency(df, df[text], vocabulary))
-    found = F.arrow_udf(_scan(phrases, ordered), KIND)(df[text].cast("string"))
-    rows = df.select(df[key].alias("doc_id"), found.alias("f")).select("doc_id", "f.*")
-    rows = rows.withColumn("matches", _matches(F.col("blocks"), ordered))
+    ensure_checkpoint_dir(df.sparkSession)
+    content = named(text).cast("string")
+    vocabulary = sorted({w for _, t in templates for w in template_words(t)})
+    ordered = Templates(templates, threshold, document_frequency(df, content, vocabulary))
+    found = F.arrow_udf(_scan(phrases, ordered), KIND)(content)
+    # Numbered over stored rows, which a task that runs again finds in their places.
+    rows = df.select(named(key).alias("doc_id"), found.alias("f")).select("doc_id", "f.*").checkpoint().withColumn(
+        "id", F.monotonically_increasing_id())
+    none = F.array().cast("array<struct<label:string,block:int,score:double>>")
+    rows = rows.join(_matches(rows, ordered), "id", "left").withColumn("matches", F.coalesce("matches", none))
     labels = F.array_sort(F.array_union("base_labels", F.transform("matches", lambda m: m["label"])))
     best = F.coalesce(F.array_max(F.transform("matches", lambda m: m["score"])), F.lit(0.0))
     return rows.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels",

@@ -1,5 +1,7 @@
 """The SQL each query must agree with, where SQL can say it."""
 
+from ensemblescore.llm import licenses
+
 _WORD = r"[^\x20\x09-\x0D]+"
 
 OP1 = r"""
@@ -81,7 +83,11 @@ SELECT doc_id, size, source_size, target,
 FROM placed
 """
 
-OP9 = r"""
+#: The template texts as words, and how far apart blocks begin: fixed values of the query.
+_TEMPLATES = ",\n    ".join(f"('{label}', '{' '.join(licenses.template_words(text))}')" for label, text in licenses.TEMPLATES)
+_STRIDE = licenses.stride(licenses.TEMPLATES)
+
+OP9 = rf"""
 WITH d AS (
     SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(
         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -96,19 +102,10 @@ base AS (
     SELECT r, count(*) AS n_base, min(i) - 1 AS first_word, max(i) - 1 AS last_word,
         list(DISTINCT label) AS labels FROM starts GROUP BY r),
 templates AS (SELECT label, list_distinct(string_split(t, ' ')) AS tw FROM (VALUES
-    ('mit', 'released under the mit license'),
-    ('mit', 'permission is hereby granted free of charge to any person obtaining a copy of this software'),
-    ('apache-2', 'licensed under the apache license version 2 0'),
-    ('gpl-3', 'licensed under the gnu general public license version 3'),
-    ('gpl', 'under the terms of the gnu general public license as published by the free software foundation'),
-    ('cc-by-nc', 'licensed under cc by nc 4 0'),
-    ('bsd', 'redistribution and use in source and binary forms with or without modification are permitted')
-    ) AS v(label, t)),
-blocks AS (SELECT r, ws[b + 1:b + 40] AS bw FROM (
-    SELECT r, ws, unnest(range(0, len(ws), 20)) AS b FROM d)),
-held AS (
-    SELECT r, label, len(list_filter(tw, lambda w: list_contains(bw, w))) / len(tw)::DOUBLE AS share
-    FROM blocks, templates),
+    {_TEMPLATES}) AS v(label, t)),
+blocks AS (SELECT r, list_distinct(ws[b + 1:b + {2 * _STRIDE}]) AS bw FROM (
+    SELECT r, ws, unnest(range(0, len(ws), {_STRIDE})) AS b FROM d)),
+held AS (SELECT r, label, len(list_intersect(bw, tw)) / len(tw)::DOUBLE AS share FROM blocks, templates),
 method AS (SELECT r, list(DISTINCT label) AS labels, max(share) AS best FROM held WHERE share >= 0.8 - 1e-9 GROUP BY r)
 SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word, last_word,
     coalesce(array_to_string(list_sort(base.labels), ','), '') AS base_labels,

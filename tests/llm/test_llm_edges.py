@@ -4,14 +4,15 @@ import random
 from collections import Counter
 
 import brute
+import duckdb
 import public_tokenizers
 import pytest
 import sentencepiece
 import tokenizers
 from pyspark.sql import functions as F
 
-from ensemblescore.llm import (chat, components, embeddings, language_model, licenses, mixing, pieces, quality, simhash,
-                               substrings, token_counts)
+from ensemblescore.llm import (chat, components, embeddings, language_model, licenses, mixing, oracle, pieces, quality,
+                               simhash, substrings, token_counts)
 from ensemblescore.llm.automaton import SuffixAutomaton
 
 BYTES, PIECES = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
@@ -281,13 +282,30 @@ def test_licenses(odd, none, spark):
     assert found[3].base_labels == ["apache-2", "cc-by-nc"] and found[3].score == 1.0
 
 
-def test_licenses_told_from_their_neighbours(spark):
+def test_licenses_agree_with_sql_on_texts_that_come_near(spark):
+    """Neighbours of the templates, parts of them at the threshold, and templates across the ends of blocks."""
+    rng = random.Random(6)
     rows = ["released under the apache license version 2 0", "licensed under cc by 4 0",
-            "licensed under the gnu general public license version 2", "released the license under " + "x " * 30,
-            "licensed under cc by nc 4 0", "licensed under the gnu general public license version 3", "released under the mit"]
-    got = licenses.scan(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")).collect()
-    labels = {r.doc_id: [m["label"] for m in r.matches] for r in got}
-    assert labels == {0: ["apache-2"], 1: [], 2: [], 3: [], 4: ["cc-by-nc"], 5: ["gpl-3"], 6: ["mit"]}
+            "licensed under the gnu general public license version 2", "licensed under cc by nc 4 0"]
+    for label, text in licenses.TEMPLATES:
+        own = list(dict.fromkeys(licenses.template_words(text)))
+        for share in (1, 0.85, 0.8, 0.79, 0.5):
+            part = rng.sample(own, round(share * len(own)))
+            rows += [" ".join(part), "filler " * rng.randrange(300) + text[:int(share * len(text))] + " end" * rng.randrange(300)]
+        rows.append(text.upper() + " gap " * 400 + text)
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string").repartition(3)
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", list(enumerate(rows)))
+    names = ["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"]
+    want = con.execute(f"SELECT {', '.join(names)} FROM ({oracle.SQL['op9_licenses']}) ORDER BY doc_id").fetchall()
+    got = licenses.scan(df).withColumns({c: F.array_join(c, ",") for c in ("base_labels", "labels")}).select(*names)
+    assert sorted(map(tuple, got.collect())) == want
+    labels = [r[6] for r in want]
+    assert labels[:4] == ["apache-2", "", "", "cc-by-nc"]
+    found = [(label, labels[4 + 11 * k + i]) for k, (label, _) in enumerate(licenses.TEMPLATES) for i in (0, 1, 2, 10)]
+    assert all(label in have.split(",") for label, have in found)
+    assert not any(label in labels[4 + 11 * k + 8].split(",") for k, (label, _) in enumerate(licenses.TEMPLATES))
 
 
 def test_licenses_search_whole_texts(spark):
