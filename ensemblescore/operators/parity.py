@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections import deque
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, Window
@@ -69,6 +73,81 @@ def _matched(runs: DataFrame, names: list[str], compare) -> DataFrame:
     return a.join(b, "rank").groupBy(*names).agg(F.max(compare(F.col("a"), F.col("b"))).alias("diff"))
 
 
+def _aligned(runs: DataFrame, names: list[str], tolerance: float) -> DataFrame:
+    """One row: ``unmatched_outputs`` and ``max_aligned_diff`` of (names, value, more_a, more_b).
+
+    Outputs of a key are paired within the tolerance, as many as can be. Sorted outputs farther apart than the
+    tolerance never meet, so a key is cut at such gaps and its segments go to tasks of their own, where
+    one pass in order holds only what is still within reach."""
+    order = [*names, "value"]
+    beyond = F.isnan("value") | (F.abs("value") == float("inf"))  # equal ones are settled, others meet nothing
+    lost = runs.where(beyond).select((F.col("more_a") + F.col("more_b")).alias("unmatched"), F.lit(None).cast("double").alias("most"))
+    placed = runs.where(~beyond).repartitionByRange(*order).withColumn("chunk", F.spark_partition_id()).checkpoint()
+    window = Window.partitionBy("chunk").orderBy(*order)
+    before = F.lag(F.struct(*order)).over(window)
+    same = F.lit(True)
+    for k in names:
+        same = same & F.col(k).eqNullSafe(F.col("before")[k])
+    near = F.coalesce(F.col("before").isNotNull() & same & (F.col("value") - F.col("before")["value"] <= tolerance), F.lit(False))
+    marked = placed.withColumn("before", before).withColumn("opens", F.when(near, 0).otherwise(1)).drop("before")
+    marked = marked.withColumn("local", F.sum("opens").over(window.rowsBetween(Window.unboundedPreceding, 0)))
+
+    # A chunk may go on with the last segment of the one before: one row per chunk tells.
+    edges = {r["chunk"]: r for r in marked.groupBy("chunk").agg(
+        F.min(F.struct(*order)).alias("first"), F.max(F.struct(*order)).alias("last"), F.max("local").alias("n")).collect()}
+    offsets, total, last = [], 0, None
+    for chunk in range(max(edges, default=-1) + 1):
+        if chunk in edges:
+            e = edges[chunk]
+            goes_on = (last is not None and [e["first"][k] for k in names] == [last[k] for k in names]
+                       and e["first"]["value"] - last["value"] <= tolerance)
+            total -= goes_on
+            offsets.append(total)
+            total, last = total + e["n"], e["last"]
+        else:
+            offsets.append(total)
+    if offsets:
+        marked = marked.withColumn("segment", F.col("local") + F.element_at(
+            F.array(*[F.lit(o).cast("bigint") for o in offsets]), F.col("chunk") + 1))
+        paired = marked.select("segment", "value", "more_a", "more_b").repartition("segment").sortWithinPartitions(
+            "segment", "value").mapInArrow(_paired_in_order(tolerance), "unmatched bigint, most double")
+        lost = lost.unionByName(paired)
+    return lost.agg(F.coalesce(F.sum("unmatched"), F.lit(0)).cast("long").alias("unmatched_outputs"),
+                    F.max("most").alias("max_aligned_diff"))
+
+
+def _paired_in_order(tolerance: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        open_, side, current = deque(), 0, None  # values of one side that wait, with how many rows
+        unmatched, most = 0, None
+        for batch in batches:
+            for segment, value, a, b in zip(*(c.to_pylist() for c in batch.columns)):
+                if segment != current:
+                    unmatched += sum(n for _, n in open_)
+                    open_.clear()
+                    current = segment
+                own, n = (1, a) if a else (-1, b)  # a value is left over on one side only
+                if open_ and own != side:
+                    while open_ and n:
+                        first, held = open_[0]
+                        if value - first > tolerance:
+                            unmatched += held
+                            open_.popleft()
+                            continue
+                        met = min(held, n)
+                        most, n = max(most or 0.0, value - first), n - met
+                        if met == held:
+                            open_.popleft()
+                        else:
+                            open_[0] = (first, held - met)
+                if n:
+                    side = own
+                    open_.append((value, n))
+        unmatched += sum(n for _, n in open_)
+        yield pa.record_batch([pa.array([unmatched], pa.int64()), pa.array([most], pa.float64())], names=["unmatched", "most"])
+    return run
+
+
 def _classes(runs: DataFrame, names: list[str]) -> DataFrame:
     """``disagree`` of every key: whether one side has some argmax more often."""
     per_class = runs.groupBy(*names, argmax(F.col("value")).alias("top")).agg(
@@ -78,7 +157,7 @@ def _classes(runs: DataFrame, names: list[str]) -> DataFrame:
 
 def parity_report(left: DataFrame, right: DataFrame, keys: list[str], *,
                   output: str = "prediction", tolerance: float = 1e-5,
-                  count_outputs: bool = False) -> DataFrame:
+                  count_outputs: bool = False, align_uneven: bool = False) -> DataFrame:
     """One row: how many keys met, how far their outputs differ, how many argmaxes disagree.
 
     Both sides are reduced per key and output before they meet, so a key held by many rows
@@ -87,7 +166,10 @@ def parity_report(left: DataFrame, right: DataFrame, keys: list[str], *,
     by their first unequal component, and argmaxes disagree if one is more frequent. A key with more rows on one side is
     in ``uneven_keys``; its smallest and largest outputs are compared. With ``count_outputs``
     there is one more column, ``differing_outputs``: the pairs of key and output that one
-    side has more often, exactly. Outputs are reduced, once, when this is called.
+    side has more often, exactly. With ``align_uneven``, for outputs that are numbers, there are two more:
+    the outputs of uneven keys are paired within the tolerance, as many as can be; ``unmatched_outputs``
+    counts the rows left and ``max_aligned_diff`` is the largest difference of a pair, equal outputs apart.
+    Outputs are reduced, once, when this is called.
     """
     ensure_checkpoint_dir(left.sparkSession)
     for df, side in ((left, "left"), (right, "right")):
@@ -99,6 +181,8 @@ def parity_report(left: DataFrame, right: DataFrame, keys: list[str], *,
     if vectors[0] != vectors[1]:
         raise InputError(f"{output!r} is a vector on one side only")
     vector = vectors[0]
+    if vector and align_uneven:
+        raise InputError("vectors have no order to align them in")
     dtype = "array<double>" if vector else "double"
 
     def tagged(df, mine, other):
@@ -152,17 +236,22 @@ def parity_report(left: DataFrame, right: DataFrame, keys: list[str], *,
     found = per_key.select("n_a", "n_b", "differing", met.alias("met"),
                            F.when(~F.col("paired"), diff).alias("diff"),
                            (~F.col("paired") & F.coalesce(disagree, F.lit(False))).alias("disagree"))
-    keyed = per_key.where("paired").select(*[F.col(k).alias(f"p{k}") for k in names])
     same = F.lit(True)
     for k in names:
         same = same & F.col(k).eqNullSafe(F.col(f"p{k}"))
-    runs = per_output.where(value.isNotNull() & (F.col("in_a") != F.col("in_b"))).join(keyed, same, "left_semi").select(
-        *names, "value", *[F.greatest(F.col(f"in_{s}") - F.col(f"in_{o}"), F.lit(0)).cast("bigint").alias(f"more_{s}")
-                           for s, o in ("ab", "ba")])
+
+    def leftovers(which):
+        """Outputs that one side has more often, of the keys of ``which``."""
+        keyed = per_key.where(which).select(*[F.col(k).alias(f"p{k}") for k in names])
+        return per_output.where(value.isNotNull() & (F.col("in_a") != F.col("in_b"))).join(keyed, same, "left_semi").select(
+            *names, "value", *[F.greatest(F.col(f"in_{s}") - F.col(f"in_{o}"), F.lit(0)).cast("bigint").alias(f"more_{s}")
+                               for s, o in ("ab", "ba")])
+
+    runs = leftovers("paired")
     found = found.unionByName(_matched(runs, names, compare).select("diff"), allowMissingColumns=True)
     if vector:
         found = found.unionByName(_classes(runs, names).select("disagree"), allowMissingColumns=True)
-    return found.agg(
+    report = found.agg(
         F.coalesce(F.sum("n_a"), F.lit(0)).cast("long").alias("rows_left"),
         F.coalesce(F.sum("n_b"), F.lit(0)).cast("long").alias("rows_right"),
         total(F.col("met")).alias("keys_met"),
@@ -175,3 +264,7 @@ def parity_report(left: DataFrame, right: DataFrame, keys: list[str], *,
         F.max("diff").alias("max_abs_diff"),
         total(F.col("diff") > tolerance).alias("over_tolerance"),
         total(F.col("disagree")).alias("argmax_disagreements"))
+    if align_uneven:  # one row beside one row
+        aligned = _aligned(leftovers(met & (F.col("n_a") != F.col("n_b"))), names, tolerance)
+        report = report.withColumn("one", F.lit(1)).join(aligned.withColumn("one", F.lit(1)), "one").drop("one")
+    return report

@@ -1,5 +1,9 @@
 """The parity report counts what it should and never pairs copies."""
 
+import math
+import random
+from collections import Counter
+
 import pytest
 from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql.types import IntegerType, StructField, StructType
@@ -54,6 +58,42 @@ def test_noise_does_not_hide_a_changed_vector(spark):
     assert (r.max_abs_diff, r.over_tolerance, r.argmax_disagreements) == (pytest.approx(0.3), 1, 1)
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_uneven_keys_are_aligned_as_far_as_can_be(spark, seed):
+    """Against the largest matching of each key, and keys cut into segments and over range partitions."""
+    rng = random.Random(seed)
+
+    def draw():
+        return [(rng.choice([1, 1, 1, 2, 3, None]), rng.choice([None, float("nan"), float("inf")]) if rng.random() < 0.05
+                 else round(rng.uniform(0, 12), 1)) for _ in range(rng.choice([0, 40, 150]))]
+
+    left, right = draw() + [(1, 0.0), (2, 1.0)], draw() + [(1, 0.0), (2, 1.05), (3, 1.0)]
+
+    def best(a, b):
+        """(pairs, largest difference of each pair in order) by dynamic programming over sorted lists."""
+        table = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i, x in enumerate(a):
+            for j, y in enumerate(b):
+                table[i + 1][j + 1] = max(table[i][j + 1], table[i + 1][j], table[i][j] + (abs(x - y) <= 0.15))
+        return table[-1][-1]
+
+    unmatched = 0
+    for k in {k for k, _ in left} & {k for k, _ in right}:
+        a, b = (Counter(repr(v) for x, v in rows if x == k) for rows in (left, right))
+        if sum(a.values()) == sum(b.values()):
+            continue
+        only = [sorted(float(v) for v in (x - y).elements() if v != "None") for x, y in ((a, b), (b, a))]
+        finite = [[v for v in o if math.isfinite(v)] for o in only]
+        unmatched += sum(map(len, only)) - 2 * best(*finite)
+    sides = [spark.createDataFrame(rows, "k int, prediction double") for rows in (left, right)]
+    r = es.parity_report(*sides, ["k"], tolerance=0.15, align_uneven=True).head()
+    assert r.unmatched_outputs == unmatched and (r.max_aligned_diff or 0.0) <= 0.15
+    with pytest.raises(es.InputError, match="no order"):
+        vectors = spark.createDataFrame([(1, Vectors.dense([0.0]))], StructType([
+            StructField("k", IntegerType()), StructField("prediction", VectorUDT())]))
+        es.parity_report(vectors, vectors, ["k"], align_uneven=True)
+
+
 def test_empty_sides(spark):
     r = report(spark, [], [(1, 1.0)])
     assert (r["rows_left"], r["rows_right"], r["only_right"], r["max_abs_diff"]) == (0, 1, 1, None)

@@ -237,6 +237,26 @@ SQL = {
                max(CASE WHEN met AND low THEN 45 WHEN met THEN 63 END)::DOUBLE AS max_abs_diff,
                count(*) FILTER (WHERE met AND NOT low) AS over_tolerance,
                CAST(0 AS BIGINT) AS argmax_disagreements FROM p""",
+    "parity_noise": """
+        WITH v AS (SELECT l_orderkey AS k, l_quantity::DOUBLE AS a, (l_quantity + l_linenumber / 1048576.0::DOUBLE
+                          + CASE l_linenumber WHEN 2 THEN 0.25 ELSE 0 END)::DOUBLE AS b FROM lineitem),
+        p AS (SELECT k, max(abs(x.a - y.b)) AS diff
+              FROM (SELECT k, a, row_number() OVER (PARTITION BY k ORDER BY a) AS i FROM v) x
+              JOIN (SELECT k, b, row_number() OVER (PARTITION BY k ORDER BY b) AS i FROM v) y USING (k, i) GROUP BY k)
+        SELECT (SELECT count(*) FROM v) AS rows_left, (SELECT count(*) FROM v) AS rows_right, count(*) AS keys_met,
+               0::BIGINT AS uneven_keys, max(diff) AS max_abs_diff, count(*) FILTER (diff > 1e-5) AS over_tolerance
+        FROM p""",
+    # Quantities are whole numbers, so only rows of one quantity meet, the least noise first.
+    "parity_uneven_keys": """
+        WITH v AS (SELECT l_orderkey AS k, l_quantity AS q, l_linenumber % 3 != 0 AS met,
+                          l_linenumber / 1048576.0::DOUBLE AS noise FROM lineitem),
+        u AS (SELECT k FROM v GROUP BY k HAVING count(*) FILTER (met) BETWEEN 1 AND count(*) - 1),
+        p AS (SELECT k, q, noise, count(*) OVER (PARTITION BY k, q) AS n,
+                     row_number() OVER (PARTITION BY k, q ORDER BY NOT met, noise) AS i, met
+              FROM v SEMI JOIN u USING (k))
+        SELECT (SELECT count(*) FROM v) AS rows_left, (SELECT count(*) FROM v WHERE met) AS rows_right,
+               (SELECT count(DISTINCT k) FROM v WHERE met) AS keys_met, (SELECT count(*) FROM u) AS uneven_keys,
+               count(*) FILTER (NOT met) AS unmatched_outputs, max(noise) FILTER (met) AS max_aligned_diff FROM p""",
     "registry_score": f"""
         SELECT event_id, event_type,
                CASE event_type WHEN 'click' THEN {case('value', 5, 1, -1)}

@@ -325,6 +325,26 @@ def parity_repeated_keys(spark, sf):
         "rows_left", "rows_right", "keys_met", "differing_outputs", "over_tolerance")
 
 
+def parity_noise(spark, sf):
+    """Noise on every row of keys that repeat, and one value in the middle that differs."""
+    df = read(spark, sf, "lineitem")
+    noise = F.col("l_linenumber") / float(1 << 20) + F.when(F.col("l_linenumber") == 2, 0.25).otherwise(0.0)
+    left = df.select("l_orderkey", F.col("l_quantity").cast("double").alias("prediction"))
+    right = df.select("l_orderkey", (F.col("l_quantity") + noise).cast("double").alias("prediction"))
+    return es.parity_report(left, right, ["l_orderkey"]).select(
+        "rows_left", "rows_right", "keys_met", "uneven_keys", "max_abs_diff", "over_tolerance")
+
+
+def parity_uneven_keys(spark, sf):
+    """Noise on every row, and each third line is on one side only."""
+    df = read(spark, sf, "lineitem")
+    left = df.select("l_orderkey", F.col("l_quantity").cast("double").alias("prediction"))
+    right = df.where("l_linenumber % 3 != 0").select("l_orderkey", (
+        F.col("l_quantity") + F.col("l_linenumber") / float(1 << 20)).cast("double").alias("prediction"))
+    return es.parity_report(left, right, ["l_orderkey"], align_uneven=True).select(
+        "rows_left", "rows_right", "keys_met", "uneven_keys", "unmatched_outputs", "max_aligned_diff")
+
+
 def registry_score(spark, sf):
     tables = es.ModelTables.read(spark, models_path(spark)).map(
         lambda df: df.where(F.col("model_id").isin("click", "error", "purchase", "signup")))
@@ -456,7 +476,7 @@ QUERIES = {
         softmax_proba, softmax_forest, argmax_class, argmax_tie, output_width, rename_outputs,
         rename_probability, filter_after_score, aggregate_scores, pipeline_stage,
         saved_pipeline, empty_input, partition_invariance, copy_params, deferred_load,
-        model_violations, parity_report, parity_report_differs, registry_score,
+        model_violations, parity_report, parity_report_differs, parity_noise, parity_uneven_keys, registry_score,
         leaf_table_score, leaf_box_score, stream_score, registry_duplicate_names, registry_large_model,
         forest_registry_built, registry_two_versions, stream_registry_score)
 } | {
