@@ -1,14 +1,14 @@
-"""Embedding near-duplicates by projection passes, exact wherever signatures crowd.
-
-Each pass deals the vectors to buckets by the signs of random projections and compares all
-vectors of a bucket with each other. The number of signs follows the number of vectors, the
-number of passes the chance that a linked pair shares no bucket, which depends on its angle
-only, not on what else is near. Vectors of buckets too large for one block are instead
-compared with all others of that kind, in blocks around pivots; blocks further apart than a
-link can reach, by the triangle inequality, are left out. Verified pairs are joined to
-components, and the links inside each component are counted in full: two vectors whose angles
-to the component's centre add up to less than the threshold angle are linked, and only bins
-of angles that this leaves open are compared vector by vector, in bounded blocks.
+"""Embedding near-duplicates by sorted projection passes.
+
+Each pass orders the vectors lexicographically by concatenated random hashes, the signs of random
+projections from the vectors' mean, and compares every vector with a bounded window of its
+neighbours in that order. Where more vectors share leading hashes than a window holds, as in a hot
+topic, that run is ordered again by hashes from its own mean, which tell its vectors apart
+where those of all vectors cannot, and so on. How many passes a run gets follows from its size and
+its own density. Verified pairs of all passes are joined to components, and the links inside each component are
+counted in full: two vectors whose angles to the component's centre add up to less than the
+threshold angle are linked, and only bins of angles that this leaves open are compared vector
+by vector, in bounded blocks.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ensemblescore.llm.components import connected_components
@@ -27,25 +27,26 @@ from ensemblescore.sources.scratch import ensure_checkpoint_dir
 
 THRESHOLD = 0.95
 
-#: Least passes, most sign bits of one pass, and vectors in a bucket if signatures are even.
-PASSES, BITS, WINDOW = 24, 48, 48
+#: Least passes over all vectors, hashes concatenated, and neighbours a vector is compared with on either side.
+PASSES, BITS, WINDOW = 12, 48, 256
 
-#: The chance that all passes miss a pair just at the threshold. Of n vectors a pair at angle a shares
-#: a bucket of one pass with a chance of (1 - a / pi) ** log2(n / WINDOW), however others lie.
+#: The chance that all passes over even vectors miss a pair just at the threshold. A run of m vectors at mean cosine
+#: s puts such a pair at the cosine r = 1 - (1 - threshold) / (1 - s) around its mean, and one pass leaves it
+#: together with a chance of (1 - acos(r) / pi) ** log2(m / WINDOW), however others lie.
 MISS = 0.001
 
-#: Vectors of a bucket compared in one task; those of larger ones are compared by pivots.
-CROWD = 4096
+#: The least r planned for: in runs denser than that, chains of links join what one pass misses.
+LEAST = 0.5
 
-#: Pivots at most, numbers in all of them at most, vectors in a block of one pivot.
-PIVOTS, PIVOT_NUMBERS, PART = 1024, 1 << 22, 4096
+#: Runs within runs at most; deeper ones have their windows only.
+DEPTH = 8
 SEED = 17
 
-#: Vectors of buckets that share a task, and in a block of one angle's bin; the width of a bin.
-BLOCK, BIN_BLOCK, BIN = 2048, 1024, 0.001
+#: Vectors of one order compared in a task, and in a block of one angle's bin; the width of a bin.
+BLOCK, BIN_BLOCK, BIN = 4096, 1024, 0.001
 _SLACK = 1e-7
 
-#: Rows of one component are dealt to so many tasks when they meet its centre.
+#: Rows of one run or component are dealt to so many tasks when they meet its centre.
 SPREAD = 16
 
 
@@ -60,138 +61,107 @@ def _matrix(vectors: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return out / np.linalg.norm(out, axis=1, keepdims=True), widths
 
 
-def _signatures(passes: int, bits: int) -> Column:
-    def run(vectors: pa.Array) -> pa.Array:
+def _unit() -> Column:
+    return F.arrow_udf(lambda v: pa.array(list(_matrix(v)[0]), pa.list_(pa.float64())), "array<double>")("v")
+
+
+def _hashes(level: int, bits: int) -> Column:
+    """For each of a vector's ``passes`` the signs of projections from its run's mean, the first hash highest."""
+    def run(vectors: pa.Array, means: pa.Array, passes: pa.Array) -> pa.Array:
         unit, widths = _matrix(vectors)
-        out = np.zeros((len(unit), passes), np.int64)
+        passes = passes.to_numpy(zero_copy_only=False).astype(np.int64)
+        flat = means.flatten().to_numpy(zero_copy_only=False)
+        starts = np.cumsum(passes) - passes
+        out = np.zeros(int(passes.sum()), np.int64)
+        at = np.cumsum(widths) - widths
         for width in np.unique(widths).tolist():
-            planes = np.random.default_rng([SEED, width]).standard_normal((width, passes * bits))
             rows = np.flatnonzero(widths == width)
-            for some in np.array_split(rows, 1 + len(rows) // 1024):
-                signs = (unit[some, :width] @ planes > 0).reshape(len(some), passes, bits)
-                out[some] = (signs.astype(np.int64) << np.arange(bits - 1, -1, -1)).sum(axis=2)
-        return pa.ListArray.from_arrays(pa.array(np.arange(len(out) + 1) * passes, pa.int32()), pa.array(out.ravel()))
-    return F.arrow_udf(run, "array<bigint>")("v")
-
-
-def _joined(unit: np.ndarray, widths: np.ndarray, threshold: float, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """For every vector the first of its group, by all links between two sets of them."""
-    labels = np.arange(len(unit))
-    for lo in range(0, len(left), 512):
-        some = left[lo:lo + 512]
-        near = (unit[some] @ unit[right].T >= threshold) & (widths[some][:, None] == widths[right])
-        for k in np.flatnonzero(near.any(axis=1)).tolist():
-            met = np.append(labels[right[near[k]]], labels[some[k]])
-            if (met != met[0]).any():
-                to = np.arange(len(unit))
-                to[met] = met.min()
-                labels = to[labels]
-    return labels
-
-
-def _stars(node: np.ndarray, labels: np.ndarray) -> pa.Table:
-    linked = labels != np.arange(len(labels))
-    return pa.table({"a": node[linked], "b": node[labels[linked]]})
-
-
-def _bucket_links(threshold: float):
-    """Links of some buckets, reduced to one from each vector to its group's first."""
+            apart = unit[rows, :width] - flat[at[rows][:, None] + np.arange(width)]
+            for k in range(int(passes[rows].max())):
+                some = passes[rows] > k
+                planes = np.random.default_rng([SEED, level, width, k]).standard_normal((width, bits))
+                signs = apart[some] @ planes > 0
+                out[starts[rows[some]] + k] = (signs.astype(np.int64) << np.arange(bits - 1, -1, -1)).sum(axis=1)
+        return pa.ListArray.from_arrays(pa.array(np.append(starts, len(out)), pa.int32()), pa.array(out))
+    return F.arrow_udf(run, "array<bigint>")("v", "mean", "passes")
+
+
+def _planned(rows: DataFrame, level: int, threshold: float, passes: int, bits: int, window: int) -> DataFrame:
+    """One row per run of (run, node, v): its ``mean``, its ``passes``, and the leading hashes its vectors part by."""
+    runs = rows.select("run", _unit().alias("unit")).groupBy("run").agg(
+        F.count("*").alias("m"), vector_to_array(Summarizer.mean(array_to_vector("unit"))).alias("mean"))
+    dense = F.aggregate("mean", F.lit(0.0), lambda s, x: s + x * x)
+    r = F.greatest(F.lit(LEAST), 1 - (1 - threshold) / F.greatest(1 - dense, F.lit(1e-12)))
+    needed = F.greatest(F.lit(0.0), F.log2(F.col("m") / window))
+    caught = F.pow(1 - F.acos(r) / math.pi, needed)
+    wanted = 1 / caught
+    if level == 0:
+        wanted = F.greatest(F.lit(float(passes)), F.when(caught < 1, math.log(MISS) / F.log1p(-caught)).otherwise(0.0))
+    return runs.select("run", "mean", F.ceil(wanted).cast("int").alias("passes"),
+                       F.least(F.ceil(needed), F.lit(bits)).cast("int").alias("leading"))
+
+
+def _neighbours(threshold: float, window: int, block: int):
+    """Links of a block of one order, and of its last vectors to the first of the next block, reduced to stars."""
     def run(table):
-        table = table.sort_by([(c, "ascending") for c in ("pass", "signs", "node")])
+        table = table.sort_by("place")
         unit, widths = _matrix(table["v"])
-        which, signs = table["pass"].to_numpy(), table["signs"].to_numpy()
-        starts = np.flatnonzero((np.diff(which, prepend=-1) != 0) | (np.diff(signs, prepend=-1) != 0))
         labels = np.arange(len(unit))
-        for lo, hi in zip(starts.tolist(), [*starts[1:].tolist(), len(unit)]):
-            if hi - lo > 1:
-                own = np.arange(hi - lo)
-                labels[lo:hi] = lo + _joined(unit[lo:hi], widths[lo:hi], threshold, own, own)
-        return _stars(table["node"].to_numpy(), labels)
-    return run
-
-
-def _pair_links(threshold: float):
-    """The same between two blocks, or within one."""
-    def run(table):
-        table = table.sort_by([("side", "ascending"), ("node", "ascending")])
-        unit, widths = _matrix(table["v"])
-        left, right = (np.flatnonzero(table["side"].to_numpy() == s) for s in (0, 1))
-        return _stars(table["node"].to_numpy(), _joined(unit, widths, threshold, left, right if len(right) else left))
+        step = max(window, 256)
+        for lo in range(0, min(len(unit), block), step):
+            hi = min(lo + step + window, len(unit))
+            near = (unit[lo:lo + step] @ unit[lo:hi].T >= threshold) & (widths[lo:lo + step, None] == widths[lo:hi])
+            for k in np.flatnonzero(near.sum(axis=1) > 1).tolist():
+                met = labels[lo:hi][near[k]]
+                if (met != met[0]).any():
+                    to = np.arange(len(unit))
+                    to[met] = met.min()
+                    labels = to[labels]
+        node, linked = table["node"].to_numpy(), labels != np.arange(len(labels))
+        return pa.table({"a": node[linked], "b": node[labels[linked]]})
     return run
 
 
-def _widened(rows: np.ndarray, width: int) -> np.ndarray:
-    return np.pad(rows, ((0, 0), (0, width - rows.shape[1])))
-
-
-def _nearest(pivots: np.ndarray) -> Column:
-    """The nearest pivot and the angle to it; shorter vectors count as padded with zeros."""
-    def run(vectors: pa.Array) -> pa.Array:
-        unit, _ = _matrix(vectors)
-        width = max(unit.shape[1], pivots.shape[1])
-        cosine = _widened(unit, width) @ _widened(pivots, width).T
-        cell = cosine.argmax(axis=1) if len(unit) else np.zeros(0, np.int64)
-        angle = np.arccos(np.clip(cosine[np.arange(len(unit)), cell], -1, 1))
-        return pa.StructArray.from_arrays([pa.array(cell, pa.int64()), pa.array(angle)], ["cell", "angle"])
-    return F.arrow_udf(run, "struct<cell:bigint,angle:double>")("v")
-
-
-def _crowded_links(rows: DataFrame, threshold: float) -> DataFrame:
-    """Links that join every group among all (node, h1, v), by comparing every two blocks in reach."""
-    spark = rows.sparkSession
-    rows = rows.checkpoint()
-    n, width = rows.agg(F.count("*"), F.max(F.size("v"))).first()
-    if not n:
-        return spark.createDataFrame([], "a bigint, b bigint")
-    wanted = max(1, min(PIVOTS, PIVOT_NUMBERS // width, n // PART))
-    found = [r["v"] for r in rows.orderBy("h1", "node").limit(wanted).select("v").collect()]
-    pivots, _ = _matrix(pa.array(found, pa.list_(pa.float64())))
-    placed = rows.select("node", "v", _nearest(pivots).alias("at")).select("node", "v", "at.*").checkpoint()
-    cells = placed.groupBy("cell").agg(F.count("*").alias("n"), F.max("angle").alias("radius")).collect()
-    cell, size, radius = (np.array([r[c] for r in cells]) for c in ("cell", "n", "radius"))
-    parts = -(-size // PART)
-    apart = np.arccos(np.clip(pivots[cell] @ pivots[cell].T, -1, 1))
-    # Arc cosines are good to about 1e-8 near 0.
-    reach = apart <= radius[:, None] + radius + math.acos(threshold) + 1e-6
-    i, j = np.nonzero(reach & (cell[:, None] <= cell))
-    pairs = spark.createDataFrame(pa.table({"i": cell[i], "j": cell[j], "ni": parts[i], "nj": parts[j]}))
-    for side in "ij":
-        pairs = pairs.withColumn(f"s{side}", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(f"n{side}") - 1)))
-    pairs = pairs.where("i < j or si <= sj")
-    dealt = placed.join(spark.createDataFrame(pa.table({"cell": cell, "parts": parts})), "cell").withColumn(
-        "part", F.pmod(F.xxhash64("node"), F.col("parts")))
-
-    def side(pairs, which, number):
-        return pairs.join(dealt.select(F.col("cell").alias(which), F.col("part").alias(f"s{which}"), "node", "v"),
-                          [which, f"s{which}"]).select("i", "si", "j", "sj", F.lit(number).alias("side"), "node", "v")
-
-    both = side(pairs, "i", 0).unionByName(side(pairs.where("i < j or si < sj"), "j", 1))
-    return both.groupBy("i", "si", "j", "sj").applyInArrow(_pair_links(threshold), "a bigint, b bigint")
-
-
-def _plan(n: int, threshold: float, passes: int, bits: int, window: int) -> tuple[int, int]:
-    """Passes and sign bits for so many vectors; up to CROWD of them make one bucket, compared whole."""
-    if n <= CROWD:
-        return 1, 0
-    bits = min(bits, max(0, math.ceil(math.log2(n / window))))
-    missed = 1 - (1 - math.acos(threshold) / math.pi) ** bits
-    return (max(passes, math.ceil(math.log(MISS) / math.log(missed))) if 0 < missed < 1 else passes), bits
-
-
-def _links(classes: DataFrame, threshold: float, passes: int, bits: int, window: int) -> DataFrame:
+def _windows(order: DataFrame, classes: DataFrame, threshold: float, window: int, block: int) -> DataFrame:
+    """Links of all (run, pass, signs, node) to their neighbours in that order."""
+    keys = ["run", "pass", "signs", "node"]
+    order = order.select(*keys).repartitionByRange(*keys).withColumn("chunk", F.spark_partition_id()).checkpoint()
+    total, starts = 0, []
+    for r in order.groupBy("chunk").count().orderBy("chunk").collect():
+        starts.append((r["chunk"], total))
+        total += r["count"]
+    if not total:
+        return order.sparkSession.createDataFrame([], "a bigint, b bigint")
+    begin = F.element_at(F.create_map(*[F.lit(x) for pair in starts for x in pair]), F.col("chunk"))
+    place = begin + F.row_number().over(Window.partitionBy("chunk").orderBy(*keys)) - 1
+    placed = order.select("node", place.cast("bigint").alias("place"))
+    number = F.floor(F.col("place") / block)
+    also = F.when((number > 0) & (F.col("place") % block < window), F.array(number, number - 1)).otherwise(F.array(number))
+    return placed.select("node", "place", F.explode(also).alias("block")).join(classes.select("node", "v"), "node") \
+        .groupBy("block").applyInArrow(_neighbours(threshold, window, block), "a bigint, b bigint")
+
+
+def _links(classes: DataFrame, threshold: float, passes: int, bits: int, window: int, block: int) -> DataFrame:
     """Links that join every group found by any pass."""
-    n = classes.count()
-    passes, bits = _plan(n, threshold, passes, bits, window)
-    signs = classes.select("node", F.posexplode(_signatures(passes, bits)).alias("pass", "signs")).checkpoint()
-    large = signs.groupBy("pass", "signs").agg(F.count("*").alias("n")).where(F.col("n") > CROWD).select(
-        "pass", "signs").checkpoint()
-    groups = max(1, math.ceil(n * passes / BLOCK))
-    dealt = signs.join(large, ["pass", "signs"], "left_anti").withColumn(
-        "deal", F.pmod(F.xxhash64("pass", "signs"), F.lit(groups)))
-    links = dealt.join(classes.select("node", "v"), "node").groupBy("deal").applyInArrow(
-        _bucket_links(threshold), "a bigint, b bigint")
-    crowded = signs.join(large, ["pass", "signs"], "left_semi").select("node").distinct()
-    return links.unionByName(_crowded_links(classes.join(crowded, "node").select("node", "h1", "v"), threshold))
+    rows = classes.select(F.size("v").cast("bigint").alias("run"), "node")
+    links = []
+    for level in range(DEPTH):
+        with_v = rows.join(classes.select("node", "v"), "node")
+        runs = _planned(with_v, level, threshold, passes, bits, window).withColumn(
+            "spread", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
+        order = with_v.withColumn("spread", F.pmod(F.xxhash64("node"), F.lit(SPREAD)).cast("int")).join(
+            runs, ["run", "spread"]).select(
+            "run", "node", "leading", F.posexplode(_hashes(level, bits)).alias("pass", "signs")).withColumn(
+            "inner", F.xxhash64("run", "pass", F.expr(f"shiftright(signs, {bits} - leading)"))).checkpoint()
+        links.append(_windows(order, classes, threshold, window, block).checkpoint())
+        crowded = order.groupBy("inner").count().where(F.col("count") > 2 * window).select("inner").checkpoint()
+        if crowded.isEmpty():
+            break
+        rows = order.join(crowded, "inner", "left_semi").select(F.col("inner").alias("run"), "node").checkpoint()
+    found = links[0]
+    for more in links[1:]:
+        found = found.unionByName(more)
+    return found
 
 
 def _angle() -> Column:
@@ -228,8 +198,7 @@ def _compared(threshold: float):
 def _counted(members: DataFrame, threshold: float) -> DataFrame:
     """(node, linked): for (node, component, n, v), the weight of other nodes linked to each."""
     theta = math.acos(threshold)
-    unit = F.arrow_udf(lambda v: pa.array(list(_matrix(v)[0]), pa.list_(pa.float64())), "array<double>")("v")
-    centres = members.groupBy("component").agg(vector_to_array(Summarizer.mean(array_to_vector(unit))).alias("centre"))
+    centres = members.groupBy("component").agg(vector_to_array(Summarizer.mean(array_to_vector(_unit()))).alias("centre"))
     centres = centres.withColumn("spread", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
     placed = members.withColumn("spread", F.pmod(F.xxhash64("node"), F.lit(SPREAD)).cast("int")).join(
         centres, ["component", "spread"]).select(
@@ -278,7 +247,7 @@ def _counted(members: DataFrame, threshold: float) -> DataFrame:
 
 
 def near_vectors(df: DataFrame, key: str = "vec_id", vector: str = "embedding", threshold: float = THRESHOLD,
-                 passes: int = PASSES, bits: int = BITS, window: int = WINDOW) -> DataFrame:
+                 passes: int = PASSES, bits: int = BITS, window: int = WINDOW, block: int = BLOCK) -> DataFrame:
     """One row per vector: ``vec_id``, ``n_links``, ``component_id`` and ``kept``.
 
     ``n_links`` counts the other rows whose cosine is at least ``threshold``, copies included;
@@ -286,7 +255,8 @@ def near_vectors(df: DataFrame, key: str = "vec_id", vector: str = "embedding",
     own. Vectors that are null, empty, zero or hold a null or non-finite component link with
     nothing, nor do rows with a null key, nor vectors of different widths. Copies meet in
     one class first. Repeated rows are kept, and an empty table gives no rows. At least ``passes``
-    passes of at most ``bits`` signs run, with buckets of about ``window`` vectors.
+    passes over all vectors order them by ``bits`` hashes (62 at most) and compare each with ``window``
+    neighbours on either side, ``block`` vectors to a task.
     """
     ensure_checkpoint_dir(df.sparkSession)
     v = F.col("v")
@@ -299,7 +269,7 @@ def near_vectors(df: DataFrame, key: str = "vec_id", vector: str = "embedding",
     classes = rows.where("usable").groupBy("h1", "h2").agg(
         F.first("v").alias("v"), F.min("vec_id").alias("first"), F.count("*").alias("n")).withColumn(
         "node", F.monotonically_increasing_id()).checkpoint()
-    found = connected_components(_links(classes, threshold, passes, bits, window))
+    found = connected_components(_links(classes, threshold, passes, bits, window, block))
     roots = found.select(F.col("component").alias("node"), "component").distinct()
     members = classes.join(found.unionByName(roots), "node").checkpoint()
     counted = _counted(members.select("node", "component", "n", "v"), threshold)
