@@ -14,6 +14,7 @@ by vector, in bounded blocks.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +29,7 @@ from ensemblescore.sources.scratch import ensure_checkpoint_dir
 THRESHOLD = 0.95
 
 #: Least passes over all vectors, hashes concatenated, and neighbours a vector is compared with on either side.
-PASSES, BITS, WINDOW = 12, 48, 256
+PASSES, BITS, WINDOW = 12, 48, 512
 
 #: The chance that all passes over even vectors miss a pair just at the threshold. A run of m vectors at mean cosine
 #: s puts such a pair at the cosine r = 1 - (1 - threshold) / (1 - s) around its mean, and one pass leaves it
@@ -62,7 +63,11 @@ def _matrix(vectors: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _unit() -> Column:
-    return F.arrow_udf(lambda v: pa.array(list(_matrix(v)[0]), pa.list_(pa.float64())), "array<double>")("v")
+    def run(vectors: pa.Array) -> pa.Array:
+        unit, widths = _matrix(vectors)
+        flat = unit[np.arange(unit.shape[1])[None, :] < widths[:, None]]
+        return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(widths)), pa.int32()), pa.array(flat))
+    return F.arrow_udf(run, "array<double>")("v")
 
 
 def _hashes(level: int, bits: int) -> Column:
@@ -87,14 +92,17 @@ def _hashes(level: int, bits: int) -> Column:
 
 
 def _planned(rows: DataFrame, level: int, threshold: float, passes: int, bits: int, window: int) -> DataFrame:
-    """One row per run of (run, node, v): its ``mean``, its ``passes``, and the leading hashes its vectors part by."""
+    """One row per run of (run, node, v): its ``mean``, its ``passes``, and the leading hashes its vectors part by.
+
+    A run within a run whose mean cosine is at the threshold needs none: most of its pairs are linked, and the
+    windows it has already chain them."""
     runs = rows.select("run", _unit().alias("unit")).groupBy("run").agg(
         F.count("*").alias("m"), vector_to_array(Summarizer.mean(array_to_vector("unit"))).alias("mean"))
     dense = F.aggregate("mean", F.lit(0.0), lambda s, x: s + x * x)
     r = F.greatest(F.lit(LEAST), 1 - (1 - threshold) / F.greatest(1 - dense, F.lit(1e-12)))
     needed = F.greatest(F.lit(0.0), F.log2(F.col("m") / window))
     caught = F.pow(1 - F.acos(r) / math.pi, needed)
-    wanted = 1 / caught
+    wanted = F.when(dense < threshold, 1 / caught).otherwise(0)
     if level == 0:
         wanted = F.greatest(F.lit(float(passes)), F.when(caught < 1, math.log(MISS) / F.log1p(-caught)).otherwise(0.0))
     return runs.select("run", "mean", F.ceil(wanted).cast("int").alias("passes"),
@@ -125,7 +133,7 @@ def _neighbours(threshold: float, window: int, block: int):
 def _windows(order: DataFrame, classes: DataFrame, threshold: float, window: int, block: int) -> DataFrame:
     """Links of all (run, pass, signs, node) to their neighbours in that order."""
     keys = ["run", "pass", "signs", "node"]
-    order = order.select(*keys).repartitionByRange(*keys).withColumn("chunk", F.spark_partition_id()).checkpoint()
+    order = order.repartitionByRange(*keys).withColumn("chunk", F.spark_partition_id()).checkpoint()
     total, starts = 0, []
     for r in order.groupBy("chunk").count().orderBy("chunk").collect():
         starts.append((r["chunk"], total))
@@ -142,26 +150,23 @@ def _windows(order: DataFrame, classes: DataFrame, threshold: float, window: int
 
 
 def _links(classes: DataFrame, threshold: float, passes: int, bits: int, window: int, block: int) -> DataFrame:
-    """Links that join every group found by any pass."""
-    rows = classes.select(F.size("v").cast("bigint").alias("run"), "node")
-    links = []
+    """Links that join every group found by any pass. Runs of all depths are put in order and compared together."""
+    rows = classes.select(F.size("v").cast("bigint").alias("run"), "node", "v")
+    orders = []
     for level in range(DEPTH):
-        with_v = rows.join(classes.select("node", "v"), "node")
-        runs = _planned(with_v, level, threshold, passes, bits, window).withColumn(
+        runs = _planned(rows, level, threshold, passes, bits, window).withColumn(
             "spread", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
-        order = with_v.withColumn("spread", F.pmod(F.xxhash64("node"), F.lit(SPREAD)).cast("int")).join(
+        order = rows.withColumn("spread", F.pmod(F.xxhash64("node"), F.lit(SPREAD)).cast("int")).join(
             runs, ["run", "spread"]).select(
             "run", "node", "leading", F.posexplode(_hashes(level, bits)).alias("pass", "signs")).withColumn(
             "inner", F.xxhash64("run", "pass", F.expr(f"shiftright(signs, {bits} - leading)"))).checkpoint()
-        links.append(_windows(order, classes, threshold, window, block).checkpoint())
+        orders.append(order.select("run", "pass", "signs", "node"))
         crowded = order.groupBy("inner").count().where(F.col("count") > 2 * window).select("inner").checkpoint()
         if crowded.isEmpty():
             break
-        rows = order.join(crowded, "inner", "left_semi").select(F.col("inner").alias("run"), "node").checkpoint()
-    found = links[0]
-    for more in links[1:]:
-        found = found.unionByName(more)
-    return found
+        rows = order.join(crowded, "inner", "left_semi").select(F.col("inner").alias("run"), "node").join(
+            classes.select("node", "v"), "node").checkpoint()
+    return _windows(reduce(DataFrame.unionByName, orders), classes, threshold, window, block)
 
 
 def _angle() -> Column:
