@@ -131,6 +131,24 @@ def test_embeddings_find_dense_groups_whole(spark):
     assert sum(g[1] for g in got) >= 0.99 * sum(w[1] for w in want)
 
 
+@pytest.mark.parametrize("window, block", [(64, 256), (512, 4096)])
+def test_embeddings_find_pairs_among_even_vectors(spark, window, block):
+    """600 planted pairs just above the threshold among 12,000 vectors: recall, and no link that is none."""
+    rng = np.random.default_rng(5)
+    n, pairs, width = 12_000, 600, 64
+    vectors = rng.standard_normal((n, width))
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    first, apart = vectors[:pairs], vectors[pairs:2 * pairs]
+    apart = apart - (apart * first).sum(axis=1, keepdims=True) * first
+    apart /= np.linalg.norm(apart, axis=1, keepdims=True)
+    vectors[pairs:2 * pairs] = 0.951 * first + math.sqrt(1 - 0.951 ** 2) * apart
+    values = pa.FixedSizeListArray.from_arrays(pa.array(vectors.ravel()), width).cast(pa.list_(pa.float64()))
+    df = spark.createDataFrame(pa.table({"vec_id": np.arange(n), "embedding": values}))
+    got = {r.vec_id: r.component_id for r in embeddings.near_vectors(df, window=window, block=block).collect()}
+    assert sum(got[k] == got[k + pairs] for k in range(pairs)) >= 0.99 * pairs
+    assert all(got[k] == k for k in range(n) if not pairs <= k < 2 * pairs)
+
+
 def test_embeddings_find_pairs_in_a_hot_topic(spark):
     """100,000 vectors at mutual cosine 0.85; only the planted pairs, at 0.955, are linked."""
     rng = np.random.default_rng(11)
