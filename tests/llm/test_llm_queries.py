@@ -149,6 +149,29 @@ def test_embeddings_find_pairs_among_even_vectors(spark, window, block):
     assert all(got[k] == k for k in range(n) if not pairs <= k < 2 * pairs)
 
 
+def test_embeddings_find_pairs_in_topics_within_runs(spark):
+    """Two close topics of 2,000 vectors each and a tight group of copies, windows of 32: runs are ordered again."""
+    rng = np.random.default_rng(7)
+    n, pairs, width = 4_000, 200, 64
+    topics = np.zeros((2, width))
+    topics[:, 0], topics[0, 1], topics[1, 1] = 1, 0.3, -0.3
+    noise = rng.standard_normal((n, width)) * 0.05
+    noise[pairs:2 * pairs] = noise[:pairs] + rng.standard_normal((pairs, width)) * 0.02
+    vectors = topics[np.arange(n) % 2] + noise
+    copies = np.eye(1, width, 5) + rng.standard_normal((500, width)) * 0.001
+    vectors = np.concatenate([vectors, copies])
+    df = spark.createDataFrame(list(enumerate(vectors.tolist())), "vec_id long, embedding array<double>")
+    got = {r.vec_id: (r.n_links, r.component_id)
+           for r in embeddings.near_vectors(df, threshold=0.985, window=32, block=128).collect()}
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    want = (vectors @ vectors.T >= 0.985).sum(axis=1) - 1
+    linked = np.flatnonzero(want).tolist()
+    assert len(linked) >= 2 * pairs - 10 + 500
+    assert all(got[k][0] <= want[k] for k in range(n + 500))
+    assert sum(got[k][0] == want[k] for k in linked[:-500]) >= 0.95 * len(linked[:-500])
+    assert all(got[k] == (499, n) for k in range(n, n + 500))
+
+
 def test_embeddings_find_pairs_in_a_hot_topic(spark):
     """100,000 vectors at mutual cosine 0.85; only the planted pairs, at 0.955, are linked."""
     rng = np.random.default_rng(11)
