@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ensemblescore.sources import schema as S
 from ensemblescore.sources.scratch import ensure_checkpoint_dir
-from ensemblescore.sources.tables import ModelTables
+from ensemblescore.sources.tables import ModelTables, beside
 
 NODE = ["model_id", "tree_id", "node_id"]
 
@@ -25,11 +25,11 @@ def node_depths(tables: ModelTables) -> DataFrame:
     Each round doubles the distance a node has looked up, so a tree of depth ``d``
     takes ``log2(d)`` joins. Nodes that have met their root drop out of the join.
     """
-    nodes = tables.nodes
+    nodes, n = tables.nodes, tables.nodes.count()
     ensure_checkpoint_dir(nodes.sparkSession)
     parents = edges(nodes).groupBy(*NODE).agg(F.min("parent").alias("up"))
     state = (
-        nodes.select(*NODE).distinct().join(parents, NODE, "left")
+        nodes.select(*NODE).distinct().join(beside(parents, n), NODE, "left")
         .select(*NODE,
                 F.when(F.col("node_id") == 0, 0).otherwise(F.col("up")).alias("up"),
                 F.when(F.col("node_id") == 0, 0).when(F.col("up").isNotNull(), 1)
@@ -44,7 +44,7 @@ def node_depths(tables: ModelTables) -> DataFrame:
         above = state.select(
             "model_id", "tree_id", F.col("node_id").alias("up"),
             F.col("up").alias("next_up"), F.col("depth").alias("more"))
-        moved = open_.join(above, ["model_id", "tree_id", "up"], "left").select(
+        moved = open_.join(beside(above, n), ["model_id", "tree_id", "up"], "left").select(
             *NODE, F.col("next_up").alias("up"), (F.col("depth") + F.col("more")).alias("depth"))
         state = state.where("up = 0 OR up IS NULL").unionByName(moved).checkpoint()
         looked *= 2

@@ -28,7 +28,7 @@ from ensemblescore.operators.validate import refuse_broken
 from ensemblescore.plans import grouped, relational
 from ensemblescore.sources import schema as S
 from ensemblescore.sources.spec import MAX_BROADCAST_NODES, at_once, node_columns
-from ensemblescore.sources.tables import ModelTables
+from ensemblescore.sources.tables import ModelTables, beside
 
 ARROW, GROUP, JOIN, AUTO = "arrow", "group", "join", "auto"
 
@@ -59,7 +59,7 @@ def score_registry(df: DataFrame, tables: ModelTables, model_id_col: str = "mode
         tables.header.agg(F.count("*"), F.max("n_outputs")).head,
         _sources(inputs, len(df.columns)).collect,
         tables.nodes.groupBy("model_id").count().agg(F.sum("count"), F.max("count")).head,
-        tables.header.join(tables.trees, "model_id", "left_anti").head)
+        _without_trees(tables).head)
     if bare is not None:
         raise ModelError(f"model {bare.model_id!r} has no trees")
     several = (n_outputs or 1) > 1
@@ -75,13 +75,13 @@ def score_registry(df: DataFrame, tables: ModelTables, model_id_col: str = "mode
     keyed, slots, width = _with_features(df, inputs, sources, n_models, model_id_col, model, x)
     if plan != ARROW:  # which looks all models over while it lays them out
         refuse_broken(tables)
-    tables = _with_slots(tables, slots)
+    tables = _with_slots(tables, beside(slots, n_models * width))
     if plan == ARROW:
         summed = _by_broadcast(keyed, tables, width, model, x, score).drop(model, x)
     elif plan == GROUP:
         values = 2 * width + (n_outputs or 1)
         summed = grouped.add_sums(
-            keyed, model, x, score, df.select(coerce.column(model_id_col).cast("string")), tables, width,
+            keyed, model, x, score, df.select(coerce.column(model_id_col).cast("string")), tables, width, n_models,
             n_nodes or 0, largest or 0, max_nodes,
             rows_per_group or max(1, min(ROWS_PER_GROUP, VALUES_PER_GROUP // values)))
     else:
@@ -89,9 +89,9 @@ def score_registry(df: DataFrame, tables: ModelTables, model_id_col: str = "mode
             F.col(model).alias("model_id"), F.col(x).alias("x")).distinct()
         flags = tables.header.select(
             "model_id", (F.col("post_transform") == S.SOFTMAX).alias("softmax"))
-        scored = relational.sums(points, tables).join(flags, "model_id").select(
+        scored = relational.sums(points, tables).join(beside(flags, n_models), "model_id").select(
             F.col("model_id").alias(model), F.col("x").alias(x), F.struct("sums", "softmax").alias(score))
-        summed = keyed.join(scored, [model, x], "left").drop(model, x)
+        summed = keyed.join(beside(scored, n_models), [model, x], "left").drop(model, x)
 
     sums, out = F.col(score)["sums"], coerce.unused(summed.columns, "__out")
     outputs = F.when(F.col(score)["softmax"], post.softmax(sums)).otherwise(sums)
@@ -104,6 +104,15 @@ def score_registry(df: DataFrame, tables: ModelTables, model_id_col: str = "mode
     return summed.select("*", *columns).drop(score, out)
 
 
+def _without_trees(tables: ModelTables) -> DataFrame:
+    """Models of the header that no tree belongs to, or that have no name; counted, since a join would gather them."""
+    named = F.lit(1).alias("named")
+    both = tables.header.select("model_id", named, F.lit(0).alias("grown")).unionByName(
+        tables.trees.select("model_id", F.lit(0).alias("named"), F.lit(1).alias("grown")))
+    return both.groupBy("model_id").agg(F.max("named").alias("named"), F.max("grown").alias("grown")).where(
+        "named = 1 AND (grown = 0 OR model_id IS NULL)").select("model_id")
+
+
 def choose(n_nodes: int) -> str:
     """The cheapest plan for a registry of so many nodes."""
     return ARROW if n_nodes <= MAX_BROADCAST_NODES else GROUP
@@ -165,7 +174,7 @@ def _with_features(df: DataFrame, inputs: DataFrame, sources: list, n_models: in
             # Each model declares its own width, and a row whose model does not read the vector
             # may lack it. The slots beyond a narrower vector are read by no split of its model.
             helpers.append(coerce.unused(keyed.columns, f"__width{k}"))
-            keyed = _declared(keyed, inputs, source.source, model, helpers[-1])
+            keyed = _declared(keyed, inputs, source, model, helpers[-1])
             floats, own = coerce.vector(source.source, dtype), F.col(helpers[-1])
             nan, zero = F.lit(float("nan")).cast("float"), F.lit(0.0).cast("float")
             checked = F.when(F.size(floats) == own, F.transform(floats, lambda v: F.coalesce(v, zero))).otherwise(
@@ -197,11 +206,11 @@ def _with_slots(tables: ModelTables, slots: DataFrame) -> ModelTables:
     return ModelTables(tables.header, tables.inputs, tables.trees, nodes)
 
 
-def _declared(df: DataFrame, inputs: DataFrame, source: str, model: str, name: str) -> DataFrame:
+def _declared(df: DataFrame, inputs: DataFrame, source, model: str, name: str) -> DataFrame:
     """The width that the row's model declares for this source; null if it does not read it."""
-    readers = inputs.where(F.col("source") == source).groupBy(
+    readers = inputs.where(F.col("source") == source.source).groupBy(
         F.col("model_id").alias(model)).agg(F.max("width").cast("int").alias(name))
-    return df.join(readers, model, "left")
+    return df.join(beside(readers, source.readers), model, "left")
 
 
 def _coded(df: DataFrame, inputs: DataFrame, source: str, model: str, code: str) -> DataFrame:

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from ensemblescore.operators.depths import NODE, edges
 from ensemblescore.sources import schema as S
 from ensemblescore.sources.scratch import ensure_checkpoint_dir
+from ensemblescore.sources.tables import beside
 
 TREE = ["model_id", "tree_id"]
 FOUND = "model_id string, tree_id int, node_id int, rule string, value int"
@@ -34,14 +35,15 @@ LARGE, FEATURE = "?large", "?feature"
 _NULL = -1 << 31
 
 
-def tree_violations(nodes: DataFrame, listed: DataFrame, limits: DataFrame, faults: Column) -> DataFrame:
+def tree_violations(nodes: DataFrame, listed: DataFrame, limits: DataFrame, faults: Column,
+                    n_models: int) -> DataFrame:
     """``model_id, tree_id, node_id, rule`` for what is wrong with nodes and the shape of trees.
 
-    ``listed`` has a row per listed tree, ``limits`` the ``width`` of each model, ``faults`` the rules that
+    ``listed`` has a row per listed tree, ``limits`` the ``width`` of each of some ``n_models`` models, ``faults`` the rules that
     a node breaks by itself. ``nodes`` is scanned once, and again only if some tree is too large."""
     ensure_checkpoint_dir(nodes.sparkSession)
-    none = F.lit(None)
-    heads = listed.select(*TREE).distinct().join(limits.select("model_id", "width"), "model_id", "left").select(
+    none, widths = F.lit(None), beside(limits.select("model_id", "width"), n_models)
+    heads = listed.select(*TREE).distinct().join(widths, "model_id", "left").select(
         *TREE, F.lit(0).alias("kind"), none.cast("int").alias("node_id"), F.lit(False).alias("branch"),
         none.cast("array<int>").alias("children"), none.cast("int").alias("feature"),
         F.col("width").cast("int").alias("width"), none.cast("array<string>").alias("faults"))
@@ -51,7 +53,7 @@ def tree_violations(nodes: DataFrame, listed: DataFrame, limits: DataFrame, faul
     found = heads.unionByName(rows).repartition(*TREE).sortWithinPartitions(*TREE, "kind", "node_id").mapInArrow(
         _looked_over(MAX_TREE_NODES), FOUND).checkpoint()
     rules = found.where(~F.col("rule").isin(LARGE, FEATURE)).drop("value")
-    features = found.where(F.col("rule") == FEATURE).join(limits.select("model_id", "width"), "model_id", "left").where(
+    features = found.where(F.col("rule") == FEATURE).join(widths, "model_id", "left").where(
         ~F.coalesce(F.col("value").between(0, F.col("width") - 1), F.lit(False))).select(
         *NODE, F.lit("bad_split_feature").alias("rule"))
     result = rules.unionByName(features)

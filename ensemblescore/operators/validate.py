@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ensemblescore.errors import ModelError
 from ensemblescore.operators.trees import tree_violations
 from ensemblescore.sources import schema as S
-from ensemblescore.sources.tables import ModelTables
+from ensemblescore.sources.tables import ModelTables, beside
 
 
 def _faults(rules: dict[str, Column]) -> Column:
@@ -31,10 +31,11 @@ def violations(tables: ModelTables) -> DataFrame:
     header, inputs, trees, nodes = tables.header, tables.inputs, tables.trees, tables.nodes
     shape, size = F.col("shape"), F.size("shape")
     width = F.when(size == 1, 1).otherwise(F.get(shape, F.lit(1)))
+    n = header.count() + inputs.count()
     limits = (
         header.groupBy("model_id").agg(
             F.count("*").alias("headers"), F.max("n_outputs").alias("n_outputs"))
-        .join(inputs.groupBy("model_id").agg(F.sum(width).alias("width")), "model_id", "full"))
+        .join(beside(inputs.groupBy("model_id").agg(F.sum(width).alias("width")), n), "model_id", "full"))
 
     parts = [
         _broken(header, {
@@ -48,7 +49,7 @@ def violations(tables: ModelTables) -> DataFrame:
             "no_inputs": F.col("width").isNotNull(),
         }),
         _broken(header.select("model_id").distinct().join(
-            trees.select("model_id", F.lit(True).alias("has")).distinct(), "model_id", "left"),
+            beside(trees.select("model_id", F.lit(True).alias("has")).distinct(), n), "model_id", "left"),
             {"no_trees": F.col("has")}),
         _broken(inputs, {
             "unknown_dtype": F.col("dtype").isin(*S.DTYPES),
@@ -62,10 +63,10 @@ def violations(tables: ModelTables) -> DataFrame:
                 {"duplicate_input": F.col("count") == 1}),
         _broken(trees.groupBy("model_id", "tree_id").count(),
                 {"duplicate_tree": F.col("count") == 1}, "tree_id"),
-        _broken(trees.join(limits, "model_id", "left"), {
+        _broken(trees.join(beside(limits, n), "model_id", "left"), {
             "bad_tree_group": F.col("tree_group").between(0, F.col("n_outputs") - 1),
         }, "tree_id"),
-        tree_violations(nodes, trees, limits, _node_faults()),
+        tree_violations(nodes, trees, limits, _node_faults(), n),
     ]
     found = parts[0]
     for part in parts[1:]:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ensemblescore.sources.tables import ModelTables
+from ensemblescore.sources.tables import ModelTables, beside
 
 
 def model_widths(tables: ModelTables) -> DataFrame:
@@ -16,7 +16,8 @@ def model_widths(tables: ModelTables) -> DataFrame:
     used = tables.trees.groupBy("model_id").agg(
         (F.max("tree_group") + 1).alias("used_outputs"))
     zero = F.lit(0)
-    return tables.header.select("model_id", "n_outputs").join(used, "model_id", "left").join(
-        read, "model_id", "left").select(
+    n = tables.header.count()
+    return tables.header.select("model_id", "n_outputs").join(beside(used, n), "model_id", "left").join(
+        beside(read, n), "model_id", "left").select(
         "model_id", "n_outputs", F.coalesce("used_outputs", zero).alias("used_outputs"),
         F.coalesce("input_width", zero).cast("long").alias("input_width"))

@@ -25,7 +25,7 @@ from ensemblescore.functions.walk import Rows, add_trees
 from ensemblescore.sources import schema as S
 from ensemblescore.sources.scratch import ensure_checkpoint_dir
 from ensemblescore.sources.spec import node_columns
-from ensemblescore.sources.tables import ModelTables
+from ensemblescore.sources.tables import ModelTables, beside
 
 # What a group's models take at a time, on average over the groups.
 NODES_PER_GROUP = 1_000_000
@@ -43,7 +43,7 @@ PER_NODE = ["tree_id", "tree_group", "n_outputs", "softmax", "node_id", "branch"
 
 
 def add_sums(keyed: DataFrame, model: str, x: str, score: str, names: DataFrame, tables: ModelTables, width: int,
-             n_nodes: int, largest: int, max_nodes: int, rows_per_group: int) -> DataFrame:
+             n_models: int, n_nodes: int, largest: int, max_nodes: int, rows_per_group: int) -> DataFrame:
     """``keyed`` without ``model`` and ``x``, and with ``score``: the sums of the model named in ``model`` over ``x``.
 
     ``names`` has the model names of all rows as its only column and is read beforehand, to find the
@@ -51,16 +51,16 @@ def add_sums(keyed: DataFrame, model: str, x: str, score: str, names: DataFrame,
     and lose only the knowledge that they hold no nulls."""
     spark = keyed.sparkSession
     ensure_checkpoint_dir(spark)
-    special, n_special, n_rows = _apart(names, tables, largest, max_nodes, rows_per_group)
+    special, n_special, n_rows = _apart(names, tables, n_models, largest, max_nodes, rows_per_group)
     buckets = max(spark.sparkContext.defaultParallelism, 1 + n_rows // rows_per_group, 1 + n_nodes // NODES_PER_GROUP)
     bucket = F.pmod(F.xxhash64(model), F.lit(buckets)).cast("int")
     # Copies of a row spread by the input partitions they come from. Rows without a model go anywhere.
     spread = F.xxhash64(x, F.spark_partition_id())
     nobody = F.pmod(spread, F.lit(buckets)).cast("int")
 
-    trees = tables.trees.join(tables.header.select(
-        "model_id", "n_outputs", (F.col("post_transform") == S.SOFTMAX).alias("softmax")), "model_id")
-    nodes = node_columns(tables.nodes).join(trees, ["model_id", "tree_id"]).select(
+    trees = tables.trees.join(beside(tables.header.select(
+        "model_id", "n_outputs", (F.col("post_transform") == S.SOFTMAX).alias("softmax")), n_models), "model_id")
+    nodes = node_columns(tables.nodes).join(beside(trees, n_nodes), ["model_id", "tree_id"]).select(
         F.col("model_id").alias(model), F.struct(*PER_NODE).alias("node"))
     if n_special:
         own = unused(keyed.columns, "__own")
@@ -98,7 +98,7 @@ def add_sums(keyed: DataFrame, model: str, x: str, score: str, names: DataFrame,
         done, score)
 
 
-def _apart(names: DataFrame, tables: ModelTables, largest: int, max_nodes: int,
+def _apart(names: DataFrame, tables: ModelTables, n_models: int, largest: int, max_nodes: int,
            rows_per_group: int) -> tuple[DataFrame | None, int, int]:
     """Models with more rows than a group or more nodes than a task: how many parts, and whether in blocks.
 
@@ -110,7 +110,7 @@ def _apart(names: DataFrame, tables: ModelTables, largest: int, max_nodes: int,
     if not n_hot and largest <= max_nodes:
         return None, 0, n_rows or 0
     large = tables.nodes.groupBy("model_id").agg((F.count("*") > max_nodes).alias("block")).where("block")
-    special = counts.join(large, "model_id", "left").where(hot | F.col("block")).select(
+    special = counts.join(beside(large, n_models), "model_id", "left").where(hot | F.col("block")).select(
         "model_id", F.ceil(F.col("count") / rows_per_group).cast("int").alias("parts"),
         F.coalesce("block", F.lit(False)).alias("block")).checkpoint()
     return special, special.count(), n_rows or 0

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ensemblescore.operators.depths import node_depths
 from ensemblescore.operators.inputs import BoundInput, coded_by_join
 from ensemblescore.sources import schema as S
-from ensemblescore.sources.tables import ModelTables
+from ensemblescore.sources.tables import ModelTables, beside
 
 # A list of at most this many trees is sent to every executor.
 MAX_BROADCAST_TREES = 100_000
@@ -27,17 +27,17 @@ def walk(points: DataFrame, tables: ModelTables) -> DataFrame:
     depth = node_depths(tables).agg(F.max("depth")).head()[0] or 0
     splits = tables.nodes.where(F.col("kind") == S.BRANCH).select(
         *NODE, "split_feature", "split_threshold", "children", "default_child")
+    n_trees, n_nodes = tables.trees.count(), tables.nodes.count()
     roots = tables.trees.join(
-        splits.where("node_id = 0").drop("node_id"), ["model_id", "tree_id"], "left")
+        beside(splits.where("node_id = 0").drop("node_id"), n_trees), ["model_id", "tree_id"], "left")
     forest = roots.groupBy("model_id").agg(F.collect_list(F.struct(
         "tree_id", "tree_group", F.lit(0).alias("node_id"), "split_feature", "split_threshold",
         "children", "default_child")).alias("forest"))
-    if tables.trees.count() <= MAX_BROADCAST_TREES:
-        forest = F.broadcast(forest)
+    forest = F.broadcast(forest) if n_trees <= MAX_BROADCAST_TREES else beside(forest, n_trees)
     state = points.join(forest, "model_id").select(*POINT, F.inline("forest"))
     for level in range(depth):
         if level:
-            state = state.join(splits, NODE, "left")
+            state = state.join(beside(splits, n_nodes), NODE, "left")
         value = F.get("x", F.col("split_feature"))
         state = state.select(
             *POINT, "tree_id", "tree_group",
@@ -46,7 +46,7 @@ def walk(points: DataFrame, tables: ModelTables) -> DataFrame:
             .when(value < F.col("split_threshold"), F.get("children", F.lit(0)))
             .otherwise(F.get("children", F.lit(1))).alias("node_id"))
     leaves = tables.nodes.where(F.col("kind") == S.LEAF).select(*NODE, "leaf_value")
-    return state.join(leaves, NODE).select(
+    return state.join(beside(leaves, n_nodes), NODE).select(
         *POINT, "tree_id", "tree_group", F.col("leaf_value").cast("double").alias("value"))
 
 
@@ -60,7 +60,8 @@ def sums(points: DataFrame, tables: ModelTables, walked_by=walk) -> DataFrame:
         return F.aggregate(mine, F.lit(0.0), lambda total, t: total + t["value"])
 
     outputs = F.transform(F.sequence(F.lit(0), F.col("n_outputs") - 1), output)
-    return walked.join(tables.header.select("model_id", "n_outputs"), "model_id").select(
+    header = tables.header.select("model_id", "n_outputs")
+    return walked.join(beside(header, tables.header.count()), "model_id").select(
         *POINT, outputs.alias("sums"))
 
 

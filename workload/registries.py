@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 import ensemblescore as es
 from ensemblescore.sources.scratch import scratch_path
+from ensemblescore.sources.tables import beside
 
 
 def read(spark, sf_dir, name):
@@ -73,8 +74,9 @@ def shaped_by_part(spark, sf_dir) -> es.ModelTables:
     part = read(spark, sf_dir, "part").select(
         F.col("p_partkey").cast("string").alias("model_id"), "p_size", "p_retailprice",
         (F.floor(F.col("p_size") / 10) + 1).cast("int").alias("n"))
+    n_parts = part.count()
     base = per_part(spark, sf_dir)
-    header = base.header.drop("n_outputs", "output_names").join(part, "model_id").select(
+    header = base.header.drop("n_outputs", "output_names").join(beside(part, n_parts), "model_id").select(
         "model_id", "aggregation", "post_transform", F.col("n").alias("n_outputs"),
         F.transform(F.sequence(F.lit(1), "n"), lambda k: F.concat(F.lit("p"), k.cast("string")))
         .alias("output_names"))
@@ -89,7 +91,7 @@ def shaped_by_part(spark, sf_dir) -> es.ModelTables:
     trees = part.select("model_id", F.explode(F.sequence(F.lit(0), F.col("n") - 1))
                         .alias("tree_id")).withColumn("tree_group", F.col("tree_id"))
     leaf = base.nodes.where("node_id = 1").withColumn("node_id", F.lit(0)).drop("tree_id")
-    nodes = leaf.join(trees, "model_id").select(*base.nodes.columns)
+    nodes = leaf.join(beside(trees, n_parts), "model_id").select(*base.nodes.columns)
     return es.ModelTables(header, one.unionByName(two), trees, nodes)
 
 
@@ -97,6 +99,7 @@ def broken_by_part(spark, sf_dir) -> es.ModelTables:
     """``per_part`` with one kind of damage for each of the sizes 1 to 11."""
     size = read(spark, sf_dir, "part").select(
         F.col("p_partkey").cast("string").alias("model_id"), "p_size")
+    size = beside(size, size.count())
     good = per_part(spark, sf_dir)
     p, node = F.col("p_size"), F.col("node_id")
     header = good.header.join(size, "model_id").where("p_size != 10").withColumn(
