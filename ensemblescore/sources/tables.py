@@ -63,9 +63,13 @@ class ModelTables:
         return cls(**frames)
 
     def write(self, path: str, mode: str = "errorifexists") -> str:
-        """Store the tables as Parquet, sorted by model so that reading one model skips row groups."""
+        """Store the tables as Parquet, sorted by model so that reading one model skips row groups.
+
+        Rows are dealt by model and tree first: a registry may be derived from a file that is one task."""
         for name in TABLES:
-            table = getattr(self, name).sortWithinPartitions("model_id")
+            table = getattr(self, name)
+            keys = [c for c in ("model_id", "tree_id") if c in table.columns]
+            table = table.repartition(*keys).sortWithinPartitions("model_id")
             table.write.mode(mode).parquet(f"{path}/{name}")
         return path
 

@@ -34,3 +34,14 @@ def test_many_models_are_not_gathered_by_joins(spark, stored, monkeypatch):
     assert sorted(map(tuple, es.model_widths(stored).collect())) == widths
     for strategy in ("join", "group", "arrow"):
         assert sorted(map(tuple, score_registry(df, stored, "m", strategy=strategy).collect())) == want
+
+
+def test_a_registry_derived_from_one_task_is_written_by_many(spark, tmp_path):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        path = stumps(spark, 1000).write(str(tmp_path / "dealt"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    for name in T.TABLES:
+        assert len(spark.read.parquet(f"{path}/{name}").inputFiles()) > 1, name
+    assert ModelTables.read(spark, path).nodes.count() == 3000
