@@ -27,9 +27,13 @@ from ensemblescore.operators.outputs import extended
 from ensemblescore.operators.validate import refuse_broken
 from ensemblescore.plans import grouped, relational
 from ensemblescore.sources import schema as S
-from ensemblescore.sources.spec import MAX_BROADCAST_NODES, at_once, node_columns
+from ensemblescore.sources.spec import MAX_BROADCAST_NODES as MAX_MODEL_NODES
+from ensemblescore.sources.spec import at_once, node_columns, packed
 from ensemblescore.sources.tables import ModelTables, beside
 
+# Every Python worker of an executor keeps a registry of its own, and one more for each scoring of a stage.
+MAX_BROADCAST_NODES = 1_000_000
+
 ARROW, GROUP, JOIN, AUTO = "arrow", "group", "join", "auto"
 
 # Rows of one model that make a group of their own, and the features and outputs that such rows may have.
@@ -47,7 +51,7 @@ def score_registry(df: DataFrame, tables: ModelTables, model_id_col: str = "mode
     ``probability`` is null for a model with one output. A task holds at most ``max_nodes``
     nodes of a model at a time, or one tree.
     """
-    max_nodes = MAX_BROADCAST_NODES if max_nodes is None else max_nodes
+    max_nodes = MAX_MODEL_NODES if max_nodes is None else max_nodes
     if strategy not in (AUTO, ARROW, GROUP, JOIN):
         raise ModelError(f"unknown registry strategy {strategy!r}")
     if df.columns.count(model_id_col) != 1:
@@ -228,8 +232,8 @@ def _coded(df: DataFrame, inputs: DataFrame, source: str, model: str, code: str)
 def _by_broadcast(keyed: DataFrame, tables: ModelTables, width: int, model: str, x: str, score: str) -> DataFrame:
     """All models on every executor; a batch walks the trees of all its models at once."""
     header, trees, nodes = at_once(
-        keyed.sparkSession, tables.header.select("model_id", "n_outputs", "post_transform").toArrow,
-        tables.trees.toArrow, node_columns(tables.nodes).toArrow)
+        keyed.sparkSession, *(lambda df=df: packed(df) for df in (
+            tables.header.select("model_id", "n_outputs", "post_transform"), tables.trees, node_columns(tables.nodes))))
     softmax = np.array([p == S.SOFTMAX for p in header.column("post_transform").to_pylist()], bool)
     shared = keyed.sparkSession.sparkContext.broadcast(
         (Models.build(header, trees, nodes, width), softmax))

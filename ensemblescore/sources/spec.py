@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
 
+import pyarrow as pa
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -76,6 +78,21 @@ def node_columns(nodes: DataFrame) -> DataFrame:
         F.get("children", F.lit(1)).alias("otherwise"), "default_child", "leaf_value")
 
 
+def packed(df: DataFrame) -> pa.Table:
+    """``df`` on the driver, sent there compressed: names of models and kinds of nodes repeat."""
+    empty = df.limit(0).toArrow().schema
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                out.write_batch(batch)
+            yield pa.record_batch([pa.array([sink.getvalue().to_pybytes()], pa.binary())], names=["rows"])
+
+    chunks = df.mapInArrow(pack, "rows binary").toArrow()["rows"]
+    return pa.concat_tables([pa.ipc.open_stream(c.as_buffer()).read_all() for c in chunks] or [empty.empty_table()])
+
+
 def at_once(spark: SparkSession, *jobs) -> list:
     """Run small jobs side by side: opening a model is all latency."""
     inherit = inheritable_thread_target(spark)

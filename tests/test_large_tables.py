@@ -45,3 +45,9 @@ def test_a_registry_derived_from_one_task_is_written_by_many(spark, tmp_path):
     for name in T.TABLES:
         assert len(spark.read.parquet(f"{path}/{name}").inputFiles()) > 1, name
     assert ModelTables.read(spark, path).nodes.count() == 3000
+
+
+def test_a_registry_kept_by_all_workers_is_small():
+    """Each Python worker of an executor keeps the models of every scoring in its stage."""
+    from ensemblescore.operators import registry
+    assert registry.MAX_BROADCAST_NODES <= 1_000_000

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 import ensemblescore as es
+from ensemblescore.operators.registry import MAX_BROADCAST_NODES
 from ensemblescore.sources.scratch import scratch_path
 from workload import registries
 from workload.models import model, models_path
@@ -359,9 +360,20 @@ def _mixed_widths(strategy):
         df = read(spark, sf, "part").select(
             F.col("p_partkey").cast("string").alias("part"), F.col("p_retailprice").alias("price"),
             F.array_repeat(F.col("p_retailprice") / 1000, F.col("p_size")).alias("v"))
-        scored = es.score_registry(df, tables, "part", features_col="v", strategy=strategy)
+        n_deals = 1 + tables.nodes.count() // (MAX_BROADCAST_NODES * 4 // 5) if strategy == "arrow" else 1
+        scored = None
+        for k in range(n_deals):
+            some, own = df, tables
+            if n_deals > 1:  # no deal is more than is broadcast at once
+                some = df.where(_deal("part", n_deals).eqNullSafe(k))
+                own = tables.map(lambda t: t.where(_deal("model_id", n_deals) == k))
+            part = es.score_registry(some, own, "part", features_col="v", strategy=strategy)
+            scored = part if scored is None else scored.unionByName(part, allowMissingColumns=True)
         return scored.select("part", "prediction", F.when(F.col("probability").isNull(), -1).otherwise(
             F.size(vector_to_array(F.coalesce("probability", vector_of())))).alias("n_classes"))
+
+    def _deal(name, n):
+        return F.coalesce(F.pmod(F.xxhash64(name), F.lit(n)), F.lit(0))
     return query
 
 
