@@ -90,12 +90,13 @@ def score_registry(df: DataFrame, tables: ModelTables, model_id_col: str = "mode
             rows_per_group or max(1, min(ROWS_PER_GROUP, VALUES_PER_GROUP // values)))
     else:
         points = keyed.where(F.col(x).isNotNull() & F.col(model).isNotNull()).select(
-            F.col(model).alias("model_id"), F.col(x).alias("x")).distinct()
+            F.xxhash64(x).alias("h"), F.col(model).alias("model_id"), F.col(x).alias("x")).distinct()
+        h = coerce.unused(keyed.columns, "__h")
         flags = tables.header.select(
             "model_id", (F.col("post_transform") == S.SOFTMAX).alias("softmax"))
         scored = relational.sums(points, tables).join(beside(flags, n_models), "model_id").select(
-            F.col("model_id").alias(model), F.col("x").alias(x), F.struct("sums", "softmax").alias(score))
-        summed = keyed.join(beside(scored, n_models), [model, x], "left").drop(model, x)
+            F.col("h").alias(h), F.col("model_id").alias(model), F.col("x").alias(x), F.struct("sums", "softmax").alias(score))
+        summed = keyed.withColumn(h, F.xxhash64(x)).join(beside(scored, n_models), [h, model, x], "left").drop(h, model, x)
 
     sums, out = F.col(score)["sums"], coerce.unused(summed.columns, "__out")
     outputs = F.when(F.col(score)["softmax"], post.softmax(sums)).otherwise(sums)

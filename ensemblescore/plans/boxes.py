@@ -17,12 +17,16 @@ from pyspark.sql import functions as F
 
 from ensemblescore.operators.inputs import BoundInput
 from ensemblescore.plans import relational
+from ensemblescore.sources.scratch import ensure_checkpoint_dir
 from ensemblescore.sources.spec import node_columns
-from ensemblescore.sources.tables import ModelTables
+from ensemblescore.sources.tables import ModelTables, beside
 
 #: Rows of one cell, and rows of one model, are spread over so many keys.
 SPREAD = 16
 
+#: Boxes that cover at most so many cells together are sent to every executor, and nothing is spread.
+MAX_BROADCAST_CELLS = 50_000
+
 TREE = ["model_id", "tree_id"]
 BOX = ("model_id string, tree_id int, tree_group int, axis int, marks array<float>, cells array<int>, value double, "
        "sides array<struct<feature: int, low: float, high: float, missing: boolean>>")
@@ -87,22 +91,33 @@ def _of_tree(nodes: dict[int, dict]) -> list[dict]:
 
 
 def walk(points: DataFrame, tables: ModelTables) -> DataFrame:
-    """Leaves of each distinct ``points(model_id, x)`` in each tree of its model, as ``relational.walk`` finds them."""
-    leaves = boxes(tables)
+    """Leaves of each distinct ``points(h, model_id, x)`` in each tree of its model, as ``relational.walk`` finds them."""
+    ensure_checkpoint_dir(tables.nodes.sparkSession)
+    leaves = boxes(tables).checkpoint()  # read by both joins
+    n_trees, n_cells = leaves.agg(F.countDistinct(*TREE), F.sum(F.size("cells"))).head()
+    if (n_cells or 0) <= MAX_BROADCAST_CELLS:
+        return _met(points, leaves, F.broadcast, F.broadcast)
     spread = F.pmod(F.xxhash64("x"), F.lit(SPREAD)).cast("int")
     every = F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1)))
-    grids = leaves.groupBy(*TREE).agg(F.first("axis").alias("axis"), F.first("marks").alias("marks"))
-    met = points.withColumn("spread", spread).join(grids.withColumn("spread", every), ["model_id", "spread"])
+    return _met(points.withColumn("spread", spread), leaves.withColumn("spread", every),
+                lambda grids: beside(grids, n_trees * SPREAD), lambda covered: covered)
+
+
+def _met(points: DataFrame, leaves: DataFrame, as_grids, as_covered) -> DataFrame:
+    """Points with the leaves whose cell and intervals hold them; of both, ``spread`` is a key if it is there."""
+    apart = [c for c in ("spread",) if c in points.columns]
+    grids = leaves.groupBy(*TREE, *apart).agg(F.first("axis").alias("axis"), F.first("marks").alias("marks"))
+    met = points.join(as_grids(grids), ["model_id", *apart])
     along = F.get("x", F.col("axis"))
-    met = met.select("model_id", "x", "tree_id", "spread", F.when(F.isnan(along), MISSING).otherwise(
+    met = met.select(*relational.POINT, "tree_id", *apart, F.when(F.isnan(along), MISSING).otherwise(
         F.size(F.filter("marks", lambda t: t <= along))).alias("cell"))
-    covered = leaves.select(*TREE, "tree_group", "value", "sides", F.explode("cells").alias("cell")).withColumn("spread", every)
+    covered = leaves.select(*TREE, *apart, "tree_group", "value", "sides", F.explode("cells").alias("cell"))
 
     def holds(side):
         v = F.get("x", side["feature"])
         return F.when(F.isnan(v), side["missing"]).otherwise((v >= side["low"]) & (v < side["high"]))
 
-    return met.join(covered, [*TREE, "cell", "spread"]).where(F.forall("sides", holds)).select(
+    return met.join(as_covered(covered), [*TREE, *apart, "cell"]).where(F.forall("sides", holds)).select(
         *relational.POINT, "tree_id", "tree_group", "value")
 
 

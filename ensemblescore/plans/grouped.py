@@ -28,7 +28,7 @@ from ensemblescore.sources.spec import node_columns
 from ensemblescore.sources.tables import ModelTables, beside
 
 # What a group's models take at a time, on average over the groups.
-NODES_PER_GROUP = 1_000_000
+NODES_PER_GROUP = 200_000
 # Models with groups of their own are sent to every executor up to so many, and joined beyond.
 MAX_BROADCAST_MODELS = 200_000
 

@@ -17,17 +17,20 @@ from ensemblescore.sources.tables import ModelTables, beside
 
 # A list of at most this many trees is sent to every executor.
 MAX_BROADCAST_TREES = 100_000
+# Up to so many trees, each has columns of its own where the trees of a point are gathered.
+MAX_TREE_COLUMNS = 16
 
-POINT = ["model_id", "x"]
+# A hash comes first: equal in equal points, it settles nearly all comparisons of a sort by itself.
+POINT = ["h", "model_id", "x"]
 NODE = ["model_id", "tree_id", "node_id"]
 
 
 def walk(points: DataFrame, tables: ModelTables) -> DataFrame:
-    """Leaves reached by each distinct ``points(model_id, x)`` in each tree of its model."""
+    """Leaves reached by each distinct ``points(h, model_id, x)`` in each tree of its model."""
     depth = node_depths(tables).agg(F.max("depth")).head()[0] or 0
+    n_trees, n_nodes = tables.trees.count(), tables.nodes.count()
     splits = tables.nodes.where(F.col("kind") == S.BRANCH).select(
         *NODE, "split_feature", "split_threshold", "children", "default_child")
-    n_trees, n_nodes = tables.trees.count(), tables.nodes.count()
     roots = tables.trees.join(
         beside(splits.where("node_id = 0").drop("node_id"), n_trees), ["model_id", "tree_id"], "left")
     forest = roots.groupBy("model_id").agg(F.collect_list(F.struct(
@@ -51,9 +54,17 @@ def walk(points: DataFrame, tables: ModelTables) -> DataFrame:
 
 
 def sums(points: DataFrame, tables: ModelTables, walked_by=walk) -> DataFrame:
-    """``model_id, x, sums array<double>``: trees added in ascending order, as the other plans do."""
-    walked = walked_by(points, tables).groupBy(*POINT).agg(
-        F.array_sort(F.collect_list(F.struct("tree_id", "tree_group", "value"))).alias("trees"))
+    """``h, model_id, x, sums array<double>``: trees added in ascending order, as the other plans do."""
+    last = tables.trees.agg(F.max("tree_id")).head()[0] or 0
+    n_models, most = tables.header.agg(F.count("*"), F.max("n_outputs")).head()
+    if last < MAX_TREE_COLUMNS and most == 1:
+        # A tree that a model lacks adds 0.0, which changes no sum that began with 0.0.
+        total = F.lit(0.0)
+        for t in range(last + 1):
+            total = total + F.coalesce(F.col(f"value{t}"), F.lit(0.0))
+        own = [F.max(F.when(F.col("tree_id") == t, F.col("value"))).alias(f"value{t}") for t in range(last + 1)]
+        return walked_by(points, tables).groupBy(*POINT).agg(*own).select(*POINT, F.array(total).alias("sums"))
+    walked = _by_point(walked_by(points, tables), last)
 
     def output(k):
         mine = F.filter("trees", lambda t: t["tree_group"] == k)
@@ -61,10 +72,24 @@ def sums(points: DataFrame, tables: ModelTables, walked_by=walk) -> DataFrame:
 
     outputs = F.transform(F.sequence(F.lit(0), F.col("n_outputs") - 1), output)
     header = tables.header.select("model_id", "n_outputs")
-    return walked.join(beside(header, tables.header.count()), "model_id").select(
+    return walked.join(beside(header, n_models), "model_id").select(
         *POINT, outputs.alias("sums"))
 
 
+def _by_point(walked: DataFrame, last: int) -> DataFrame:
+    """``trees`` of each point in ascending order. Few trees have columns of their own, which a hash aggregate
+    fills; a list is gathered by a sort."""
+    if last >= MAX_TREE_COLUMNS:
+        return walked.groupBy(*POINT).agg(
+            F.array_sort(F.collect_list(F.struct("tree_id", "tree_group", "value"))).alias("trees"))
+    own = [F.max(F.when(F.col("tree_id") == t, F.col(c))).alias(f"{c}{t}")
+           for t in range(last + 1) for c in ("tree_group", "value")]
+    trees = F.array(*[F.struct(F.lit(t).alias("tree_id"), F.col(f"tree_group{t}").alias("tree_group"),
+                               F.col(f"value{t}").alias("value")) for t in range(last + 1)])
+    return walked.groupBy(*POINT).agg(*own).select(
+        *POINT, F.filter(trees, lambda t: t["tree_group"].isNotNull()).alias("trees"))
+
+
 def features_of(df: DataFrame, bound: list[BoundInput], tables: ModelTables, name: str) -> tuple[str, DataFrame]:
     """The name of a column with all features as ``array<float>``, and ``df`` with it."""
     key, keyed, parts, codes = f"{name}_x", df, [], []
@@ -85,8 +110,11 @@ def add_sums(df: DataFrame, bound: list[BoundInput], tables: ModelTables, n_outp
     key, keyed = features_of(df, bound, tables, name)
     # Not a literal, which Catalyst would take out of the join and leave a product of all rows.
     model = F.when(F.size(F.col(key)) >= 0, F.lit(tables.header.head().model_id))
-    points = keyed.select(model.alias("model_id"), F.col(key).alias("x")).distinct()
-    scored = sums(points, tables, walked_by).select(F.col("x").alias(key), F.col("sums").alias(name))
-    joined = keyed.join(scored, key, "left")
+    own, h = f"{name}_model", f"{name}_h"
+    keyed = keyed.select("*", F.xxhash64(key).alias(h), model.alias(own))
+    points = keyed.select(F.col(h).alias("h"), F.col(own).alias("model_id"), F.col(key).alias("x")).distinct()
+    scored = sums(points, tables, walked_by).select(
+        F.col("h").alias(h), F.col("model_id").alias(own), F.col("x").alias(key), F.col("sums").alias(name))
+    joined = keyed.join(scored, [h, own, key], "left").drop(h, own)
     result = F.get(name, F.lit(0)) if n_outputs == 1 else F.col(name)
     return joined.withColumn(name, result)

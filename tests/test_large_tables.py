@@ -51,3 +51,19 @@ def test_a_registry_kept_by_all_workers_is_small():
     """Each Python worker of an executor keeps the models of every scoring in its stage."""
     from ensemblescore.operators import registry
     assert registry.MAX_BROADCAST_NODES <= 1_000_000
+
+
+def test_few_and_many_trees_of_a_point_are_added_alike(spark, store, monkeypatch):
+    """Equal points are found by their hash first; trees come from columns, or from a sorted list if they are many."""
+    from ensemblescore.plans import boxes, relational
+    assert relational.POINT[0] == "h"
+    trees = [es.Split(k % 2, k / 7, es.Leaf(0.1 * k), es.stump(1, k / 5, 0.3, -1e16 if k == 2 else 0.7), "below") for k in range(9)]
+    df = spark.range(300).selectExpr("cast(if(id % 11 = 0, 'nan', id % 13 / 10) AS double) AS a", "id % 17 / -9 AS b", "id")
+    for groups in ([0] * 9, [k % 3 for k in range(9)]):
+        path = store([es.scalar("a"), es.scalar("b")], trees, groups=groups)
+        for strategy, cells, columns in (("join", 0, 16), ("join", 0, 3), ("boxes", 50_000, 16), ("boxes", 0, 3)):
+            monkeypatch.setattr(relational, "MAX_TREE_COLUMNS", columns)
+            monkeypatch.setattr(boxes, "MAX_BROADCAST_CELLS", cells)
+            got, want = (sorted((r.id, r.prediction) for r in es.EnsembleModel(modelPath=path, strategy=s).transform(df).collect())
+                         for s in (strategy, "arrow"))
+            assert got == want, (groups, strategy, cells, columns)
