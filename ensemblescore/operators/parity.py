@@ -240,14 +240,18 @@ def parity_report(left: DataFrame, right: DataFrame, keys: list[str], *,
     for k in names:
         same = same & F.col(k).eqNullSafe(F.col(f"p{k}"))
 
+    # Outputs that one side has more often, of keys to pair or to align: kept, since range sorts read them twice.
+    uneven = met & (F.col("n_a") != F.col("n_b")) if align_uneven else F.lit(False)
+    use = F.when(F.col("paired"), "pair").when(uneven, "align")
+    keyed = per_key.select(*[F.col(k).alias(f"p{k}") for k in names], use.alias("use")).where("use IS NOT NULL")
+    kept = per_output.where(value.isNotNull() & (F.col("in_a") != F.col("in_b"))).join(keyed.hint("merge"), same).select(
+        *names, "value", *[F.greatest(F.col(f"in_{s}") - F.col(f"in_{o}"), F.lit(0)).cast("bigint").alias(f"more_{s}")
+                           for s, o in ("ab", "ba")], "use").checkpoint()
+
     def leftovers(which):
-        """Outputs that one side has more often, of the keys of ``which``."""
-        keyed = per_key.where(which).select(*[F.col(k).alias(f"p{k}") for k in names])
-        return per_output.where(value.isNotNull() & (F.col("in_a") != F.col("in_b"))).join(keyed, same, "left_semi").select(
-            *names, "value", *[F.greatest(F.col(f"in_{s}") - F.col(f"in_{o}"), F.lit(0)).cast("bigint").alias(f"more_{s}")
-                               for s, o in ("ab", "ba")])
+        return kept.where(F.col("use") == which).drop("use")
 
-    runs = leftovers("paired")
+    runs = leftovers("pair")
     found = found.unionByName(_matched(runs, names, compare).select("diff"), allowMissingColumns=True)
     if vector:
         found = found.unionByName(_classes(runs, names).select("disagree"), allowMissingColumns=True)
@@ -265,6 +269,6 @@ def parity_report(left: DataFrame, right: DataFrame, keys: list[str], *,
         total(F.col("diff") > tolerance).alias("over_tolerance"),
         total(F.col("disagree")).alias("argmax_disagreements"))
     if align_uneven:  # one row beside one row
-        aligned = _aligned(leftovers(met & (F.col("n_a") != F.col("n_b"))), names, tolerance)
+        aligned = _aligned(leftovers("align"), names, tolerance)
         report = report.withColumn("one", F.lit(1)).join(aligned.withColumn("one", F.lit(1)), "one").drop("one")
     return report
