@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections import deque
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import VectorUDT
@@ -116,12 +117,36 @@ def _aligned(runs: DataFrame, names: list[str], tolerance: float) -> DataFrame:
                     F.max("most").alias("max_aligned_diff"))
 
 
+def _short_segments(batch: pa.RecordBatch) -> tuple[float | None, int, pa.RecordBatch]:
+    """Segments of one or two values settled at once: the largest difference met, the rows unmatched, and all other rows.
+
+    The first and the last segment may go on in other batches and are among the others."""
+    segment, value, a, b = (c.to_numpy() for c in batch.columns)
+    starts = np.flatnonzero(np.append(True, segment[1:] != segment[:-1])) if len(segment) else np.zeros(0, np.int64)
+    sizes = np.diff(np.append(starts, len(segment)))
+    inner = np.ones(len(starts), bool)
+    inner[:1] = inner[-1:] = False
+    one, two = starts[inner & (sizes == 1)], starts[inner & (sizes == 2)]
+    n = np.where(a > 0, a, b)  # a value is left over on one side only
+    across = (a[two] > 0) != (a[two + 1] > 0)
+    pairs = two[across]
+    met = np.minimum(n[pairs], n[pairs + 1])
+    lost = int(n[one].sum() + n[two].sum() + n[two + 1].sum() - 2 * met.sum())
+    rest = np.ones(len(segment), bool)
+    rest[one] = rest[two] = rest[two + 1] = False
+    most = float((value[pairs + 1] - value[pairs]).max()) if len(pairs) else None
+    return most, lost, batch.filter(pa.array(rest))
+
+
 def _paired_in_order(tolerance: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         open_, side, current = deque(), 0, None  # values of one side that wait, with how many rows
         unmatched, most = 0, None
         for batch in batches:
-            for segment, value, a, b in zip(*(c.to_pylist() for c in batch.columns)):
+            met, lost, rest = _short_segments(batch)
+            unmatched += lost
+            most = met if most is None else most if met is None else max(most, met)
+            for segment, value, a, b in zip(*(c.to_pylist() for c in rest.columns)):
                 if segment != current:
                     unmatched += sum(n for _, n in open_)
                     open_.clear()

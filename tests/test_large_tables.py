@@ -67,3 +67,26 @@ def test_few_and_many_trees_of_a_point_are_added_alike(spark, store, monkeypatch
             got, want = (sorted((r.id, r.prediction) for r in es.EnsembleModel(modelPath=path, strategy=s).transform(df).collect())
                          for s in (strategy, "arrow"))
             assert got == want, (groups, strategy, cells, columns)
+
+
+def test_short_segments_are_settled_as_the_walk_in_order_settles_them():
+    """Batches of one row have no inner segments, so they take every row through the walk."""
+    import random
+
+    import pyarrow as pa
+
+    from ensemblescore.operators.parity import _paired_in_order
+    rng, rows = random.Random(3), []
+    for segment in range(400):
+        value = rng.random()
+        for _ in range(rng.choice([1, 1, 2, 2, 2, 3, 5])):
+            n = rng.choice([1, 1, 4])
+            rows.append((segment, value, *((n, 0) if rng.random() < 0.5 else (0, n))))
+            value += rng.random() * 1e-3
+    table = pa.table(list(zip(*rows)), names=["segment", "value", "more_a", "more_b"])
+
+    def found(size):
+        (out,) = _paired_in_order(1e-3)(iter(table.to_batches(max_chunksize=size)))
+        return out.to_pylist()
+
+    assert found(1) == found(7) == found(len(rows)) == found(100)
