@@ -90,3 +90,26 @@ def test_short_segments_are_settled_as_the_walk_in_order_settles_them():
         return out.to_pylist()
 
     assert found(1) == found(7) == found(len(rows)) == found(100)
+
+
+def test_a_registry_above_the_bound_is_broadcast_in_deals(spark, tmp_path, monkeypatch):
+    """Tables reach the driver compressed and whole, and the query asks for no more than the bound at once."""
+    from ensemblescore.operators import registry
+    from ensemblescore.sources.spec import packed
+    from workload import queries
+    spark.range(60).selectExpr("id AS p_partkey", "cast(1 + id % 50 AS int) AS p_size", "950.0 + id * 2 AS p_retailprice").write.parquet(
+        str(tmp_path / "part.parquet"))
+    table = spark.range(100).repartition(3).selectExpr("id", "if(id % 3 = 0, null, cast(id AS string)) AS s")
+    assert sorted(packed(table).to_pylist(), key=lambda r: r["id"]) == [
+        {"id": k, "s": None if k % 3 == 0 else str(k)} for k in range(100)]
+    assert packed(table.where("id < 0")).num_rows == 0
+    want = sorted(map(tuple, queries.QUERIES["registry_mixed_widths_group"](spark, str(tmp_path)).collect()))
+    monkeypatch.setattr(registry, "MAX_BROADCAST_NODES", 120)
+    monkeypatch.setattr(queries, "MAX_BROADCAST_NODES", 120)
+    monkeypatch.setattr(registry.grouped, "NODES_PER_GROUP", 20)
+    assert sorted(map(tuple, queries.QUERIES["registry_mixed_widths_arrow"](spark, str(tmp_path)).collect())) == want
+
+
+def test_groups_hold_few_nodes():
+    from ensemblescore.plans import grouped
+    assert grouped.NODES_PER_GROUP <= 200_000
