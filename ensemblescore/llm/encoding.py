@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import json
 import os
+import re
 from array import array
+from collections.abc import Callable
+from itertools import filterfalse
 from pathlib import Path
 
 import numpy as np
@@ -15,7 +18,7 @@ from ensemblescore.llm.text import text_bytes, words
 #: Words in a generation of a worker's memory. It holds two; words met again move to the younger.
 MOST_KNOWN = 300_000
 
-#: Words sent to the library in one text, parted by an added token.
+#: Words sent to the library in one text, parted by an added token or, if of plain letters, by a space.
 AT_ONCE = 512
 
 #: Pre-tokenizer pattern whose pieces never hold white space, nor look beyond it.
@@ -44,6 +47,22 @@ def parts_at_spaces(model: dict) -> bool:
     return folds and cuts and plain
 
 
+def plain_letters(model: dict, normalize: Callable[[str], str], alphabet: list[str]) -> str:
+    """Letters whose words, lowered as ``normalize`` does, are one piece each, or "" if the model cannot tell pieces apart.
+
+    For models that ``parts_at_spaces``: the pattern cuts no run of letters, and below U+0250 no two of them compose.
+    Added tokens are in none of these words if they have ASCII punctuation. If all bytes of ``alphabet`` have an id
+    inside a piece and one with the mark of its end, every piece has that mark in its last id and nowhere else."""
+    bpe, mark = model["model"], model["model"].get("end_of_word_suffix") or ""
+    part = model["pre_tokenizer"].get("pretokenizers", [model["pre_tokenizer"]])
+    if (bpe["type"] != "BPE" or bpe.get("dropout") or bpe.get("ignore_merges") or bpe.get("continuing_subword_prefix")
+            or [s["type"] for s in part] != ["Split", "ByteLevel"]
+            or not all(re.search("[!-/:-@\\[-`{-~]", t) for t in [mark, *(t["content"] for t in model["added_tokens"])])
+            or not all(c in bpe["vocab"] and c + mark in bpe["vocab"] for c in alphabet)):
+        return ""
+    return "".join(c for c in map(chr, range(0x250)) if c.isalpha() and len(c.lower()) == 1 and normalize(c) == c.lower())
+
+
 def _cuts(added: list[str]) -> np.ndarray:
     """By two ASCII bytes that follow each other: whether the pattern always cuts between them.
 
@@ -75,6 +94,14 @@ def _gather(begin: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.repeat(begin - after + sizes, sizes) + np.arange(after[-1] if len(after) else 0, dtype=np.int32)
 
 
+def _texts(names: list[str], between: str) -> list[str]:
+    return [between.join(names[i:i + AT_ONCE]) for i in range(0, len(names), AT_ONCE)]
+
+
+def _flat(lists: list[list[int]]) -> np.ndarray:
+    return np.concatenate([np.zeros(0, np.uint32), *[np.array(x, np.uint32) for x in lists]])
+
+
 class TextEncoder:
     """A tokenizer file of the ``tokenizers`` library, opened where it is used."""
 
@@ -97,6 +124,18 @@ class TextEncoder:
         if self.by_words:
             self.cuts = _cuts(added)
             self.parting, self.parting_id = rules["added_tokens"][0]["content"], rules["added_tokens"][0]["id"]
+            step = tokenizers.pre_tokenizers
+            letters = plain_letters(rules, self.model.normalizer.normalize_str if rules["normalizer"] else str,
+                                    step.ByteLevel.alphabet())
+            self.is_plain = re.compile(f"[{letters}]+" if letters else "(?!)").fullmatch
+            if letters:
+                # The same model on words that need no normalizer and no pattern.
+                self.plain = tokenizers.Tokenizer(self.model.model)
+                self.plain.pre_tokenizer = step.Sequence(
+                    [step.WhitespaceSplit(), step.ByteLevel(add_prefix_space=False, use_regex=False)])
+                mark = rules["model"]["end_of_word_suffix"]
+                self.is_end = np.zeros(max(rules["model"]["vocab"].values()) + 1, bool)
+                self.is_end[[i for t, i in rules["model"]["vocab"].items() if t.endswith(mark)]] = True
         self.older = None
         self._young()
 
@@ -104,34 +143,38 @@ class TextEncoder:
         self.known: dict[str, int] = {}
         self.pool, self.ends = array("I"), array("i", [0])
 
-    def _ids(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.model.encode_batch_fast(texts, add_special_tokens=False)]
+    def _ids(self, texts: list[str], model=None) -> list[list[int]]:
+        return [e.ids for e in (model or self.model).encode_batch_fast(texts, add_special_tokens=False)]
 
     def _slots(self, names: list[str]) -> np.ndarray:
         """Where the words stand in the pool, which learns those it does not hold."""
         if len(self.known) > MOST_KNOWN:
             self.older = (self.known, np.array(self.pool, np.uint32), np.array(self.ends, np.int32))
             self._young()
-        missing = [w for w in names if w not in self.known]
+        missing = list(filterfalse(self.known.__contains__, names))
         if self.older and missing:
             known, pool, ends = self.older
-            again = [w for w in missing if w in known]
-            slots = np.fromiter((known[w] for w in again), np.int32, len(again))
+            again = list(filter(known.__contains__, missing))
+            slots = np.fromiter(map(known.__getitem__, again), np.int32, len(again))
             sizes = ends[slots + 1] - ends[slots]
             self._learn(again, pool[_gather(ends[slots], sizes)], sizes)
-            missing = [w for w in missing if w not in known]
+            missing = list(filterfalse(known.__contains__, missing))
         if missing:
+            plain = list(filter(self.is_plain, missing))
+            if plain:
+                flat = _flat(self._ids([t.lower() for t in _texts(plain, " ")], self.plain))
+                self._learn(plain, flat, np.diff(np.flatnonzero(self.is_end[flat]), prepend=-1))
             # Many words in a text; one that holds the token between them would part anew and goes alone.
-            apart = [w for w in missing if self.parting not in w]
-            texts = [self.parting.join([*apart[i:i + AT_ONCE], ""]) for i in range(0, len(apart), AT_ONCE)]
-            flat = np.concatenate([np.zeros(0, np.uint32), *[np.array(ids, np.uint32) for ids in self._ids(texts)]])
+            others = list(filterfalse(self.is_plain, missing))
+            apart = [w for w in others if self.parting not in w]
+            flat = _flat(self._ids([t + self.parting for t in _texts(apart, self.parting)]))
             ends = np.flatnonzero(flat == self.parting_id)
             self._learn(apart, np.delete(flat, ends), np.diff(ends, prepend=-1) - 1)
-            for w in missing:
+            for w in others:
                 if self.parting in w:
                     ids = self._ids([w])[0]
                     self._learn([w], np.array(ids, np.uint32), np.array([len(ids)]))
-        return np.fromiter((self.known[w] for w in names), np.int32, len(names))
+        return np.fromiter(map(self.known.__getitem__, names), np.int32, len(names))
 
     def _learn(self, names: list[str], ids: np.ndarray, sizes: np.ndarray):
         first = len(self.ends) - 1
@@ -149,11 +192,11 @@ class TextEncoder:
         if not self.by_words:
             lists = self._ids(text.to_pylist())
             n = np.array([len(x) for x in lists], np.int64)
-            flat = np.concatenate([np.zeros(0, np.uint32), *[np.array(x, np.uint32) for x in lists]])
+            flat = _flat(lists)
         else:
             flat_words, n_words = words(_spaced(text, self.cuts))
             coded = flat_words.dictionary_encode()
-            slots = self._slots(coded.dictionary.to_pylist())
+            slots = self._slots(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
             ends = np.array(self.ends, np.int32)
             begin, size = ends[slots], ends[slots + 1] - ends[slots]
             which = coded.indices.to_numpy(zero_copy_only=False)

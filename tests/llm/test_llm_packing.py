@@ -1,10 +1,12 @@
 """Packing: ids as the library gives them, sequences without gaps, and plans that fill their bins."""
 
 import itertools
+import json
 import os
 import random
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -94,6 +96,39 @@ def test_words_give_the_ids_of_whole_texts(library, monkeypatch):
     assert [ids[a:b].tolist() for a, b in itertools.pairwise(offsets)] == [ids_of(whole, t) for t in ("a  b\n c", "", "x")]
 
 
+def test_plain_words_skip_normalizer_and_pattern(library, monkeypatch):
+    """Every letter below U+0250 alone, beside others and before marks; the whole tokenizer sees only the marked ones."""
+    rng = random.Random(4)
+    letters = [c for c in map(chr, range(0x250)) if c.isalpha() and c != "\u0130"]
+    plain = letters + ["".join(rng.choices(["a", "B", "\xe9", rng.choice(letters)], k=rng.randint(1, 40))) for _ in range(3000)]
+    others = ["\u0130", "a\u0130", "J\u030c", "e\u0301a", "\u03a3\u03b1\u03c2", "\u65e5\u672c", "\u212a", "a<|endoftext|>b"]
+    seen, ids_before = [], encoding.TextEncoder._ids
+
+    def ids_seen(self, texts, *model):
+        seen.extend(() if model else texts)
+        return ids_before(self, texts, *model)
+
+    monkeypatch.setattr(encoding.TextEncoder, "_ids", ids_seen)
+    encoder = encoding.TextEncoder(WORDS)
+    for texts in (plain, [" ".join(plain), *others, " ".join([*plain[:600], *others])], []):
+        ids, offsets = encoder.encode(pa.array(texts, pa.large_string()), 1)
+        assert [ids[a:b].tolist() for a, b in itertools.pairwise(offsets)] == [ids_of(library, t) for t in texts]
+    assert {w for text in seen for w in text.split(encoder.parting)} == {*others, ""}
+
+
+def test_plain_letters_need_marked_ends():
+    rules = json.loads(Path(WORDS).read_text(encoding="utf-8"))
+    alphabet = tokenizers.pre_tokenizers.ByteLevel.alphabet()
+    assert set("azAZ") <= set(encoding.plain_letters(rules, str.lower, alphabet))
+    assert set("az") < set(encoding.plain_letters(rules, str, alphabet)) and "A" not in encoding.plain_letters(rules, str, alphabet)
+    bpe, lacking = rules["model"], dict(rules["model"]["vocab"])
+    del lacking["q</w>"]
+    letters_only = [*rules["added_tokens"], rules["added_tokens"][0] | {"content": "stop"}]
+    for other in ({"model": bpe | {"end_of_word_suffix": None}}, {"model": bpe | {"ignore_merges": True}},
+                  {"model": bpe | {"vocab": lacking}}, {"added_tokens": letters_only}):
+        assert encoding.plain_letters(rules | other, str.lower, alphabet) == ""
+
+
 def test_fullest_is_the_best_of_all_combinations():
     rng = random.Random(2)
     for _ in range(200):
